@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_runs, packing, token_cache, zstd_frames
+from . import html_paths, line_runs, packing, progressive_jpeg, token_cache, toxicity_cnn, zstd_frames
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_paths.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op2_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_cnn.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progressive_jpeg.media_features(_table(spark, sf_dir, "documents"))
+
+
 def op4_zstd_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_frames.token_files(_table(spark, sf_dir, "documents"))
 
@@ -29,7 +41,7 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_zstd_frames, op5_token_cache, op7_swap_packing, op8_line_runs)}
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_toxicity_cnn, op3_progressive_jpeg, op4_zstd_frames, op5_token_cache, op7_swap_packing, op8_line_runs)}
 
 ORACLE_SQL = {
     "op8_line_runs": r"""
