@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_paths, line_runs, packing, progressive_jpeg, token_cache, toxicity_cnn, zstd_frames
+from . import hilbert_ann, html_paths, line_runs, merge_dropout, packing, progressive_jpeg, token_cache, toxicity_cnn, zstd_frames
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_cache.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op6_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.encode_and_decode(_table(spark, sf_dir, "documents"))
+
+
 def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,11 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_toxicity_cnn, op3_progressive_jpeg, op4_zstd_frames, op5_token_cache, op7_swap_packing, op8_line_runs)}
+def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_toxicity_cnn, op3_progressive_jpeg, op4_zstd_frames, op5_token_cache, op6_merge_dropout, op7_swap_packing, op8_line_runs, op10_hilbert_ann)}
 
 ORACLE_SQL = {
     "op8_line_runs": r"""
