@@ -115,7 +115,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
 
 def _with_drops(docs: DataFrame, drops: DataFrame, doc_id: Column) -> DataFrame:
     key = F.coalesce(doc_id.cast("long"), F.lit(-(2**63)))
-    return docs.withColumn("__key", key).join(drops.select(F.col("doc_id").alias("__key"), F.col("drop").alias("__drop")), "__key", "left")
+    return docs.withColumn("__run_key", key).join(drops.select(F.col("doc_id").alias("__run_key"), F.col("drop").alias("__run_drop")), "__run_key", "left")
 
 
 def _kept(text: Column, drop: Column) -> Column:
@@ -130,13 +130,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
     return rows.select(
         "doc_id",
         F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"),
-        _kept(F.col("text"), F.col("__drop")).alias("kept"),
+        F.coalesce(F.size("__run_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        _kept(F.col("text"), F.col("__run_drop")).alias("kept"),
     )
 
 
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with all its columns and ``text`` replaced by the lines that stay; rows without a dropped line keep their text as it was."""
+    """``docs`` with all its columns and ``text`` replaced by the lines that stay; rows without a dropped line keep their text as it was,
+    the others' n_chars, if there, follows the text."""
     rows = _with_drops(docs, dropped_lines(docs, **options), docs["doc_id"])
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(_kept(F.col("text"), F.col("__drop")))
-    return rows.withColumn("text", text).drop("__key", "__drop")
+    text = F.when(F.col("__run_drop").isNull(), F.col("text")).otherwise(_kept(F.col("text"), F.col("__run_drop")))
+    rows = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("__run_drop").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
+    return rows.select(*docs.columns)

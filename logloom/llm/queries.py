@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_ann, html_paths, line_runs, merge_dropout, packing, progressive_jpeg, token_cache, toxicity_cnn, zstd_frames
+from . import dart_minhash, hilbert_ann, html_paths, line_runs, merge_dropout, packing, progressive_jpeg, token_cache, toxicity_cnn, zstd_frames
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +45,15 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.classes(_table(spark, sf_dir, "documents"))
+
+
 def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_toxicity_cnn, op3_progressive_jpeg, op4_zstd_frames, op5_token_cache, op6_merge_dropout, op7_swap_packing, op8_line_runs, op10_hilbert_ann)}
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_toxicity_cnn, op3_progressive_jpeg, op4_zstd_frames, op5_token_cache, op6_merge_dropout, op7_swap_packing, op8_line_runs, op9_dart_minhash, op10_hilbert_ann)}
 
 ORACLE_SQL = {
     "op8_line_runs": r"""
