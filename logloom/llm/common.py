@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows handed to one numpy step; also bounded by CHUNK_BYTES of text.
-CHUNK_ROWS = 512
-CHUNK_BYTES = 4 << 20
+CHUNK_ROWS = 128
+CHUNK_BYTES = 1 << 20
 #: Bytes of an Arrow batch between the JVM and Python, however long the texts are.
 ARROW_BATCH_BYTES = 8 << 20
 
@@ -76,3 +76,12 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
                 stop += 1
             yield batch.slice(start, stop - start)
             start = stop
+
+
+#: Most rows of a table of ids or id pairs that may be broadcast.
+SMALL_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df``, a table of a few numbers a row, marked for broadcast if it has at most ``rows`` rows; else as it is, for a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

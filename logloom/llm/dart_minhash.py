@@ -7,12 +7,14 @@ the element alone.  A document keeps the darts that lie below its elements' weig
 empty).  Two documents agree in a coordinate with probability of their weighted Jaccard similarity.  Bands of
 ``rows`` coordinates are joined.
 
-Documents with equal sets are one node from the start.  Buckets are never expanded into all pairs: each round compares a bucket's
-members with a few leaders of its largest class, the same leaders in all bands, or, once the members outside that class are few, compares those with
-the members of other classes and closes the bucket.  Pairs whose signatures agree far too little are put aside, all others are
-verified by exact set similarity, and classes grow along verified links; rounds go on until each bucket is closed or of one class.
-
-Defined cases: null and empty texts, and texts of blanks, have no shingles and are each a class of their own; texts below five
+Documents with equal sets are one node from the start.  Buckets of a few members are compared as they are.  Larger ones go to tasks
+with their members' signatures, one byte a coordinate: there each member ranks the members that its signature does not rule
+out, and only pairs of different classes in the current window of ranks come out, the likeliest first; windows widen from round to
+round until no bucket has such pairs left.  Buckets beyond a bounded size are never brought together: in each round a few
+leaders, the same in all bands, are compared with the members of other classes, at first from the largest class, so that classes
+grow, then from outside it.  All pairs that come out are verified by exact set similarity, and classes grow along verified links.
+
+Defined cases: texts without words (null, empty, blanks) have the same, empty, set and are one class; texts below five
 words are one shingle; rows of one doc_id are one document; a row without doc_id has no class; an empty table gives no rows; other
 columns are left out.
 """
@@ -25,12 +27,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, id_text, materialize
+from .common import chunks, id_text, materialize, small
 
 WORDS, K, ROWS = 5, 128, 4
 THRESHOLD = 0.8
-#: Share of agreeing coordinates below which a pair is not verified: six deviations below 0.8 for 128 coordinates.
-HOPELESS = 0.58
+#: Share of agreeing coordinates below which a pair is not verified: over five deviations below 0.8 for 128 coordinates.
+HOPELESS = 0.6
+#: Members of a bucket that is compared as it is, and of one that a task may hold.
+TINY, HELD = 4, 2048
+#: Windows of ranks, by round.
+WINDOWS = [(0, 2), (2, 10), (10, 42), (42, 170), (170, 682), (682, HELD)]
+#: Leaders of a round in the largest bucket beyond HELD, and rounds before their number doubles.
+LEADERS, EVEN_ROUNDS = 16, 10
 MEMO_WORDS = 500_000
 _STEP, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Cumulative Poisson(1) probabilities of 0, 1, 2, ... darts in a unit of area.
@@ -162,7 +170,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             sets = [shingle(t)[0].tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    wanted = id_text(docs).join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    wanted = id_text(docs).join(small(nodes.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
     return wanted.mapInArrow(run, "node long, shingles binary")
 
 
@@ -178,7 +186,8 @@ def _agreeing(pairs: DataFrame, short: DataFrame) -> DataFrame:
 
     left = short.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("short").alias("sa"))
     right = short.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("short").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= F.lit(THRESHOLD - 1e-9) * F.greatest("na", "nb"))
+    pairs = small(pairs)
+    both = left.join(pairs, "a").join(right, "b").where(F.least("na", "nb") >= F.lit(THRESHOLD - 1e-9) * F.greatest("na", "nb"))
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
@@ -194,9 +203,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 keep.append(shared >= threshold * (len(a) + len(b) - shared) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
+    ends = small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    own = sets.join(ends, "node", "left_semi")
+    left = own.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
+    right = own.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
+    return left.join(small(pairs), "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -215,23 +226,60 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare in this round (a < b), and the members that stay open.
+    """Pairs to compare in this round (a < b), and the members that stay open, of buckets that no task may hold.
 
-    ``members``: key, node, class, of buckets with more than one class.
+    ``members``: key, node, class.
     """
-    few = 16 * 4 ** (round_ - 1)
     sizes = members.groupBy("key", "class").agg(F.count("*").alias("size"))
     shape = sizes.groupBy("key").agg(F.sum("size").alias("all"), F.max(F.struct("size", "class")).alias("largest"), F.count("*").alias("classes")).where("classes > 1")
-    shape = shape.select("key", (F.col("all") - F.col("largest.size")).alias("outside"), F.col("largest.class").alias("main"), F.when(F.col("largest.size") == 1, F.col("all")).otherwise(F.col("largest.size")).alias("pool"), (F.col("largest.size") == 1).alias("scattered"))
-    rows = members.join(shape, "key")
+    shape = materialize(shape.select("key", "all", (F.col("all") - F.col("largest.size")).alias("outside"), F.col("largest.class").alias("main"), (F.col("largest.size") == 1).alias("scattered")), "shape")
+    most, outside = shape.agg(F.max("all"), F.max("outside")).first()
+    few = LEADERS * 2 ** max(0, round_ - EVEN_ROUNDS)
     chance = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(1 << 30)) / float(1 << 30)  # the same in all buckets
-    closing = F.col("outside") <= few
-    leads = F.when(closing, F.col("class") != F.col("main")).otherwise((F.col("scattered") | (F.col("class") == F.col("main"))) & (chance < 8 / F.col("pool")))
-    rows = materialize(rows.select("key", "node", "class", closing.alias("closing"), leads.alias("leads")), "round")
+    inner = F.col("scattered") | (F.col("class") == F.col("main"))
+    leads = inner & (chance < few / max(1, most or 1)) if round_ <= 2 else (F.col("class") != F.col("main")) & (chance < few / max(1, outside or 1))
+    rows = materialize(members.join(small(shape), "key").select("key", "node", "class", leads.alias("leads")), "round")
     lead = rows.where("leads").select("key", F.col("node").alias("leader"), F.col("class").alias("leader_class"))
-    pairs = rows.join(lead, "key").where(F.col("class") != F.col("leader_class"))
+    pairs = rows.select("key", "node", "class").join(small(lead), "key").where(F.col("class") != F.col("leader_class"))
     pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).where("a < b").distinct()
-    return pairs, rows.where(~F.col("closing") & ~F.col("leads")).select("key", "node")
+    return pairs, rows.where("NOT leads").select("key", "node")
+
+
+def _ranked(rows: pa.Table, low: int, high: int) -> pa.Table:
+    """One bucket's pairs of different classes in a window of ranks; a row of nulls if there are more beyond it."""
+    rows = rows.sort_by("node").combine_chunks()
+    node, group, n = (rows.column(c).to_numpy() for c in ("node", "class", "n"))
+    short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(node), -1)
+    left, right, more = [], [], False
+    step = max(1, (4 << 20) // short.size)
+    for at in range(0, len(node), step):
+        stop = min(at + step, len(node))
+        share = ((short[at:stop, None, :] == short[None, :, :]).mean(axis=2) - 1 / 256) / (1 - 1 / 256)
+        near = np.minimum(n[at:stop, None], n[None, :]) >= (THRESHOLD - 1e-9) * np.maximum(n[at:stop, None], n[None, :])
+        near &= share >= HOPELESS
+        near[np.arange(stop - at), np.arange(at, stop)] = False
+        order = np.argsort(np.where(near, -share, 1.0), axis=1, kind="stable")
+        other = near & (group[at:stop, None] != group[None, :])
+        ranked = np.take_along_axis(other, order, axis=1)
+        i, rank = np.nonzero(ranked)
+        more |= bool((rank >= high).any())
+        inside = (rank >= low) & (rank < high)
+        left.append(node[at + i[inside]])
+        right.append(node[order[i[inside], rank[inside]]])
+    a, b = np.concatenate(left), np.concatenate(right)
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+    key = rows.column("key")[0].as_py()
+    a, b = pa.array(pairs[:, 0]), pa.array(pairs[:, 1])
+    if more:
+        a, b = pa.concat_arrays([a, pa.array([None], pa.int64())]), pa.concat_arrays([b, pa.array([None], pa.int64())])
+    return pa.table([pa.array([key] * len(a), pa.int64()), a, b], names=["key", "a", "b"])
+
+
+def _ranker(low: int, high: int):
+    def rank(rows: pa.Table) -> pa.Table:
+        return _ranked(rows, low, high)
+
+    return rank
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -243,33 +291,45 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = materialize(nodes.select(*digest, F.col("first.doc_id").alias("node"), F.col("first.bands").alias("bands"), F.col("first.short").alias("short")), "nodes")
 
     banded = nodes.select("node", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    members = materialize(banded.join(shared, "key"), "members")
-    busy = members.select("node").distinct()
-    short = materialize(nodes.join(busy, "node", "left_semi").select("node", "n", "short"), "short")
+    shared = materialize(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared")
+    members = materialize(banded.join(small(shared), "key"), "members")
+    short = materialize(nodes.select("node", "n", "short").join(small(members.select("node").distinct()), "node", "left_semi"), "short")
     sets = materialize(_sets(docs, short), "sets")
 
-    labels, tested, round_ = None, None, 1
+    few = members.where(F.col("size") <= TINY)
+    pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b").distinct()
+    candidates = _agreeing(materialize(pairs, "pairs"), short)
+    held = members.where((F.col("size") > TINY) & (F.col("size") <= HELD)).select("key", "node")
+    crowds = members.where(F.col("size") > HELD).select("key", "node")
+    labels, round_, links = None, 0, None
     while True:
-        named = members.withColumn("class", F.col("node")) if labels is None else members.join(labels, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
-        pairs, members = _leaders(named, round_)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        links = materialize(_verified(materialize(_agreeing(pairs, short), "agreeing"), sets, threshold), "links")
+        links = materialize(_verified(materialize(candidates, "candidates"), sets, threshold), "links")
         if not links.isEmpty():
             if labels is not None:  # earlier classes are stars around their least node
                 links = links.unionByName(labels.where("node != class").select(F.col("node").alias("a"), F.col("class").alias("b")))
             labels = components(links)
-        if members.isEmpty():
+        if held is None and crowds.isEmpty():
             break
-        tested = pairs if tested is None else materialize(tested.unionByName(pairs), "tested")
+        named = lambda rows: rows.withColumn("class", F.col("node")) if labels is None else rows.join(small(labels), "node", "left").withColumn("class", F.coalesce("class", "node"))  # noqa: B023, E731
+        candidates = None
+        if held is not None:
+            rank = _ranker(*WINDOWS[min(round_, len(WINDOWS) - 1)])
+            signed = named(held).join(small(short, 100_000), "node").select("key", "node", "class", "n", "short")
+            found = materialize(signed.groupBy("key").applyInArrow(rank, "key long, a long, b long"), "ranked")
+            candidates = found.where("a IS NOT NULL").select("a", "b").distinct()
+            open_ = found.where("a IS NULL").select("key")
+            held = None if open_.isEmpty() else materialize(held.join(small(open_), "key", "left_semi"), "held")
+        if not crowds.isEmpty():
+            led, crowds = _leaders(named(crowds), round_ + 1)
+            led = _agreeing(materialize(led, "pairs"), short)
+            candidates = led if candidates is None else candidates.unionByName(led).distinct()
         round_ += 1
 
     found = nodes.select(*digest, "node")
     found = found.withColumn("class", F.col("node")) if labels is None else found.join(labels, "node", "left").select(*digest, F.coalesce("class", "node").alias("class"))
+    wordless = sketched.where("doc_id IS NOT NULL AND n IS NULL").agg(F.min("doc_id")).first()[0]
     rows = sketched.select("doc_id", *digest).join(found.withColumnRenamed("class", "found"), digest, "left")
-    return rows.select("doc_id", F.coalesce("found", "doc_id").alias("class_id"), F.coalesce("n", F.lit(0)).alias("n_shingles"))
+    return rows.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", F.lit(wordless), "doc_id")).alias("class_id"), F.coalesce("n", F.lit(0)).alias("n_shingles"))
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
