@@ -36,7 +36,7 @@ HOPELESS = 0.6
 #: Members of a bucket that is compared as it is, and of one that a task may hold.
 TINY, HELD = 4, 2048
 #: Windows of ranks, by round.
-WINDOWS = [(0, 2), (2, 10), (10, 42), (42, 170), (170, 682), (682, HELD)]
+WINDOWS = [(0, 4), (4, 64), (64, HELD)]
 #: Leaders of a round in the largest bucket beyond HELD, and rounds before their number doubles.
 LEADERS, EVEN_ROUNDS = 16, 10
 MEMO_WORDS = 500_000
