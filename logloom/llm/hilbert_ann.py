@@ -7,7 +7,8 @@ rows of its own range and of the two beside it, on every curve; what the windows
 reranked by the cosine of the original vectors in double precision.  Ranges are dealt to tasks in chunks
 of bounded size, so neither a range nor a crowd of equal vectors has to fit into one task.
 
-Windows are a share of all rows (3 / ``blocks`` on each curve): vectors that spread evenly over many dimensions
+Windows are a share of all rows (3 / ``blocks`` on each curve) and ranges hold LEAST_ROWS rows or more, so that a small table
+is one range and a query there meets all rows: vectors that spread evenly over many dimensions
 need wide windows for a recall of 0.9, clustered ones get by with far more blocks.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components take no part, as queries or as
@@ -27,6 +28,8 @@ from .common import bounded_batches, materialize
 
 DIMENSIONS, BITS, TIE_BITS = 10, 4, 20
 CHUNK_ROWS, CHUNK_QUERIES = 8192, 2048
+#: Rows of a key range, and as a multiple of k, below which the table is cut into fewer ranges.
+LEAST_ROWS, LEAST_TIMES_K = 64, 4
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -149,9 +152,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = 12,
     tie = F.pmod(F.xxhash64("vec_id", "curve"), F.lit(1 << TIE_BITS))
     index = materialize(usable(vectors, **columns).mapInArrow(keys, "vec_id long, v array<double>, keys array<long>"), "curves")
     placed = index.select("vec_id", F.posexplode("keys").alias("curve", "key")).select("curve", (F.shiftleft("key", TIE_BITS) + tie).alias("key"))
-    shares = [(b + 1) / blocks for b in range(blocks - 1)]
-    cuts = placed.groupBy("curve").agg(F.percentile_approx("key", shares, 10_000).alias("cuts"))  # curves x blocks numbers
     n, n_queries = index.agg(F.count("*"), F.count_if(is_query)).first()
+    blocks = max(1, min(blocks, n // max(LEAST_ROWS, LEAST_TIMES_K * k)))
+    shares = [b / blocks for b in range(1, blocks)] or [1.0]
+    cuts = placed.groupBy("curve").agg(F.percentile_approx("key", shares, 10_000).alias("cuts"))  # curves x blocks numbers
     chunks_of_rows = max(1, -(-n // (blocks * CHUNK_ROWS)))
     chunks_of_queries = max(1, -(-3 * n_queries // (blocks * CHUNK_QUERIES)))
 
