@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, scratch
+from .common import id_text, materialize, scratch
 from .tokens import encoder
 
 
@@ -70,7 +70,8 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     spark = docs.sparkSession
     cache = cache or scratch(spark, "token-cache")
     fill_cache(docs, cache, tokenizer)
-    counts = cached_counts(spark, cache, tokenizer_version(tokenizer))
+    # a table of its own: Spark can then split a text's many rows in the join
+    counts = materialize(cached_counts(spark, cache, tokenizer_version(tokenizer)), "counts")
     rows = _digests(docs).select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     joined = rows.join(counts, "digest", "left")
     return joined.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
