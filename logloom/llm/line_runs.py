@@ -66,8 +66,8 @@ class LineRuns:
         fresh = lines.groupBy(*KEY).agg(F.min("doc_id").alias("first_doc"))
         for run in self.runs:
             fresh = fresh.join(self.spark.table(run).select(*KEY).hint("merge"), KEY, "left_anti")
-        name = self._write(fresh)
-        firsts = self.spark.read.table(name)
+        firsts = materialize(fresh, "first-lines")  # not bucketed: Spark can split a line's many rows in the join
+        name = self._write(firsts)
         late = lines.join(firsts, KEY, "left").where(F.col("first_doc").isNull() | (F.col("first_doc") != F.col("doc_id")))
         dropped = materialize(late.select("doc_id", "pos"), "dropped-lines")
         self.levels[0].append(name)
