@@ -250,13 +250,47 @@ def trim_space(value: Column) -> Column:
     return F.btrim(value, F.lit(SPACES))
 
 
+_CLOCK = r"([0-9]{1,2}):([0-9]{2}):([0-9]{2})(?:[.,][0-9]+)?"
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+#: The layouts of detected times, in order: a pattern of three date parts and the clock, and whether the day comes first.  Only the first has a zone.
+DETECTED = [
+    (r"([0-9]{4})-([0-9]{2})-([0-9]{2})T" + _CLOCK + r"([+-])([0-9]{2}):([0-9]{2})", False),
+    (r"([0-9]{4})-([0-9]{2})-([0-9]{2}) +" + _CLOCK, False),
+    (r"([0-9]{4})-([0-9]{2})-([0-9]{2})T" + _CLOCK, False),
+    (r"([0-9]{2})/([A-Za-z]{3})/([0-9]{4}):" + _CLOCK, True),
+    (r"([0-9]{2})/([A-Za-z]{3})/([0-9]{4}) +" + _CLOCK, True),
+    (r"([0-9]{2})-([A-Za-z]{3})-([0-9]{4}):" + _CLOCK, True),
+    (r"([0-9]{2})-([A-Za-z]{3})-([0-9]{4}) +" + _CLOCK, True),
+    (r"([0-9]{4})/([0-9]{2})/([0-9]{2}) +" + _CLOCK, False),
+    (r"([0-9]{4})/([0-9]{2})/([0-9]{2}) +- +" + _CLOCK, False),
+]
+
+
 def detect_timestamp(value: Column) -> Column:
-    """Unix seconds of a text: ten digits, thirteen digits, or one of the usual layouts; 0 if none."""
+    """Unix seconds of a text: ten digits, thirteen digits, or one of the nine layouts; 0 if none.
+
+    As in Go, hours may have one digit, a fraction of a second may follow, and a blank stands for several; times without a
+    zone are the session's.
+    """
     digits = value.try_cast("bigint")
-    layouts = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS]xxx", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]'Z'", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]", "yyyy/MM/dd HH:mm:ss", "dd/MMM/yyyy:HH:mm:ss xx", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "EEE MMM d HH:mm:ss yyyy"]
-    parsed = F.coalesce(*(F.try_to_timestamp(value, F.lit(p)) for p in layouts if "EEE" not in p))
     number = F.when(value.rlike(r"^[0-9]{10}\z") & (digits > 1_000_000_000), digits).when(value.rlike(r"^[0-9]{13}\z") & (digits > 1_000_000_000_000), F.floor(digits / 1000))
-    return F.coalesce(number, F.when(~value.rlike(r"^[0-9]+\z"), F.unix_seconds(parsed)), F.lit(0)).cast("bigint")
+    found = []
+    for layout, day_first in DETECTED:
+        whole = rf"^{layout}\z"
+        part = lambda k: F.regexp_extract(value, whole, k)  # noqa: B023, E731
+        year, month, day = (part(3), part(2), part(1)) if day_first else (part(1), part(2), part(3))
+        if day_first:
+            place = F.instr(F.lit(_MONTHS), F.lower(month))
+            month = F.when(place % 3 == 1, F.lpad(F.floor((place + 2) / 3).cast("string"), 2, "0"))
+        time = F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), F.lpad(part(4), 2, "0"), F.lit(":"), part(5), F.lit(":"), part(6))
+        if "[+-]" in layout:
+            hours, minutes = part(8).try_cast("int"), part(9).try_cast("int")
+            east = F.when((hours <= 24) & (minutes <= 60), (hours * 3600 + minutes * 60) * F.when(part(7) == "-", -1).otherwise(1))
+            seconds = F.unix_seconds(F.concat(time, F.lit("Z")).try_cast("timestamp")) - east
+        else:
+            seconds = F.unix_seconds(time.try_cast("timestamp"))
+        found.append(F.when(value.rlike(whole), seconds))
+    return F.coalesce(number, *found, F.lit(0)).cast("bigint")
 
 
 def get_text(value: Column) -> Column:
