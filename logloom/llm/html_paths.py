@@ -3,10 +3,10 @@
 A page becomes a sequence of text blocks, each with the elements it lies in.  Over all blocks with the
 same root-to-leaf tag path, text length and punctuation are summed and divided by the number of
 blocks; both ratios are smoothed along the page, fused with the share of text outside links, and compared with the
-fused values' deviation.  Blocks above that threshold are content nodes.  The article is the region that
-holds them: the page's article or main elements, or else the deepest element with nearly all their text.
-Everything in it is kept, short blocks too, but for elements that are no part of an article
-by their tag, role or class (menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts).
+fused values' deviation.  Blocks above that threshold are content nodes, and all of them are kept.  Of the blocks below it, those are
+added that lie in the article, main or else deepest element that holds all content nodes, are mostly no links, and stand between
+content nodes or beside one (in an element below the body that holds one).  Elements that are no part of an article
+by their tag, role or class (menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts) are left out before.
 
 Defined cases: a null or empty page, or one without text, has an empty text; unclosed and misnested tags are
 closed where the next block begins; an unknown tag is a block; repeated rows each get a row; an empty table gives
@@ -50,9 +50,9 @@ _NAMED = re.compile(r"\b(?:class|id)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _ROLE = re.compile(r"\brole\s*=\s*[\"']?([a-zA-Z]+)", re.I)
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
-#: Smoothing kernel along the page, threshold in deviations, and the share of content text that the region must hold.
+#: Smoothing kernel along the page, threshold in deviations, and the share of text outside links that an added block must have.
 KERNEL = np.exp(-np.arange(-3, 4) ** 2 / 2) / np.exp(-np.arange(-3, 4) ** 2 / 2).sum()
-THRESHOLD, REGION_SHARE = 0.5, 0.85
+THRESHOLD, UNLINKED_SHARE = 0.5, 0.5
 
 
 class _Page:
@@ -191,22 +191,23 @@ def main_text(source: str | None) -> str:
     fused = smooth[0] * (1 + smooth[1]) * unlinked
     content = fused >= min(THRESHOLD * fused.std(), fused.max())
 
-    mass: dict[int, float] = {}
-    for k in np.flatnonzero(content):
-        for e in lines[kept[k][0]]:
-            mass[e] = mass.get(e, 0.0) + length[k]
-    total = mass.get(0, 0.0)
-    inside = [e for e in mass if page.tags[e] in ARTICLE]
-    if inside and sum(mass[e] for e in inside if not any(a in inside for a in page.ancestors(e)[1:])) >= 0.5 * total:
-        region = set(inside)
-    else:
-        deep = [e for e, m in mass.items() if m >= REGION_SHARE * total]
-        region = {max(deep, key=lambda e: (len(page.ancestors(e)), -e))} if deep else {0}
-        if len(kept) > 1 and page.tags[min(region)] in CLOSES_P - {"div", "section"}:  # one long paragraph is no region
-            region = {page.parents[min(region)]}
-    return "\n".join(t for e, t, _ in kept if region.intersection(lines[e]))
-
-
+    chosen = np.flatnonzero(content)
+    shared = set(lines[kept[chosen[0]][0]])
+    holders: set[int] = set()
+    for element in {kept[k][0] for k in chosen}:
+        shared.intersection_update(lines[element])
+        holders.update(lines[element])
+    around = sorted(shared, reverse=True)  # the deepest first
+    region = next((e for e in around if page.tags[e] in ARTICLE), None)
+    if region is None:  # one long paragraph is no region
+        region = next((e for e in around if page.tags[e] not in CLOSES_P - {"div", "section"}), 0)
+    holders = {e for e in holders if page.tags[e] not in ("#root", "html", "body")}
+    out = []
+    for k, (element, text, _) in enumerate(kept):
+        near = chosen[0] < k < chosen[-1] or not holders.isdisjoint(lines[element])
+        if content[k] or (unlinked[k] >= UNLINKED_SHARE and near and region in lines[element]):
+            out.append(text)
+    return "\n".join(out)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

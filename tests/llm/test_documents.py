@@ -24,6 +24,23 @@ def test_article_text(spark):
     assert html_paths.extract_main_text(pages.limit(0)).count() == 0
 
 
+LONG_TEXTS = [f"Paragraph {k} of the story has commas, full stops, and enough words to count as text of an article." for k in range(4)]
+
+
+def test_paths_above_the_threshold_stay_wherever_they_are():
+    body = "".join(f"<p>{t}</p>" for t in LONG_TEXTS[:3])
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Another story number {k}</a></li>" for k in range(5)) + "</ul>"
+    headline = "A headline that is long enough to be above the threshold, beside the body"
+    # no article or main: a headline beside the container, the last paragraph in a container of its own, links between
+    page = f"<body><div class=top><h1>{headline}</h1></div>{links}<div class=text>{body}{links}<p>Short.</p></div><div class=more><p>{LONG_TEXTS[3]}</p></div>{links}<div>(c) us</div></body>"
+    assert html_paths.main_text(page).split("\n") == [headline, *LONG_TEXTS[:3], "Short.", LONG_TEXTS[3]]
+    # content outside the article, and an unhinted list of links inside
+    page = f"<body><article>{body}{links}<p>Short.</p></article><div><p>{LONG_TEXTS[3]}</p></div></body>"
+    assert html_paths.main_text(page).split("\n") == [*LONG_TEXTS[:3], "Short.", LONG_TEXTS[3]]
+    # one long paragraph alone: the short ones beside it stay
+    assert html_paths.main_text(f"<body><div><h1>Tea</h1><p>{' '.join(LONG_TEXTS * 9)}</p></div>{links}</body>").split("\n") == ["Tea", " ".join(LONG_TEXTS * 9)]
+
+
 def test_toxicity_learns_and_never_from_held_out_rows(spark):
     clean, words = "the boat went over the quiet lake and came home", "idiot scum"
     rows = [(i, f"{clean} {i % 7} " * (1 + i % 3) + (words if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(600)]
