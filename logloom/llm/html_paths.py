@@ -9,7 +9,8 @@ content nodes or beside one (in an element below the body that holds one).  Elem
 by their tag, role or class (menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts) are left out before.
 
 Defined cases: a null or empty page, or one without text, has an empty text; unclosed and misnested tags are
-closed where the next block begins; an unknown tag is a block; repeated rows each get a row; an empty table gives
+closed where the next block begins; embedded elements (svg, video, select ...) do not split the text around them, and are
+empty without a later end tag; an unknown tag is a block; repeated rows each get a row; an empty table gives
 no rows; other columns are left out.
 """
 
@@ -28,9 +29,11 @@ from .common import bounded_batches, chunks
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 # The element names of HTML by what they mean here.
-RAW = set("script style textarea title noscript template iframe noframes noembed xmp svg math object canvas audio video select".split())
+RAW = set("script style textarea title".split())
+EMBEDDED = set("template iframe noframes noembed svg canvas audio video select annotation annotation-xml".split())
+MATH = set("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd mfenced menclose mpadded mphantom mstyle merror semantics".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split())
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split()) | MATH
 CLOSES_P = set("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = set("ul ol dl table menu".split())
@@ -65,7 +68,9 @@ class _Page:
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self.parts: list[str] = []
         self.linked = self.links = 0
+        self.held: list[tuple[int, list[str], int, int]] = []  # open embedded elements, with the text before each
         self._read(source)
+        self._cut(1)
         self._flush()
 
     def _flush(self) -> None:
@@ -82,26 +87,50 @@ class _Page:
             if self.links:
                 self.linked += len(text)
 
+    def _cut(self, k: int) -> None:
+        """Close the open elements from the k-th on; the text around an embedded one goes on after it."""
+        while len(self.open) > k:
+            self._flush()
+            if self.held and self.open[-1] == self.held[-1][0]:
+                _, self.parts, self.linked, self.links = self.held.pop()
+            self.open.pop()
+
     def _close(self, name: str) -> None:
         for k in range(len(self.open) - 1, 0, -1):
             if self.tags[self.open[k]] == name:
-                self._flush()
-                del self.open[k:]
+                self._cut(k)
                 return
 
+    def _embed(self, name: str) -> None:
+        self.held.append((len(self.tags), self.parts, self.linked, self.links))
+        self.parts, self.linked = [], 0
+        self._push(name, True)
+
+    def _push(self, name: str, barred: bool) -> None:
+        self.open.append(len(self.tags))
+        self.tags.append(name)
+        self.parents.append(self.open[-2])
+        self.barred.append(barred)
+
     def _implied(self, name: str) -> None:
         """Close what an opening tag ends: a paragraph, or the item before."""
         ends = CLOSES_SAME.get(name, set()) | ({"p"} if name in CLOSES_P else set())
         for k in range(len(self.open) - 1, 0, -1):
             tag = self.tags[self.open[k]]
             if tag in ends:
-                del self.open[k:]
+                self._cut(k)
                 if tag == name or tag == "p":
                     return
-            elif tag in HOLDS or tag in ARTICLE:
+            elif tag in HOLDS or tag in ARTICLE or tag in EMBEDDED:
                 return
 
     def _start(self, name: str, attributes: str) -> None:
+        if self.held and name in CLOSES_P:  # HTML ends a drawing
+            for k in range(len(self.open) - 1, 0, -1):
+                if self.tags[self.open[k]] in ("foreignobject", "svg"):
+                    if self.tags[self.open[k]] == "svg":
+                        self._cut(k)
+                    break
         self._flush()
         self._implied(name)
         role = _ROLE.search(attributes)
@@ -111,13 +140,11 @@ class _Page:
         names = " ".join(_NAMED.findall(attributes)).lower() if "class" in attributes.lower() or "id" in attributes.lower() else ""
         if names and name not in ARTICLE and name not in ("html", "body") and (_HINT.search(names) or (not inside and _HEADER_HINT.search(names))):
             self.hinted.add(number)
-        self.tags.append(name)
-        self.parents.append(self.open[-1])
-        self.barred.append(barred and name not in ("html", "body"))
-        self.open.append(number)
+        self._push(name, barred and name not in ("html", "body"))
 
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
+        ends: dict[str, int] = {}  # where the last end tag of an embedded element is
         while at < n:
             m = _TAG.search(source, at)
             if m is None:
@@ -134,6 +161,14 @@ class _Page:
             if name in INLINE:
                 if name == "a":
                     self.links = 0 if closing else 1
+            elif name in EMBEDDED:
+                if closing:
+                    self._close(name)
+                elif not attributes.endswith("/"):
+                    if name not in ends:
+                        ends[name] = max((e.start() for e in re.finditer(rf"</{name}(?=[\s/>])", source, re.I)), default=-1)
+                    if ends[name] >= at:
+                        self._embed(name)
             elif closing:
                 if name in RAW:
                     continue

@@ -41,6 +41,17 @@ def test_paths_above_the_threshold_stay_wherever_they_are():
     assert html_paths.main_text(f"<body><div><h1>Tea</h1><p>{' '.join(LONG_TEXTS * 9)}</p></div>{links}</body>").split("\n") == ["Tea", " ".join(LONG_TEXTS * 9)]
 
 
+def test_embedded_elements_take_no_text_of_the_article():
+    a, b, c = LONG_TEXTS[:3]
+    for tag in ("<svg class=x />", "<svg/>", "<math/>", "<svg>", "<select>", "<object>", "<audio src=x>", "<video src=x>", "<noscript>", "<canvas>", "<svg><title>t</title><text>no</text></svg>", "<video><p>no</p></video>", "<select><option>no</select>"):
+        page = f"<body><article><p>{a}</p><div>{tag}</div><p>{b}</p></article><div><p>{c}</p></div></body>"
+        assert html_paths.main_text(page).split("\n") == [a, b, c], tag
+    page = f"<article><p>{a}</p><p>Given <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> and <svg><g><text>no</text></g></svg>so on.</p><object>{b}</object><noscript>{c}</noscript></article>"
+    assert html_paths.main_text(page).split("\n") == [a, "Given x=2 and so on.", b, c]
+    page = f"<article><p>{a}</p><div><svg><path></div><p>{b}</p><svg><g/></svg></article><p>{c}</p>"  # closed by its parent
+    assert html_paths.main_text(page).split("\n") == [a, b, c]
+
+
 def test_toxicity_learns_and_never_from_held_out_rows(spark):
     clean, words = "the boat went over the quiet lake and came home", "idiot scum"
     rows = [(i, f"{clean} {i % 7} " * (1 + i % 3) + (words if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(600)]
