@@ -1,11 +1,12 @@
 """SentencePiece BPE with seeded merge-dropout.
 
 Pieces and scores are the public model's own; the merges are done here, so that each candidate merge can be
-skipped: a keyed hash of seed, variant, text chunk, place and merged piece says so with the given probability.
+skipped: a keyed hash of seed, doc_id, the chunk's position in the text, its symbols, the place in it and the merged piece says so
+with the given probability.  So every occurrence of a word is cut by itself, and copies of a text are cut differently.
 The agenda takes the best-scored pair first, the leftmost among equals; a skipped pair stays apart until one of
-its sides changes.  Merges never cross from a letter to a blank, so texts are cut there, and the ids of each distinct
-chunk are kept in a bounded memo; distinct chunks of a batch go through their agendas side by side in numpy, long
-ones one by one with a heap.  A document's variant is a hash of its id: copies of a text are cut differently.
+its sides changes.  Merges never cross from a letter to a blank, so texts are cut there into chunks.  A bounded memo
+holds what no skip changes: each distinct chunk's merges without dropout, in order, and the ids they lead to.  An occurrence none of
+whose merges is skipped has those ids; the others go through their agendas side by side in numpy, long chunks one by one with a heap.
 
 Ids decode to exactly the text: characters without a piece become byte pieces, and so does U+2581, which the plain
 library would turn into a blank.  Without dropout, ids of all other texts equal the library's.
@@ -20,6 +21,7 @@ import hashlib
 import heapq
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from .tokens import crc32
 
 BLANK = "▁"
 MEMO_CHUNKS, LONG = 400_000, 40
+#: Occurrences of chunks that are looked at together.
+AT_ONCE = 32_768
 _RUNS = re.compile(r" *[^ ]+| +")
 LETTERS, MARKS = "A-Za-z0-9À-ÖØ-öø-ɏ", ".,;:!?\n\t\"'-"
 _MASK = (1 << 64) - 1
@@ -125,20 +129,63 @@ class Pieces:
             out[r] = self.finish(sym[r][valid[r]].tolist())
         return out
 
+    def finish_all(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, one after the other, and how many each has."""
+        if int(sym.max()) >= self.n:
+            rows = self.finish_rows(sym)
+            return np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+        valid = sym >= 0
+        return sym[valid].astype("<u4"), valid.sum(axis=1)
+
+
+class _Growing:
+    """An array with room at its end."""
+
+    def __init__(self, kind: str):
+        self.data, self.n = np.zeros(1 << 12, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        end = self.n + len(values)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros(end, self.data.dtype)])
+        self.data[self.n : end] = values
+        self.n = end
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places start, start + 1 ... of each row, one row after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + counts, counts)
+
 
 class Dropout:
     """Encodes texts; ``rate`` is the share of candidate merges that are skipped."""
 
     def __init__(self, pieces: Pieces, seed: int, rate: float):
         self.pieces, self.seed, self.limit = pieces, seed, min(_MASK, int(rate * 2**64))
-        self.memos: dict[int, dict[str, bytes]] = {}
-        self.parts: dict[int, dict[str, bytes]] = {}
-
-    def part_keys(self, sym: np.ndarray, variant: int) -> np.ndarray:
-        """A hash of seed, variant and all symbols of each row."""
+        self._forget()
+
+    def _forget(self) -> None:
+        self.units: dict[str, tuple[int, ...]] = {}  # chunk numbers of each word
+        self.numbers: dict[str, int] = {}
+        self.chunks: list[str] = []
+        self.sums, self.long = _Growing("u8"), _Growing("?")  # of each chunk: its symbols' sum, for keys; whether it is long
+        self.plain, self.merges = _Growing("<u4"), _Growing("u8")  # ids without dropout, and the merges that lead there
+        self.plain_ends, self.merge_ends = _Growing("i8"), _Growing("i8")
+        for ends in (self.plain_ends, self.merge_ends):
+            ends.extend(np.zeros(1, np.int64))
+
+    def symbol_sums(self, sym: np.ndarray) -> np.ndarray:
         places = np.arange(sym.shape[1], dtype=np.uint64) * np.uint64(_MIX1)
         each = np.where(sym >= 0, _mixed(sym.astype(np.uint64) * np.uint64(_STEP) + places), np.uint64(0))
-        return _mixed(each.sum(axis=1, dtype=np.uint64) + np.uint64(((self.seed * 1_000_003 + variant) * _STEP) & _MASK))
+        return each.sum(axis=1, dtype=np.uint64)
+
+    def keys(self, sums: np.ndarray, variant: np.ndarray) -> np.ndarray:
+        return _mixed(sums + (np.uint64(self.seed * 1_000_003 & _MASK) + variant) * np.uint64(_STEP))
+
+    def part_keys(self, sym: np.ndarray, variant) -> np.ndarray:
+        """A hash of seed, variant (a number of the occurrence) and all symbols of each row."""
+        return self.keys(self.symbol_sums(sym), np.atleast_1d(np.asarray(variant)).astype(np.uint64))
 
     def agenda(self, symbols: list[int], key: int) -> list[int]:
         """One chunk with a heap of candidate merges."""
@@ -167,23 +214,27 @@ class Dropout:
             offer(a)
         return [s for s in sym if s >= 0]
 
-    def _ranks(self, a: np.ndarray, b: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _ranks(self, a: np.ndarray, b: np.ndarray, at: np.ndarray, keys: np.ndarray, drop: bool) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged piece of pairs; pairs that do not merge, or are skipped, have the last rank."""
         p = self.pieces
         pair = a << SIDE | b
         found = np.minimum(np.searchsorted(p.keys, pair), len(p.keys) - 1)
         ok = (p.keys[found] == pair) & (a >= 0) & (b >= 0)
         merged = p.merged[found]
-        if self.limit:
+        if self.limit and drop:
             ok &= _mixed(keys + (at * 65_537 + merged).astype(np.uint64) * np.uint64(_STEP)) >= np.uint64(self.limit)
         return np.where(ok, p.ranks[found], p.none), merged
 
-    def side_by_side(self, sym: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """The agendas of many short parts at once: rows of symbols filled up with -1."""
+    def side_by_side(self, sym: np.ndarray, key: np.ndarray, made: list | None = None) -> np.ndarray:
+        """The agendas of many short parts at once: rows of symbols filled up with -1.
+
+        With ``made``, nothing is skipped, and rows and merges of each step are added to it.
+        """
+        drop = made is None
         out, number = np.full_like(sym, -1), np.arange(len(sym))
         sym = np.concatenate([sym, np.full((len(sym), 1), -1, np.int64)], axis=1)
         at = np.broadcast_to(np.arange(sym.shape[1]), sym.shape).copy()
-        rank, merged = self._ranks(sym[:, :-1], sym[:, 1:], at[:, :-1], key[:, None])
+        rank, merged = self._ranks(sym[:, :-1], sym[:, 1:], at[:, :-1], key[:, None], drop)
         while len(sym):
             best = rank.argmin(axis=1)
             line = np.arange(len(sym))
@@ -194,6 +245,8 @@ class Dropout:
             if not len(sym):
                 break
             line = np.arange(len(sym))
+            if made is not None:
+                made.append((number, at[line, best] * 65_537 + merged[line, best]))
             sym[line, best] = merged[line, best]
             w = sym.shape[1]
             keep = np.arange(w)[None, :] != best[:, None] + 1  # the right side's place goes
@@ -204,45 +257,105 @@ class Dropout:
                 p = best + d
                 inside = (p >= 0) & (p < w - 2)
                 q = np.where(inside, p, 0)
-                fresh, piece = self._ranks(sym[line, q], sym[line, q + 1], at[line, q], key)
+                fresh, piece = self._ranks(sym[line, q], sym[line, q + 1], at[line, q], key, drop)
                 rank[line, q] = np.where(inside, fresh, rank[line, q])
                 merged[line, q] = np.where(inside, piece, merged[line, q])
         return out
 
-    def _learn(self, memo: dict[str, bytes], parts: dict[str, bytes], new: list[str], variant: int) -> None:
-        """Ids of new units, from the agendas of their parts."""
+    def _learn(self, new: list[str]) -> None:
+        """Chunks of new words; merges and ids without dropout of new chunks."""
         p, lots = self.pieces, {}
         cut = [p.borders.split(" " + unit) for unit in new]
-        for part in {part for c in cut for part in c if part not in parts}:
-            if len(part) > LONG:
-                sym = p.matrix([part])
-                parts[part] = p.finish(self.agenda(sym[0].tolist(), int(self.part_keys(sym, variant)[0])))
+        for part in {part for c in cut for part in c if part not in self.numbers}:
+            if len(part) > LONG:  # goes through its agenda at each occurrence
+                self._number([part], self.symbol_sums(p.matrix([part])), _NO_IDS, _ZERO, _NO_MERGES, _ZERO)
             else:
                 lots.setdefault(-(-len(part) // 3), []).append(part)
         for lot in lots.values():
             for at in range(0, len(lot), 8192):
-                some = lot[at : at + 8192]
+                some, made = lot[at : at + 8192], []
                 sym = p.matrix(some)
-                parts.update(zip(some, p.finish_rows(self.side_by_side(sym, self.part_keys(sym, variant))), strict=True))
+                ids, n_ids = p.finish_all(self.side_by_side(sym, np.zeros(len(some), np.uint64), made))
+                row = np.concatenate([_NO_ROWS, *(r for r, _ in made)])
+                merges = np.concatenate([_NO_ROWS, *(c for _, c in made)])[np.argsort(row, kind="stable")]
+                self._number(some, self.symbol_sums(sym), ids, n_ids, merges, np.bincount(row, minlength=len(some)))
         for unit, c in zip(new, cut, strict=True):
-            memo[unit] = parts[c[0]] if len(c) == 1 else b"".join([parts[x] for x in c])
+            self.units[unit] = tuple([self.numbers[part] for part in c])
+
+    def _number(self, parts: list[str], sums: np.ndarray, ids: np.ndarray, n_ids: np.ndarray, merges: np.ndarray, n_merges: np.ndarray) -> None:
+        self.numbers.update(zip(parts, range(len(self.chunks), len(self.chunks) + len(parts)), strict=True))
+        self.chunks += parts
+        self.sums.extend(sums)
+        self.long.extend(np.fromiter((len(x) > LONG for x in parts), bool, len(parts)))
+        self.plain_ends.extend(self.plain.n + np.cumsum(n_ids))
+        self.merge_ends.extend(self.merges.n + np.cumsum(n_merges))
+        self.plain.extend(ids)
+        self.merges.extend(merges.astype(np.uint64))
+
+    def _occurrences(self, part: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of occurrences of chunks, one after the other, and how many each has."""
+        p = self.pieces
+        first, last = self.merge_ends.data[part], self.merge_ends.data[part + 1]
+        at, counts = self.plain_ends.data[part], self.plain_ends.data[part + 1] - self.plain_ends.data[part]
+        cut = self.long.data[part]
+        if self.limit:
+            n = last - first
+            skipped = _mixed(np.repeat(key, n) + self.merges.data[_spread(first, n)] * np.uint64(_STEP)) < np.uint64(self.limit)
+            cut = cut | (np.bincount(np.repeat(np.arange(len(part)), n)[skipped], minlength=len(part)) > 0)
+        own, sizes, owner = [], [], []
+        lots: dict[int, list[int]] = {}
+        for k in np.flatnonzero(cut).tolist():
+            text = self.chunks[part[k]]
+            if len(text) > LONG:
+                owner.append(k)
+                own.append(np.frombuffer(p.finish(self.agenda(p.matrix([text])[0].tolist(), int(key[k]))), "<u4"))
+                sizes.append([len(own[-1])])
+            else:
+                lots.setdefault(-(-len(text) // 3), []).append(k)
+        for lot in lots.values():
+            for a in range(0, len(lot), 8192):
+                some = lot[a : a + 8192]
+                sym = p.matrix([self.chunks[c] for c in part[some].tolist()])
+                ids, n = p.finish_all(self.side_by_side(sym, key[some]))
+                owner += some
+                own.append(ids)
+                sizes.append(n)
+        if owner:
+            n = np.concatenate(sizes)
+            counts[owner] = n
+            at[owner] = self.plain.n + np.cumsum(n) - n
+        pool = np.concatenate([self.plain.data[: self.plain.n], *own])
+        return pool[_spread(at, counts)], counts
 
     def encode(self, texts: list[str], variants: list[int]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut, new = [], {}
-        for memos in (self.memos, self.parts):
-            if sum(map(len, memos.values())) > MEMO_CHUNKS:
-                memos.clear()
-        for text, variant in zip(texts, variants, strict=True):
+        """Ids of each text as little-endian unsigned 32-bit integers; ``variants`` are numbers of the documents."""
+        if len(self.chunks) > MEMO_CHUNKS:
+            self._forget()
+        cut: list[list[str]] = []
+        for text in texts:
             units = text.split(" ") if text else []
             if "" in units:
                 units = [c[1:] for c in _RUNS.findall(" " + text)]
             cut.append(units)
-            memo = self.memos.setdefault(variant, {})
-            new.setdefault(variant, set()).update(set(units).difference(memo))
-        for variant, keys in new.items():
-            self._learn(self.memos[variant], self.parts.setdefault(variant, {}), list(keys), variant)
-        return [b"".join(map(self.memos[v].__getitem__, units)) for units, v in zip(cut, variants, strict=True)]
+        self._learn(list({u for units in cut for u in units if u not in self.units}))
+        parts = [np.fromiter(chain.from_iterable(map(self.units.__getitem__, units)), np.int64) for units in cut]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        part = np.concatenate([_NO_ROWS, *parts])
+        document = np.repeat(_mixed(np.array([v & _MASK for v in variants], np.uint64)), sizes)
+        place = _spread(np.zeros(len(sizes), np.int64), sizes).astype(np.uint64)
+        key = self.keys(self.sums.data[part], _mixed(document + place * np.uint64(_STEP)))
+        pools, counts = [_NO_IDS], [_NO_ROWS]
+        for a in range(0, len(part), AT_ONCE):
+            ids, n = self._occurrences(part[a : a + AT_ONCE], key[a : a + AT_ONCE])
+            pools.append(ids)
+            counts.append(n)
+        raw, ends = np.concatenate(pools).tobytes(), np.concatenate([[0], np.cumsum(np.concatenate(counts))]) * 4
+        stops = ends[np.cumsum(sizes)].tolist()
+        return [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
+
+_NO_IDS, _NO_MERGES, _NO_ROWS = np.empty(0, "<u4"), np.empty(0, np.uint64), np.empty(0, np.int64)
+_ZERO = np.zeros(1, np.int64)
 
 
 def decode(pieces: Pieces, ids: bytes) -> bytes:
@@ -259,7 +372,7 @@ def pieces(name: str) -> Pieces:
     return _loaded[name]
 
 
-def encode_column(docs: DataFrame, model: str = "piece_bpe_32k.model", seed: int = 1, rate: float = 0.1, variants: int = 2) -> DataFrame:
+def encode_column(docs: DataFrame, model: str = "piece_bpe_32k.model", seed: int = 1, rate: float = 0.1) -> DataFrame:
     """doc_id, text and ``ids``, the segmentation's ids as little-endian unsigned 32-bit integers."""
 
     def encode(batches):
@@ -268,11 +381,11 @@ def encode_column(docs: DataFrame, model: str = "piece_bpe_32k.model", seed: int
             ids = state.encode(batch.column(1).to_pylist(), batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
 
-    variant = F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(variants)), F.lit(0)).cast("int")
+    variant = F.xxhash64("doc_id", F.lit(seed))
     return id_text(docs).withColumn("variant", variant).mapInArrow(encode, "doc_id long, text string, ids binary")
 
 
-def encode_and_decode(docs: DataFrame, model: str = "piece_bpe_32k.model", seed: int = 1, rate: float = 0.1, variants: int = 2) -> DataFrame:
+def encode_and_decode(docs: DataFrame, model: str = "piece_bpe_32k.model", seed: int = 1, rate: float = 0.1) -> DataFrame:
     """doc_id, n_bytes, n_pieces, ids_crc32 and decoded_sha256, the digest of what the ids decode to."""
 
     def describe(batches):
@@ -286,6 +399,6 @@ def encode_and_decode(docs: DataFrame, model: str = "piece_bpe_32k.model", seed:
                 names=["doc_id", "n_bytes", "n_pieces", "ids_crc32", "decoded_sha256"],
             )
 
-    variant = F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(variants)), F.lit(0)).cast("int")
+    variant = F.xxhash64("doc_id", F.lit(seed))
     described = id_text(docs).withColumn("variant", variant).mapInArrow(describe, "doc_id long, n_bytes long, n_pieces long, ids_crc32 long, decoded_sha256 string")
     return described

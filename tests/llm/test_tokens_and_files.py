@@ -1,7 +1,10 @@
 import hashlib
 import io
+import struct
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 import zstandard
 
@@ -83,6 +86,36 @@ def test_dropout_varies_and_decodes(spark, own, none, texts):
     assert merge_dropout.encode_and_decode(none).count() == 0
 
 
+def test_every_occurrence_and_every_copy_is_cut_by_itself(spark):
+    text = " ".join(["wonderful straightforwardness"] * 200)
+    docs = spark.createDataFrame([(i, text) for i in range(40)] + [(0, text)], "doc_id long, text string")
+    rows = [(r.doc_id, bytes(r.ids)) for r in merge_dropout.encode_column(docs).collect()]
+    copies = dict(rows)
+    assert len(set(copies.values())) == 40 and [x for i, x in rows if i == 0] == [copies[0]] * 2
+    pieces = merge_dropout.pieces("piece_bpe_32k.model")
+    state = merge_dropout.Dropout(pieces, seed=1, rate=0.1)
+    ways = {state.encode(["x wonderful"], [v])[0] for v in range(60)}
+    assert len(ways) > 4
+    one = merge_dropout.Dropout(pieces, seed=1, rate=0.5).encode([text], [7])[0]
+    words = Counter(b"".join(pieces.raw[i] + b"|" for i in struct.unpack(f"<{len(one) // 4}I", one)).split(b" ")[1:])
+    assert len(words) > 20
+
+
+def test_the_memo_of_merges_gives_what_the_agenda_gives():
+    pieces = merge_dropout.pieces("piece_bpe_32k.model")
+    text = "The wonderful boats, and 1984 na\u00efve caf\u00e9s \U0001f642 went  home: straightforwardness! " * 30 + "x" * 90
+    for rate in (0.1, 0.4):
+        state = merge_dropout.Dropout(pieces, seed=3, rate=rate)
+        alone = merge_dropout.Dropout(pieces, seed=3, rate=rate)
+        alone._occurrences = lambda part, key, s=alone: _agendas(s, part, key)
+        assert state.encode([text, "", text], [5, 6, -8]) == alone.encode([text, "", text], [5, 6, -8])
+
+
+def _agendas(state, part, key):
+    rows = [state.pieces.finish(state.agenda(state.pieces.matrix([state.chunks[c]])[0].tolist(), int(k))) for c, k in zip(part, key, strict=True)]
+    return np.frombuffer(b"".join(rows), "<u4"), np.array([len(r) // 4 for r in rows])
+
+
 def test_one_and_many_agendas_agree():
     pieces = merge_dropout.pieces("piece_bpe_32k.model")
     state = merge_dropout.Dropout(pieces, seed=3, rate=0.3)
