@@ -12,7 +12,7 @@ lines meet their keys' first documents, Spark's skew join splits it.
 
 Defined cases: a null or empty text is one empty line; keys below ``min_chars`` code points always stay; all
 lines of a document with a repeated key stay if no smaller document has it; rows that repeat a doc_id
-are one document to the key rule and each row is returned; a null doc_id counts as the smallest; an empty table
+are one document to the key rule and each row is returned, with its own lines where their texts differ; a null doc_id counts as the smallest; an empty table
 gives no rows; other columns are left out.
 """
 
@@ -37,10 +37,10 @@ def line_key(line: Column) -> Column:
 
 
 def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id and pos of every line whose key is long enough, with the key's hash in h1 and h2."""
-    lines = id_text(docs).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    keys = lines.select("doc_id", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
-    return keys.select("doc_id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"))
+    """doc_id, a hash of the text, and pos of every line whose key is long enough, with the key's hash in h1 and h2."""
+    lines = id_text(docs).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    keys = lines.select("doc_id", "text_hash", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
+    return keys.select("doc_id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"))
 
 
 class LineRuns:
@@ -62,14 +62,14 @@ class LineRuns:
         return [run for level in self.levels for run in level]
 
     def add(self, lines: DataFrame) -> DataFrame:
-        """Take in a batch (columns doc_id, pos, h1, h2); the batch's lines to drop (doc_id, pos)."""
+        """Take in a batch (columns doc_id, text_hash, pos, h1, h2); the batch's lines to drop (doc_id, text_hash, pos)."""
         fresh = lines.groupBy(*KEY).agg(F.min("doc_id").alias("first_doc"))
         for run in self.runs:
             fresh = fresh.join(self.spark.table(run).select(*KEY).hint("merge"), KEY, "left_anti")
         firsts = materialize(fresh, "first-lines")  # not bucketed: Spark can split a line's many rows in the join
         name = self._write(firsts)
         late = lines.join(firsts, KEY, "left").where(F.col("first_doc").isNull() | (F.col("first_doc") != F.col("doc_id")))
-        dropped = materialize(late.select("doc_id", "pos"), "dropped-lines")
+        dropped = materialize(late.select("doc_id", "text_hash", "pos"), "dropped-lines")
         self.levels[0].append(name)
         self._compact()
         return dropped
@@ -95,7 +95,7 @@ class LineRuns:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3) -> DataFrame:
-    """doc_id and the sorted positions of the lines that each document loses, in ``batches`` ascending ranges of doc_id."""
+    """doc_id, a hash of the text, and the sorted positions of the lines that each document loses, in ``batches`` ascending ranges of doc_id."""
     spark = docs.sparkSession
     cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [(k + 1) / batches for k in range(batches - 1)], 10_000)).first()[0] or []
     batch = F.lit(0)
@@ -103,19 +103,21 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
         batch = batch + (F.col("doc_id") > cut).cast("int")
     path = scratch(spark, "lines")
     keyed_lines(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").option("compression", "zstd").parquet(path)
-    schema = "doc_id long, pos int, h1 long, h2 long, batch int"
+    schema = "doc_id long, text_hash long, pos int, h1 long, h2 long, batch int"
     runs, out = LineRuns(spark, fanout=fanout), None
     for k in range(len(set(cuts)) + 1):
         part = runs.add(spark.read.schema(schema).parquet(path).where(F.col("batch") == k).drop("batch"))
         out = part if out is None else out.unionByName(part)
     runs.drop()
     drop_path(spark, path)
-    return out.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
+    return out.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
 
 
-def _with_drops(docs: DataFrame, drops: DataFrame, doc_id: Column) -> DataFrame:
+def _with_drops(docs: DataFrame, drops: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     key = F.coalesce(doc_id.cast("long"), F.lit(-(2**63)))
-    return docs.withColumn("__run_key", key).join(drops.select(F.col("doc_id").alias("__run_key"), F.col("drop").alias("__run_drop")), "__run_key", "left")
+    keyed = docs.withColumns({"__run_key": key, "__run_text": F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))})
+    drops = drops.select(F.col("doc_id").alias("__run_key"), F.col("text_hash").alias("__run_text"), F.col("drop").alias("__run_drop"))
+    return keyed.join(drops, ["__run_key", "__run_text"], "left")
 
 
 def _kept(text: Column, drop: Column) -> Column:
@@ -126,7 +128,7 @@ def _kept(text: Column, drop: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3) -> DataFrame:
     """Per row: doc_id, n_lines, n_dropped and ``kept``, the text of the lines that stay."""
-    rows = _with_drops(id_text(docs), dropped_lines(docs, min_chars, batches, fanout), F.col("doc_id"))
+    rows = _with_drops(id_text(docs), dropped_lines(docs, min_chars, batches, fanout), F.col("doc_id"), F.col("text"))
     return rows.select(
         "doc_id",
         F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
@@ -138,7 +140,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with all its columns and ``text`` replaced by the lines that stay; rows without a dropped line keep their text as it was,
     the others' n_chars, if there, follows the text."""
-    rows = _with_drops(docs, dropped_lines(docs, **options), docs["doc_id"])
+    rows = _with_drops(docs, dropped_lines(docs, **options), docs["doc_id"], docs["text"])
     text = F.when(F.col("__run_drop").isNull(), F.col("text")).otherwise(_kept(F.col("text"), F.col("__run_drop")))
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:

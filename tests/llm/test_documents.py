@@ -89,6 +89,14 @@ def test_lines_of_edge_cases(own, none, texts):
     assert line_runs.dedup_lines(none).count() == 0
 
 
+def test_lines_of_different_texts_with_one_id(spark):
+    docs = spark.createDataFrame([(1, "a" * 10), (5, "a" * 10), (5, "a line of its own"), (None, "b" * 10), (7, "b" * 10), (7, None)], "doc_id long, text string")
+    want = [(None, "b" * 10), (1, "a" * 10), (5, ""), (5, "a line of its own"), (7, ""), (7, "")]
+    assert sorted(((r.doc_id, r.kept) for r in line_runs.dedup_lines(docs).collect()), key=lambda r: (r[0] or 0, r[1])) == want
+    rows = line_runs.without_repeated_lines(docs).collect()
+    assert sorted(((r.doc_id, r.text or "") for r in rows), key=lambda r: (r[0] or 0, r[1])) == want
+
+
 def test_near_classes_of_edge_cases(own, none, texts):
     twice = own.unionByName(own.where("doc_id = 1"))
     rows = dart_minhash.classes(twice.unionByName(own.where("doc_id = 8").withColumn("doc_id", F.lit(None).cast("long")))).collect()
