@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -18,13 +21,20 @@ CHUNK_BYTES = 1 << 20
 ARROW_BATCH_BYTES = 8 << 20
 
 
+#: The folder, below the shared one, that new scratch paths go to.
+_folder: ContextVar[str] = ContextVar("folder", default="")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session has none (a local session, as in tests) a local folder is set once.
+    A local session without one (as in tests) gets a local folder, once; on a cluster its absence is an error, since
+    executors would each write to their own disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="logloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -32,16 +42,57 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/logloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/logloom/{_folder.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str):
+    """Scratch paths made inside lie in one folder, which is deleted at the end, whether or not the work succeeded."""
+    own = f"{_folder.get()}{name}-{uuid.uuid4().hex}/"
+    token = _folder.set(own)
+    try:
+        yield
+    finally:
+        _folder.reset(token)
+        drop_path(spark, f"{shared_dir(spark)}/logloom/{own}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch(df.sparkSession, name)
+    return write_table(df, scratch(df.sparkSession, name))
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Intermediate tables of one job; what is not deleted on the way goes at the end of the ``with`` block."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch(self.spark, name)
+        self.paths[path] = None
+        self.paths[path] = table = write_table(df, path)
+        return table
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        for path in [p for p, t in self.paths.items() if any(t is x for x in tables if x is not None)]:
+            del self.paths[path]
+            drop_path(self.spark, path)
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+        self.paths = {}
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path below the shared folder, whatever its file system."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
