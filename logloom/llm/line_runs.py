@@ -3,7 +3,7 @@
 ``LineRuns`` keeps the keys of all lines seen so far as runs: Parquet tables bucketed and sorted by a
 128-bit hash.  A new batch of documents is anti-joined with every run (sort-merge; the runs' side is
 not shuffled, being bucketed by the same keys); what no run holds becomes a run of level 0.  When a level has
-``fanout`` runs, they are merged into one run of the next level.  A batch's line is dropped if a run
+``fanout`` runs, they are merged into one run of the next level.  Runs lie in the shared folder.  A batch's line is dropped if a run
 holds its key, or if a document of smaller id in the same batch does.  Batches come in ascending order
 of doc_id, so the line that stays is the one of the smallest doc_id.
 
@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, id_text, materialize, scratch
+from .common import Tables, drop_path, id_text, materialize, scratch
 
 #: What is stripped from a line's ends, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
@@ -44,37 +44,50 @@ def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 class LineRuns:
-    """The index of line keys: levels of sorted runs in bucketed tables."""
+    """The index of line keys: levels of sorted runs in bucketed tables.  As a context it is dropped at the end."""
 
     def __init__(self, spark: SparkSession, buckets: int | None = None, fanout: int = 3):
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
+        self.paths: dict[str, str] = {}
+
+    def __enter__(self) -> LineRuns:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
 
     def _write(self, keys: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = scratch(self.spark, "run")
         dealt = keys.repartition(self.buckets, *KEY).sortWithinPartitions(*KEY)
-        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).format("parquet").saveAsTable(name)
+        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).format("parquet").option("path", self.paths[name]).saveAsTable(name)
         return name
 
+    def _remove(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_path(self.spark, self.paths.pop(name))
+
     @property
     def runs(self) -> list[str]:
         return [run for level in self.levels for run in level]
 
     def add(self, lines: DataFrame) -> DataFrame:
-        """Take in a batch (columns doc_id, text_hash, pos, h1, h2); the batch's lines to drop (doc_id, text_hash, pos)."""
+        """Take in a batch (columns doc_id, text_hash, pos, h1, h2); the batch's lines to drop (doc_id, text_hash, pos), to be read before
+        the next batch comes."""
         fresh = lines.groupBy(*KEY).agg(F.min("doc_id").alias("first_doc"))
         for run in self.runs:
             fresh = fresh.join(self.spark.table(run).select(*KEY).hint("merge"), KEY, "left_anti")
-        firsts = materialize(fresh, "first-lines")  # not bucketed: Spark can split a line's many rows in the join
-        name = self._write(firsts)
-        late = lines.join(firsts, KEY, "left").where(F.col("first_doc").isNull() | (F.col("first_doc") != F.col("doc_id")))
-        dropped = materialize(late.select("doc_id", "text_hash", "pos"), "dropped-lines")
+        name = self._write(fresh)
+        # read as plain files, not as buckets: Spark can then split a line's many rows in the join
+        firsts = self.spark.read.schema(self.spark.table(name).schema).parquet(self.paths[name])
+        late = lines.join(firsts.hint("merge"), KEY, "left").where(F.col("first_doc").isNull() | (F.col("first_doc") != F.col("doc_id")))
         self.levels[0].append(name)
-        self._compact()
-        return dropped
+        return late.select("doc_id", "text_hash", "pos")
 
-    def _compact(self) -> None:
+    def compact(self) -> None:
+        """Merge the runs of each level that has ``fanout`` of them."""
         for k, level in enumerate(self.levels):
             if len(level) >= self.fanout:
                 merged = self.spark.table(level[0])
@@ -82,15 +95,15 @@ class LineRuns:
                     merged = merged.unionByName(self.spark.table(run))
                 name = self._write(merged)
                 for run in level:
-                    self.spark.sql(f"DROP TABLE {run}")
+                    self._remove(run)
                 self.levels[k] = []
                 if k + 1 == len(self.levels):
                     self.levels.append([])
                 self.levels[k + 1].append(name)
 
     def drop(self) -> None:
-        for run in self.runs:
-            self.spark.sql(f"DROP TABLE IF EXISTS {run}")
+        for name in list(self.paths):
+            self._remove(name)
         self.levels = [[]]
 
 
@@ -102,22 +115,25 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
     for cut in sorted(set(cuts)):
         batch = batch + (F.col("doc_id") > cut).cast("int")
     path = scratch(spark, "lines")
-    keyed_lines(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").option("compression", "zstd").parquet(path)
     schema = "doc_id long, text_hash long, pos int, h1 long, h2 long, batch int"
-    runs, out = LineRuns(spark, fanout=fanout), None
-    for k in range(len(set(cuts)) + 1):
-        part = runs.add(spark.read.schema(schema).parquet(path).where(F.col("batch") == k).drop("batch"))
-        out = part if out is None else out.unionByName(part)
-    runs.drop()
-    drop_path(spark, path)
-    return out.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
+    with LineRuns(spark, fanout=fanout) as runs, Tables(spark) as tables:
+        try:
+            keyed_lines(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").option("compression", "zstd").parquet(path)
+            out = None
+            for k in range(len(set(cuts)) + 1):
+                part = tables.write(runs.add(spark.read.schema(schema).parquet(path).where(F.col("batch") == k).drop("batch")), "dropped-lines")
+                out = part if out is None else out.unionByName(part)
+                runs.compact()
+        finally:
+            drop_path(spark, path)
+        return materialize(out.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drop")), "drops")
 
 
 def _with_drops(docs: DataFrame, drops: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     key = F.coalesce(doc_id.cast("long"), F.lit(-(2**63)))
     keyed = docs.withColumns({"__run_key": key, "__run_text": F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))})
     drops = drops.select(F.col("doc_id").alias("__run_key"), F.col("text_hash").alias("__run_text"), F.col("drop").alias("__run_drop"))
-    return keyed.join(drops, ["__run_key", "__run_text"], "left")
+    return keyed.join(drops.hint("merge"), ["__run_key", "__run_text"], "left")
 
 
 def _kept(text: Column, drop: Column) -> Column:
