@@ -3,8 +3,10 @@
 Documents are encoded where they are read; only piece lengths and checksums travel.  Pieces are dealt
 by hash into groups of about GROUP_PIECES, and every group is packed by best fit in descending
 length and then improved: the emptiest bin hands its pieces to fuller ones by moves, one-for-one,
-two-for-one and one-for-two exchanges, each of which increases the sum of squared fills, until the bin is empty or no exchange
-helps.  Bins below CLOSED of the capacity are then opened again and packed together in fewer groups, until one group is left.
+two-for-one and one-for-two exchanges, each of which increases the sum of squared fills, until it is empty or no exchange
+with any bin helps.  What all bins can give is indexed by length, so each exchange is looked up among all of them.  Passes over
+the underfull bins go on until one empties no bin, or all room left is less than one sequence.  Bins below CLOSED of the
+capacity are then opened again and dealt anew into fewer groups, as long as that saves a sequence, until one group is left.
 
 Defined cases: a null or empty text is a document of the end id alone; pieces of repeated rows are packed
 each by itself; ties go by doc_id, piece and checksum; an empty table gives no rows; other columns are left out.
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialize
+from .common import Tables, id_text, materialize
 from .tokens import crc32, encoder
 
 GROUP_PIECES = 40_000
@@ -77,68 +79,90 @@ class _Exchange:
 
     def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
         self.size, self.capacity = lengths, capacity
-        self.bins = {b: items for b, items in enumerate(bins)}
+        self.bins = dict(enumerate(bins))
         self.room = {b: capacity - sum(lengths[k] for k in items) for b, items in self.bins.items()}
-
-    def _offers(self, without: int, open_bins: list[int]) -> tuple[np.ndarray, np.ndarray, list]:
-        """What other bins can give back: nothing, one piece or two; its length, the bin's room."""
-        length, room, what = [], [], []
-        for b in open_bins:
-            if b != without and b in self.bins:
-                items = self.bins[b]
-                gives = [(), *((k,) for k in items), *((j, k) for i, j in enumerate(items[:12]) for k in items[i + 1 : 12])]
-                length += [sum(self.size[k] for k in g) for g in gives]
-                room += [self.room[b]] * len(gives)
-                what += [(b, g) for g in gives]
-        return np.array(length), np.array(room), what
-
-    def drain(self, source: int, open_bins: list[int]) -> bool:
+        self.gives: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of each bin: the lengths of pieces and of pairs that it can give
+        self.total = sum(self.room.values())
+
+    def _kinds(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths of one piece, and of two, of a bin; pieces of a length stand for each other."""
+        if b not in self.gives:
+            sizes = np.sort(np.array([self.size[k] for k in self.bins[b]]))
+            one, counts = np.unique(sizes, return_counts=True)
+            i, j = np.triu_indices(len(one), 1)
+            self.gives[b] = one, np.unique(np.concatenate([one[i] + one[j], 2 * one[counts > 1]]))
+        return self.gives[b]
+
+    def _index(self, source: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For a length of two pieces, and of one: the least length that some other bin must give back for it, and that bin."""
+        fill = self.capacity - self.room[source]
+        others = [b for b, r in self.room.items() if r and b != source and self.capacity - r >= fill]
+        room = np.array([self.room[b] for b in others], dtype=np.int64)
+        at = np.arange(len(others))
+        one, two = ([self._kinds(b)[k] for b in others] for k in (0, 1))
+        lots = [(np.zeros(len(others), np.int64), at)] + [(np.concatenate(x), np.repeat(at, [len(y) for y in x])) for x in (one, two) if others]
+        found = []
+        for upto in (2, 3):  # for two pieces: nothing or one; for one piece also two
+            give, owner = (np.concatenate(x) for x in zip(*lots[:upto], strict=True))
+            holds = np.minimum(give + room[owner], self.capacity)
+            least = np.full(self.capacity + 2, (self.capacity + 1) * (len(others) + 1), np.int64)
+            np.minimum.at(least, holds, give * (len(others) + 1) + owner)
+            least = np.minimum.accumulate(least[::-1])[::-1]
+            found.append((least // (len(others) + 1), least % (len(others) + 1)))
+        return [(give, np.array([*others, -1])[owner]) for give, owner in found]
+
+    def _pick(self, b: int, length: int) -> list[int]:
+        """One or two pieces of a bin of this length together, or none."""
+        if not length:
+            return []
+        by_size = defaultdict(list)
+        for k in self.bins[b]:
+            by_size[self.size[k]].append(k)
+        if length in by_size:
+            return by_size[length][:1]
+        for size, items in by_size.items():
+            rest = by_size.get(length - size, [])
+            if rest and (size * 2 != length or len(rest) > 1):
+                return [items[0], rest[-1]]
+        return []
+
+    def drain(self, source: int) -> bool:
         """Hand the pieces of ``source`` to fuller bins while that increases squared fill; True if it empties."""
         while self.bins[source]:
-            length, room, what = self._offers(source, open_bins)
-            if not what:
-                return False
-            items = self.bins[source]
-            takes = [*((k,) for k in items), *((j, k) for i, j in enumerate(items[:12]) for k in items[i + 1 : 12])]
-            best = (0, None, None)
-            fill = self.capacity - self.room[source]
-            for take in takes:
-                gain = sum(self.size[k] for k in take) - length
-                # the other bin must be the fuller one after the exchange: squared fill then grows
-                ok = (gain > 0) & (gain <= room) & (self.capacity - room + gain > fill)
-                if len(take) == 2:
-                    ok &= np.fromiter((len(g) < 2 for _, g in what), bool, len(what))
-                if ok.any():
-                    at = int(np.argmax(np.where(ok, gain, 0)))
-                    if gain[at] > best[0]:
-                        best = (int(gain[at]), take, what[at])
-            gain, take, other = best
-            if not gain:
+            two, one = self._index(source)
+            best = (0, 0, 0, 0)
+            for takes, (give, owner) in zip(self._kinds(source), (one, two), strict=True):
+                takes = takes[takes <= self.capacity]
+                gain = takes - give[takes]
+                if len(gain) and gain.max() > best[0]:
+                    at = int(gain.argmax())
+                    best = (int(gain[at]), int(takes[at]), int(give[takes[at]]), int(owner[takes[at]]))
+            gain, take, give, other = best
+            if gain <= 0:
                 return False
-            b, give = other
-            self.bins[source] = [k for k in items if k not in take] + list(give)
-            self.bins[b] = [k for k in self.bins[b] if k not in give] + list(take)
+            taken, given = self._pick(source, take), self._pick(other, give)
+            self.bins[source] = [k for k in self.bins[source] if k not in taken] + given
+            self.bins[other] = [k for k in self.bins[other] if k not in given] + taken
             self.room[source] += gain
-            self.room[b] -= gain
-        del self.bins[source]
+            self.room[other] -= gain
+            self.gives.pop(source, None)
+            self.gives.pop(other, None)
+        del self.bins[source], self.room[source]
+        self.total -= self.capacity
         return True
 
     def run(self) -> list[list[int]]:
-        waiting = sorted((b for b, r in self.room.items() if r), key=lambda b: (-self.room[b], b))
-        failures = 0
-        for source in waiting:
-            # the sum of all rooms bounds what can still be saved
-            if sum(r for b, r in self.room.items() if b in self.bins) < self.capacity or failures >= PATIENCE:
-                break
-            near = sorted((b for b in waiting if b in self.bins and self.room[b]), key=lambda b: (-self.room[b], b))[:NEIGHBOURS]
-            failures = 0 if self.drain(source, near) else failures + 1
+        saved = True
+        while saved:
+            saved = False
+            for source in sorted((b for b, r in self.room.items() if r), key=lambda b: (-self.room[b], b)):
+                if self.total < self.capacity:  # no further bin can be saved
+                    return list(self.bins.values())
+                if self.room.get(source):
+                    saved |= self.drain(source)
         return list(self.bins.values())
 
 
-#: Bins with most room that a bin is exchanged with, and bins in a row that may fail to empty before the search ends.
-NEIGHBOURS, PATIENCE = 128, 24
-
-
 def pack_group(rows: pa.Table, capacity: int) -> pa.Table:
     """Bin, offset and the bin's fill for each piece of one group."""
     rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
@@ -158,27 +182,34 @@ def pack_group(rows: pa.Table, capacity: int) -> pa.Table:
 
 def pack_pieces(pieces: DataFrame, capacity: int, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` (columns of PIECES) with sequence_id and offset; as few sequences as the search finds."""
-    left, done, level = materialize(pieces.select(*(c.split()[0] for c in PIECES.split(", "))), "pieces"), [], 0
-    while True:
-        n = left.count()
-        groups = max(1, -(-n // group_pieces))
-        dealt = left.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(level)), F.lit(groups)))
-
-        def pack(rows: pa.Table) -> pa.Table:
-            return pack_group(rows, capacity)
-
-        packed = materialize(dealt.select("grp", *left.columns).groupBy("grp").applyInArrow(pack, "grp long, " + PACKED), "packed")
-        packed = packed.withColumn("sequence_id", F.shiftleft(F.lit(level).cast("long"), 56) + F.shiftleft("grp", 24) + F.col("bin"))
-        final = F.col("fill") >= int(capacity * CLOSED)
-        if groups == 1 or level == 6:
-            done.append(packed)
-            break
-        done.append(packed.where(final))
-        left, level = packed.where(~final).select(*left.columns), level + 1
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+    def pack(rows: pa.Table) -> pa.Table:
+        return pack_group(rows, capacity)
+
+    columns, final = [c.split()[0] for c in PIECES.split(", ")], F.col("fill") >= int(capacity * CLOSED)
+    with Tables(pieces.sparkSession) as tables:
+        left, done, level, before, packed = tables.write(pieces.select(*columns), "pieces"), [], 0, None, None
+        while True:
+            groups = max(1, -(-left.count() // group_pieces))
+            dealt = left.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(level)), F.lit(groups)))
+            once = dealt.select("grp", *columns).groupBy("grp").applyInArrow(pack, "grp long, " + PACKED)
+            sequence = F.shiftleft(F.lit(level).cast("long"), 56) + F.shiftleft("grp", 24) + F.col("bin")
+            anew = tables.write(once.withColumn("sequence_id", sequence), "packed")
+            bins, still_open = anew.agg(F.count_if(F.col("offset") == 0), F.count_if((F.col("offset") == 0) & ~final)).first()
+            if before is not None and bins >= before:  # dealing them anew saves nothing
+                done.append(packed.where(~final))
+                break
+            if packed is not None:
+                tables.drop(left)
+            if groups == 1 or not still_open:
+                done.append(anew)
+                break
+            done.append(anew.where(final))
+            left, level, before, packed = anew.where(~final).select(*columns), level + 1, still_open, anew
+        out = done[0]
+        for part in done[1:]:
+            out = out.unionByName(part)
+        return materialize(out.select(*columns, "sequence_id", "offset"), "sequences")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, capacity: int = 2048) -> DataFrame:
