@@ -1,18 +1,27 @@
 """Near-duplicates by DartMinHash.
 
-A document is its set of five-word shingles, each of weight one (or of its count).  Darts are thrown by hash at
-the plane of weight and rank: every unit of area over an element has a Poisson(1) number of them, at places that depend on
-the element alone.  A document keeps the darts that lie below its elements' weights and below a rank that leaves about
-``k ln k + 2k`` darts; the earliest dart of each of ``k`` coordinates is the signature (the rank is doubled while a coordinate is
-empty).  Two documents agree in a coordinate with probability of their weighted Jaccard similarity.  Bands of
-``rows`` coordinates are joined.
-
-Documents with equal sets are one node from the start.  Buckets of a few members are compared as they are.  Larger ones go to tasks
-with their members' signatures, one byte a coordinate: there each member ranks the members that its signature does not rule
-out, and only pairs of different classes in the current window of ranks come out, the likeliest first; windows widen from round to
-round until no bucket has such pairs left.  Buckets beyond a bounded size are never brought together: in each round a few
-leaders, the same in all bands, are compared with the members of other classes, at first from the largest class, so that classes
-grow, then from outside it.  All pairs that come out are verified by exact set similarity, and classes grow along verified links.
+A document is its set of five-word shingles.  For the signature each shingle has a weight, 2c / (c + 1) for c occurrences in
+the document: 1 for a single one, below 2 for any number.  Darts are thrown by hash at the plane of weight and rank: every unit of
+area over an element has a Poisson(1) number of them, at places that depend on the element alone.  A document keeps the darts that
+lie below its elements' weights and below a rank that leaves about ``k ln k + 2k`` darts; the earliest dart of each of ``k``
+coordinates is the signature (the rank is doubled while a coordinate is empty).  Two documents agree in a coordinate
+with probability of their weighted Jaccard similarity.  Bands of ``rows`` coordinates are joined.
+
+Two documents are linked if their plain sets have a similarity of ``threshold`` or more; classes are what links connect.
+Weights below 2 keep the weighted similarity of such a pair near the plain one (at 0.8, above 0.66 in the worst case), so one of 32 bands
+agrees but for a chance of about 5e-8 (9e-4 in the worst case).
+
+Documents with equal sets are one node from the start.  Nothing ever lists the pairs of a bucket:
+
+1. Leader rounds.  In each bucket of more than one class, one member of its largest class, drawn by hash for each bucket, is compared with
+   the members of other classes: as many pairs as members.  Pairs that the signatures do not rule out are verified by their exact sets.
+2. Families.  In what buckets are left, members outside the largest class are compared by signature with all members of
+   other classes, in cells of bounded size; a cell gives for each member that has such a partner a representative of what hangs
+   together.  What representatives connect is a family.
+3. Exact cells.  In each family, members outside its largest class meet all members with their exact sets, again in cells of bounded
+   size; a cell gives one link for each class that it joins.
+
+Only the work inside cells grows with outsiders times members; rows grow with the members.
 
 Defined cases: texts without words (null, empty, blanks) have the same, empty, set and are one class; texts below five
 words are one shingle; rows of one doc_id are one document; a row without doc_id has no class; an empty table gives no rows; other
@@ -27,18 +36,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, id_text, materialize, small
+from .common import Tables, chunks, id_text, materialize, small
 
 WORDS, K, ROWS = 5, 128, 4
 THRESHOLD = 0.8
-#: Share of agreeing coordinates below which a pair is not verified: over five deviations below 0.8 for 128 coordinates.
-HOPELESS = 0.6
-#: Members of a bucket that is compared as it is, and of one that a task may hold.
-TINY, HELD = 4, 2048
-#: Windows of ranks, by round.
-WINDOWS = [(0, 4), (4, 64), (64, HELD)]
-#: Leaders of a round in the largest bucket beyond HELD, and rounds before their number doubles.
-LEADERS, EVEN_ROUNDS = 16, 10
+#: Deviations of an estimated similarity below the threshold at which a pair is ruled out.
+DEVIATIONS = 5.6
+LEADER_ROUNDS = 2
+#: Members of a cell's side, and shingles of an exact cell's side.
+CELL_ROWS, CELL_SHINGLES = 1024, 400_000
 MEMO_WORDS = 500_000
 _STEP, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Cumulative Poisson(1) probabilities of 0, 1, 2, ... darts in a unit of area.
@@ -137,7 +143,12 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return mixed((sig.reshape(n, k // rows, rows) * factors).sum(axis=2, dtype=np.uint64) + np.arange(k // rows, dtype=np.uint64) * _STEP).astype(np.int64)
 
 
-def sketch(docs: DataFrame, counted: bool = False) -> DataFrame:
+def saturated(counts: np.ndarray) -> np.ndarray:
+    """Weights of shingles by their number of occurrences."""
+    return 2.0 * counts / (counts + 1.0)
+
+
+def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, n, the set's 128-bit digest (d1, d2), its bands and one byte per coordinate; nulls for documents without words."""
 
     def run(batches):
@@ -147,11 +158,11 @@ def sketch(docs: DataFrame, counted: bool = False) -> DataFrame:
             some = [i for i, (s, _) in enumerate(parts) if len(s)]
             n, d1, d2, bands, short = ([None] * len(parts) for _ in range(5))
             if some:
-                sig = signatures([parts[i][0] for i in some], [parts[i][1].astype(float) for i in some] if counted else None)
-                keys, small = band_keys(sig), (sig & np.uint64(255)).astype(np.uint8)
+                sig = signatures([parts[i][0] for i in some], [saturated(parts[i][1]) for i in some])
+                keys, low = band_keys(sig), (sig & np.uint64(255)).astype(np.uint8)
                 for j, i in enumerate(some):
                     s = parts[i][0]
-                    n[i], bands[i], short[i] = len(s), keys[j], small[j].tobytes()
+                    n[i], bands[i], short[i] = len(s), keys[j], low[j].tobytes()
                     d1[i], d2[i] = (int(mixed(s + x).sum(dtype=np.uint64).astype(np.int64)) for x in (_STEP, _MIX1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary())],
@@ -174,25 +185,34 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, "node long, shingles binary")
 
 
-def _agreeing(pairs: DataFrame, short: DataFrame) -> DataFrame:
+def _bytes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _hopeful(threshold: float, k: int = K) -> float:
+    """Least share of equal low bytes of a pair that the signatures do not rule out."""
+    least = max(0.0, threshold - DEVIATIONS * (threshold * (1 - threshold) / k) ** 0.5)
+    return least + (1 - least) / 256
+
+
+def _agreeing(pairs: DataFrame, short: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose signatures do not rule them out."""
+    least = _hopeful(threshold)
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
-                share = ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(share >= HOPELESS))
+                share = (_bytes(batch.column("sa")) == _bytes(batch.column("sb"))).mean(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(share >= least))
 
     left = short.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("short").alias("sa"))
     right = short.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("short").alias("sb"))
-    pairs = small(pairs)
-    both = left.join(pairs, "a").join(right, "b").where(F.least("na", "nb") >= F.lit(THRESHOLD - 1e-9) * F.greatest("na", "nb"))
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(F.least("na", "nb") >= F.lit(threshold - 1e-9) * F.greatest("na", "nb"))
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose exact set similarity reaches the threshold."""
+def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, tables: Tables) -> DataFrame:
+    """Pairs whose exact set similarity reaches the threshold, as a table."""
 
     def run(batches):
         for batch in batches:
@@ -203,136 +223,213 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 keep.append(shared >= threshold * (len(a) + len(b) - shared) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    own = sets.join(ends, "node", "left_semi")
-    left = own.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
-    right = own.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
-    return left.join(small(pairs), "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
+    sets = tables.write(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
+    both = left.join(small(pairs), "a").join(right, "b").select("a", "b", "xa", "xb")
+    links = tables.write(both.mapInArrow(run, "a long, b long"), "links")
+    tables.drop(sets)
+    return links
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """node and class, the least node that it is connected with, of all nodes on the edges (a, b)."""
-    both = materialize(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("class")), "labels")
+    both = tables.write(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = tables.write(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("class")), "labels")
     while True:
         far = both.join(labels.select(F.col("node").alias("b"), "class"), "b").groupBy(F.col("a").alias("node")).agg(F.min("class").alias("near"))
         step = labels.join(far, "node").select("node", F.col("class").alias("was"), F.least("class", "near").alias("class"))
         jump = step.join(labels.select(F.col("node").alias("class"), F.col("class").alias("root")), "class")
-        nxt = materialize(jump.select("node", "was", F.least("class", "root").alias("class")), "labels")
+        nxt = tables.write(jump.select("node", "was", F.least("class", "root").alias("class")), "labels")
+        tables.drop(labels)
         moved = nxt.where(F.col("was") != F.col("class")).limit(1).count()
-        labels = nxt.select("node", "class")
+        labels = nxt
         if not moved:
-            return labels
+            tables.drop(both)
+            return labels.select("node", "class")
+
+
+def _named(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the class of each node, itself if it has no link."""
+    if labels is None:
+        return rows.withColumn("class", F.col("node"))
+    return rows.join(labels.hint("merge"), "node", "left").withColumn("class", F.coalesce("class", "node"))
+
+
+def _joined(labels: DataFrame | None, links: DataFrame, tables: Tables) -> DataFrame | None:
+    """Classes after more links: classes are joined, not members."""
+    if links.isEmpty():
+        return labels
+    ends = _named(links.select(F.col("a").alias("node"), "b"), labels).select(F.col("class").alias("a"), F.col("b").alias("node"))
+    ends = _named(ends, labels).select("a", F.col("class").alias("b")).where("a != b").distinct()
+    roots = components(ends, tables)
+    if labels is None:
+        return roots
+    old = labels.join(roots.select(F.col("node").alias("class"), F.col("class").alias("root")), "class", "left")
+    old = old.select("node", F.coalesce("root", "class").alias("class"))
+    return tables.write(old.unionByName(roots.join(labels.hint("merge"), "node", "left_anti")), "labels")
+
+
+def _shape(members: DataFrame, group: str, salt: int) -> DataFrame:
+    """Of each group with more than one class: its size, the largest class and a member of that, drawn by hash."""
+    drawn = F.struct(F.xxhash64("node", group, F.lit(salt)).alias("draw"), F.col("node").alias("leader"))
+    each = members.groupBy(group, "class").agg(F.count("*").alias("size"), F.max(drawn).alias("lead"))
+    whole = each.groupBy(group).agg(F.sum("size").alias("size"), F.count("*").alias("classes"), F.max(F.struct("size", "lead.draw", "lead.leader", "class")).alias("top"))
+    return whole.where("classes > 1").select(group, "size", F.col("top.size").alias("main_size"), F.col("top.class").alias("main"), F.col("top.leader").alias("leader"))
+
+
+def _cells(members: DataFrame, group: str, rows_a_side: int, load: str | None = None, most: int = 0) -> DataFrame:
+    """Rows of cells (group, asked, held): each row of a group is held by one part of it, once for every part of those that ask; each row that
+    asks meets every part.  Parts have about ``rows_a_side`` rows, and about ``most`` of the summed ``load``."""
+    loads = F.sum(load) if load else F.lit(0)
+    asking = F.sum(F.when(F.col("asks"), F.col(load))) if load else F.lit(0)
+    sizes = members.groupBy(group).agg(F.count("*").alias("rows"), F.count_if("asks").alias("asking"), loads.alias("load"), asking.alias("asking_load"))
+    parts = lambda rows, total: F.greatest(F.lit(1), F.ceil(F.col(rows) / rows_a_side), F.ceil(F.col(total) / max(1, most))).cast("int")
+    sizes = sizes.where("asking > 0").select(group, parts("rows", "load").alias("held_parts"), parts("asking", "asking_load").alias("asked_parts"))
+    rows = members.join(sizes, group)
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = lambda n: F.pmod(F.xxhash64("node", F.lit(7)), F.col(n)).cast("int")
+    held = rows.withColumn("held", own("held_parts")).withColumn("asked", F.explode(every("asked_parts"))).withColumn("asks", F.lit(False))
+    asked = rows.where("asks").withColumn("asked", own("asked_parts")).withColumn("held", F.explode(every("held_parts")))
+    return held.unionByName(asked.select(held.columns)).drop("held_parts", "asked_parts")
+
+
+def _sides(rows: pa.Table) -> tuple[pa.Table, pa.Table]:
+    rows = rows.sort_by("node")
+    asks = rows.column("asks")
+    return rows.filter(asks).combine_chunks(), rows.filter(pa.compute.invert(asks)).combine_chunks()
+
+
+def _numbers(side: pa.Table, *columns: str) -> list[np.ndarray]:
+    return [side.column(c).to_numpy() for c in columns]
+
+
+def _hanging(open_: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the nodes with an open pair (a matrix of left by right): the node, and the least node that it hangs together with."""
+    far = np.iinfo(np.int64).max
+    a, b = np.where(open_.any(axis=1), left, far), np.where(open_.any(axis=0), right, far)
+    while True:
+        b2 = np.minimum(b, np.where(open_, a[:, None], far).min(axis=0, initial=far))
+        a2 = np.minimum(a, np.where(open_, b2[None, :], far).min(axis=1, initial=far))
+        if (a2 == a).all() and (b2 == b).all():
+            break
+        a, b = a2, b2
+    node, least = np.concatenate([left, right]), np.concatenate([a, b])
+    return node[least < far], least[least < far]
+
+
+def _family_edges(rows: pa.Table, threshold: float) -> pa.Table:
+    """One cell of a bucket: (a, b) where a has a partner of another class that its signature does not rule out."""
+    asks, holds = _sides(rows)
+    none = pa.table([pa.array([], pa.int64())] * 2, names=["a", "b"])
+    if not asks.num_rows or not holds.num_rows:
+        return none
+    (qn, qc, qs), (on, oc, os) = (_numbers(side, "node", "class", "n") for side in (asks, holds))
+    left, right = _bytes(asks.column("short")), _bytes(holds.column("short"))
+    open_ = (qc[:, None] != oc[None, :]) & (np.minimum(qs[:, None], os[None, :]) >= (threshold - 1e-9) * np.maximum(qs[:, None], os[None, :]))
+    least, step = _hopeful(threshold, left.shape[1]), max(1, (8 << 20) // right.size)
+    for at in range(0, len(left), step):
+        open_[at : at + step] &= (left[at : at + step, None, :] == right[None, :, :]).mean(axis=2) >= least
+    a, b = _hanging(open_, qn, on)
+    return pa.table([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of sets, left by right."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    rows = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)]
+    flat = [np.concatenate(side) if side else np.zeros(0, np.uint64) for side in (left, right)]
+    common = np.intersect1d(*map(np.unique, flat), assume_unique=True)
+    place = [np.minimum(np.searchsorted(common, f), max(0, len(common) - 1)) for f in flat]
+    for at in range(0, len(common), columns):
+        dense = []
+        for side, row, p, f in zip((left, right), rows, place, flat, strict=True):
+            on = (p >= at) & (p < at + columns)
+            on[on] = common[p[on]] == f[on]
+            m = np.zeros((len(side), columns), np.float32)
+            m[row[on], p[on] - at] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
 
 
-def _leaders(members: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare in this round (a < b), and the members that stay open, of buckets that no task may hold.
+def _exact_links(rows: pa.Table, threshold: float) -> pa.Table:
+    """One cell of a family: a verified link for each class that it joins with others."""
+    asks, holds = _sides(rows)
+    none = pa.table([pa.array([], pa.int64())] * 2, names=["a", "b"])
+    if not asks.num_rows or not holds.num_rows:
+        return none
+    (qc,), (oc,) = _numbers(asks, "class"), _numbers(holds, "class")
+    left, right = ([np.frombuffer(x, np.uint64) for x in side.column("shingles").to_pylist()] for side in (asks, holds))
+    both = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
+    shared = _shared(left, right)
+    linked = (qc[:, None] != oc[None, :]) & (shared >= threshold * (both - shared) - 1e-6)
+    a, b = _hanging(linked, qc, oc)
+    pairs = np.unique(np.stack([a, b], 1), axis=0)
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    ``members``: key, node, class.
-    """
-    sizes = members.groupBy("key", "class").agg(F.count("*").alias("size"))
-    shape = sizes.groupBy("key").agg(F.sum("size").alias("all"), F.max(F.struct("size", "class")).alias("largest"), F.count("*").alias("classes")).where("classes > 1")
-    shape = materialize(shape.select("key", "all", (F.col("all") - F.col("largest.size")).alias("outside"), F.col("largest.class").alias("main"), (F.col("largest.size") == 1).alias("scattered")), "shape")
-    most, outside = shape.agg(F.max("all"), F.max("outside")).first()
-    few = LEADERS * 2 ** max(0, round_ - EVEN_ROUNDS)
-    chance = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(1 << 30)) / float(1 << 30)  # the same in all buckets
-    inner = F.col("scattered") | (F.col("class") == F.col("main"))
-    leads = inner & (chance < few / max(1, most or 1)) if round_ <= 2 else (F.col("class") != F.col("main")) & (chance < few / max(1, outside or 1))
-    rows = materialize(members.join(small(shape), "key").select("key", "node", "class", leads.alias("leads")), "round")
-    lead = rows.where("leads").select("key", F.col("node").alias("leader"), F.col("class").alias("leader_class"))
-    pairs = rows.select("key", "node", "class").join(small(lead), "key").where(F.col("class") != F.col("leader_class"))
-    pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).where("a < b").distinct()
-    return pairs, rows.where("NOT leads").select("key", "node")
-
-
-def _ranked(rows: pa.Table, low: int, high: int) -> pa.Table:
-    """One bucket's pairs of different classes in a window of ranks; a row of nulls if there are more beyond it."""
-    rows = rows.sort_by("node").combine_chunks()
-    node, group, n = (rows.column(c).to_numpy() for c in ("node", "class", "n"))
-    short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(node), -1)
-    left, right, more = [], [], False
-    step = max(1, (4 << 20) // short.size)
-    for at in range(0, len(node), step):
-        stop = min(at + step, len(node))
-        share = ((short[at:stop, None, :] == short[None, :, :]).mean(axis=2) - 1 / 256) / (1 - 1 / 256)
-        near = np.minimum(n[at:stop, None], n[None, :]) >= (THRESHOLD - 1e-9) * np.maximum(n[at:stop, None], n[None, :])
-        near &= share >= HOPELESS
-        near[np.arange(stop - at), np.arange(at, stop)] = False
-        order = np.argsort(np.where(near, -share, 1.0), axis=1, kind="stable")
-        other = near & (group[at:stop, None] != group[None, :])
-        ranked = np.take_along_axis(other, order, axis=1)
-        i, rank = np.nonzero(ranked)
-        more |= bool((rank >= high).any())
-        inside = (rank >= low) & (rank < high)
-        left.append(node[at + i[inside]])
-        right.append(node[order[i[inside], rank[inside]]])
-    a, b = np.concatenate(left), np.concatenate(right)
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-    key = rows.column("key")[0].as_py()
-    a, b = pa.array(pairs[:, 0]), pa.array(pairs[:, 1])
-    if more:
-        a, b = pa.concat_arrays([a, pa.array([None], pa.int64())]), pa.concat_arrays([b, pa.array([None], pa.int64())])
-    return pa.table([pa.array([key] * len(a), pa.int64()), a, b], names=["key", "a", "b"])
-
-
-def _ranker(low: int, high: int):
-    def rank(rows: pa.Table) -> pa.Table:
-        return _ranked(rows, low, high)
-
-    return rank
+
+def _cell_job(job, threshold: float):
+    def run(rows: pa.Table) -> pa.Table:
+        return job(rows, threshold)
+
+    return run
+
+
+def _families(members: DataFrame, labels: DataFrame | None, nodes: DataFrame, threshold: float, tables: Tables) -> DataFrame | None:
+    """node and family of the members that have a partner of another class that signatures do not rule out; None if there are none."""
+    named = tables.write(_named(members, labels), "named")
+    asks = F.col("class") != F.col("main")
+    wide = named.join(_shape(named, "key", LEADER_ROUNDS).select("key", "main"), "key").select("key", "node", "class", asks.alias("asks"))
+    cells = _cells(wide, "key", CELL_ROWS).join(nodes.select("node", "n", "short").hint("merge"), "node")
+    edges = cells.groupBy("key", "asked", "held").applyInArrow(_cell_job(_family_edges, threshold), "a long, b long")
+    edges = tables.write(edges.distinct(), "family-edges")
+    return None if edges.isEmpty() else components(edges, tables).withColumnRenamed("class", "family")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) and n_shingles of every row."""
-    sketched = materialize(sketch(docs), "sketch")
-    worded = sketched.where("doc_id IS NOT NULL AND n IS NOT NULL")
-    digest = ["d1", "d2", "n"]
-    nodes = worded.groupBy(*digest).agg(F.min(F.struct("doc_id", "bands", "short")).alias("first"))
-    nodes = materialize(nodes.select(*digest, F.col("first.doc_id").alias("node"), F.col("first.bands").alias("bands"), F.col("first.short").alias("short")), "nodes")
-
-    banded = nodes.select("node", F.explode("bands").alias("key"))
-    shared = materialize(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared")
-    members = materialize(banded.join(small(shared), "key"), "members")
-    short = materialize(nodes.select("node", "n", "short").join(small(members.select("node").distinct()), "node", "left_semi"), "short")
-    sets = materialize(_sets(docs, short), "sets")
-
-    few = members.where(F.col("size") <= TINY)
-    pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b").distinct()
-    candidates = _agreeing(materialize(pairs, "pairs"), short)
-    held = members.where((F.col("size") > TINY) & (F.col("size") <= HELD)).select("key", "node")
-    crowds = members.where(F.col("size") > HELD).select("key", "node")
-    labels, round_, links = None, 0, None
-    while True:
-        links = materialize(_verified(materialize(candidates, "candidates"), sets, threshold), "links")
-        if not links.isEmpty():
-            if labels is not None:  # earlier classes are stars around their least node
-                links = links.unionByName(labels.where("node != class").select(F.col("node").alias("a"), F.col("class").alias("b")))
-            labels = components(links)
-        if held is None and crowds.isEmpty():
-            break
-        named = lambda rows: rows.withColumn("class", F.col("node")) if labels is None else rows.join(small(labels), "node", "left").withColumn("class", F.coalesce("class", "node"))  # noqa: B023, E731
-        candidates = None
-        if held is not None:
-            rank = _ranker(*WINDOWS[min(round_, len(WINDOWS) - 1)])
-            signed = named(held).join(small(short, 100_000), "node").select("key", "node", "class", "n", "short")
-            found = materialize(signed.groupBy("key").applyInArrow(rank, "key long, a long, b long"), "ranked")
-            candidates = found.where("a IS NOT NULL").select("a", "b").distinct()
-            open_ = found.where("a IS NULL").select("key")
-            held = None if open_.isEmpty() else materialize(held.join(small(open_), "key", "left_semi"), "held")
-        if not crowds.isEmpty():
-            led, crowds = _leaders(named(crowds), round_ + 1)
-            led = _agreeing(materialize(led, "pairs"), short)
-            candidates = led if candidates is None else candidates.unionByName(led).distinct()
-        round_ += 1
-
-    found = nodes.select(*digest, "node")
-    found = found.withColumn("class", F.col("node")) if labels is None else found.join(labels, "node", "left").select(*digest, F.coalesce("class", "node").alias("class"))
-    wordless = sketched.where("doc_id IS NOT NULL AND n IS NULL").agg(F.min("doc_id")).first()[0]
-    rows = sketched.select("doc_id", *digest).join(found.withColumnRenamed("class", "found"), digest, "left")
-    return rows.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", F.lit(wordless), "doc_id")).alias("class_id"), F.coalesce("n", F.lit(0)).alias("n_shingles"))
+    with Tables(docs.sparkSession) as tables:
+        sketched = tables.write(sketch(docs), "sketch")
+        worded = sketched.where("doc_id IS NOT NULL AND n IS NOT NULL")
+        digest = ["d1", "d2", "n"]
+        nodes = worded.groupBy(*digest).agg(F.min(F.struct("doc_id", "bands", "short")).alias("first"))
+        nodes = tables.write(nodes.select(*digest, F.col("first.doc_id").alias("node"), F.col("first.bands").alias("bands"), F.col("first.short").alias("short")), "nodes")
+
+        banded = nodes.select("node", F.explode("bands").alias("key"))
+        shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+        members, labels = tables.write(banded.join(shared.hint("merge"), "key"), "members"), None
+        for round_ in range(LEADER_ROUNDS):
+            named = tables.write(_named(members, labels), "named")
+            shape = tables.write(_shape(named, "key", round_), "shape")
+            led = named.join(shape.hint("merge"), "key")
+            pairs = led.where(F.col("class") != F.col("main")).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+            pairs = tables.write(_agreeing(pairs.where("a < b").distinct(), nodes, threshold), "pairs")
+            labels = _joined(labels, _verified(pairs, docs, threshold, tables), tables)
+            # a bucket of two has no other pair, and one of a single class needs none
+            fewer = tables.write(led.where("size > 2").select("key", "node"), "members")
+            tables.drop(members, named, shape, pairs)
+            members = fewer
+        families = _families(members, labels, nodes, threshold, tables)
+        if families is not None:
+            placed = _named(families, labels)
+            main = _shape(placed, "family", LEADER_ROUNDS).select("family", "main")
+            placed = placed.join(main, "family").select("family", "node", "class", (F.col("class") != F.col("main")).alias("asks"))
+            placed = tables.write(placed.join(nodes.select("node", "n").hint("merge"), "node"), "families")
+            sets = tables.write(_sets(docs, placed.select("node").distinct()), "sets")
+            cells = _cells(placed, "family", CELL_ROWS, "n", CELL_SHINGLES).drop("n").join(sets, "node")
+            links = cells.groupBy("family", "asked", "held").applyInArrow(_cell_job(_exact_links, threshold), "a long, b long")
+            labels = _joined(labels, tables.write(links.distinct(), "links"), tables)
+
+        found = _named(nodes.select(*digest, "node"), labels).select(*digest, F.col("class").alias("found"))
+        wordless = sketched.where("doc_id IS NOT NULL AND n IS NULL").agg(F.min("doc_id")).first()[0]
+        rows = sketched.select("doc_id", *digest).join(found, digest, "left")
+        rows = rows.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", F.lit(wordless), "doc_id")).alias("class_id"), F.coalesce("n", F.lit(0)).alias("n_shingles"))
+        return materialize(rows, "classes")
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with all its columns; of each class the row or rows of least doc_id stay."""
     gone = materialize(classes(docs, threshold).where("class_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    return docs.join(small(gone), docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
