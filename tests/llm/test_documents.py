@@ -64,6 +64,10 @@ def test_toxicity_learns_and_never_from_held_out_rows(spark):
     flipped = labels.withColumn("toxic", F.when(toxicity_cnn.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert {r.doc_id: r.score for r in toxicity_cnn.toxicity(docs, flipped).collect()} == {i: r.score for i, r in got.items()}
     assert toxicity_cnn.toxicity(docs.limit(0), labels).count() == 0 and {r.score for r in toxicity_cnn.toxicity(docs, labels.limit(0)).collect()} == {0.0}
+    # rows that repeat a labelled document train once, and a long one is not left out
+    again = docs.unionByName(docs.where("doc_id IN (0, 1, 2)")).unionByName(docs.where("doc_id = 3"))
+    assert {r.doc_id: r.score for r in toxicity_cnn.toxicity(again, labels.unionByName(labels.limit(5))).collect()} == {i: r.score for i, r in got.items()}
+    assert {r.score for r in toxicity_cnn.toxicity(docs, labels, max_chars=10).collect()} == {0.0}
     stay = toxicity_cnn.without_toxic(docs, labels)
     assert stay.columns == docs.columns and {r.doc_id for r in stay.collect()} == {i for i, r in got.items() if not r.predicted}
 
@@ -111,9 +115,9 @@ def test_near_classes_of_all_documents(spark, all_texts):
 
 
 def test_large_buckets(spark, monkeypatch):
-    """Groups beyond what one task compares, with bounds lowered so that all ways are taken."""
-    monkeypatch.setattr(dart_minhash, "HELD", 8)
-    monkeypatch.setattr(dart_minhash, "WINDOWS", [(0, 2), (2, 8)])
+    """Groups beyond one cell, with bounds lowered so that all ways are taken."""
+    monkeypatch.setattr(dart_minhash, "CELL_ROWS", 8)
+    monkeypatch.setattr(dart_minhash, "CELL_SHINGLES", 900)
     base = [f"w{k}" for k in range(120)]
     texts = {i: " ".join(base[:k] + [f"x{i}"] + base[k + 1 :]) for i, k in enumerate([j % 100 + 10 for j in range(60)])}
     texts |= {100 + i: " ".join(base[:90] + [f"y{i % 3}{j}" for j in range(40)]) for i in range(9)}
@@ -128,10 +132,37 @@ def test_signatures_estimate_similarity():
     plain = dart_minhash.signatures([np.unique(a), mix], k=1024)
     assert abs((plain[0] == plain[1]).mean() - 240 / 360) < 0.06
     w = [np.full(300, 3.0), np.full(300, 1.0)]
+    assert np.allclose(dart_minhash.saturated(np.array([1, 3, 10**6])), [1, 1.5, 2])
     weighted = dart_minhash.signatures([np.unique(a)] * 2, w, k=1024)
     assert abs((weighted[0] == weighted[1]).mean() - 1 / 3) < 0.06
 
 
+def test_signatures_weigh_repeated_shingles():
+    """The share of equal coordinates is the weighted similarity, not the plain one, of texts with repeated lines."""
+    shingle, line = dart_minhash.Shingles(), " ".join(f"r{k}" for k in range(40)) + " "
+    texts = [line * 30 + " ".join(f"a{k}" for k in range(60)), line + " ".join(f"a{k}" for k in range(60))]
+    sets = [shingle(t) for t in texts]
+    weight = [dict(zip(s.tolist(), (2 * c / (c + 1)).tolist(), strict=True)) for s, c in sets]
+    every = weight[0].keys() | weight[1].keys()
+    want = sum(min(w.get(x, 0) for w in weight) for x in every) / sum(max(w.get(x, 0) for w in weight) for x in every)
+    plain = len(weight[0].keys() & weight[1].keys()) / len(every)
+    sig = dart_minhash.signatures([s for s, _ in sets], [dart_minhash.saturated(c) for _, c in sets], k=1024)
+    assert abs((sig[0] == sig[1]).mean() - want) < 0.05 and plain - want > 0.15
+
+
+def test_cells_give_one_row_a_member_and_lose_no_link(spark):
+    """A family of 400 near copies and outsiders: links and families are no more than members, classes equal brute force."""
+    rng, base = np.random.default_rng(3), [f"w{k}" for k in range(60)]
+    texts = {}
+    for i in range(400):
+        words = list(base)
+        for at in rng.choice(60, int(rng.integers(1, 4)), replace=False):
+            words[at] = f"x{i}_{at}"
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in dart_minhash.classes(docs).collect()} == near_classes(texts)
+
+
 def _exact(ids, v, queries_, k):
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     out = {}
