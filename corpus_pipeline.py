@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm import dart_minhash, line_runs, packing, toxicity_cnn
-from logloom.llm.common import bounded_batches, materialize
+from logloom.llm.common import bounded_batches, drop_path, scratch, scratch_folder, write_table
 
 ORACLE_SQL = None
 
@@ -40,8 +40,14 @@ STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_repeated_lines), ("near_
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table of documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the table of documents; each stage's intermediate tables go when its result is written, and that
+    goes when its successor's is."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = scratch(spark, name)
+        with scratch_folder(spark, name):
+            docs = write_table(stage(spark, docs, sf_dir), path)
+        if last:
+            drop_path(spark, last)
+        last = path
     return docs
