@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -198,3 +199,28 @@ def test_hilbert_steps_are_to_neighbours():
     keys = hilbert_ann.hilbert(cells, 3)
     walk = cells[np.argsort(keys)]
     assert sorted(keys.tolist()) == list(range(512)) and (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_words_and_further_articles_only_weigh():
+    a, b, c = LONG_TEXTS[:3]
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>Title</h1><p>{a}</p><p class='share-price'>{b}</p><div class='related-work'>{c}</div><div class='share-buttons'>Share this</div></article>"
+    page += "<article class=card><p>Short teaser.</p></article><div class='comments'><p>Nice, thanks, really a very long comment, with marks.</p></div><footer>(c) us, all rights reserved.</footer></body>"
+    assert html_paths.main_text(page).split("\n") == ["Title", a, b, c]
+    assert html_paths.main_text("<body><nav>Home, sweet home.</nav><footer>(c) us, all rights reserved, in all countries.</footer></body>") == ""
+    assert html_paths.main_text(f"<body><form id=aspnet><div><p>{a}</p><p>{b}</p></div></form></body>").split("\n") == [a, b]
+
+
+def test_ratios_decide_on_whole_tables(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect()]
+    texts = [html_paths.main_text(h) for h in pages]
+    assert all(t == "\n".join(" ".join(line.split()) for line in t.split("\n")) and "\n\n" not in t for t in texts)
+    monkeypatch.setattr(html_paths, "THRESHOLD", -1e9)
+    monkeypatch.setattr(html_paths, "FLOOR", -1e9)
+    assert sum(html_paths.main_text(h) != t for h, t in zip(pages, texts, strict=True)) > 0.9 * len(pages)
+
+
+def test_broken_pages_take_linear_time():
+    for unit in ("<p ", "<a href='", "<![CDATA[", "<div>", '<p class="', "<div><p>text. ", "<table><tr><td>x ", "<!--", "&", "<a x='>\""):
+        began = time.perf_counter()
+        html_paths.main_text(unit * (1_000_000 // len(unit)))
+        assert time.perf_counter() - began < 5, unit
