@@ -37,9 +37,10 @@ MEMO_CHUNKS, LONG = 400_000, 40
 AT_ONCE = 32_768
 _RUNS = re.compile(r" *[^ ]+| +")
 LETTERS, MARKS = "A-Za-z0-9À-ÖØ-öø-ɏ", ".,;:!?\n\t\"'-"
-_MASK = (1 << 64) - 1
+_MASK, _LOW = (1 << 64) - 1, (1 << 32) - 1
 # Odd constants of the splitmix64 generator.
 _STEP, _MIX1, _MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+SLOT_BITS = 20  # of the table of merges
 SIDE = 21  # bits of a symbol in a pair's key; symbols without a piece lie above all ids
 
 
@@ -85,15 +86,37 @@ class Pieces:
                     merges[a << SIDE | b] = (rank_of_score[sp.get_score(i)], i)
         self.merges = merges
         self.keys = np.array(sorted(merges), dtype=np.int64)
-        self.ranks = np.array([merges[k][0] for k in self.keys.tolist()], dtype=np.int64)
-        self.merged = np.array([merges[k][1] for k in self.keys.tolist()], dtype=np.int64)
+        self.ranks = np.array([*(merges[k][0] for k in self.keys.tolist()), len(order)], dtype=np.int32)
         self.none, self.by_code = len(order), None
+        self.merged = np.array([*(merges[k][1] for k in self.keys.tolist()), 0], dtype=np.int64)
+        # places of keys by hash; where keys share a slot, those after the first are looked up by bisection
+        slots = self._slots(self.keys)
+        first = np.unique(slots, return_index=True)[1]
+        self.slots, self.crowded = np.full(1 << SLOT_BITS, len(self.keys), np.int32), np.zeros(1 << SLOT_BITS, bool)
+        self.slots[slots[first]] = first
+        self.crowded[np.delete(slots, first)] = True
+        self.keys = np.append(self.keys, -1)
         letter = re.compile(f"[{LETTERS}]")
         joined = {m for piece in self.ids for a, b in zip(piece, piece[1:]) for m, x in ((a, b), (b, a)) if letter.match(x)}
         marks = "".join(re.escape(m) for m in MARKS if m not in joined)
         #: Places that no piece of this vocabulary crosses: between a letter and a mark.
         self.borders = re.compile(rf"(?<=[{LETTERS}])(?=[{marks}])|(?<=[{marks}])(?=[{LETTERS}])") if marks else re.compile(r"(?!)")
 
+    def _slots(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * np.uint64(_STEP) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def found(self, pairs: np.ndarray) -> np.ndarray:
+        """Where pairs of symbols are among the merges; the last place for those that do not merge."""
+        slot = self._slots(pairs)
+        at = self.slots[slot]
+        miss = self.keys[at] != pairs
+        again = self.crowded[slot] & miss
+        at[miss] = len(self.keys) - 1
+        if again.any():
+            place = np.searchsorted(self.keys[:-1], pairs[again])
+            at[again] = np.where(self.keys[place] == pairs[again], place, len(self.keys) - 1)
+        return at
+
     def symbol(self, char: str) -> int:
         return self.ids.get(char, self.n + ord(char))
 
@@ -158,6 +181,19 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + counts, counts)
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they come up; ``fresh`` lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+
 class Dropout:
     """Encodes texts; ``rate`` is the share of candidate merges that are skipped."""
 
@@ -166,13 +202,14 @@ class Dropout:
         self._forget()
 
     def _forget(self) -> None:
-        self.units: dict[str, tuple[int, ...]] = {}  # chunk numbers of each word
+        self.units, self.unit_parts, self.unit_ends = _Numbers(), _Growing("i8"), _Growing("i8")  # chunk numbers of each word
         self.numbers: dict[str, int] = {}
         self.chunks: list[str] = []
-        self.sums, self.long = _Growing("u8"), _Growing("?")  # of each chunk: its symbols' sum, for keys; whether it is long
+        self.sums, self.lengths = _Growing("u8"), _Growing("i8")  # of each chunk: its symbols' sum, for keys; its length
+        self.symbols, self.symbol_ends = _Growing("i4"), _Growing("i8")
         self.plain, self.merges = _Growing("<u4"), _Growing("u8")  # ids without dropout, and the merges that lead there
         self.plain_ends, self.merge_ends = _Growing("i8"), _Growing("i8")
-        for ends in (self.plain_ends, self.merge_ends):
+        for ends in (self.plain_ends, self.merge_ends, self.unit_ends, self.symbol_ends):
             ends.extend(np.zeros(1, np.int64))
 
     def symbol_sums(self, sym: np.ndarray) -> np.ndarray:
@@ -214,52 +251,53 @@ class Dropout:
             offer(a)
         return [s for s in sym if s >= 0]
 
-    def _ranks(self, a: np.ndarray, b: np.ndarray, at: np.ndarray, keys: np.ndarray, drop: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and merged piece of pairs; pairs that do not merge, or are skipped, have the last rank."""
+    def _ranks(self, left: np.ndarray, right: np.ndarray, keys: np.ndarray, drop: bool) -> np.ndarray:
+        """Ranks of pairs of cells; pairs that do not merge, or are skipped, have the last rank."""
         p = self.pieces
-        pair = a << SIDE | b
-        found = np.minimum(np.searchsorted(p.keys, pair), len(p.keys) - 1)
-        ok = (p.keys[found] == pair) & (a >= 0) & (b >= 0)
-        merged = p.merged[found]
+        a, b = (left & _LOW) - 1, (right & _LOW) - 1
+        at = p.found(np.where((a >= 0) & (b >= 0), a << SIDE | b, 0))
+        rank = p.ranks[at]
         if self.limit and drop:
-            ok &= _mixed(keys + (at * 65_537 + merged).astype(np.uint64) * np.uint64(_STEP)) >= np.uint64(self.limit)
-        return np.where(ok, p.ranks[found], p.none), merged
+            some = np.nonzero(rank < p.none)
+            place = ((left >> 32)[some] * 65_537 + p.merged[at[some]]).astype(np.uint64)
+            skipped = _mixed(np.broadcast_to(keys, rank.shape)[some] + place * np.uint64(_STEP)) < np.uint64(self.limit)
+            rank[tuple(x[skipped] for x in some)] = p.none
+        return rank
 
     def side_by_side(self, sym: np.ndarray, key: np.ndarray, made: list | None = None) -> np.ndarray:
         """The agendas of many short parts at once: rows of symbols filled up with -1.
 
         With ``made``, nothing is skipped, and rows and merges of each step are added to it.
         """
-        drop = made is None
+        drop, none = made is None, self.pieces.none
         out, number = np.full_like(sym, -1), np.arange(len(sym))
-        sym = np.concatenate([sym, np.full((len(sym), 1), -1, np.int64)], axis=1)
-        at = np.broadcast_to(np.arange(sym.shape[1]), sym.shape).copy()
-        rank, merged = self._ranks(sym[:, :-1], sym[:, 1:], at[:, :-1], key[:, None], drop)
-        while len(sym):
-            best = rank.argmin(axis=1)
-            line = np.arange(len(sym))
-            on = rank[line, best] < self.pieces.none
+        # a cell holds a symbol's number plus one, and above it its place; the last cell is a filler
+        cells = np.zeros((len(sym), sym.shape[1] + 1), np.int64)
+        cells[:, :-1] = sym + 1
+        cells |= np.arange(cells.shape[1]) << 32
+        rank = self._ranks(cells[:, :-1], cells[:, 1:], key[:, None], drop)
+        while len(cells):
+            best, line, w = rank.argmin(axis=1), np.arange(len(cells)), cells.shape[1]
+            low = rank[line, best]
+            on = low < none
             if not on.all():
-                out[number[~on], : sym.shape[1] - 1] = sym[~on, :-1]
-            sym, at, rank, merged, key, number, best = (x[on] for x in (sym, at, rank, merged, key, number, best))
-            if not len(sym):
-                break
-            line = np.arange(len(sym))
+                out[number[~on], : w - 1] = (cells[~on, :-1] & _LOW) - 1
+                cells, rank, key, number, best, low = (x[on] for x in (cells, rank, key, number, best, low))
+                line = np.arange(len(cells))
+                if not len(cells):
+                    break
+            was = cells[line, best]
+            piece = self.pieces.merged[self.pieces.found((was & _LOW) - 1 << SIDE | (cells[line, best + 1] & _LOW) - 1)]
             if made is not None:
-                made.append((number, at[line, best] * 65_537 + merged[line, best]))
-            sym[line, best] = merged[line, best]
-            w = sym.shape[1]
-            keep = np.arange(w)[None, :] != best[:, None] + 1  # the right side's place goes
-            sym, at = sym[keep].reshape(-1, w - 1), at[keep].reshape(-1, w - 1)
-            # the last place is a filler, so the pair to the right of the best one is there, and goes too
-            rank, merged = rank[keep[:, : w - 1]].reshape(-1, w - 2), merged[keep[:, : w - 1]].reshape(-1, w - 2)
-            for d in (-1, 0):
-                p = best + d
-                inside = (p >= 0) & (p < w - 2)
-                q = np.where(inside, p, 0)
-                fresh, piece = self._ranks(sym[line, q], sym[line, q + 1], at[line, q], key, drop)
-                rank[line, q] = np.where(inside, fresh, rank[line, q])
-                merged[line, q] = np.where(inside, piece, merged[line, q])
+                made.append((number, (was >> 32) * 65_537 + piece))
+            cells[line, best] = was & ~_LOW | piece + 1
+            keep = np.arange(w) != best[:, None] + 1  # the right side's place goes
+            # the filler is never the right side, so the pair to the right of the best one is there, and goes too
+            cells, rank = cells[keep].reshape(-1, w - 1), rank[keep[:, : w - 1]].reshape(-1, w - 2)
+            row, p = np.concatenate([line, line]), np.concatenate([best - 1, best])
+            inside = (p >= 0) & (p < w - 2)
+            row, p = row[inside], p[inside]
+            rank[row, p] = self._ranks(cells[row, p], cells[row, p + 1], key[row], drop)
         return out
 
     def _learn(self, new: list[str]) -> None:
@@ -268,7 +306,7 @@ class Dropout:
         cut = [p.borders.split(" " + unit) for unit in new]
         for part in {part for c in cut for part in c if part not in self.numbers}:
             if len(part) > LONG:  # goes through its agenda at each occurrence
-                self._number([part], self.symbol_sums(p.matrix([part])), _NO_IDS, _ZERO, _NO_MERGES, _ZERO)
+                self._number([part], p.matrix([part]), _NO_IDS, _ZERO, _NO_MERGES, _ZERO)
             else:
                 lots.setdefault(-(-len(part) // 3), []).append(part)
         for lot in lots.values():
@@ -278,15 +316,18 @@ class Dropout:
                 ids, n_ids = p.finish_all(self.side_by_side(sym, np.zeros(len(some), np.uint64), made))
                 row = np.concatenate([_NO_ROWS, *(r for r, _ in made)])
                 merges = np.concatenate([_NO_ROWS, *(c for _, c in made)])[np.argsort(row, kind="stable")]
-                self._number(some, self.symbol_sums(sym), ids, n_ids, merges, np.bincount(row, minlength=len(some)))
-        for unit, c in zip(new, cut, strict=True):
-            self.units[unit] = tuple([self.numbers[part] for part in c])
+                self._number(some, sym, ids, n_ids, merges, np.bincount(row, minlength=len(some)))
+        self.unit_parts.extend(np.fromiter((self.numbers[part] for c in cut for part in c), np.int64))
+        self.unit_ends.extend(self.unit_ends.data[self.unit_ends.n - 1] + np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
 
-    def _number(self, parts: list[str], sums: np.ndarray, ids: np.ndarray, n_ids: np.ndarray, merges: np.ndarray, n_merges: np.ndarray) -> None:
+    def _number(self, parts: list[str], sym: np.ndarray, ids: np.ndarray, n_ids: np.ndarray, merges: np.ndarray, n_merges: np.ndarray) -> None:
         self.numbers.update(zip(parts, range(len(self.chunks), len(self.chunks) + len(parts)), strict=True))
         self.chunks += parts
-        self.sums.extend(sums)
-        self.long.extend(np.fromiter((len(x) > LONG for x in parts), bool, len(parts)))
+        self.sums.extend(self.symbol_sums(sym))
+        valid = sym >= 0
+        self.lengths.extend(valid.sum(axis=1))
+        self.symbol_ends.extend(self.symbols.n + np.cumsum(valid.sum(axis=1)))
+        self.symbols.extend(sym[valid])
         self.plain_ends.extend(self.plain.n + np.cumsum(n_ids))
         self.merge_ends.extend(self.merges.n + np.cumsum(n_merges))
         self.plain.extend(ids)
@@ -297,35 +338,37 @@ class Dropout:
         p = self.pieces
         first, last = self.merge_ends.data[part], self.merge_ends.data[part + 1]
         at, counts = self.plain_ends.data[part], self.plain_ends.data[part + 1] - self.plain_ends.data[part]
-        cut = self.long.data[part]
+        length = self.lengths.data[part]
+        cut = length > LONG
         if self.limit:
             n = last - first
             skipped = _mixed(np.repeat(key, n) + self.merges.data[_spread(first, n)] * np.uint64(_STEP)) < np.uint64(self.limit)
-            cut = cut | (np.bincount(np.repeat(np.arange(len(part)), n)[skipped], minlength=len(part)) > 0)
-        own, sizes, owner = [], [], []
-        lots: dict[int, list[int]] = {}
-        for k in np.flatnonzero(cut).tolist():
-            text = self.chunks[part[k]]
-            if len(text) > LONG:
-                owner.append(k)
-                own.append(np.frombuffer(p.finish(self.agenda(p.matrix([text])[0].tolist(), int(key[k]))), "<u4"))
-                sizes.append([len(own[-1])])
-            else:
-                lots.setdefault(-(-len(text) // 3), []).append(k)
-        for lot in lots.values():
+            cut |= np.bincount(np.repeat(np.arange(len(part)), n)[skipped], minlength=len(part)) > 0
+        kept = self.plain.n  # beyond the memo, the ids of these occurrences lie here for a while
+        rows = np.flatnonzero(cut)
+        rows = rows[np.argsort(length[rows], kind="stable")]
+        short = int(np.searchsorted(length[rows], LONG, side="right"))
+        steps = np.flatnonzero(np.diff((length[rows[:short]] + 2) // 3)) + 1
+        for lot in np.split(rows[:short], steps):
             for a in range(0, len(lot), 8192):
                 some = lot[a : a + 8192]
-                sym = p.matrix([self.chunks[c] for c in part[some].tolist()])
-                ids, n = p.finish_all(self.side_by_side(sym, key[some]))
-                owner += some
-                own.append(ids)
-                sizes.append(n)
-        if owner:
-            n = np.concatenate(sizes)
-            counts[owner] = n
-            at[owner] = self.plain.n + np.cumsum(n) - n
-        pool = np.concatenate([self.plain.data[: self.plain.n], *own])
-        return pool[_spread(at, counts)], counts
+                ids, n = p.finish_all(self.side_by_side(self._matrix(part[some]), key[some]))
+                counts[some], at[some] = n, self.plain.n + np.cumsum(n) - n
+                self.plain.extend(ids)
+        for k in rows[short:].tolist():
+            ids = np.frombuffer(p.finish(self.agenda(self._matrix(part[k : k + 1])[0].tolist(), int(key[k]))), "<u4")
+            counts[k], at[k] = len(ids), self.plain.n
+            self.plain.extend(ids)
+        out = self.plain.data[_spread(at, counts)]
+        self.plain.n = kept
+        return out, counts
+
+    def _matrix(self, part: np.ndarray) -> np.ndarray:
+        """One row of symbols for each chunk, filled up with -1."""
+        n = self.lengths.data[part]
+        out = np.full((len(part), int(n.max())), -1, np.int64)
+        out[np.arange(out.shape[1])[None, :] < n[:, None]] = self.symbols.data[_spread(self.symbol_ends.data[part], n)]
+        return out
 
     def encode(self, texts: list[str], variants: list[int]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; ``variants`` are numbers of the documents."""
@@ -337,8 +380,14 @@ class Dropout:
             if "" in units:
                 units = [c[1:] for c in _RUNS.findall(" " + text)]
             cut.append(units)
-        self._learn(list({u for units in cut for u in units if u not in self.units}))
-        parts = [np.fromiter(chain.from_iterable(map(self.units.__getitem__, units)), np.int64) for units in cut]
+        units = [np.fromiter(map(self.units.__getitem__, c), np.int64, len(c)) for c in cut]
+        if self.units.fresh:
+            self._learn(self.units.fresh)
+            self.units.fresh = []
+        parts = []
+        for u in units:
+            first = self.unit_ends.data[u]
+            parts.append(self.unit_parts.data[_spread(first, self.unit_ends.data[u + 1] - first)])
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         part = np.concatenate([_NO_ROWS, *parts])
         document = np.repeat(_mixed(np.array([v & _MASK for v in variants], np.uint64)), sizes)
