@@ -80,6 +80,11 @@ class FormatSettings:
     time_format: TimeFormat = field(default_factory=TimeFormat)
 
 
+def is_unix(layout: str) -> bool:
+    """Whether a layout's name or directive is one of whole numbers since 1970."""
+    return layout in (*UNIX, *(n for n, _ in UNIX.values()))
+
+
 def plain_number(value: Column) -> Column:
     """A number in its shortest decimal form, never with an exponent."""
     number = value.cast("double")
@@ -317,11 +322,3 @@ def legacy_extract(value: Column, regexp: str = "", preset: str = "", default: s
     else:
         made = extract(filled, regexp, legacy=True) if regexp else filled
     return made, error
-
-
-def legacy_append(value: str, target: str) -> Column:
-    """A constant, or the current time for NOW."""
-    if value == "NOW":
-        return F.current_timestamp()
-    return {"long": to_long, "float": to_float}.get(target, lambda c: c)(F.lit(value))
-

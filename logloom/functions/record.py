@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAP = "map<string,variant>"
@@ -118,16 +118,22 @@ def put_all(record: Column, path: list[str], values: Column) -> Column:
     return put(record, path, F.to_variant_object(merge(child, values)).cast("variant"))
 
 
-def flatten(record: Column, depth: int = 4) -> Column:
-    """(path, kind, value) of all values down to ``depth`` levels; objects come before their members, nulls are left out."""
+def flatten(df: DataFrame, record: str = "rec", keep: list[str] | None = None) -> DataFrame:
+    """A row (path, kind, value) for each value of a record at any depth, beside the columns to keep; nulls are left out.
 
-    def level(entries: Column, left: int) -> Column:
-        rows = F.transform(entries, lambda e: F.struct(e["key"].alias("path"), kind(e["value"]).alias("kind"), F.when(kind(e["value"]) != "object", F.to_json(e["value"])).alias("value"), e["value"].alias("v")))
-        rows = F.filter(rows, lambda r: r["kind"] != "null")
-        plain = F.transform(rows, lambda r: F.struct(r["path"], r["kind"], r["value"]))
-        if left == 0:
-            return plain
-        nested = F.flatten(F.transform(F.filter(rows, lambda r: r["kind"] == "object"), lambda r: F.transform(F.map_entries(as_map(r["v"])), lambda e: F.struct(F.concat(r["path"], F.lit("."), e["key"]).alias("key"), e["value"].alias("value")))))
-        return F.concat(plain, level(nested, left - 1))
+    One step for each level that the data have: the loop ends when a level holds no object.
+    """
+    keep = keep or []
 
-    return F.array_sort(level(F.map_entries(record), depth - 1))
+    def level(rows: DataFrame, entries: Column, path: Column) -> DataFrame:
+        each = rows.select(*keep, *([] if rows is df else ["path"]), F.explode(entries).alias("__key", "__value"))
+        named = each.select(*keep, path.alias("path"), kind(F.col("__value")).alias("kind"), F.col("__value"))
+        return named.where("kind != 'null'")
+
+    rows = level(df, F.col(record), F.col("__key"))
+    shown = lambda rows: rows.select(*keep, "path", "kind", F.when(F.col("kind") != "object", F.to_json("__value")).alias("value"))
+    out = shown(rows)
+    while not (nested := rows.where("kind = 'object'")).isEmpty():
+        rows = level(nested, as_map(F.col("__value")), F.concat("path", F.lit("."), "__key"))
+        out = out.unionByName(shown(rows))
+    return out

@@ -16,6 +16,7 @@ from ..functions import record as R
 from ..operators import prefilters
 from ..operators.parsers import PreExtract, geoip
 from ..operators.transforms import change, fuse, fused
+from . import legacy
 from .convert import to_transforms
 from .settings import Task, TransformSettings, load
 
@@ -41,6 +42,7 @@ def _used_pieces(settings: TransformSettings, rule: PreExtract) -> set[str] | No
 
 def _parse(df: DataFrame, group: list[PreExtract], settings: TransformSettings) -> DataFrame:
     """One field's parsers: the first that gives something wins, the last one's failure is the error."""
+    before = df.columns
     rule, rec = group[0], F.col("rec")
     path = R.split_path(rule.field)
     value = R.get(rec, path)
@@ -78,7 +80,7 @@ def _parse(df: DataFrame, group: list[PreExtract], settings: TransformSettings)
     changed = F.when(ok & there & error.isNull(), F.when(overwrite, replaced).otherwise(merged)).otherwise(rec)
     first = F.coalesce(error, F.col("err")) if settings.skip_extract_error else F.coalesce(F.col("err"), error)
     df = df.withColumn("__rec", changed).withColumn("__err", first)
-    extra = [c for c in df.columns if c.startswith("__")]
+    extra = [c for c in df.columns if c not in before]
     return df.withColumn("rec", F.col("__rec")).withColumn("err", F.col("__err")).drop(*extra)
 
 
@@ -94,6 +96,7 @@ def _locate(df: DataFrame, rule: PreExtract, ranges: DataFrame | None) -> DataFr
 
 def _edit(df: DataFrame, settings: TransformSettings, dictionaries: dict) -> DataFrame:
     ok = F.col("err").isNull() | F.lit(settings.skip_extract_error)
+    before = df.columns
     for run in fuse(settings.fields_transform):
         if len(run) > 1:
             df = df.withColumn("rec", F.when(ok, fused(F.col("rec"), run)).otherwise(F.col("rec")))
@@ -101,13 +104,18 @@ def _edit(df: DataFrame, settings: TransformSettings, dictionaries: dict) -> Dat
         df, record, error = change(df, run[0], dictionaries)
         err = F.coalesce(error, F.col("err")) if settings.skip_extract_error else F.coalesce(F.col("err"), error)
         df = df.withColumns({"rec": F.when(ok, record).otherwise(F.col("rec")), "err": err})
-        df = df.drop(*(c for c in df.columns if c.startswith("__")))
+        df = df.drop(*(c for c in df.columns if c not in before))
     return df
 
 
-def compile_settings(config: str | dict | TransformSettings, dictionaries: dict | None = None, ranges: DataFrame | None = None, raw: str = "raw", statuses: bool = False) -> Callable[[DataFrame], DataFrame]:
-    """A function from a DataFrame with a text (or, for compressed messages, binary) column to one with ``rec`` and ``err``."""
-    settings = to_transforms(config if isinstance(config, TransformSettings) else load(config))
+def compile_settings(config: str | dict | TransformSettings, dictionaries: dict | None = None, ranges: DataFrame | None = None, raw: str = "raw", statuses: bool = False, version: str = "log_transform") -> Callable[[DataFrame], DataFrame]:
+    """A function from a DataFrame with a text (or, for compressed messages, binary) column to one with ``rec`` and ``err``.
+
+    Field rules of the older versions run as those engines ran them; ``log_transform`` converts them to transforms.
+    """
+    settings = config if isinstance(config, TransformSettings) else load(config)
+    old = version in legacy.VERSIONS and bool(settings.fields)
+    settings = settings if old else to_transforms(settings)
 
     def plan(df: DataFrame) -> DataFrame:
         df.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
@@ -128,11 +136,11 @@ def compile_settings(config: str | dict | TransformSettings, dictionaries: dict
                 good = prefilters.keeps_record(F.col("rec"), f)
                 df = df.withColumn("status", F.when(F.col("status").isNull() & ~good, "filtered").otherwise(F.col("status"))) if statuses else df.where(good)
         keys = [k for k in settings.prefix_match if k]
-        if keys:
+        if keys and not (old and version == ""):  # the oldest engine prunes by level
             df = df.withColumn("rec", F.map_filter("rec", lambda k, _: k.isin(keys)))
         for group in _parser_groups(settings.pre_extract):
             df = _locate(df, group[0], ranges) if group[0].mode == "geoip" else _parse(df, group, settings)
-        df = _edit(df, settings, dictionaries or {})
+        df = legacy.edit(df, settings, version) if old else _edit(df, settings, dictionaries or {})
         if settings.skip_extract_error:
             tagged = F.map_concat(R.without(F.col("rec"), [FAILURE]), F.create_map(F.lit(FAILURE), F.col("err").cast("variant")))
             df = df.withColumn("rec", F.when(F.col("rec").isNotNull() & F.col("err").isNotNull(), tagged).otherwise(F.col("rec")))
@@ -150,17 +158,8 @@ def compile_settings(config: str | dict | TransformSettings, dictionaries: dict
 
 
 def compile_task(task: Task, **options) -> Callable[[DataFrame], DataFrame]:
-    """The plan of a task; tasks of the oldest engine keep declared keys only."""
-    plan = compile_settings(task.settings, **options)
-    if task.version in ("log_prune", "log_prune_v2", "log_transform"):
-        return plan
-    declared = sorted({f.get("key", "").split(".")[0] for f in task.settings.fields if f.get("rule_type") in ("submatch", "append", "graft")})
-
-    def only_declared(df: DataFrame) -> DataFrame:
-        out = plan(df)
-        return out.withColumn("rec", F.transform_keys(F.map_filter("rec", lambda k, _: k.isin(declared)), lambda k, _: F.replace(k, F.lit("."), F.lit("_")))) if declared else out
-
-    return only_declared
+    """The plan of a task, by the engine that its version names."""
+    return compile_settings(task.settings, version=task.version, **options)
 
 
 def project(df: DataFrame, columns: dict[str, tuple[str, str]], keep: list[str] | None = None) -> DataFrame:

@@ -18,7 +18,8 @@ from .operators import prefilters as P
 from .operators.parsers import geoip
 from .operators.transforms import with_dictionary
 from .plans.catalog import SECTIONS, catalog
-from .plans.compile import compile_settings, expand_json_strings, project, prune_levels, prune_nulls
+from .plans.compile import compile_settings, compile_task, expand_json_strings, project, prune_levels, prune_nulls
+from .plans.settings import load_task
 from .sinks.partitions import expired, name_at, partition_name
 from .sources.messages import drop_share_by_key
 from .streaming.correlate import correlate_batch
@@ -172,8 +173,8 @@ def expand_nested_json(spark, sf_dir):
 @query("""SELECT path, kind, count(*) AS n FROM (SELECT unnest(['cust', 'info', 'info.price', 'info.priority', 'info.status']) AS path,
 unnest(['string', 'object', 'number', 'string', 'string']) AS kind FROM orders) GROUP BY ALL""")
 def flatten_paths(spark, sf_dir):
-    rows = order_json(spark, sf_dir).select(F.explode(R.flatten(R.decode(F.col("raw")))).alias("e"))
-    return rows.groupBy(F.col("e.path").alias("path"), F.col("e.kind").alias("kind")).agg(F.count("*").alias("n"))
+    rows = R.flatten(order_json(spark, sf_dir).select(R.decode(F.col("raw")).alias("rec")))
+    return rows.groupBy("path", "kind").agg(F.count("*").alias("n"))
 
 
 # ---- parsers -----------------------------------------------------------------------------------
@@ -346,7 +347,7 @@ def transform_skip_errors(spark, sf_dir):
 @query("SELECT n_nationkey, coalesce(CASE WHEN r_regionkey < 3 THEN r_name END, '') AS region_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
 def transform_label_mapping(spark, sf_dir):
     """A small dictionary as part of the plan; missing keys give empty texts."""
-    known = {f"region={r.r_regionkey}": {"region_name": r.r_name} for r in table(spark, sf_dir, "region").where("r_regionkey < 3").limit(100).collect()}
+    known = {f"region={r.r_regionkey}": {"region_name": r.r_name} for r in table(spark, sf_dir, "region").where("r_regionkey < 3").collect()}
     rows = table(spark, sf_dir, "nation").select("n_nationkey", F.to_json(F.struct(F.col("n_regionkey").cast("string").alias("region"))).alias("raw"))
     rule = {"rule_type": "append", "append_settings": {"append_type": "label_mapping", "label_mapping": {"schema_id": 1, "parent_field": "__root__", "srcs": ["region"], "dsts": ["region_name"]}}}
     return project(compile_settings({"fields_transform": [rule]}, dictionaries={1: known})(rows), {"region_name": ("region_name", "string")}, ["n_nationkey"])
@@ -374,6 +375,68 @@ def legacy_rules(spark, sf_dir):
     return project(made, {"number": ("number", "bigint"), "state": ("info.state", "string"), "added": ("added", "string")}, ["o_orderkey"])
 
 
+def _old_task(version, fields, **settings):
+    return compile_task(load_task({"id": 1, "data_source_id": 1, "settings": {"version": version, "json_settings": {"fields": fields, **settings}}}))
+
+
+def _old_orders(spark, sf_dir):
+    """Orders with an object as text, a field that is null or blank in part, and a price that some lack."""
+    o = table(spark, sf_dir, "orders")
+    note = F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).when(F.col("o_orderkey") % 3 == 1, F.lit("")).otherwise(F.concat(F.lit(" \t"), "o_orderpriority", F.lit(" ")))
+    price = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice").cast("double"))
+    inner = F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_custkey").alias("code.no")).alias("deep"))
+    raw = F.concat(F.lit('{"note":'), F.coalesce(F.to_json(F.struct(note.alias("n"))).substr(6, 1000), F.lit("null}")))
+    raw = F.when(note.isNull(), F.lit('{"note":null')).otherwise(F.regexp_replace(raw, r"\}$", ""))
+    rest = F.to_json(F.struct(F.concat(F.lit("cust="), "o_custkey").alias("cust"), F.to_json(inner).alias("info"), F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("prio")).alias("more"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("at"), price.alias("price")))
+    return o.select("o_orderkey", F.concat(raw, F.lit(","), rest.substr(2, 100_000)).alias("raw"))
+
+
+@query("""SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS number, o_orderstatus AS status, CAST(o_custkey AS BIGINT) AS code,
+CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority ELSE 'none' END AS note, CAST(o_totalprice AS DOUBLE) AS price, CAST(7 AS BIGINT) AS seven FROM orders WHERE o_orderkey % 5 <> 0""")
+def legacy_extract_task(spark, sf_dir):
+    """The oldest engine: declared keys through objects in texts, defaults for null and blank values, a required price."""
+    fields = [
+        {"rule_type": "submatch", "origin_field": "cust", "key": "number", "value_type": "long", "extention": {"regexp": r"(\d+)"}},
+        {"rule_type": "submatch", "origin_field": "info.status", "key": "status", "value_type": "text", "extention": {"regexp": "(.*)"}},
+        {"rule_type": "submatch", "origin_field": "info.deep.code_no", "key": "code", "value_type": "long", "extention": {"regexp": "(.*)"}},
+        {"rule_type": "submatch", "origin_field": "note", "key": "note", "value_type": "text", "extention": {"preset_filter": "allmatch", "default_value": "none"}},
+        {"rule_type": "submatch", "origin_field": "price", "key": "price", "value_type": "float", "required": True, "extention": {"regexp": "(.*)"}},
+        {"rule_type": "append", "key": "seven", "value_type": "long", "extention": {"append_value": "7"}},
+    ]
+    made = _old_task("", fields, prefix_match=["cust", "info.status", "info.deep", "note", "price"])(_old_orders(spark, sf_dir))
+    return project(made, {"number": ("number", "bigint"), "status": ("status", "string"), "code": ("code", "bigint"), "note": ("note", "string"), "price": ("price", "double"), "seven": ("seven", "bigint")}, ["o_orderkey"])
+
+
+@query("""SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS number, o_orderstatus AS state, CASE o_orderkey % 3 WHEN 1 THEN 'blank' WHEN 2 THEN o_orderpriority END AS note,
+'v' AS added, FALSE AS others FROM orders WHERE o_orderkey % 5 <> 0""")
+def legacy_prune_task(spark, sf_dir):
+    """The first pruning engine: nulls go, values move, emptied objects go, and records without a price are dropped."""
+    fields = [
+        {"rule_type": "submatch", "origin_field": "cust", "key": "number", "value_type": "long", "extention": {"regexp": r"(\d+)"}},
+        {"rule_type": "submatch", "origin_field": "note", "key": "note", "value_type": "text", "extention": {"preset_filter": "allmatch", "default_value": "blank"}},
+        {"rule_type": "graft", "origin_field": "more.status", "key": "state"},
+        {"rule_type": "remove", "origin_field": "more.prio"},
+        {"rule_type": "submatch", "origin_field": "price", "key": "price", "value_type": "float", "required": True, "extention": {"regexp": "(.*)"}},
+        {"rule_type": "append", "key": "added", "value_type": "text", "extention": {"append_value": "v"}},
+    ]
+    made = _old_task("log_prune", fields, prefix_match=["cust", "note", "more", "price"])(_old_orders(spark, sf_dir))
+    others = R.has(F.col("rec"), "more") | R.has(F.col("rec"), "cust") | R.has(F.col("rec"), "at")
+    shown = project(made.withColumn("others", others), {"number": ("number", "bigint"), "state": ("state", "string"), "note": ("note", "string"), "added": ("added", "string")}, ["o_orderkey", "others"])
+    return shown.select("o_orderkey", "number", "state", "note", "added", "others")
+
+
+@query("""SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS prio, epoch_us(date_trunc('second', o_orderdate)) AS at FROM orders""")
+def legacy_prune_v2_task(spark, sf_dir):
+    """The second pruning engine: an object joins the root, and seconds become a date."""
+    fields = [
+        {"rule_type": "graft", "origin_field": "more", "key": "__root__"},
+        {"rule_type": "submatch", "origin_field": "at", "key": "at", "value_type": "date", "extention": {"regexp": "(.*)", "date_format": "unix"}},
+    ]
+    made = _old_task("log_prune_v2", fields)(_old_orders(spark, sf_dir)).where(~R.has(F.col("rec"), "more"))
+    shown = project(made, {"status": ("status", "string"), "prio": ("prio", "string"), "at": ("at", "timestamp")}, ["o_orderkey"])
+    return shown.withColumn("at", F.unix_micros("at"))
+
+
 # ---- scalar formats ----------------------------------------------------------------------------
 
 _TEXTS = ["12", "-7", "+3", " 12 ", "1.5", "", "x9", "9223372036854775808", "1e3", "-0.25", ".5", "1.5d", "0x1f"]
@@ -445,6 +508,15 @@ def detect_timestamps(spark, sf_dir):
     return rows.select("o_orderkey", M.detect_timestamp(text).alias("found"))
 
 
+@query("""SELECT event_id, CASE event_id % 5 WHEN 4 THEN 0 ELSE CAST(epoch(date_trunc('second', ts)) AS BIGINT) END AS found FROM events""")
+def detect_event_times(spark, sf_dir):
+    """Times of all events in four forms; those of the last form are no times."""
+    at = F.col("ts").cast("timestamp")
+    shapes = [F.unix_seconds(at).cast("string"), F.unix_millis(at).cast("string"), F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.date_format(at, "dd/MMM/yyyy:HH:mm:ss"), F.date_format(at, "yyyy-MM-dd")]
+    text = F.element_at(F.array(*shapes), (1 + F.col("event_id") % 5).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", M.detect_timestamp(text).alias("found"))
+
+
 @query("SELECT c_custkey, trim(c_name) AS filled, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE '' END AS digits FROM customer")
 def legacy_formats(spark, sf_dir):
     name = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" \t"), "c_name", F.lit("\n"))).otherwise(F.col("c_name"))
