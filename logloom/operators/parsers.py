@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import record as R
@@ -275,15 +275,22 @@ def geoip(df: DataFrame, address: str, ranges: DataFrame, small_rows: int = 200_
     """
     known = [c for c in ranges.columns if c not in ("ip_from", "ip_to")]
     upper = lambda c: F.shiftright(c, 16)
-    cut = ranges.select(F.explode(F.sequence(upper(F.col("ip_from")), upper(F.col("ip_to")))).alias("__half"), F.struct(F.col("ip_from"), F.col("ip_to"), *known).alias("__range"))
+    halves = ranges.select(F.explode(F.sequence(upper(F.col("ip_from")), upper(F.col("ip_to")))).alias("__half"), F.struct(F.col("ip_from"), F.col("ip_to"), *known).alias("__range"))
+    first = F.shiftleft(F.col("__half").cast("long"), 16)
+    halves = halves.withColumns({"__low": F.greatest(F.col("__range.ip_from"), first), "__high": F.least(F.col("__range.ip_to"), first + 65_535)})
+    # where ranges overlap, each stretch between two borders belongs to the narrowest, so that an address has one place
+    borders = halves.select("__half", F.explode(F.array("__low", F.col("__high") + 1)).alias("__from")).distinct()
+    stretches = borders.withColumn("__to", F.lead("__from").over(Window.partitionBy("__half").orderBy("__from")) - 1).where("__to IS NOT NULL")
+    width = F.struct(F.col("__range.ip_to") - F.col("__range.ip_from"), F.col("__range.ip_from"), F.to_json("__range"))
+    cut = stretches.join(halves, "__half").where("__from BETWEEN __low AND __high").groupBy("__half", "__from", "__to").agg(F.min_by("__range", width).alias("__range"))
     if cut.limit(small_rows + 1).count() <= small_rows:
         cut = F.broadcast(cut)
     number = ip_number(F.col(address))
     rows = df.withColumn("__ip", F.when(is_public(number), number)).withColumn("__half", upper(F.col("__ip")))
-    inside = (rows["__half"] == cut["__half"]) & rows["__ip"].between(cut["__range.ip_from"], cut["__range.ip_to"])
+    inside = (rows["__half"] == cut["__half"]) & rows["__ip"].between(cut["__from"], cut["__to"])
     joined = rows.join(cut, inside, "left").drop(cut["__half"])
     place = [F.col(f"__range.{c}").alias(c) for c in known]
     if {"latitude", "longitude"} <= set(known):
         place.append(F.struct(F.col("__range.latitude").alias("lat"), F.col("__range.longitude").alias("lon")).alias("location"))
     found = F.when(F.col("__range").isNotNull(), F.struct(F.col(address).alias("ip"), *place))
-    return joined.withColumn("geoip", found).drop("__ip", "__half", "__range")
+    return joined.withColumn("geoip", found).drop("__ip", "__half", "__range", "__from", "__to")

@@ -167,9 +167,9 @@ def fused(rec: Column, rules: list[Transform]) -> Column:
 def with_dictionary(df, dictionary, srcs: list[str], dsts: list[str], record: str = "rec", small_rows: int = 100_000):
     """Large dictionaries: a left join on the key, broadcast if the dictionary has few rows; misses give empty texts.
 
-    ``dictionary`` has src_key and dst (a map of texts).
+    ``dictionary`` has src_key and dst (a map of texts); of rows that repeat a key the one whose text comes first counts.
     """
-    looked = dictionary.select(F.col("src_key").alias("__src"), F.col("dst").alias("__dst"))
+    looked = dictionary.groupBy(F.col("src_key").alias("__src")).agg(F.min_by("dst", F.to_json("dst")).alias("__dst"))
     if looked.limit(small_rows + 1).count() <= small_rows:
         looked = F.broadcast(looked)
     keyed = df.withColumn("__src", dictionary_key(F.col(record), srcs)).join(looked, "__src", "left")

@@ -27,6 +27,10 @@ class KafkaSource:
     secret: str = ""
     truststore: str = ""
     keystore: str = ""
+    truststore_password: str = ""
+    keystore_password: str = ""
+    #: Whether the login of "sasl_plain" travels over TLS.
+    encrypted: bool = True
     per_trigger: int = 0
 
     def __post_init__(self):
@@ -52,9 +56,12 @@ class KafkaSource:
             out["maxOffsetsPerTrigger"] = str(self.per_trigger)
         if self.security == "ssl":
             out |= {"kafka.security.protocol": "SSL", "kafka.ssl.truststore.location": self.truststore, "kafka.ssl.keystore.location": self.keystore}
+            stores = {"kafka.ssl.truststore.password": self.truststore_password, "kafka.ssl.keystore.password": self.keystore_password}
+            out |= {name: value for name, value in stores.items() if value}
         if self.security == "sasl_plain":
-            login = f'org.apache.kafka.common.security.plain.PlainLoginModule required username="{self.user}" password="{self.secret}";'
-            out |= {"kafka.security.protocol": "SASL_PLAINTEXT", "kafka.sasl.mechanism": "PLAIN", "kafka.sasl.jaas.config": login}
+            user, secret = (x.replace("\\", "\\\\").replace('"', '\\"') for x in (self.user, self.secret))
+            login = f'org.apache.kafka.common.security.plain.PlainLoginModule required username="{user}" password="{secret}";'
+            out |= {"kafka.security.protocol": "SASL_SSL" if self.encrypted else "SASL_PLAINTEXT", "kafka.sasl.mechanism": "PLAIN", "kafka.sasl.jaas.config": login}
         return out
 
     def stream(self, spark: SparkSession) -> DataFrame:

@@ -79,6 +79,7 @@ class Correlator(StatefulProcessor):
             self.request.clear()
         else:
             self.request.update(tuple(request))
+            self.handle.registerTimer(request[1] + self.window * 1000 + 1)
         if waiting:
             self.waiting.put(waiting)
             self.handle.registerTimer(max(m for m, _ in waiting) + self.patience * 1000)
@@ -87,6 +88,8 @@ class Correlator(StatefulProcessor):
         yield pd.DataFrame(out, columns=[c.split()[0] for c in MERGED.split(", ")])
 
     def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
+        if self.request.exists() and self.request.get()[1] + self.window * 1000 < expired.getExpiryTimeInMs():
+            self.request.clear()
         left = [tuple(w) for w in self.waiting.get() if w[0] + self.patience * 1000 > expired.getExpiryTimeInMs()]
         if left:
             self.waiting.put(left)

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from logloom.functions import formats as M
 from logloom.functions import record as R
 from logloom.plans.compile import compile_settings, compile_task
+from logloom.operators.parsers import geoip
+from logloom.operators.transforms import with_dictionary
 from logloom.plans.settings import load_task
+from logloom.sources.messages import KafkaSource
 
 
 def rule(origin, key, kind="text", required=False, **more):
@@ -70,3 +73,21 @@ def test_own_columns_stay(spark):
     df = spark.createDataFrame([('{"a":"k=1","b":"x"}', "mine")], "raw string, __src string")
     made = compile_settings({"pre_extract": [{"mode": "key_value", "field": "a", "format": "{}"}], "fields_transform": [{"rule_type": "format", "origin_field": "b", "target_type": "text", "format_settings": {"format_type": "allmatch"}}]})(df)
     assert made.select("__src").first()[0] == "mine" and set(made.columns) == {"raw", "__src", "rec", "err"}
+
+
+def test_an_address_has_one_place(spark):
+    ranges = spark.createDataFrame([(16777216, 16843007, "wide"), (16777472, 16777727, "narrow"), (16777472, 16777727, "narrow"), (33554432, 33554433, "two")], "ip_from long, ip_to long, country string")
+    df = spark.createDataFrame([("1.0.0.5",), ("1.0.1.7",), ("1.0.2.0",), ("2.0.0.1",), ("2.0.0.2",), ("10.0.0.1",), (None,)], "a string")
+    rows = geoip(df, "a", ranges).collect()
+    assert sorted((r.a or "", r.geoip.country if r.geoip else "") for r in rows) == [("", ""), ("1.0.0.5", "wide"), ("1.0.1.7", "narrow"), ("1.0.2.0", "wide"), ("10.0.0.1", ""), ("2.0.0.1", "two"), ("2.0.0.2", "")]
+
+
+def test_repeated_dictionary_keys_do_not_multiply_rows(spark):
+    dictionary = spark.createDataFrame([("k=1", {"v": "b"}), ("k=1", {"v": "a"}), ("k=2", {"v": "c"})], "src_key string, dst map<string,string>")
+    df = spark.createDataFrame([('{"k":"1"}',), ('{"k":"3"}',)], "raw string").withColumn("rec", R.decode(F.col("raw")))
+    assert sorted(r.j for r in with_dictionary(df, dictionary, ["k"], ["v"]).select(R.encode(F.col("rec")).alias("j")).collect()) == ['{"k":"1","v":"a"}', '{"k":"3","v":""}']
+
+
+def test_logins_are_escaped_and_encrypted():
+    out = KafkaSource(["b:9092"], ["t"], security="sasl_plain", user='a"b', secret="c\\d").options()
+    assert out["kafka.security.protocol"] == "SASL_SSL" and 'username="a\\"b" password="c\\\\d";' in out["kafka.sasl.jaas.config"]
