@@ -184,6 +184,17 @@ def test_neighbours_recall(spark):
         assert len(got) == sum(map(len, want.values()))
 
 
+def test_exact_neighbours_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(hilbert_ann, "CHUNK_ROWS", 300)
+    monkeypatch.setattr(hilbert_ann, "CHUNK_QUERIES", 7)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    ids, v = [r.vec_id for r in rows], np.array([r.embedding for r in rows], dtype=float)
+    got = hilbert_ann.nearest(df.unionByName(df.where("vec_id % 10 = 0")), F.col("vec_id") % 50 == 0, exact=True).orderBy("query_id", "rank").collect()
+    want = _exact(ids, v, [i for i in ids if i % 50 == 0], 5)
+    assert [(r.query_id, r.vec_id) for r in got] == [(q, i) for q in sorted(want) for i in want[q]]
+
+
 def test_neighbours_of_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [0.0, 5.0]), (3, [-1.0, 0.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (None, [1.0, 0.0]), (50, [1e-300, 1e-300]), (100, [nan, 0.0]), (9, [1.0, 2.0, 3.0])]
