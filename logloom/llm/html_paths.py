@@ -293,7 +293,7 @@ def _article_shares(page: _Page, blocks: list, fused: np.ndarray) -> np.ndarray:
     at = np.array([top[b[0]] for b in blocks])
     mass = np.bincount(at + 1, weights=fused, minlength=len(page.tags) + 1)
     most = mass[1:].max(initial=0)
-    return np.where((at >= 0) & (most > 0), mass[at + 1] / max(most, 1e-300), 1.0)
+    return np.where(at >= 0, mass[at + 1] / most, 1.0) if most > 0 else np.ones(len(blocks))
 
 
 def main_text(source: str | None) -> str:

@@ -144,3 +144,22 @@ def test_exchanges_save_bins():
     lengths = sorted([60, 60, 60, 50, 50, 40, 40, 40, 30, 30, 20, 20], reverse=True)
     bins = packing._Exchange(packing.best_fit(lengths, 100), lengths, 100).run()
     assert sorted(k for b in bins for k in b) == list(range(len(lengths))) and len(bins) == 5 and all(sum(lengths[k] for k in b) <= 100 for b in bins)
+
+
+def test_repeated_and_null_ids_give_a_row_each(spark):
+    """Rows that repeat a doc_id, with the same text or another, and rows without one are all there once, with their own values."""
+    rows = [(1, "one two three"), (1, "one two three"), (1, "another text altogether"), (None, "no id"), (None, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = {t: library_ids({0: t or ""}, "word_bpe_49k.json")[0] for _, t in rows}
+    sums = lambda end: sorted(((i or -1), zlib.crc32(u32(ids[t] + [end]))) for i, t in rows)
+    files = zstd_frames.token_files(docs).collect()
+    assert sorted(((r.doc_id or -1), r.ids_crc32) for r in files) == sums(2)
+    ordered = sorted((r.start, r.n_tokens) for r in files)
+    assert [s for s, _ in ordered] == [sum(n for _, n in ordered[:k]) for k in range(len(ordered))]
+    packed = packing.pack_documents(docs).collect()
+    assert sorted(((r.doc_id or -1), r.ids_crc32) for r in packed) == sums(0) and len({(r.sequence_id, r.offset) for r in packed}) == len(rows)
+    counts = library_ids({k: t or "" for k, (_, t) in enumerate(rows)}, "byte_bpe_50k.json")
+    assert sorted(((r.doc_id or -1), r.n_tokens) for r in token_cache.count_tokens(docs).collect()) == sorted(((i or -1), len(counts[k])) for k, (i, _) in enumerate(rows))
+    media = sorted(((r.doc_id or -1), r.n_bytes) for r in progressive_jpeg.media_features(docs).collect())
+    decoded = sorted(((r.doc_id or -1), r.n_bytes) for r in merge_dropout.encode_and_decode(docs).collect())
+    assert media == decoded == sorted(((i or -1), len((t or "").encode())) for i, t in rows)
