@@ -83,11 +83,9 @@ def appended(rule: dict) -> tuple[Column, Column]:
     return read_field(rule | {"extention": (rule.get("extention") or {}) | {"regexp": ALL, "preset_filter": ""}}, R.variant(F.lit(value)))
 
 
-def _opened(value: Column) -> Column:
-    """A value as a map with "_" for "." in its keys; texts that hold JSON objects as those objects."""
-    parsed = F.when((R.kind(value) == "string") & R.text(value).contains("{"), F.try_parse_json(R.text(value)))
-    inner = F.coalesce(R.as_map(value), R.as_map(parsed))
-    return F.transform_keys(inner, lambda k, _: F.replace(k, F.lit("."), F.lit("_")))
+def _named(entries: Column) -> Column:
+    """A map with "_" for "." in its keys."""
+    return F.transform_keys(entries, lambda k, _: F.replace(k, F.lit("."), F.lit("_")))
 
 
 def _levels(prefixes: list[str]) -> list[set[str]]:
@@ -102,12 +100,22 @@ def _levels(prefixes: list[str]) -> list[set[str]]:
     return out
 
 
-def _walk(record: Column, path: list[str]) -> tuple[Column, Column]:
-    """The value at a path through objects and texts that hold objects, and whether there is one, null too."""
-    at = F.transform_keys(record, lambda k, _: F.replace(k, F.lit("."), F.lit("_")))
-    for part in path[:-1]:
-        at = _opened(F.try_element_at(at, F.lit(part)))
-    return F.try_element_at(at, F.lit(path[-1])), F.coalesce(F.map_contains_key(at, F.lit(path[-1])), F.lit(False))
+def _open(df: DataFrame, path: list[str], opened: dict[tuple, str]) -> DataFrame:
+    """Columns of the objects that a path goes through, texts that hold JSON objects among them; each object is opened once,
+    in steps that Catalyst keeps apart, so that no expression repeats another."""
+    for n in range(len(path)):
+        prefix = tuple(path[:n])
+        if prefix in opened:
+            continue
+        name = opened[prefix] = f"__legacy_object{len(opened)}"
+        if not prefix:
+            df = df.withColumn(name, _named(F.col("rec")))
+            continue
+        df = df.withColumn("__legacy_at", F.try_element_at(F.col(opened[prefix[:-1]]), F.lit(prefix[-1])))
+        df = df.withColumn("__legacy_text", F.when(R.kind(F.col("__legacy_at")) == "string", R.text(F.col("__legacy_at"))))
+        df = df.withColumn("__legacy_parsed", F.when(F.col("__legacy_text").contains("{"), F.try_parse_json("__legacy_text")))
+        df = df.withColumn(name, _named(F.coalesce(R.as_map(F.col("__legacy_at")), R.as_map(F.col("__legacy_parsed"))))).drop("__legacy_at", "__legacy_text", "__legacy_parsed")
+    return df
 
 
 def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -116,7 +124,7 @@ def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def extract(df: DataFrame, settings: TransformSettings) -> DataFrame:
     """``rec`` with the declared keys, and ``err``."""
-    levels, values, errors = _levels(settings.prefix_match), {}, {}
+    levels, values, errors, opened, inputs = _levels(settings.prefix_match), {}, {}, {}, {}
     for k, rule in enumerate(settings.fields):
         if (rule.get("rule_type") or "") == "append":
             made, error = appended(rule)
@@ -125,17 +133,20 @@ def extract(df: DataFrame, settings: TransformSettings) -> DataFrame:
             if path == [""] or any(level < len(levels) and levels[level] and part not in levels[level] for level, part in enumerate(path)):
                 made, error = F.lit(None).cast("variant"), F.lit(None).cast("string")
             else:
-                value, there = _walk(F.col("rec"), path)
-                made, error = (F.when(there, c) for c in read_field(rule, value))
+                df = _open(df, path, opened)
+                parent = F.col(opened[tuple(path[:-1])])
+                inputs[f"__legacy_in{k}"] = F.try_element_at(parent, F.lit(path[-1]))
+                inputs[f"__legacy_there{k}"] = F.coalesce(F.map_contains_key(parent, F.lit(path[-1])), F.lit(False))
+                made, error = (F.when(F.col(f"__legacy_there{k}"), c) for c in read_field(rule, F.col(f"__legacy_in{k}")))
         values[f"__legacy_value{k}"], errors[f"__legacy_error{k}"] = made, error
-    df = _computed(df, values | errors)
+    df = _computed(_computed(df, inputs), values | errors)
     pairs = [F.create_map(F.lit(rule.get("key") or ""), F.col(f"__legacy_value{k}")) for k, rule in enumerate(settings.fields)]
     made = F.map_filter(F.map_concat(R.empty(), *pairs), lambda _, v: v.isNotNull())
     needed = {rule.get("key") or "" for rule in settings.fields if rule.get("required") or rule.get("system_required")}
     got = sum((F.col(f"__legacy_value{k}").isNotNull().cast("int") for k, rule in enumerate(settings.fields) if (rule.get("key") or "") in needed), F.lit(0))
     short = F.when(got < len(needed), "one or more required fields missing")
     bad = F.coalesce(F.col("err"), *errors, short)
-    return df.withColumns({"err": bad, "rec": F.when(bad.isNull(), made).otherwise(F.col("rec"))}).drop(*values, *errors)
+    return df.withColumns({"err": bad, "rec": F.when(bad.isNull(), made).otherwise(F.col("rec"))}).drop(*values, *errors, *inputs, *opened.values())
 
 
 def prune(df: DataFrame, settings: TransformSettings) -> DataFrame:
