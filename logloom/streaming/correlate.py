@@ -1,8 +1,10 @@
 """Request and response correlation, as a join over tables and as keyed state over streams.
 
-A response belongs to a request of the same key (request number and host) that is no older than ``window`` seconds.  A request is
-consumed by its response, but for function numbers that are answered many times.  Responses without a request wait for
-``patience`` seconds of event time and are then discarded.
+A response belongs to the last request of the same key (request number and host) before it, if that is no older than ``window`` seconds.  A request
+is consumed by its first response whose function number is not one of those that are answered many times.  Responses without a request wait
+for ``patience`` seconds of event time and are then discarded.
+
+Events need the columns of ``COLUMNS``; those of ``OPTIONAL`` may be absent, null or empty.  Events with a null in their key or date find no partner.
 """
 
 from __future__ import annotations
@@ -10,92 +12,162 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.window import Window
 
-#: Functions whose requests have many responses.
+#: Functions whose requests have many responses, the function whose account may stand in its request's table, and names a table can't set.
 ANSWERED_OFTEN = ("111", "112", "113")
+ACCOUNT_FUNCTION, ACCOUNT_FIELD = "28017", "account_content"
+RESERVED = ("date", "agent_hostname", "req_no", "func_no", "type", "tag", "data", "fund_account", "error_no", "error_info")
+
 WINDOW_SECONDS, PATIENCE_SECONDS = 3600, 300
 COLUMNS = "type string, agent_hostname string, req_no string, func_no string, date timestamp, data string"
-MERGED = "agent_hostname string, req_no string, func_no string, request_time timestamp, response_time timestamp, elapsed_ms long, request_data string, response_data string"
+OPTIONAL = "fund_account string, error_no string, error_info string, tag string"
+PAIRED = (
+    "agent_hostname string, req_no string, func_no string, request_time timestamp, response_time timestamp, elapsed_ms long, fund_account string, "
+    "error_no string, error_info string, request_tag string, request_data string, response_tag string, response_data string"
+)
+MERGED = f"{PAIRED}, fields map<string,string>"
+
+
+def names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
 
+def completed(events: DataFrame) -> DataFrame:
+    """The columns of an event and no others; optional ones are null where they are absent."""
+    return events.select(*names(COLUMNS), *(F.col(c) if c in events.columns else F.lit(None).cast("string").alias(c) for c in names(OPTIONAL)))
 
-def merged(request: str, response: str) -> list:
-    """The merged document's columns, from struct columns."""
+
+def filled(c: Column) -> Column:
+    return F.when(c != "", c)
+
+
+def paired(request: str, response: str) -> list[Column]:
+    """The columns of a pair, from struct columns; the request's account goes before the response's."""
     r, s = F.col(request), F.col(response)
-    return [
-        r["agent_hostname"].alias("agent_hostname"), r["req_no"].alias("req_no"), r["func_no"].alias("func_no"), r["date"].alias("request_time"), s["date"].alias("response_time"),
-        (F.unix_millis(s["date"]) - F.unix_millis(r["date"])).alias("elapsed_ms"), r["data"].alias("request_data"), s["data"].alias("response_data"),
-    ]
+    made = {
+        "agent_hostname": s["agent_hostname"], "req_no": s["req_no"], "func_no": s["func_no"], "request_time": r["date"], "response_time": s["date"],
+        "elapsed_ms": F.unix_millis(s["date"]) - F.unix_millis(r["date"]), "fund_account": F.coalesce(filled(r["fund_account"]), filled(s["fund_account"])),
+        "error_no": s["error_no"], "error_info": s["error_info"], "request_tag": r["tag"], "request_data": r["data"], "response_tag": s["tag"], "response_data": s["data"],
+    }
+    return [made[c].alias(c) for c in names(PAIRED)]
+
+
+def merged(pairs: DataFrame) -> DataFrame:
+    """Pairs with the fields of the request's table: names in its first line, where one line of values follows.
+
+    Reserved names, empty names and names that stand twice are left out; a missing value is empty.  Tables of several lines give no fields.
+    An account that neither side names is taken from the table for one function.
+    """
+    df = pairs.withColumn("__lines", F.split("request_data", "\n", -1))
+    df = df.withColumn("__rows", F.filter(F.slice("__lines", F.lit(2), F.greatest(F.size("__lines") - 1, F.lit(0))), lambda x: x != ""))
+    keys = F.transform(F.split(F.get("__lines", F.lit(0)), r"\|", -1), lambda k, i: F.struct(k.alias("key"), i.alias("at")))
+    df = df.withColumns({"__cells": F.split(F.get("__rows", F.lit(0)), r"\|", -1), "__keys": F.array_sort(keys)})
+
+    def other(e: Column, at: Column) -> Column:
+        return F.coalesce(F.get("__keys", at)["key"] != e["key"], F.lit(True))
+
+    lone = F.filter("__keys", lambda e, i: (e["key"] != "") & ~e["key"].isin(*RESERVED) & other(e, i - 1) & other(e, i + 1))
+    table = F.map_from_entries(F.transform(lone, lambda e: F.struct(e["key"], F.coalesce(F.get("__cells", e["at"]), F.lit("")).alias("value"))))
+    df = df.withColumn("fields", F.when(F.size("__rows") == 1, table).otherwise(F.create_map().cast("map<string,string>")))
+    named = F.when(F.col("func_no") == ACCOUNT_FUNCTION, filled(F.try_element_at("fields", F.lit(ACCOUNT_FIELD))))
+    changed = {"fund_account": F.coalesce("fund_account", named), "error_no": F.coalesce("error_no", F.lit("")), "error_info": filled(F.col("error_info"))}
+    return df.select(*(changed.get(c, F.col(c)).alias(c) for c in names(PAIRED)), "fields")
 
 
 def correlate_batch(events: DataFrame, window: int = WINDOW_SECONDS) -> DataFrame:
-    """Merged documents of complete input: each response with the last request before it; of several responses to a request
-    that is consumed, the first."""
+    """Merged documents of complete input.
+
+    Time is cut into stretches of a window's length, and a request counts in its own and the next one, where all its responses are: a key
+    with very many events is then spread over as many groups as it has stretches.
+    """
     key = ["agent_hostname", "req_no"]
-    order = Window.partitionBy(*key).orderBy("date", F.when(F.col("type") == "request", 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = F.struct(*(c.split()[0] for c in COLUMNS.split(", ")))
-    rows = events.withColumn("event", whole).withColumn("request", F.last(F.when(F.col("type") == "request", F.col("event")), ignorenulls=True).over(order))
-    pairs = rows.where((F.col("type") == "response") & F.col("request").isNotNull())
+    own = completed(events).where("date IS NOT NULL AND agent_hostname IS NOT NULL AND req_no IS NOT NULL")
+    asks = F.col("type") == "request"
+    stretch = F.floor(F.unix_seconds("date") / max(window, 1)).cast("long")
+    rows = own.select(F.struct(*own.columns).alias("event"), *key, "date", "data", asks.alias("asks"), (F.col("type") == "response").alias("answers"), F.explode(F.when(asks, F.array(stretch, stretch + 1)).otherwise(F.array(stretch))).alias("stretch"))
+    order = Window.partitionBy(*key, "stretch").orderBy("date", F.when(F.col("asks"), 0).otherwise(1), "data").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pairs = rows.withColumn("request", F.last(F.when(F.col("asks"), F.col("event")), ignorenulls=True).over(order)).where(F.col("answers") & F.col("request").isNotNull())
     pairs = pairs.where(F.unix_millis("date") - F.unix_millis(F.col("request.date")) <= window * 1000)
-    first = F.row_number().over(Window.partitionBy(*key, "request").orderBy("date", "data"))
-    pairs = pairs.withColumn("nth", first).where((F.col("nth") == 1) | F.coalesce(F.col("request.func_no").isin(*ANSWERED_OFTEN), F.lit(False)))
-    return pairs.select(*merged("request", "event"))
+    consumes = F.when(F.coalesce(F.col("event.func_no").isin(*ANSWERED_OFTEN), F.lit(False)), 0).otherwise(1)
+    before = Window.partitionBy(*key, "request").orderBy("date", "data").rowsBetween(Window.unboundedPreceding, -1)
+    free = F.coalesce(F.sum(consumes).over(before), F.lit(0)) == 0
+    return merged(pairs.withColumn("free", free).where("free").select(*paired("request", "event")))
+
+
+def _state(schema: str) -> T.StructType:
+    kinds = {"string": T.StringType(), "long": T.LongType()}
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in (c.split() for c in schema.split(", "))])
+
+
+REQUEST = "millis long, fund_account string, tag string, data string"
+RESPONSE = "millis long, func_no string, fund_account string, error_no string, error_info string, tag string, data string"
 
 
 class Correlator(StatefulProcessor):
-    """The same per key: a request in value state that expires, waiting responses in list state, a timer for those."""
+    """The same per key: a request in value state that expires, waiting responses in list state, timers for both."""
 
     def __init__(self, window: int = WINDOW_SECONDS, patience: int = PATIENCE_SECONDS):
         self.window, self.patience = window, patience
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.request = handle.getValueState("request", T.StructType([T.StructField("func_no", T.StringType()), T.StructField("millis", T.LongType()), T.StructField("data", T.StringType())]))
-        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("millis", T.LongType()), T.StructField("data", T.StringType())]))
-
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows), ignore_index=True)
-        events["rank"] = (events["type"] != "request").astype(int)
-        events = events.sort_values(["date", "rank", "data"])
-        request = self.request.get() if self.request.exists() else None
-        waiting = [tuple(w) for w in self.waiting.get()]
+        self.request = handle.getValueState("request", _state(REQUEST))
+        self.waiting = handle.getListState("waiting", _state(RESPONSE))
+
+    def _timeline(self, rows) -> list[tuple[int, int, str, dict]]:
+        """New events and waiting responses in the order of time, requests first."""
         out = []
-        timeline = [(r.date.value // 1_000_000, r.rank, r.func_no, r.data) for r in events.itertuples()] + [(m, 1, None, d) for m, d in waiting]
-        waiting = []
-        for millis, is_response, func_no, data in sorted(timeline, key=lambda t: (t[0], t[1], t[3] or "")):
-            if not is_response:
-                request = (func_no, millis, data)
-            elif request is not None and 0 <= millis - request[1] <= self.window * 1000:
-                out.append((key[0], key[1], request[0], pd.Timestamp(request[1], unit="ms"), pd.Timestamp(millis, unit="ms"), millis - request[1], request[2], data))
-                if request[0] not in ANSWERED_OFTEN:
+        for frame in rows:
+            for e in frame.to_dict("records"):
+                if e["type"] in ("request", "response") and not pd.isna(e["date"]):
+                    texts = {k: v if isinstance(v, str) else None for k, v in e.items() if k != "date"}
+                    out.append((pd.Timestamp(e["date"]).value // 1_000_000, int(e["type"] == "response"), texts["data"] or "", texts))
+        for w in self.waiting.get():
+            e = dict(zip(names(RESPONSE), w, strict=True))
+            out.append((e["millis"], 1, e["data"] or "", e))
+        return sorted(out, key=lambda t: t[:3])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        request = dict(zip(names(REQUEST), self.request.get(), strict=True)) if self.request.exists() else None
+        out, waiting = [], []
+        for millis, answers, _, e in self._timeline(rows):
+            if not answers:
+                request = {"millis": millis, **{c: e[c] for c in names(REQUEST)[1:]}}
+            elif request is not None and 0 <= millis - request["millis"] <= self.window * 1000:
+                account = request["fund_account"] or e["fund_account"] or None
+                times = (pd.Timestamp(request["millis"], unit="ms"), pd.Timestamp(millis, unit="ms"), millis - request["millis"])
+                out.append((key[0], key[1], e["func_no"], *times, account, e["error_no"], e["error_info"], request["tag"], request["data"], e["tag"], e["data"]))
+                if e["func_no"] not in ANSWERED_OFTEN:
                     request = None
             else:
-                waiting.append((millis, data))
+                waiting.append((millis, *(e[c] for c in names(RESPONSE)[1:])))
         if request is None:
             self.request.clear()
         else:
-            self.request.update(tuple(request))
-            self.handle.registerTimer(request[1] + self.window * 1000 + 1)
+            self.request.update(tuple(request[c] for c in names(REQUEST)))
+            self.handle.registerTimer(request["millis"] + self.window * 1000 + 1)
         if waiting:
             self.waiting.put(waiting)
-            self.handle.registerTimer(max(m for m, _ in waiting) + self.patience * 1000)
+            self.handle.registerTimer(max(w[0] for w in waiting) + self.patience * 1000)
         else:
             self.waiting.clear()
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in MERGED.split(", ")])
+        yield pd.DataFrame(out, columns=names(PAIRED))
 
-    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
-        if self.request.exists() and self.request.get()[1] + self.window * 1000 < expired.getExpiryTimeInMs():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        if self.request.exists() and self.request.get()[0] + self.window * 1000 < now:
             self.request.clear()
-        left = [tuple(w) for w in self.waiting.get() if w[0] + self.patience * 1000 > expired.getExpiryTimeInMs()]
+        left = [tuple(w) for w in self.waiting.get() if w[0] + self.patience * 1000 > now]
         if left:
             self.waiting.put(left)
         else:
             self.waiting.clear()
-        yield pd.DataFrame([], columns=[c.split()[0] for c in MERGED.split(", ")])
+        yield pd.DataFrame([], columns=names(PAIRED))
 
     def close(self) -> None:
         pass
@@ -104,8 +176,8 @@ class Correlator(StatefulProcessor):
 def correlate_stream(events: DataFrame, delay: str = "10 minutes", window: int = WINDOW_SECONDS, patience: int = PATIENCE_SECONDS) -> DataFrame:
     """The stream of merged documents; needs the RocksDB state store."""
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    timed = events.withWatermark("date", delay)
-    return timed.groupBy("agent_hostname", "req_no").transformWithStateInPandas(Correlator(window, patience), MERGED, "append", "EventTime")
+    timed = completed(events).withWatermark("date", delay)
+    return merged(timed.groupBy("agent_hostname", "req_no").transformWithStateInPandas(Correlator(window, patience), PAIRED, "append", "EventTime"))
 
 
 def spread_table(rows: DataFrame, header: str = "header", values: str = "values") -> DataFrame:

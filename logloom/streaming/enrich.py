@@ -37,7 +37,7 @@ class Enricher(StatefulProcessor):
         out = [(key[0], key[1], pd.Timestamp(m, unit="ms"), d, a) for m, d, a in rows]
         return pd.DataFrame(out, columns=[c.split()[0] for c in ENRICHED.split(", ")])
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows), ignore_index=True).sort_values("ts")
         names = events[events["kind"] == "dict"]["account_id"]
         if len(names):
@@ -50,14 +50,14 @@ class Enricher(StatefulProcessor):
             yield self._frame(key, [(m, d, account) for m, d, _ in waiting + fresh])
         elif fresh:
             self.waiting.put(waiting + fresh)
-            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + 5000)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + 5000)
 
-    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         rows = [(m, d, n + 1) for m, d, n in self.waiting.get()]
         gone, left = [r for r in rows if r[2] > TRIES], [r for r in rows if r[2] <= TRIES]
         if left:
             self.waiting.put(left)
-            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + 5000)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + 5000)
         else:
             self.waiting.clear()
         yield self._frame(key, [(m, d, None) for m, d, _ in gone])

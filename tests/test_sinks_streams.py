@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,8 +10,8 @@ from logloom.operators.prefilters import PreFunction, from_json, key_value
 from logloom.plans.settings import Storage, load_task, seconds
 from logloom.sinks import bulk, partitions
 from logloom.sources import messages
-from logloom.streaming.correlate import correlate_batch, correlate_stream, spread_table
-from logloom.streaming.enrich import enrich_batch, enrich_stream
+from logloom.streaming.correlate import Correlator, correlate_batch, correlate_stream, spread_table
+from logloom.streaming.enrich import TRIES, Enricher, enrich_batch, enrich_stream
 from logloom.streaming.manager import Manager, fan_out
 
 
@@ -93,6 +95,62 @@ def test_correlation_stream_equals_batch(spark, tmp_path):
     assert sorted((r.request_data, r.response_data, r.elapsed_ms) for r in spark.table("pairs").collect()) == want
 
 
+FULL = COLUMNS + ", fund_account string, error_no string, error_info string, tag string"
+FULL_EVENTS = [
+    ("request", "h", "1", "28017", at(0), "account_content|branch|date|twice|twice|\n77|b1|x|1|2|\n", None, None, None, "ask"),
+    ("response", "h", "1", "28017", at(1), "s1", "", None, "", "reply"),
+    ("request", "h", "2", "28017", at(0), "account_content|branch\n77|b2\n78|b3", "", None, None, None),
+    ("response", "h", "2", "28017", at(1), "s2", "9", "12", "failed", None),
+    ("request", "h", "3", "5", at(0), "account_content|gone\n77", "5", None, None, None),
+    ("response", "h", "3", "112", at(1), "s3", "9", None, None, None),
+    ("response", "h", "3", "5", at(2), "s4", None, None, None, None),
+    ("response", "h", "3", "112", at(3), "s5", None, None, None, None),
+    ("request", "h", "4", "5", at(0), None, None, None, None, None),
+    ("response", "h", "4", None, at(59), None, None, None, None, None),
+    ("request", None, "5", "5", at(0), "r", None, None, None, None),
+    ("response", None, "5", "5", at(0), "s", None, None, None, None),
+    ("request", "h", "6", "5", None, "r", None, None, None, None),
+    ("other", "h", "6", "5", at(0), "r", None, None, None, None),
+]
+
+
+def test_merged_documents(spark, tmp_path):
+    rows = spark.createDataFrame(FULL_EVENTS, FULL).withColumn("event", F.lit("own")).withColumn("stretch", F.lit(1))
+    shown = ["req_no", "func_no", "elapsed_ms", "fund_account", "error_no", "error_info", "request_tag", "response_tag", "response_data", "fields"]
+    want = [
+        ("1", "28017", 60000, "77", "", None, "ask", "reply", "s1", {"account_content": "77", "branch": "b1"}),
+        ("2", "28017", 60000, "9", "12", "failed", None, None, "s2", {}),
+        ("3", "112", 60000, "5", "", None, None, None, "s3", {"account_content": "77", "gone": ""}),
+        ("3", "5", 120000, "5", "", None, None, None, "s4", {"account_content": "77", "gone": ""}),
+        ("4", None, 3540000, None, "", None, None, None, None, {}),
+    ]
+    rank = lambda t: (t[0], t[2])
+    assert sorted((tuple(r) for r in correlate_batch(rows).select(*shown).collect()), key=rank) == want
+    assert correlate_batch(rows.limit(0)).count() == 0
+    keyed = rows.where("agent_hostname IS NOT NULL")
+    keyed.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(keyed.schema).parquet(str(tmp_path / "in"))
+    q = correlate_stream(stream).writeStream.format("memory").queryName("merged").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted((tuple(r) for r in spark.table("merged").select(*shown).collect()), key=rank) == want
+
+
+def test_batch_stretches_change_nothing(spark):
+    """Requests and responses at random times of few keys, against a plain walk over each key's events."""
+    random.seed(4)
+    events = [(random.choice(["request", "response"]), "h", str(random.randrange(4)), random.choice(["5", "111"]), dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t), f"{t:06}") for t in random.sample(range(40000), 900)]
+    want, open_ = set(), {}
+    for kind, _, key, func, date, data in sorted(events, key=lambda e: e[4]):
+        if kind == "request":
+            open_[key] = (date, data)
+        elif key in open_ and (date - open_[key][0]).total_seconds() <= 600:
+            want.add((open_[key][1], data))
+            if func == "5":
+                del open_[key]
+    got = [(r.request_data, r.response_data) for r in correlate_batch(spark.createDataFrame(events, COLUMNS), 600).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_enrichment_stream_equals_batch(spark, tmp_path):
     schema = "kind string, agent_hostname string, ref string, account_id string, ts timestamp, data string"
     rows = spark.createDataFrame([("dict", "h", "1", "A", at(0), None), ("data", "h", "1", None, at(1), "d1"), ("dict", "h", "2", "B", at(0), None), ("data", "h", "2", None, at(3), "d2")], schema)
@@ -124,3 +182,72 @@ def test_fan_out_and_reconcile(spark):
     one = [{"id": 1, "data_source_id": 7}]
     assert m.reconcile(one)["started"] == [7] and m.reconcile(one) == {"started": [], "restarted": [], "stopped": []}
     assert m.reconcile([{"id": 2, "data_source_id": 7}])["restarted"] == [7] and m.reconcile([])["stopped"] == [7]
+
+
+class Held:
+    """A value or list state in memory."""
+
+    def __init__(self):
+        self.rows = None
+
+    def exists(self):
+        return self.rows is not None
+
+    def get(self):
+        return self.rows or []
+
+    def put(self, rows):
+        self.rows = rows
+
+    update = put
+
+    def clear(self):
+        self.rows = None
+
+
+class Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getValueState(self, *_):
+        return Held()
+
+    getListState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class Clock:
+    def __init__(self, millis):
+        self.millis = millis
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.millis
+
+    getExpiryTimeInMs = getCurrentProcessingTimeInMs
+
+
+def test_enrichment_timers():
+    """Data without a dictionary row is tried again and then goes on without an account."""
+    e, handle = Enricher(), Handle()
+    e.init(handle)
+    rows = pd.DataFrame({"kind": ["data"], "account_id": [None], "ts": [pd.Timestamp(at(1))], "data": ["d"]})
+    assert list(e.handleInputRows(("h", "1"), iter([rows]), Clock(1000))) == [] and handle.timers == [6000]
+    out = []
+    while e.waiting.exists():
+        now = handle.timers[-1]
+        out += [f for f in e.handleExpiredTimer(key=("h", "1"), timerValues=Clock(now), expiredTimerInfo=Clock(now))]
+    assert [f["data"].tolist() for f in out] == [[]] * TRIES + [["d"]] and out[-1]["account_id"].tolist() == [None]
+
+
+def test_correlation_timers():
+    """Requests go with their window, waiting responses after their patience."""
+    c, handle = Correlator(window=60, patience=30), Handle()
+    c.init(handle)
+    texts = dict.fromkeys(["func_no", "fund_account", "error_no", "error_info", "tag"])
+    rows = pd.DataFrame([{"type": "response", "date": at(0), "data": "early", **texts}, {"type": "request", "date": at(1), "data": "r", **texts}])
+    assert [len(f) for f in c.handleInputRows(("h", "1"), iter([rows]), Clock(0))] == [0]
+    for now in sorted(handle.timers):
+        list(c.handleExpiredTimer(key=("h", "1"), timerValues=Clock(now), expiredTimerInfo=Clock(now)))
+    assert not c.request.exists() and not c.waiting.exists()
