@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, field
 
@@ -177,37 +178,46 @@ _UUID = r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f
 def uri_path(value: Column, prefixes: list[tuple[str, str]] | None = None) -> Column:
     """The first path in a text with its variable segments named; "-" where there is none.
 
-    ``prefixes`` are (path prefix, pattern with named groups): what a group captures becomes ``:name``.
+    ``prefixes`` are (path prefix, pattern with named groups): by the first that fits, what a group captures becomes ``:name``.
     """
     path = F.regexp_extract(value, PATH_PATTERN, 0)
-    named = path
-    for prefix, regexp in prefixes or []:
+    named, hit = path, F.lit(False)
+    for prefix, regexp in reversed(prefixes or []):
         pattern = translate(regexp)
+        here = path.startswith(prefix) & path.rlike(pattern.java)
+        made = path
         for i, name in enumerate(pattern.names, 1):
             if name:
-                found = F.regexp_extract(named, pattern.java, i)
-                named = F.when(path.startswith(prefix) & named.rlike(pattern.java) & (found != ""), F.replace(named, found, F.lit(f":{name}"))).otherwise(named)
+                found = F.regexp_extract(path, pattern.java, i)
+                made = F.when(found != "", F.replace(made, found, F.lit(f":{name}"))).otherwise(made)
+        named, hit = F.when(here, made).otherwise(named), here | hit
 
     def segment(s: Column) -> Column:
         digits = F.char_length(F.regexp_replace(s, "[^0-9]", ""))
         length = F.char_length(s)
         return (
-            F.when(s.startswith(":"), s)
+            F.when(hit & s.startswith(":"), s)
             .when(s.rlike(r"^[0-9]+\z"), ":id")
             .when((length > 8) & ((digits > 6) | (digits > length / 2)), ":uuid")
             .when((length >= 32) & s.rlike(_UUID), ":uuid")
             .otherwise(s)
         )
 
-    parts = F.split(F.regexp_replace(named, "^/+", ""), "/")
+    parts = F.transform(F.split(F.regexp_replace(named, "^/+", ""), "/"), segment)
     last = F.element_at(parts, -1)
-    extension = F.regexp_extract(last, rf"^.*\.({STATIC})\z", 1)
+    extension = F.regexp_extract(last, rf"^.+\.({STATIC})\z", 1)
     page = F.when(last.rlike(r"^.{6,}\.html\z"), ":static.html")
-    shown_last = F.when(extension != "", F.concat(F.lit(":static."), extension)).otherwise(F.coalesce(page, segment(last)))
-    joined = F.concat(F.lit("/"), F.array_join(F.concat(F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), segment), F.array(shown_last)), "/"))
+    shown_last = F.when(extension != "", F.concat(F.lit(":static."), extension)).otherwise(F.coalesce(page, last))
+    joined = F.concat(F.lit("/"), F.array_join(F.concat(F.slice(parts, F.lit(1), F.size(parts) - 1), F.array(shown_last)), "/"))
     return F.when(path == "", "-").when(path.rlike(r"^/+\z"), "/").otherwise(joined)
 
 
+def uri_patterns(config: str) -> list[tuple[str, str]]:
+    """(prefix, pattern) pairs of a JSON list of objects with prefix, pattern and order, in that order; incomplete ones go."""
+    found = sorted(json.loads(config) if config else [], key=lambda e: e.get("order") or 0)
+    return [(e["prefix"], e["pattern"]) for e in found if e.get("prefix") and e.get("pattern")]
+
+
 def format_text(value: Column, settings: FormatSettings, prefixes: list[tuple[str, str]] | None = None) -> Column:
     """The text that a format type makes of a text."""
     kind_ = settings.format_type

@@ -66,11 +66,11 @@ def _missing(rule: Transform) -> Column:
     return F.when(~F.col("__there"), NOT_FOUND) if rule.drop_if_not_found else F.lit(None).cast("string")
 
 
-def _moved(df: DataFrame, rule: Transform, formatted: bool, keep: bool) -> tuple[DataFrame, Column, Column]:
+def _moved(df: DataFrame, rule: Transform, formatted: bool, keep: bool, prefixes: list[tuple[str, str]] | None) -> tuple[DataFrame, Column, Column]:
     """clone, rename and clone_and_format."""
     rec = F.col("rec")
     df = df.withColumn("__value", R.get(rec, rule.origin_field)).withColumn("__there", F.coalesce(R.is_value(F.col("__value")), F.lit(False)))
-    df = format_column(df, "__value", rule.format_settings, rule.target_type) if formatted else df.withColumns({"__out": F.col("__value"), "__bad": F.lit(None).cast("string")})
+    df = format_column(df, "__value", rule.format_settings, rule.target_type, prefixes) if formatted else df.withColumns({"__out": F.col("__value"), "__bad": F.lit(None).cast("string")})
     df, placed, clash = _place(df, rule, rec if keep else R.remove(rec, rule.origin_field))
     good = F.col("__there") & F.col("__bad").isNull()
     if rule.ignore_if_conflict:
@@ -78,10 +78,10 @@ def _moved(df: DataFrame, rule: Transform, formatted: bool, keep: bool) -> tuple
     return df, F.when(good, placed).otherwise(rec), F.coalesce(_missing(rule), F.when(F.col("__there"), F.col("__bad")))
 
 
-def _format(df: DataFrame, rule: Transform) -> tuple[DataFrame, Column, Column]:
+def _format(df: DataFrame, rule: Transform, prefixes: list[tuple[str, str]] | None) -> tuple[DataFrame, Column, Column]:
     rec = F.col("rec")
     df = df.withColumn("__value", R.get(rec, rule.origin_field)).withColumn("__there", F.coalesce(R.is_value(F.col("__value")), F.lit(False)))
-    df = format_column(df, "__value", rule.format_settings, rule.target_type)
+    df = format_column(df, "__value", rule.format_settings, rule.target_type, prefixes)
     made = F.when(F.col("__there") & F.col("__bad").isNull(), R.put(rec, rule.origin_field, F.col("__out"))).otherwise(rec)
     return df, made, F.coalesce(_missing(rule), F.when(F.col("__there"), F.col("__bad")))
 
@@ -123,17 +123,17 @@ def _append_labels(df: DataFrame, rule: Transform, dictionaries: dict[int, dict[
     return df, F.when(parent.isNull(), rec).otherwise(R.put_all(rec, path, F.col("__members"))), F.when(parent.isNull(), "parent field not found")
 
 
-def change(df: DataFrame, rule: Transform, dictionaries: dict | None = None) -> tuple[DataFrame, Column, Column]:
+def change(df: DataFrame, rule: Transform, dictionaries: dict | None = None, prefixes: list[tuple[str, str]] | None = None) -> tuple[DataFrame, Column, Column]:
     """The frame with what one rule needs, the record it makes and its error; unknown rule types change nothing."""
     kind = rule.rule_type
     if kind == "format":
-        return _format(df, rule)
+        return _format(df, rule, prefixes)
     if kind == "append":
         return _append_labels(df, rule, dictionaries or {}) if rule.append_settings.append_type == "label_mapping" else _append_input(df, rule)
     if kind == "delete":
         return df, R.remove(F.col("rec"), rule.origin_field), F.lit(None).cast("string")
     if kind in ("clone", "rename", "clone_and_format"):
-        return _moved(df, rule, formatted=kind == "clone_and_format", keep=kind != "rename")
+        return _moved(df, rule, formatted=kind == "clone_and_format", keep=kind != "rename", prefixes=prefixes)
     return df, F.col("rec"), F.lit(None).cast("string")
 
 

@@ -94,24 +94,24 @@ def _locate(df: DataFrame, rule: PreExtract, ranges: DataFrame | None) -> DataFr
     return rows.withColumn("rec", F.when(F.col("geoip").isNotNull(), placed).otherwise(F.col("rec"))).drop("geoip", "__address")
 
 
-def _edit(df: DataFrame, settings: TransformSettings, dictionaries: dict) -> DataFrame:
+def _edit(df: DataFrame, settings: TransformSettings, dictionaries: dict, prefixes: list[tuple[str, str]] | None) -> DataFrame:
     ok = F.col("err").isNull() | F.lit(settings.skip_extract_error)
     before = df.columns
     for run in fuse(settings.fields_transform):
         if len(run) > 1:
             df = df.withColumn("rec", F.when(ok, fused(F.col("rec"), run)).otherwise(F.col("rec")))
             continue
-        df, record, error = change(df, run[0], dictionaries)
+        df, record, error = change(df, run[0], dictionaries, prefixes)
         err = F.coalesce(error, F.col("err")) if settings.skip_extract_error else F.coalesce(F.col("err"), error)
         df = df.withColumns({"rec": F.when(ok, record).otherwise(F.col("rec")), "err": err})
         df = df.drop(*(c for c in df.columns if c not in before))
     return df
 
 
-def compile_settings(config: str | dict | TransformSettings, dictionaries: dict | None = None, ranges: DataFrame | None = None, raw: str = "raw", statuses: bool = False, version: str = "log_transform") -> Callable[[DataFrame], DataFrame]:
+def compile_settings(config: str | dict | TransformSettings, dictionaries: dict | None = None, ranges: DataFrame | None = None, raw: str = "raw", statuses: bool = False, version: str = "log_transform", uri_patterns: list[tuple[str, str]] | None = None) -> Callable[[DataFrame], DataFrame]:
     """A function from a DataFrame with a text (or, for compressed messages, binary) column to one with ``rec`` and ``err``.
 
-    Field rules of the older versions run as those engines ran them; ``log_transform`` converts them to transforms.
+    ``uri_patterns`` (``formats.uri_patterns`` reads them) name parts of paths for all uripath formats.  Field rules of the older versions run as those engines ran them; ``log_transform`` converts them to transforms.
     """
     settings = config if isinstance(config, TransformSettings) else load(config)
     old = version in legacy.VERSIONS and bool(settings.fields)
@@ -140,7 +140,7 @@ def compile_settings(config: str | dict | TransformSettings, dictionaries: dict
             df = df.withColumn("rec", F.map_filter("rec", lambda k, _: k.isin(keys)))
         for group in _parser_groups(settings.pre_extract):
             df = _locate(df, group[0], ranges) if group[0].mode == "geoip" else _parse(df, group, settings)
-        df = legacy.edit(df, settings, version) if old else _edit(df, settings, dictionaries or {})
+        df = legacy.edit(df, settings, version) if old else _edit(df, settings, dictionaries or {}, uri_patterns)
         if settings.skip_extract_error:
             tagged = F.map_concat(R.without(F.col("rec"), [FAILURE]), F.create_map(F.lit(FAILURE), F.col("err").cast("variant")))
             df = df.withColumn("rec", F.when(F.col("rec").isNotNull() & F.col("err").isNotNull(), tagged).otherwise(F.col("rec")))

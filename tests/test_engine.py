@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from logloom.functions import formats as M
 from logloom.functions import record as R
-from logloom.plans.compile import compile_settings, compile_task
+from logloom.functions.formats import uri_patterns
+from logloom.plans.compile import compile_settings, compile_task, project
 from logloom.plans.settings import load_task
 
 
@@ -89,3 +90,15 @@ def test_long_chains_stay_small(spark):
     """Twenty dependent rules: the filter at the end is not pushed into a huge expression."""
     items = [{"rule_type": "clone", "origin_field": "a" if k == 0 else f"c{k - 1}", "target_field": f"c{k}"} for k in range(20)]
     assert run(spark, [{"a": "1"}], rules(*items))[0]["c19"] == "1"
+
+
+def test_uri_patterns_of_a_task(spark):
+    """The first pattern whose prefix fits names its parts; the rest of the path is treated as ever."""
+    found = uri_patterns('[{"prefix": "/oms", "pattern": "/oms/(?P<shop>[a-z]+)/(?P<no>[0-9]+)", "order": 2}, {"prefix": "/oms/x", "pattern": "/oms/(?P<first>x+)", "order": 1}, {"prefix": ""}]')
+    assert [p for p, _ in found] == ["/oms/x", "/oms"] and uri_patterns("") == []
+    paths = ["GET /oms/abc/17/18", "/oms/xx/17", "/oms/17", "/:123456789/a", "no path", "//", "/a/b1234567.js", "/a/.js", "/a/bundle.js", "/oms/aa/5/index1.html", None]
+    rows = spark.createDataFrame([(i, json.dumps({"u": p})) for i, p in enumerate(paths)], "i int, raw string")
+    rule = {"rule_type": "format", "origin_field": "u", "target_type": "text", "format_settings": {"format_type": "uripath"}}
+    made = project(compile_settings({"fields_transform": [rule]}, uri_patterns=found)(rows), {"u": ("u", "string")}, ["i"])
+    want = ["/oms/:shop/:no/:id", "/oms/:first/:id", "/oms/:id", "/:uuid/a", "-", "/", "/a/:uuid", "/a/.js", "/a/:static.js", "/oms/:shop/:no/:static.html", None]
+    assert [r.u for r in made.orderBy("i").collect()] == want
