@@ -22,6 +22,7 @@ from .plans.compile import compile_settings, compile_task, expand_json_strings,
 from .plans.settings import load_task
 from .sinks.partitions import expired, name_at, partition_name
 from .sources.messages import drop_share_by_key
+from .streaming import metrics
 from .streaming.correlate import correlate_batch
 from .streaming.enrich import enrich_batch
 
@@ -110,8 +111,8 @@ def rewrite_strip_ansi(spark, sf_dir):
 
 @query("SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL")
 def rewrite_format_to_json(spark, sf_dir):
-    """Texts that are no JSON become a message and come back whole."""
-    rows = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.col("text").alias("raw"))
+    """Texts that are no JSON become a message and come back whole; null texts are no messages, and the plan drops them."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw"))
     made = compile_settings({"pre_function": [{"mode": "format_to_json"}]})(rows)
     return made.select("doc_id", F.md5(R.text(R.get(F.col("rec"), "message"))).alias("text_md5"))
 
@@ -468,9 +469,9 @@ md5(regexp_replace(text, '[A-Za-z\d]+([-_.][A-Za-z\d]+)*(@([A-Za-z\d]+[-.])+[A-Z
 md5(regexp_replace(text, '(\d{1,3}).\d{1,3}.\d{1,3}.\d{1,3}', '\1.****', 'g')) AS ip,
 md5(regexp_replace(text, '([1-9]{1})(\d{11}|\d{13}|\d{14})(\d{4})', '****\3', 'g')) AS bank_card,
 md5(regexp_replace(text, '([\d]{4})[\d]{11}([\d]{2}[\d|Xx])', '\1****', 'g')) AS id_card,
-md5(regexp_replace(text, '([a-zA-Z0-9]{4})(([a-zA-Z0-9]{26})|([a-zA-Z0-9]{12}))', '\1****', 'g')) AS access_key FROM documents WHERE text IS NOT NULL""")
+md5(regexp_replace(text, '([a-zA-Z0-9]{4})(([a-zA-Z0-9]{26})|([a-zA-Z0-9]{12}))', '\1****', 'g')) AS access_key FROM documents""")
 def mask_patterns(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    rows = table(spark, sf_dir, "documents")
     return rows.select("doc_id", *(F.md5(M.mask(F.col("text"), m)).alias(m) for m in M.MASKS))
 
 
@@ -499,10 +500,11 @@ def format_dates(spark, sf_dir):
     )
 
 
-@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 3 THEN 0 ELSE CAST(epoch(date_trunc('second', o_orderdate)) AS BIGINT) END AS found FROM orders
-WHERE epoch(o_orderdate) > 1000000000""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN 0 WHEN o_orderkey % 4 < 2 AND epoch(o_orderdate) < 1000000000 THEN 0
+ELSE CAST(epoch(date_trunc('second', o_orderdate)) AS BIGINT) END AS found FROM orders""")
 def detect_timestamps(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").where(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) > 1_000_000_000)
+    """Dates of all orders in three forms; numbers of seconds with fewer than ten digits, and of milliseconds likewise, are no times."""
+    rows = table(spark, sf_dir, "orders")
     at = F.col("o_orderdate").cast("timestamp")
     text = F.when(F.col("o_orderkey") % 4 == 0, F.unix_seconds(at).cast("string")).when(F.col("o_orderkey") % 4 == 1, F.concat(F.unix_seconds(at), F.lit("000"))).when(F.col("o_orderkey") % 4 == 2, F.date_format(at, "yyyy-MM-dd HH:mm:ss")).otherwise("no time")
     return rows.select("o_orderkey", M.detect_timestamp(text).alias("found"))
@@ -578,6 +580,15 @@ def rule_catalog(spark, sf_dir):
     return catalog(spark)
 
 
+@query("""SELECT CASE WHEN event_type <> 'click' THEN 'filtered' WHEN event_id % 7 = 0 THEN 'not_a_JSON_object' ELSE 'ok' END AS code, count(*) AS n FROM events GROUP BY 1""")
+def extract_metrics(spark, sf_dir):
+    """What became of each event in a task, counted by code."""
+    e = table(spark, sf_dir, "events")
+    raw = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('no JSON "'), "event_type", F.lit('"'))).otherwise(F.to_json(F.struct("event_type")))
+    made = compile_settings({"pre_function": [{"mode": "contains", "format": '"click"'}]}, statuses=True)(e.select(raw.alias("raw")))
+    return made.groupBy(metrics.code(F.col("status"), F.col("err")).alias("code")).agg(F.count("*").alias("n"))
+
+
 @query("""SELECT o_orderstatus AS status, count(*) AS n, max(o_totalprice) AS highest, min(o_totalprice) AS lowest FROM orders GROUP BY 1""")
 def metrics_after_transform(spark, sf_dir):
     """An extra: plain aggregates of transformed records."""
