@@ -13,9 +13,11 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from urllib.parse import urlencode
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Transport = Callable[[str, dict, bytes], tuple[int, str]]
 RETRY_STATUS = (408, 429, 503, 507)
@@ -65,14 +67,17 @@ class Sink:
 
 @dataclass
 class ElasticSink(Sink):
-    """The _bulk API; only items that were refused for now are sent again."""
+    """The _bulk API; only items that were refused for now are sent again.  Servers before version 7 want a document type."""
+
+    document_type: str = ""
 
     def send(self, rows: list[dict], transport: Transport) -> int:
         """How many documents were refused for good."""
         left, refused = rows, 0
+        kind = {"_type": self.document_type} if self.document_type else {}
         for k, pause in enumerate([0.0, *self.pauses()]):
             time.sleep(pause)
-            body = "".join(json.dumps({"index": {"_index": r["target"]}}) + "\n" + r["body"] + "\n" for r in left)
+            body = "".join(json.dumps({"index": {"_index": r["target"], **kind}}) + "\n" + r["body"] + "\n" for r in left)
             status, text = transport(f"{self.endpoints[k % len(self.endpoints)]}/_bulk", {"Content-Type": "application/x-ndjson", **self.headers}, body.encode())
             if status in RETRY_STATUS:
                 continue
@@ -87,17 +92,33 @@ class ElasticSink(Sink):
         return refused + len(left)
 
 
+def elastic_sink(version: str, endpoints: list[str], **settings) -> ElasticSink:
+    """The sink for a server's version: those of 6 get the type that their later versions fix."""
+    return ElasticSink(endpoints, document_type="_doc" if version.startswith("6.") else "", **settings)
+
+
 @dataclass
 class DorisSink(Sink):
-    """Stream load of JSON arrays."""
+    """Stream load of JSON arrays, not sent again; batches take the endpoints in turn."""
 
     database: str = ""
+    turn: int = 0
+
+    def has_table(self, table: str, transport: Transport = http_transport) -> bool:
+        """Whether an endpoint knows the table; to be asked before a query starts."""
+        for endpoint in self.endpoints:
+            status, text = transport(f"{endpoint}/api/{self.database}/{table}/_schema", {"X-Method": "GET", **self.headers}, b"")
+            if status not in RETRY_STATUS:
+                return status < 300 and json.loads(text or "{}").get("code") == 0
+        raise ConnectionError("no endpoint answers")
 
     def send(self, rows: list[dict], transport: Transport) -> int:
         refused = 0
         for table in sorted({r["target"] for r in rows}):
             own = [r["body"] for r in rows if r["target"] == table]
-            url = f"{self.endpoints[0]}/api/{self.database}/{table}/_stream_load"
+            endpoint = self.endpoints[self.turn % len(self.endpoints)]
+            self.turn += 1
+            url = f"{endpoint}/api/{self.database}/{table}/_stream_load"
             status, text = transport(url, {"X-Method": "PUT", "format": "json", "strip_outer_array": "true", "Expect": "100-continue", **self.headers}, ("[" + ",".join(own) + "]").encode())
             ok = status < 300 and json.loads(text or "{}").get("Status") in ("Success", "Publish Timeout")
             refused += 0 if ok else len(own)
@@ -112,16 +133,23 @@ class VictoriaSink(Sink):
     time_field: str = "_time"
     message_field: str = "_msg"
 
+    def healthy(self, endpoint: str, transport: Transport) -> bool:
+        """Whether an endpoint that failed before may be sent to again."""
+        return transport(f"{endpoint}/health", {"X-Method": "GET"}, b"")[0] < 300
+
     def send(self, rows: list[dict], transport: Transport) -> int:
         lines = []
         for r in rows:
             d = json.loads(r["body"])
             d.setdefault(self.message_field, "default message")
             lines.append(json.dumps(d, ensure_ascii=False))
-        query = f"_msg_field={self.message_field}&_time_field={self.time_field}&_stream_fields={self.stream_fields}"
+        query = urlencode({"_msg_field": self.message_field, "_time_field": self.time_field, "_stream_fields": self.stream_fields})
         for k, pause in enumerate([0.0, *self.pauses()]):
             time.sleep(pause)
-            status, _ = transport(f"{self.endpoints[k % len(self.endpoints)]}/insert/jsonline?{query}", {"Content-Type": "application/stream+json", **self.headers}, ("\n".join(lines) + "\n").encode())
+            endpoint = self.endpoints[k % len(self.endpoints)]
+            if k and not self.healthy(endpoint, transport):
+                continue
+            status, _ = transport(f"{endpoint}/insert/jsonline?{query}", {"Content-Type": "application/stream+json", **self.headers}, ("\n".join(lines) + "\n").encode())
             if status < 300:
                 return 0
             if 400 <= status < 500 and status != 429:
@@ -150,6 +178,12 @@ def jdbc_append(df: DataFrame, url: str, table: str, **options) -> None:
     df.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
 
-def doris_time(at, offset_hours: int = 0):
+def doris_time(at: Column, offset_hours: int = 0) -> Column:
     """An instant as Doris reads it, in the value's zone."""
     return F.date_format(at + F.expr(f"INTERVAL {offset_hours} HOURS"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+def doris_body(df: DataFrame, offset_hours: int = 0) -> Column:
+    """A row's columns as a JSON document, its instants as Doris reads them."""
+    shown = [doris_time(F.col(f"`{f.name}`"), offset_hours).alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.to_json(F.struct(*shown))

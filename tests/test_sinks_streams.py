@@ -1,15 +1,20 @@
 import datetime as dt
 import json
 import random
+import time
+import uuid
 
 import pandas as pd
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from logloom.operators.prefilters import PreFunction, from_json, key_value
+from logloom.plans.compile import compile_settings
 from logloom.plans.settings import Storage, load_task, seconds
 from logloom.sinks import bulk, partitions
 from logloom.sources import messages
+from logloom.streaming import metrics
 from logloom.streaming.correlate import Correlator, correlate_batch, correlate_stream, spread_table
 from logloom.streaming.enrich import TRIES, Enricher, enrich_batch, enrich_stream
 from logloom.streaming.manager import Manager, fan_out
@@ -76,6 +81,69 @@ def test_bulk_retries_and_rotation():
     assert bulk.DorisSink(["http://a"], database="d").send([{"target": "t", "body": "{}"}], lambda u, h, b: (200, '{"Status":"Publish Timeout"}')) == 0
 
 
+def test_bulk_variants(spark, tmp_path):
+    bodies = []
+    keep = lambda url, headers, body: (bodies.append((url, body.decode())), (200, "{}"))[1]
+    bulk.elastic_sink("6.8.1", ["http://a"]).send([{"target": "i", "body": "{}"}], keep)
+    bulk.elastic_sink("7.1", ["http://a"]).send([{"target": "i", "body": "{}"}], keep)
+    assert [json.loads(b.split("\n")[0])["index"] for _, b in bodies] == [{"_index": "i", "_type": "_doc"}, {"_index": "i"}]
+    bodies.clear()
+    doris = bulk.DorisSink(["http://a", "http://b"], database="d")
+    for _ in range(3):
+        doris.send([{"target": "t", "body": "{}"}], keep)
+    assert [u[:8] for u, _ in bodies] == ["http://a", "http://b", "http://a"]
+    assert doris.has_table("t", lambda u, h, b: (503, "") if "//a" in u else (200, '{"code": 0}')) and not doris.has_table("t", lambda *a: (200, '{"code": 1}'))
+    with pytest.raises(ConnectionError):
+        doris.has_table("t", lambda *a: (503, ""))
+    asked = []
+
+    def sick(url, headers, body):
+        asked.append(url)
+        return (200 if "//b" in url else 503), ""
+
+    sink = bulk.VictoriaSink(["http://a", "http://a", "http://b"], first_pause=0.001, stream_fields="a,b&c")
+    assert sink.send([{"target": "", "body": "{}"}], sick) == 0
+    assert [u.split("?")[0][7:] for u in asked] == ["a/insert/jsonline", "a/health", "b/health", "b/insert/jsonline"] and asked[0].endswith("_stream_fields=a%2Cb%26c")
+
+
+def test_write_in_tasks(spark, tmp_path):
+    """Each task sends its rows in batches; what the transport got is every row once."""
+    folder = str(tmp_path)
+
+    def store(url, headers, body):
+        with open(f"{folder}/{uuid.uuid4()}", "wb") as f:
+            f.write(body)
+        return 200, json.dumps({"items": [{"index": {"status": 201}}] * (body.count(b"\n") // 2)})
+
+    rows = spark.range(0, 50, 1, 3).select(F.lit("i").alias("target"), F.to_json(F.struct("id")).alias("body"))
+    done = bulk.write(rows, bulk.ElasticSink(["http://a"], most=7), "target", "body", store).collect()
+    assert (sum(r.sent for r in done), sum(r.refused for r in done)) == (50, 0)
+    sent = [json.loads(line)["id"] for f in tmp_path.iterdir() for line in f.read_text().split("\n")[1::2] if line]
+    assert sorted(sent) == list(range(50)) and len(list(tmp_path.iterdir())) >= 8
+    timed = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 0, 0, 5)), (2, None)], "`a.b` int, t timestamp")
+    assert [json.loads(r[0]) for r in timed.select(bulk.doris_body(timed, 8)).collect()] == [{"a.b": 1, "t": "2024-01-01 08:00:00.000005"}, {"a.b": 2}]
+
+
+def test_metrics(spark, tmp_path):
+    plan = compile_settings({"pre_function": [{"mode": "contains", "format": "a"}]}, statuses=True)
+    rows = spark.createDataFrame([('{"a":1}',), ("a",), ("b",), (None,)], "raw string")
+    seen = Observation("rows")
+    assert metrics.kept(metrics.observe(plan(rows), "batch", seen)).count() == 1 and seen.get == {"ok": 1, "filtered": 2, "error": 1}
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    totals = metrics.Metrics()
+    spark.streams.addListener(totals)
+    try:
+        counted = metrics.kept(metrics.observe(plan(spark.readStream.schema("raw string").parquet(str(tmp_path / "in"))), 's"1'))
+        q = counted.select("raw").writeStream.format("memory").queryName("counted").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        until = time.monotonic() + 20
+        while not totals.totals and time.monotonic() < until:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(totals)
+    assert totals.text() == 'log_rows_total{source="s\\"1",code="error"} 1\nlog_rows_total{source="s\\"1",code="filtered"} 2\nlog_rows_total{source="s\\"1",code="ok"} 1\n'
+
+
 def at(minute):
     return dt.datetime(2024, 1, 1, 0, minute)
 
