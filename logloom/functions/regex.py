@@ -26,6 +26,8 @@ class Pattern:
 
 
 _SPACES = r"\t\n\f\r "
+# \b of Java takes letters of all scripts for parts of words
+_ESCAPES = {"s": f"[{_SPACES}]", "S": f"[^{_SPACES}]", "b": r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))", "B": r"(?:(?<=\w)(?=\w)|(?<!\w)(?!\w))"}
 _FLAGS = re.compile(r"\(\?([imsU]*(?:-[imsU]+)?)([:)])")
 _NAME = re.compile(r"\(\?P?<([A-Za-z_][A-Za-z0-9_]*)>")
 _POSIX = re.compile(r"\[:(\^?)([a-z]+):\]")
@@ -73,7 +75,7 @@ def translate(pattern: str) -> Pattern:
                 continue
             if not d or d in "ZGkRXHVh" or d.isdigit() and d != "0":
                 raise UnsupportedPattern(f"\\{d} is not RE2")
-            out.append(f"[{_SPACES}]" if d == "s" else f"[^{_SPACES}]" if d == "S" else "\\" + d)
+            out.append(_ESCAPES.get(d, "\\" + d))
             i += 2
         elif c == "[":
             part, i = _class(pattern, i)
@@ -153,58 +155,81 @@ def from_nginx_template(template: str) -> Pattern:
     return Pattern("(?d)" + "".join(out), tuple(names))
 
 
-# Public grok definitions, without lookaround.
+# The public default definitions of grok libraries whose engine has no lookaround.  Quoted texts are written without nested
+# repeats: the same texts match, but an open quote takes no exponential time, and only escapes take space on the stack.
 GROK = {
     "USERNAME": r"[a-zA-Z0-9._-]+",
     "USER": r"%{USERNAME}",
-    "EMAILLOCALPART": r"[a-zA-Z][a-zA-Z0-9_.+\-=:]+",
+    "EMAILLOCALPART": r"[a-zA-Z][a-zA-Z0-9_.+-=:]+",
     "EMAILADDRESS": r"%{EMAILLOCALPART}@%{HOSTNAME}",
-    "INT": r"[+-]?[0-9]+",
-    "BASE10NUM": r"[+-]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)",
-    "NUMBER": r"%{BASE10NUM}",
-    "POSINT": r"\b[1-9][0-9]*\b",
-    "NONNEGINT": r"\b[0-9]+\b",
+    "HTTPDUSER": r"%{EMAILADDRESS}|%{USER}",
+    "INT": r"(?:[+-]?(?:[0-9]+))",
+    "BASE10NUM": r"([+-]?(?:[0-9]+(?:\.[0-9]+)?)|\.[0-9]+)",
+    "NUMBER": r"(?:%{BASE10NUM})",
+    "BASE16NUM": r"(0[xX]?[0-9a-fA-F]+)",
+    "POSINT": r"\b(?:[1-9][0-9]*)\b",
+    "NONNEGINT": r"\b(?:[0-9]+)\b",
     "WORD": r"\b\w+\b",
     "NOTSPACE": r"\S+",
     "SPACE": r"\s*",
     "DATA": r".*?",
     "GREEDYDATA": r".*",
-    "QUOTEDSTRING": r"\"(?:\\.|[^\\\"])*\"|'(?:\\.|[^\\'])*'",
-    "QS": r"%{QUOTEDSTRING}",
+    "QUOTEDSTRING": r"""(?:"[^\\"]*(?:\\.[^\\"]*)*"|'[^\\']*(?:\\.[^\\']*)*'|`[^\\`]*(?:\\.[^\\`]*)*`)""",
     "UUID": r"[A-Fa-f0-9]{8}-(?:[A-Fa-f0-9]{4}-){3}[A-Fa-f0-9]{12}",
-    "MAC": r"(?:[A-Fa-f0-9]{2}[:-]){5}[A-Fa-f0-9]{2}",
+    "MAC": r"(?:%{CISCOMAC}|%{WINDOWSMAC}|%{COMMONMAC})",
+    "CISCOMAC": r"(?:(?:[A-Fa-f0-9]{4}\.){2}[A-Fa-f0-9]{4})",
+    "WINDOWSMAC": r"(?:(?:[A-Fa-f0-9]{2}-){5}[A-Fa-f0-9]{2})",
+    "COMMONMAC": r"(?:(?:[A-Fa-f0-9]{2}:){5}[A-Fa-f0-9]{2})",
     "IPV6": r"(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}",
-    "IPV4": r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])",
+    "IPV4": r"(?:(?:25[0-5]|2[0-4][0-9]|[0-1]?[0-9]{1,2})[.](?:25[0-5]|2[0-4][0-9]|[0-1]?[0-9]{1,2})[.](?:25[0-5]|2[0-4][0-9]|[0-1]?[0-9]{1,2})[.](?:25[0-5]|2[0-4][0-9]|[0-1]?[0-9]{1,2}))",
     "IP": r"(?:%{IPV6}|%{IPV4})",
-    "HOSTNAME": r"\b[0-9A-Za-z][0-9A-Za-z-]{0,62}(?:\.[0-9A-Za-z][0-9A-Za-z-]{0,62})*\.?",
+    "HOSTNAME": r"\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62}))*(\.?|\b)",
     "HOST": r"%{HOSTNAME}",
     "IPORHOST": r"(?:%{IP}|%{HOSTNAME})",
     "HOSTPORT": r"%{IPORHOST}:%{POSINT}",
     "PATH": r"(?:%{UNIXPATH}|%{WINPATH})",
-    "UNIXPATH": r"(?:/[\w_%!$@:.,~-]*)+",
-    "WINPATH": r"(?:[A-Za-z]+:|\\)(?:\\[^\\?*]*)+",
-    "URIPROTO": r"[A-Za-z]+(?:\+[A-Za-z+]+)?",
-    "URIHOST": r"%{IPORHOST}(?::%{POSINT})?",
-    "URIPATH": r"(?:/[A-Za-z0-9$.+!*'(){},~:;=#%_\-]*)+",
-    "URIPARAM": r"\?[A-Za-z0-9$.+!*'|(){},~#%&/=:;_?\-\[\]<>]*",
+    "UNIXPATH": r"(/[\w_%!$@:.,-]?/?)(\S+)?",
+    "TTY": r"(?:/dev/(pts|tty([pq])?)(\w+)?/?(?:[0-9]+))",
+    "WINPATH": r"([A-Za-z]:|\\)(?:\\[^\\?*]*)+",
+    "URIPROTO": r"[A-Za-z]+(\+[A-Za-z+]+)?",
+    "URIHOST": r"%{IPORHOST}(?::%{POSINT:port})?",
+    "URIPATH": r"(?:/[A-Za-z0-9$.+!*'(){},~:;=@#%_\-]*)+",
+    "URIPARAM": r"\?[A-Za-z0-9$.+!*'|(){},~@#%&/=:;_?\-\[\]<>]*",
     "URIPATHPARAM": r"%{URIPATH}(?:%{URIPARAM})?",
     "URI": r"%{URIPROTO}://(?:%{USER}(?::[^@]*)?@)?(?:%{URIHOST})?(?:%{URIPATHPARAM})?",
-    "MONTH": r"\b(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)\b",
+    "MONTH": r"\b(?:Jan(?:uary|uar)?|Feb(?:ruary|ruar)?|M(?:a|ä)?r(?:ch|z)?|Apr(?:il)?|Ma(?:y|i)?|Jun(?:e|i)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:tember)?|O(?:c|k)?t(?:ober)?|Nov(?:ember)?|De(?:c|z)(?:ember)?)\b",
     "MONTHNUM": r"(?:0?[1-9]|1[0-2])",
-    "MONTHDAY": r"(?:0[1-9]|[12][0-9]|3[01]|[1-9])",
+    "MONTHNUM2": r"(?:0[1-9]|1[0-2])",
+    "MONTHDAY": r"(?:(?:0[1-9])|(?:[12][0-9])|(?:3[01])|[1-9])",
     "DAY": r"(?:Mon(?:day)?|Tue(?:sday)?|Wed(?:nesday)?|Thu(?:rsday)?|Fri(?:day)?|Sat(?:urday)?|Sun(?:day)?)",
-    "YEAR": r"(?:\d\d){1,2}",
+    "YEAR": r"(\d\d){1,2}",
     "HOUR": r"(?:2[0123]|[01]?[0-9])",
     "MINUTE": r"(?:[0-5][0-9])",
     "SECOND": r"(?:(?:[0-5]?[0-9]|60)(?:[:.,][0-9]+)?)",
-    "TIME": r"%{HOUR}:%{MINUTE}(?::%{SECOND})?",
+    "TIME": r"([^0-9]?)%{HOUR}:%{MINUTE}(?::%{SECOND})([^0-9]?)",
+    "DATE_US": r"%{MONTHNUM}[/-]%{MONTHDAY}[/-]%{YEAR}",
+    "DATE_EU": r"%{MONTHDAY}[./-]%{MONTHNUM}[./-]%{YEAR}",
     "ISO8601_TIMEZONE": r"(?:Z|[+-]%{HOUR}(?::?%{MINUTE}))",
+    "ISO8601_SECOND": r"(?:%{SECOND}|60)",
     "TIMESTAMP_ISO8601": r"%{YEAR}-%{MONTHNUM}-%{MONTHDAY}[T ]%{HOUR}:?%{MINUTE}(?::?%{SECOND})?%{ISO8601_TIMEZONE}?",
+    "DATE": r"%{DATE_US}|%{DATE_EU}",
+    "DATESTAMP": r"%{DATE}[- ]%{TIME}",
+    "TZ": r"(?:[PMCE][SD]T|UTC)",
+    "DATESTAMP_RFC822": r"%{DAY} %{MONTH} %{MONTHDAY} %{YEAR} %{TIME} %{TZ}",
+    "DATESTAMP_RFC2822": r"%{DAY}, %{MONTHDAY} %{MONTH} %{YEAR} %{TIME} %{ISO8601_TIMEZONE}",
+    "DATESTAMP_OTHER": r"%{DAY} %{MONTH} %{MONTHDAY} %{TIME} %{TZ} %{YEAR}",
+    "DATESTAMP_EVENTLOG": r"%{YEAR}%{MONTHNUM2}%{MONTHDAY}%{HOUR}%{MINUTE}%{SECOND}",
+    "HTTPDERROR_DATE": r"%{DAY} %{MONTH} %{MONTHDAY} %{TIME} %{YEAR}",
     "HTTPDATE": r"%{MONTHDAY}/%{MONTH}/%{YEAR}:%{TIME} %{INT}",
     "SYSLOGTIMESTAMP": r"%{MONTH} +%{MONTHDAY} %{TIME}",
     "PROG": r"[\x21-\x5a\x5c\x5e-\x7e]+",
-    "LOGLEVEL": r"(?i:trace|debug|notice|info(?:rmation)?|warn(?:ing)?|err(?:or)?|crit(?:ical)?|fatal|severe|emerg(?:ency)?|alert)",
-    "COMMONAPACHELOG": r'%{IPORHOST:clientip} %{USER:ident} %{USER:auth} \[%{HTTPDATE:timestamp}\] "(?:%{WORD:verb} %{NOTSPACE:request}(?: HTTP/%{NUMBER:httpversion})?|%{DATA:rawrequest})" %{NUMBER:response} (?:%{NUMBER:bytes}|-)',
+    "SYSLOGPROG": r"%{PROG:program}(?:\[%{POSINT:pid}\])?",
+    "SYSLOGHOST": r"%{IPORHOST}",
+    "SYSLOGFACILITY": r"<%{NONNEGINT:facility}.%{NONNEGINT:priority}>",
+    "SYSLOGBASE": r"%{SYSLOGTIMESTAMP:timestamp} (?:%{SYSLOGFACILITY} )?%{SYSLOGHOST:logsource} %{SYSLOGPROG}:",
+    "QS": r"%{QUOTEDSTRING}",
+    "LOGLEVEL": r"([Aa]lert|ALERT|[Tt]race|TRACE|[Dd]ebug|DEBUG|[Nn]otice|NOTICE|[Ii]nfo|INFO|[Ww]arn?(?:ing)?|WARN?(?:ING)?|[Ee]rr?(?:or)?|ERR?(?:OR)?|[Cc]rit?(?:ical)?|CRIT?(?:ICAL)?|[Ff]atal|FATAL|[Ss]evere|SEVERE|EMERG(?:ENCY)?|[Ee]merg(?:ency)?)",
+    "COMMONAPACHELOG": r'%{IPORHOST:clientip} %{HTTPDUSER:ident} %{USER:auth} \[%{HTTPDATE:timestamp}\] "(?:%{WORD:verb} %{NOTSPACE:request}(?: HTTP/%{NUMBER:httpversion})?|%{DATA:rawrequest})" %{NUMBER:response} (?:%{NUMBER:bytes}|-)',
     "COMBINEDAPACHELOG": r"%{COMMONAPACHELOG} %{QS:referrer} %{QS:agent}",
 }
 

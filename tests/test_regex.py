@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 from hypothesis import given, settings
@@ -6,8 +8,8 @@ from pyspark.sql import functions as F
 
 from logloom.functions import regex
 
-PATTERNS = [r"^a.c$", r"(?P<x_y>\d+)-(\w)", r"[[:alpha:]]+\s", r"(?i)AB", r"[a&&b\]]x", r"\x{41}b", r"a$|b", r"(a|b)*c", r"\bfoo\b", r"[^\s]x", r"(?s)a.b", r"(?m)^b$"]
-TEXTS = ["abc", "a\rc", "abc\n", "12-q", "ab ", "xAb", "&x", "Ab", "a\n", "ababc", "foo bar", "a\nb", "", "b", "\vx", "]x"]
+PATTERNS = [r"^a.c$", r"(?P<x_y>\d+)-(\w)", r"[[:alpha:]]+\s", r"(?i)AB", r"[a&&b\]]x", r"\x{41}b", r"a$|b", r"(a|b)*c", r"\bfoo\b", r"\bfo", r"o\B", r"[^\s]x", r"(?s)a.b", r"(?m)^b$"]
+TEXTS = ["abc", "a\rc", "abc\n", "12-q", "ab ", "xAb", "&x", "Ab", "a\n", "ababc", "foo bar", "äfoo", "fooß", "a\nb", "", "b", "\vx", "]x"]
 
 
 def test_same_matches_as_re2(spark):
@@ -44,3 +46,29 @@ def test_translation_never_breaks_otherwise(pattern):
         regex.translate(pattern)
     except regex.UnsupportedPattern:
         pass
+
+
+SAMPLES = [
+    "0011.2233.4455", "00-11-22-33-44-55", "00:11:22:33:44:55", "10.1.2.3", "fe80::1:2", "web-1.example.org.", "a.b+c@host", "/var/log/a b", "/dev/pts/3", "C:\\x\\y", "http://u:p@h:80/p?q=1", "März", "May", "June",
+    "23:59", "23:59:60.5", "2024-02-03T04:05:06Z", "03.02.2024 04:05:06", "Mon Feb 3 04:05:06 UTC 2024", "Feb  3 04:05:06 h app[12]: x", "wArN", "WARNING", "Emergency", "'a \\' b'", '"open', "-1.5", ".5", "0xff", "",
+    '10.0.0.1 - bob [03/Feb/2024:04:05:06 +0100] "GET /x HTTP/1.1" 200 12 "-" "agent 1"',
+]
+
+
+def test_grok_definitions_match_as_in_re2(spark):
+    """Each definition finds in each sample what RE2 finds by it."""
+
+    def plain(text):
+        return re.sub(r"%\{(\w+)(?::\w+)?\}", lambda m: f"(?:{plain(regex.GROK[m[1]])})", text)
+
+    found = [F.regexp_extract("t", f"({regex.from_grok(f'%{{{n}}}')[0].java})", 1).alias(n) for n in regex.GROK]
+    got = {r.t: r for r in spark.createDataFrame([(t,) for t in SAMPLES], "t string").select("t", *found).collect()}
+    c = duckdb.connect()
+    for name in regex.GROK:
+        for t in SAMPLES:
+            assert got[t][name] == c.execute("select regexp_extract(?, ?)", [t, plain(regex.GROK[name])]).fetchone()[0], (name, t)
+
+
+def test_grok_open_quote_is_cheap(spark):
+    texts = spark.createDataFrame([("'" + "a" * 200_000,), ('"' + "a" * 200_000 + '"',)], "t string")
+    assert [r.m for r in texts.select(regex.matches(F.col("t"), regex.GROK["QUOTEDSTRING"]).alias("m")).collect()] == [False, True]
