@@ -256,17 +256,30 @@ def ip_number(address: Column) -> Column:
     return F.when(address.rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}\z") & (F.greatest(*numbers) <= 255), value)
 
 
-def is_public(number: Column) -> Column:
-    """Neither private, loopback, link-local nor unspecified."""
-    ranges = [("10.0.0.0", 8), ("127.0.0.0", 8), ("172.16.0.0", 12), ("192.168.0.0", 16), ("169.254.0.0", 16), ("0.0.0.0", 8)]
-    out = F.lit(True)
+PRIVATE = [("10.0.0.0", 8), ("127.0.0.0", 8), ("172.16.0.0", 12), ("192.168.0.0", 16)]
+
+
+def _within(number: Column, ranges: list[tuple[str, int]]) -> Column:
+    out = F.lit(False)
     for base, bits in ranges:
         a, b, c, d = map(int, base.split("."))
         low = a << 24 | b << 16 | c << 8 | d
-        out &= ~number.between(low, low + (1 << 32 - bits) - 1)
+        out |= number.between(low, low + (1 << 32 - bits) - 1)
     return out
 
 
+def is_public(number: Column) -> Column:
+    """Neither private, loopback, link-local nor unspecified."""
+    return ~_within(number, [*PRIVATE, ("169.254.0.0", 16), ("0.0.0.0", 8)])
+
+
+def address_error(address: Column) -> Column:
+    """What is wrong with an address text: private or loopback, or no address at all; null for texts that may be looked up."""
+    number = ip_number(address)
+    private = _within(number, PRIVATE) | address.rlike(r"^(?:::1|f[cdCD][0-9a-fA-F]{2}:.*)\z")
+    return F.when(private, "must be public ip address").when(number.isNull() & ~address.contains(":"), "not an ip address")
+
+
 def geoip(df: DataFrame, address: str, ranges: DataFrame, small_rows: int = 200_000) -> DataFrame:
     """``df`` with a struct column ``geoip`` from a table of ranges (ip_from, ip_to and what is known of them).
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import record as R
 from ..operators import prefilters
-from ..operators.parsers import PreExtract, geoip
+from ..operators.parsers import PreExtract, address_error, geoip
 from ..operators.transforms import change, fuse, fused
 from . import legacy
 from .convert import to_transforms
@@ -84,14 +84,16 @@ def _parse(df: DataFrame, group: list[PreExtract], settings: TransformSettings)
     return df.withColumn("rec", F.col("__rec")).withColumn("err", F.col("__err")).drop(*extra)
 
 
-def _locate(df: DataFrame, rule: PreExtract, ranges: DataFrame | None) -> DataFrame:
-    """The geoip parser as a join; without a table of ranges the rule does nothing."""
+def _locate(df: DataFrame, rule: PreExtract, settings: TransformSettings, ranges: DataFrame | None) -> DataFrame:
+    """The geoip parser as a join; without a table of ranges the rule does nothing.  Addresses that are private or none are errors."""
     if ranges is None:
         return df
     path = R.split_path(rule.field)
     rows = geoip(df.withColumn("__address", R.text(R.get(F.col("rec"), path))), "__address", ranges)
     placed = R.put_all(F.col("rec"), path[:-1], F.create_map(F.lit("geoip"), F.to_variant_object(F.col("geoip")).cast("variant")))
-    return rows.withColumn("rec", F.when(F.col("geoip").isNotNull(), placed).otherwise(F.col("rec"))).drop("geoip", "__address")
+    error = address_error(F.col("__address"))
+    err = F.coalesce(error, F.col("err")) if settings.skip_extract_error else F.coalesce(F.col("err"), error)
+    return rows.withColumns({"rec": F.when(F.col("geoip").isNotNull(), placed).otherwise(F.col("rec")), "err": err}).drop("geoip", "__address")
 
 
 def _edit(df: DataFrame, settings: TransformSettings, dictionaries: dict, prefixes: list[tuple[str, str]] | None) -> DataFrame:
@@ -139,7 +141,7 @@ def compile_settings(config: str | dict | TransformSettings, dictionaries: dict
         if keys and not (old and version == ""):  # the oldest engine prunes by level
             df = df.withColumn("rec", F.map_filter("rec", lambda k, _: k.isin(keys)))
         for group in _parser_groups(settings.pre_extract):
-            df = _locate(df, group[0], ranges) if group[0].mode == "geoip" else _parse(df, group, settings)
+            df = _locate(df, group[0], settings, ranges) if group[0].mode == "geoip" else _parse(df, group, settings)
         df = legacy.edit(df, settings, version) if old else _edit(df, settings, dictionaries or {}, uri_patterns)
         if settings.skip_extract_error:
             tagged = F.map_concat(R.without(F.col("rec"), [FAILURE]), F.create_map(F.lit(FAILURE), F.col("err").cast("variant")))

@@ -102,3 +102,15 @@ def test_uri_patterns_of_a_task(spark):
     made = project(compile_settings({"fields_transform": [rule]}, uri_patterns=found)(rows), {"u": ("u", "string")}, ["i"])
     want = ["/oms/:shop/:no/:id", "/oms/:first/:id", "/oms/:id", "/:uuid/a", "-", "/", "/a/:uuid", "/a/.js", "/a/:static.js", "/oms/:shop/:no/:static.html", None]
     assert [r.u for r in made.orderBy("i").collect()] == want
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_addresses_without_a_place(spark, skip):
+    """Private addresses and texts that are no address are errors; unknown public ones stay as they are."""
+    ranges = spark.createDataFrame([(8 << 24, (9 << 24) - 1, "Here")], "ip_from long, ip_to long, city_name string")
+    docs = [{"ip": a} for a in ("8.1.1.1", "10.0.0.1", "127.0.0.1", "::1", "nowhere", "9.9.9.9", "2001:db8::1", None)] + [{"other": 1}]
+    got = run(spark, docs, {"pre_extract": [{"mode": "geoip", "field": "ip"}], "skip_extract_error": skip}, ranges=ranges)
+    shown = {d.get("ip"): (d.get("geoip", {}).get("city_name"), d.get("log_transform_failure")) for d in got}
+    good = {"8.1.1.1": ("Here", None), "9.9.9.9": (None, None), "2001:db8::1": (None, None), None: (None, None)}
+    private, none = (None, "must be public ip address"), (None, "not an ip address")
+    assert shown == (good | {"10.0.0.1": private, "127.0.0.1": private, "::1": private, "nowhere": none} if skip else good)
