@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .record import kind, text, variant
-from .regex import matches, replacement, translate
+from .regex import found, group, matches, replaced, translate
 
 SPACES = " \t\n\v\f\r\x85\xa0"
 
@@ -134,8 +134,8 @@ def extract(value: Column, regexp: str, legacy: bool = False) -> Column:
     if legacy and regexp == "(.*)":
         return value
     pattern = translate(regexp)
-    found = F.regexp_extract(value, pattern.java, 1) if pattern.groups else (F.lit("") if legacy else value)
-    return F.when(value.rlike(pattern.java), found).otherwise(F.lit("") if legacy else value)
+    made = group(value, pattern, 1) if pattern.groups else (F.lit("") if legacy else value)
+    return F.when(found(value, pattern), made).otherwise(F.lit("") if legacy else value)
 
 
 def map_by_regexp(value: Column, rules: list[tuple[str, str]]) -> Column:
@@ -149,6 +149,9 @@ def map_by_regexp(value: Column, rules: list[tuple[str, str]]) -> Column:
 #: What a text must hold for a mask to find anything: cheap to look for, so that most texts skip the mask's own search.
 GUARDS = {"phone": "[0-9]{11}", "email": "@", "bank_card": "[0-9]{16}", "id_card": "[0-9]{17}", "access_key": "[a-zA-Z0-9]{16}"}
 
+#: What a text must hold for Java's engine to call itself often; such texts go through the automaton, however short.
+CHAINS = {"email": r"@(?:[A-Za-z0-9]++[-.]){100}"}
+
 
 def mask(value: Column, method: str, regexp: str = "", replace: str = "") -> Column:
     """Masked text."""
@@ -160,12 +163,11 @@ def mask(value: Column, method: str, regexp: str = "", replace: str = "") -> Col
         return F.when(F.char_length(value) <= 4, value).otherwise(F.concat(F.lit("****"), F.right(value, F.lit(4))))
     if method == "custom":
         pattern = translate(regexp)
-        return F.regexp_replace(value, pattern.java, replacement(replace, pattern.names))
+        return replaced(value, pattern, replace)
     if method not in MASKS:
         raise ValueError(f"unknown mask {method}")
     regexp, replace = MASKS[method]
-    pattern = translate(regexp)
-    masked = F.regexp_replace(value, pattern.java, replacement(replace, pattern.names))
+    masked = replaced(value, translate(regexp), replace, value.rlike(CHAINS[method]) if method in CHAINS else None)
     return F.when(value.rlike(GUARDS[method]), masked).otherwise(value) if method in GUARDS else masked
 
 
@@ -180,16 +182,16 @@ def uri_path(value: Column, prefixes: list[tuple[str, str]] | None = None) -> Co
 
     ``prefixes`` are (path prefix, pattern with named groups): by the first that fits, what a group captures becomes ``:name``.
     """
-    path = F.regexp_extract(value, PATH_PATTERN, 0)
+    path = F.regexp_extract(value, translate(PATH_PATTERN).java, 0)
     named, hit = path, F.lit(False)
     for prefix, regexp in reversed(prefixes or []):
         pattern = translate(regexp)
-        here = path.startswith(prefix) & path.rlike(pattern.java)
+        here = path.startswith(prefix) & found(path, pattern)
         made = path
         for i, name in enumerate(pattern.names, 1):
             if name:
-                found = F.regexp_extract(path, pattern.java, i)
-                made = F.when(found != "", F.replace(made, found, F.lit(f":{name}"))).otherwise(made)
+                piece = group(path, pattern, i)
+                made = F.when(piece != "", F.replace(made, piece, F.lit(f":{name}"))).otherwise(made)
         named, hit = F.when(here, made).otherwise(named), here | hit
 
     def segment(s: Column) -> Column:
@@ -214,8 +216,8 @@ def uri_path(value: Column, prefixes: list[tuple[str, str]] | None = None) -> Co
 
 def uri_patterns(config: str) -> list[tuple[str, str]]:
     """(prefix, pattern) pairs of a JSON list of objects with prefix, pattern and order, in that order; incomplete ones go."""
-    found = sorted(json.loads(config) if config else [], key=lambda e: e.get("order") or 0)
-    return [(e["prefix"], e["pattern"]) for e in found if e.get("prefix") and e.get("pattern")]
+    known = sorted(json.loads(config) if config else [], key=lambda e: e.get("order") or 0)
+    return [(e["prefix"], e["pattern"]) for e in known if e.get("prefix") and e.get("pattern")]
 
 
 def format_text(value: Column, settings: FormatSettings, prefixes: list[tuple[str, str]] | None = None) -> Column:
@@ -294,7 +296,7 @@ def detect_timestamp(value: Column) -> Column:
     """
     digits = value.try_cast("bigint")
     number = F.when(value.rlike(r"^[0-9]{10}\z") & (digits > 1_000_000_000), digits).when(value.rlike(r"^[0-9]{13}\z") & (digits > 1_000_000_000_000), F.floor(digits / 1000))
-    found = []
+    layouts = []
     for layout, day_first in DETECTED:
         whole = rf"^{layout}\z"
         part = lambda k: F.regexp_extract(value, whole, k)  # noqa: B023, E731
@@ -309,8 +311,8 @@ def detect_timestamp(value: Column) -> Column:
             seconds = F.unix_seconds(F.concat(time, F.lit("Z")).try_cast("timestamp")) - east
         else:
             seconds = F.unix_seconds(time.try_cast("timestamp"))
-        found.append(F.when(value.rlike(whole), seconds))
-    return F.coalesce(number, *found, F.lit(0)).cast("bigint")
+        layouts.append(F.when(value.rlike(whole), seconds))
+    return F.coalesce(number, *layouts, F.lit(0)).cast("bigint")
 
 
 def get_text(value: Column) -> Column:

@@ -1,145 +1,169 @@
-"""RE2 patterns as Spark (Java) patterns, and the template languages that compile to them."""
+"""RE2 patterns on columns of text, and the template languages that compile to them.
+
+Texts that Java's engine can match without harm stay in the JVM; longer ones, where a pattern's loops could exhaust its stack or its time, go through an
+automaton in Arrow batches (``re2``).  Patterns without such loops have no Python in their plan.
+"""
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import replace
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .re2 import Pattern, UnsupportedPattern, compile_pattern, machine
 
-class UnsupportedPattern(ValueError):
-    """The pattern is not RE2."""
-
-
-@dataclass(frozen=True)
-class Pattern:
-    """A Java pattern; ``names`` has a name or None for each of its groups, in order."""
-
-    java: str
-    names: tuple[str | None, ...]
-
-    @property
-    def groups(self) -> int:
-        return len(self.names)
-
-
-_SPACES = r"\t\n\f\r "
-# \b of Java takes letters of all scripts for parts of words
-_ESCAPES = {"s": f"[{_SPACES}]", "S": f"[^{_SPACES}]", "b": r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))", "B": r"(?:(?<=\w)(?=\w)|(?<!\w)(?!\w))"}
-_FLAGS = re.compile(r"\(\?([imsU]*(?:-[imsU]+)?)([:)])")
-_NAME = re.compile(r"\(\?P?<([A-Za-z_][A-Za-z0-9_]*)>")
-_POSIX = re.compile(r"\[:(\^?)([a-z]+):\]")
-# POSIX class names and Java's names for them.
-POSIX = {"alnum": "Alnum", "alpha": "Alpha", "ascii": "ASCII", "blank": "Blank", "cntrl": "Cntrl", "digit": "Digit", "graph": "Graph", "lower": "Lower", "print": "Print", "punct": "Punct", "space": "Space", "upper": "Upper", "xdigit": "XDigit"}
-
-
-def _class(pattern: str, at: int) -> tuple[str, int]:
-    """The character class that begins at ``at``."""
-    out, i = "[", at + 1
-    if pattern[i : i + 1] == "^":
-        out, i = out + "^", i + 1
-    first = True
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "]" and not first:
-            return out + "]", i + 1
-        first = False
-        if m := _POSIX.match(pattern, i):
-            if m[2] not in POSIX:
-                raise UnsupportedPattern(f"unknown class {m[0]}")
-            out, i = out + rf"\{'P' if m[1] else 'p'}{{{POSIX[m[2]]}}}", m.end()
-        elif c == "\\":
-            d = pattern[i + 1 : i + 2]
-            if not d or d.isdigit() and d != "0":
-                raise UnsupportedPattern("backreference")
-            out, i = out + (_SPACES if d == "s" else "\\" + d), i + 2
-        else:
-            out, i = out + ("\\" + c if c in "[]&" else c), i + 1
-    raise UnsupportedPattern("missing ]")
+__all__ = ["GROK", "Pattern", "UnsupportedPattern", "from_grok", "from_nginx_template", "group", "matches", "named_groups", "replacement", "replaced", "split_by", "translate"]
 
 
 def translate(pattern: str) -> Pattern:
     """A Java pattern with RE2's meaning: named groups by position, ``$`` only at the very end, ``.`` without line feeds alone."""
-    out, names, i, multi = ["(?d)"], [], 0, False
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "\\":
-            d = pattern[i + 1 : i + 2]
-            if d == "Q":
-                end = pattern.find("\\E", i)
-                end = len(pattern) if end < 0 else end
-                out.append(re.escape(pattern[i + 2 : end]))
-                i = end + 2
-                continue
-            if not d or d in "ZGkRXHVh" or d.isdigit() and d != "0":
-                raise UnsupportedPattern(f"\\{d} is not RE2")
-            out.append(_ESCAPES.get(d, "\\" + d))
-            i += 2
-        elif c == "[":
-            part, i = _class(pattern, i)
-            out.append(part)
-        elif c == "(":
-            if m := _NAME.match(pattern, i):
-                names.append(m[1])
-                out.append("(")
-                i = m.end()
-            elif m := _FLAGS.match(pattern, i):
-                if "U" in m[1]:
-                    raise UnsupportedPattern("the ungreedy flag")
-                multi = multi or "m" in m[1].partition("-")[0]
-                out.append(m[0])
-                i = m.end()
-            elif pattern.startswith("(?", i):
-                raise UnsupportedPattern("lookaround or atomic group")
-            else:
-                names.append(None)
-                out.append("(")
-                i += 1
-        elif c == "$":
-            out.append("$" if multi else r"\z")
-            i += 1
-        elif c in "*+?" and pattern[i + 1 : i + 2] == "+" or c == "}" and pattern[i + 1 : i + 2] == "+":
-            raise UnsupportedPattern("possessive quantifier")
-        else:
-            out.append(c)
-            i += 1
-    java = "".join(out)
-    return Pattern(java, tuple(names))
-
+    return compile_pattern(pattern)
 
-def replacement(template: str, names: tuple[str | None, ...]) -> str:
-    """A Go replacement template (``$1``, ``${1}``, ``$name``) as Java's; unknown groups are empty."""
 
-    def one(m: re.Match) -> str:
-        if m[0] == "$$":
-            return r"\$"
-        name = m[1] or m[2]
+def _template(template: str, names: tuple[str | None, ...]) -> list[str | int]:
+    """A Go replacement template (``$1``, ``${1}``, ``$name``) as texts and numbers of groups; unknown groups are left out."""
+    out, at = [], 0
+    for m in re.finditer(r"\$\$|\$\{(\w+)\}|\$(\w+)", template):
+        out.append(template[at : m.start()])
+        at, name = m.end(), m[1] or m[2]
         if name is None:
-            return "\\" + m[0]
+            out.append("$")
+            continue
         number = int(name) if name.isdigit() else (max((i for i, n in enumerate(names, 1) if n == name), default=-1))
-        # Java reads on through further digits as long as such a group exists
-        return f"${number}" if 0 <= number <= len(names) else ""
+        if 0 <= number <= len(names):
+            out.append(number)
+    return [p for p in [*out, template[at:]] if p != ""]
+
+
+def replacement(template: str, names: tuple[str | None, ...]) -> str:
+    """The template as Java's."""
+    # Java reads on through further digits as long as such a group exists
+    return "".join(f"${p}" if isinstance(p, int) else re.sub(r"[\\$]", r"\\\g<0>", p) for p in _template(template, names))
+
+
+def _groups(source: str):
+    """Arrow function: the first match of each text and its groups."""
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(machine(source).groups, na_action="ignore").astype(object)
 
-    return re.sub(r"\$\$|\$\{(\w+)\}|\$(\w+)|[\\$]", one, template)
+    return run
+
+
+def _long(text: Column, pattern: Pattern) -> Column:
+    """The texts that are not for Java; null for the others."""
+    return F.when(F.char_length(text) > pattern.limit, text)
+
+
+def _either(text: Column, pattern: Pattern, java: Column, other: Column) -> Column:
+    return F.when(F.char_length(text) <= pattern.limit, java).otherwise(other)
+
+
+def found(text: Column, pattern: Pattern) -> Column:
+    """True where the pattern is found."""
+    java = text.rlike(pattern.java)
+    if pattern.limit is None:
+        return java
+    return _either(text, pattern, java, F.when(text.isNotNull(), _groups(pattern.source)(_long(text, pattern)).isNotNull()))
 
 
 def matches(text: Column, pattern: str) -> Column:
     """True where RE2 would find the pattern."""
-    return text.rlike(translate(pattern).java)
+    return found(text, translate(pattern))
+
+
+def group(text: Column, pattern: Pattern, number: int) -> Column:
+    """What a group of the first match holds; "" where it took no part, or nothing matches."""
+    java = F.regexp_extract(text, pattern.java, number)
+    if pattern.limit is None:
+        return java
+    other = F.coalesce(F.element_at(_groups(pattern.source)(_long(text, pattern)), number + 1), F.when(text.isNotNull(), ""))
+    return _either(text, pattern, java, other)
 
 
 def named_groups(text: Column, pattern: Pattern, keep: set[str] | None = None) -> Column:
     """Map of the named groups of the first match; null without a match.  Of equal names the last counts."""
     last = {n: i for i, n in enumerate(pattern.names, 1) if n and (keep is None or n in keep)}
-    pairs = [x for n, i in last.items() for x in (F.lit(n), F.regexp_extract(text, pattern.java, i))]
+    pairs = [x for n, i in last.items() for x in (F.lit(n), group(text, pattern, i))]
     made = F.create_map(*pairs) if pairs else F.expr("cast(map() as map<string,string>)")
-    return F.when(text.rlike(pattern.java), made)
+    return F.when(found(text, pattern), made)
+
+
+def _without_empty(pattern: Pattern) -> Pattern:
+    """A pattern that can match nothing goes through the automaton where all matches count."""
+    return replace(pattern, limit=-1) if pattern.empty else pattern
+
+
+def replaced(text: Column, pattern: Pattern, template: str, deep: Column | None = None) -> Column:
+    """All matches replaced by a Go template.  ``deep`` says which texts are not for Java, where more is known of the pattern than its limit."""
+    java, pattern = F.regexp_replace(text, pattern.java, replacement(template, pattern.names)), _without_empty(pattern)
+    if pattern.limit is None:
+        return java
+    source, parts = pattern.source, _template(template, pattern.names)
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(t: str) -> str:
+            out, at = [], 0
+            for slots in machine(source).matches(t):
+                out.append(t[at : slots[0]])
+                out += [p if isinstance(p, str) else t[slots[2 * p] : slots[2 * p + 1]] if slots[2 * p] >= 0 else "" for p in parts]
+                at = slots[1]
+            return "".join([*out, t[at:]])
+
+        return texts.map(one, na_action="ignore").astype(object)
+
+    if deep is not None:
+        return F.when(deep, run(F.when(deep, text))).otherwise(java)
+    return _either(text, pattern, java, run(_long(text, pattern)))
+
+
+def split_by(text: Column, pattern: Pattern, limit: int = -1) -> Column:
+    """Pieces between the matches, at most ``limit`` where that is positive."""
+    java, pattern = F.split(text, pattern.java, limit), _without_empty(pattern)
+    if pattern.limit is None:
+        return java
+    source = pattern.source
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(t: str) -> list[str]:
+            out, at, end = [], 0, -1
+            for slots in machine(source).matches(t):
+                if len(out) == limit - 1:
+                    break
+                end = slots[0]
+                if slots[1]:
+                    out.append(t[at:end])
+                at = slots[1]
+            return out if t and end == len(t) else [*out, t[at:]]
+
+        return texts.map(one, na_action="ignore").astype(object)
+
+    return _either(text, pattern, java, run(_long(text, pattern)))
+
+
+def found_in_each(texts: Column, pattern: Pattern) -> Column:
+    """For each text of an array, whether the pattern is found."""
+    java = F.transform(texts, lambda t: t.rlike(pattern.java))
+    if pattern.limit is None:
+        return java
+    source = pattern.source
+    short = F.forall(texts, lambda t: t.isNull() | (F.char_length(t) <= pattern.limit))
+
+    @F.pandas_udf("array<boolean>")
+    def run(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda own: [None if t is None else machine(source).search(t) is not None for t in own], na_action="ignore").astype(object)
+
+    return F.when(short, java).otherwise(run(F.when(~short, texts)))
 
 
 def from_nginx_template(template: str) -> Pattern:
-    """``$name`` stands for all characters up to the next literal one."""
+    """``$name`` stands for all characters up to the next literal one, the last for all up to a blank (line ends among them); more may follow."""
     out, at = ["^"], 0
     found = list(re.finditer(r"\$([A-Za-z0-9_]+)", template))
     if not found:
@@ -148,7 +172,7 @@ def from_nginx_template(template: str) -> Pattern:
     for k, m in enumerate(found):
         out.append(re.sub(r"([^A-Za-z0-9 ])", r"\\\1", template[at : m.start()]))
         follows = template[m.end() : m.end() + 1]
-        out.append("(.*)" if not follows else "([^" + re.sub(r"([^A-Za-z0-9 ])", r"\\\1", follows) + "]*)")
+        out.append("([^ ]*)" if not follows else "([^" + re.sub(r"([^A-Za-z0-9 ])", r"\\\1", follows) + "]*)")
         names.append(m[1])
         at = m.end()
     out.append(re.sub(r"([^A-Za-z0-9 ])", r"\\\1", template[at:]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import record as R
 from ..functions.formats import trim_space
-from ..functions.regex import from_grok, from_nginx_template, named_groups, translate
+from ..functions.regex import found, found_in_each, from_grok, from_nginx_template, group, named_groups, split_by, translate
 
 Parser = Callable[[Column], Column]
 STRINGS = "map<string,string>"
@@ -59,11 +59,11 @@ def grok_parser(format: str, keep: set[str] | None = None) -> Parser:
     def parse(s: Column) -> Column:
         pairs = []
         for name, i in last.items():
-            found = F.regexp_extract(s, pattern.java, i)
-            typed = {"int": found.try_cast("bigint"), "float": found.try_cast("double")}.get(kinds.get(name, ""), found)
+            piece = group(s, pattern, i)
+            typed = {"int": piece.try_cast("bigint"), "float": piece.try_cast("double")}.get(kinds.get(name, ""), piece)
             pairs += [F.lit(name), typed.cast("variant")]
         made = F.create_map(*pairs) if pairs else R.empty()
-        return F.when(s.rlike(pattern.java), made).when(s.isNotNull(), R.empty())
+        return F.when(found(s, pattern), made).when(s.isNotNull(), R.empty())
 
     return parse
 
@@ -82,11 +82,11 @@ def split_parser(format: str, keep: set[str] | None = None) -> Parser:
     if not delimiter:
         raise ValueError("empty delimiter")
     regexp = len(delimiter) > 2 and delimiter.startswith("/") and delimiter.endswith("/")
-    pattern = translate(delimiter[1:-1]).java if regexp else _quoted(delimiter)
+    pattern = translate(delimiter[1:-1]) if regexp else None
     limit = most if most > 0 else -1
 
     def parse(s: Column) -> Column:
-        pieces = F.split(s, pattern, limit)
+        pieces = split_by(s, pattern, limit) if pattern else F.split(s, _quoted(delimiter), limit)
         numbers = F.transform(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: i.cast("string"))
         made = F.map_from_arrays(numbers, pieces)
         if keep is not None:
@@ -116,19 +116,21 @@ def _simple_pairs(options: dict) -> Parser:
         if not pattern:
             pairs = F.transform(_cut_pairs(pieces, inside), lambda e: F.struct(trim_space(e["key"]).alias("key"), e["value"]))
             return _last_wins(pairs)
-        key = translate(pattern if pattern.startswith("^") else "^" + pattern).java
-        key = key if pattern.endswith("$") else key + r"\z"
+        key = translate(("" if pattern.startswith("^") else "^") + pattern + ("" if pattern.endswith("$") else "$"))
         kind = "array<struct<key:string,value:string>>"
+        # whether the text before the delimiter is a key, for all pieces at once
+        named = F.arrays_zip(pieces.alias("text"), found_in_each(F.transform(pieces, lambda p: F.substring_index(p, inside, 1)), key).alias("key"))
 
-        def glue(done: Column, piece: Column) -> Column:
+        def glue(done: Column, one: Column) -> Column:
+            piece = one["text"]
             name = F.substring_index(piece, inside, 1)
-            fresh = piece.contains(inside) & name.rlike(key)
+            fresh = piece.contains(inside) & one["key"]
             pair = F.struct(name.alias("key"), F.substr(piece, F.locate(inside, piece) + len(inside)).alias("value"))
             last = F.element_at(done, -1)
             longer = F.struct(last["key"].alias("key"), F.concat(last["value"], F.lit(between), piece).alias("value"))
             return F.when(fresh, F.concat(done, F.array(pair)).cast(kind)).when(F.size(done) == 0, done).otherwise(F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer)).cast(kind))
 
-        pairs = F.aggregate(pieces, F.array().cast(kind), glue)
+        pairs = F.aggregate(named, F.array().cast(kind), glue)
         return _last_wins(F.transform(pairs, lambda e: F.struct(trim_space(e["key"]).alias("key"), e["value"])))
 
     return lambda s: _variants(parse(s))
@@ -154,7 +156,12 @@ def _table(options: dict) -> Parser:
         if not many:
             made = F.map_from_entries(F.transform(named, lambda e: F.struct(e["key"], value(F.element_at(lines, 2), e["at"]).alias("value"))))
             return F.when(F.size(lines) < 2, R.empty()).otherwise(_variants(made))
-        rest = F.filter(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: (x != "") & (x.rlike(translate(wanted).java) if wanted else F.lit(True)))
+        rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+        if wanted:
+            rest = F.filter(F.arrays_zip(rest.alias("line"), found_in_each(rest, translate(wanted)).alias("fits")), lambda x: (x["line"] != "") & x["fits"])
+            rest = F.transform(rest, lambda x: x["line"])
+        else:
+            rest = F.filter(rest, lambda x: x != "")
         made = F.map_from_entries(F.transform(named, lambda e: F.struct(e["key"], F.transform(rest, lambda x: value(x, e["at"])).cast("variant").alias("value"))))
         return F.when(F.size(lines) < 2, R.empty()).otherwise(F.when(F.size(rest) > 0, made).otherwise(R.empty()))
 
