@@ -1,8 +1,8 @@
 """Tasks as DataFrame plans: the same plan runs over tables and over streams.
 
 Text filters come before anything is decoded; first-level keys are pruned before parsers run; edits of one level that do
-not depend on each other are one edit.  Every record ends in one of three ways: kept, filtered out, or
-dropped for an error; ``statuses=True`` keeps all of them with a ``status`` column.
+not depend on each other are one edit.  Every record ends in one of four ways: kept, filtered out, dropped for an error, or
+dropped because no field is left; ``statuses=True`` keeps all of them with a ``status`` column.
 """
 
 from __future__ import annotations
@@ -40,26 +40,35 @@ def _used_pieces(settings: TransformSettings, rule: PreExtract) -> set[str] | No
     return used or None
 
 
-def _parse(df: DataFrame, group: list[PreExtract], settings: TransformSettings) -> DataFrame:
-    """One field's parsers: the first that gives something wins, the last one's failure is the error."""
+def _parse(df: DataFrame, group: list[PreExtract], settings: TransformSettings, every: bool = False) -> DataFrame:
+    """One field's parsers: the first that gives something wins, the last one's failure is the error.  ``every``: each that finds something counts,
+    all of them on the text as it came."""
     before = df.columns
-    rule, rec = group[0], F.col("rec")
-    path = R.split_path(rule.field)
-    value = R.get(rec, path)
-    df = df.withColumn("__value", value).withColumn("__text", F.when(R.kind(F.col("__value")) == "string", R.text(F.col("__value"))))
-    text = F.col("__text")
-    found, mode = None, None
+    path = R.split_path(group[0].field)
+    df = df.withColumn("__value", R.get(F.col("rec"), path)).withColumn("__there", R.has(F.col("rec"), path))
+    df = df.withColumn("__text", F.when(R.kind(F.col("__value")) == "string", R.text(F.col("__value"))))
+    text, found, mode = F.col("__text"), None, None
     for k, one in enumerate(group):
         parsed = one.parser(_used_pieces(settings, one) if one.mode == "split" else None)(text)
-        parsed = F.when(text == "", R.empty()).otherwise(parsed)
-        name = f"__parsed{k}"
-        df = df.withColumn(name, parsed)
-        good = F.col(name) if k == len(group) - 1 else F.when(F.size(name) > 0, F.col(name))
+        name, last = f"__parsed{k}", k == len(group) - 1
+        df = df.withColumn(name, F.when(text == "", R.empty()).otherwise(parsed))
+        if every:
+            df = _placed(df, path, F.col(name), F.lit(one.mode), settings, last)
+            continue
+        good = F.col(name) if last else F.when(F.size(name) > 0, F.col(name))
+        wins = F.col(name).isNotNull() & ((F.size(name) > 0) | F.lit(last))
         found = good if found is None else F.coalesce(found, good)
-        mode = F.when(F.col(name).isNotNull() & ((F.size(name) > 0) | F.lit(k == len(group) - 1)), one.mode) if mode is None else mode.when(F.col(name).isNotNull() & ((F.size(name) > 0) | F.lit(k == len(group) - 1)), one.mode)
+        mode = F.when(wins, one.mode) if mode is None else mode.when(wins, one.mode)
+    if not every:
+        df = _placed(df, path, found, mode, settings, True)
+    return df.drop(*(c for c in df.columns if c not in before))
+
+
+def _placed(df: DataFrame, path: list[str], found: Column, mode: Column, settings: TransformSettings, strict: bool) -> DataFrame:
+    """``rec`` with what a parser found, and ``err``; ``strict``: where it found nothing, that is an error."""
+    rec, there, text, field = F.col("rec"), F.col("__there"), F.col("__text"), ".".join(path)
     df = df.withColumn("__found", found).withColumn("__mode", mode)
-    there = R.has(rec, path)
-    error = F.when(there & text.isNull(), F.lit(f"field[{rule.field}] is not a string")).when(there & F.col("__found").isNull(), F.lit(f"field[{rule.field}] does not parse"))
+    error = F.when(there & text.isNull(), F.lit(f"field[{field}] is not a string")).when(there & F.col("__found").isNull() & F.lit(strict), F.lit(f"field[{field}] does not parse"))
     parent, leaf = path[:-1], path[-1]
     beside = R.as_map(R.get(rec, parent)) if parent else rec
     named = F.transform_keys(F.col("__found"), lambda k, _: F.when(F.col("__mode") == "split", F.concat(F.lit(f"{leaf}_split_"), k)).otherwise(k))
@@ -77,21 +86,20 @@ def _parse(df: DataFrame, group: list[PreExtract], settings: TransformSettings)
     merged = R.put_all(rec, parent, free)
     overwrite = F.lit(settings.overwrite_origin) | (F.col("__mode") == "json")
     ok = F.col("err").isNull() | F.lit(settings.skip_extract_error)
-    changed = F.when(ok & there & error.isNull(), F.when(overwrite, replaced).otherwise(merged)).otherwise(rec)
+    changed = F.when(ok & there & F.col("__found").isNotNull() & error.isNull(), F.when(overwrite, replaced).otherwise(merged)).otherwise(rec)
     first = F.coalesce(error, F.col("err")) if settings.skip_extract_error else F.coalesce(F.col("err"), error)
     df = df.withColumn("__rec", changed).withColumn("__err", first)
-    extra = [c for c in df.columns if c not in before]
-    return df.withColumn("rec", F.col("__rec")).withColumn("err", F.col("__err")).drop(*extra)
+    return df.withColumn("rec", F.col("__rec")).withColumn("err", F.col("__err"))
 
 
-def _locate(df: DataFrame, rule: PreExtract, settings: TransformSettings, ranges: DataFrame | None) -> DataFrame:
-    """The geoip parser as a join; without a table of ranges the rule does nothing.  Addresses that are private or none are errors."""
+def _locate(df: DataFrame, rule: PreExtract, settings: TransformSettings, ranges: DataFrame | None, strict: bool = True) -> DataFrame:
+    """The geoip parser as a join; without a table of ranges the rule does nothing.  Addresses that are private or none are errors, if ``strict``."""
     if ranges is None:
         return df
     path = R.split_path(rule.field)
     rows = geoip(df.withColumn("__address", R.text(R.get(F.col("rec"), path))), "__address", ranges)
     placed = R.put_all(F.col("rec"), path[:-1], F.create_map(F.lit("geoip"), F.to_variant_object(F.col("geoip")).cast("variant")))
-    error = address_error(F.col("__address"))
+    error = address_error(F.col("__address")) if strict else F.lit(None).cast("string")
     err = F.coalesce(error, F.col("err")) if settings.skip_extract_error else F.coalesce(F.col("err"), error)
     return rows.withColumns({"rec": F.when(F.col("geoip").isNotNull(), placed).otherwise(F.col("rec")), "err": err}).drop("geoip", "__address")
 
@@ -116,7 +124,9 @@ def compile_settings(config: str | dict | TransformSettings, dictionaries: dict
     ``uri_patterns`` (``formats.uri_patterns`` reads them) name parts of paths for all uripath formats.  Field rules of the older versions run as those engines ran them; ``log_transform`` converts them to transforms.
     """
     settings = config if isinstance(config, TransformSettings) else load(config)
-    old = version in legacy.VERSIONS and bool(settings.fields)
+    old = version in legacy.VERSIONS
+    if version == "" and not settings.fields:
+        raise ValueError("the oldest engine needs fields")
     settings = settings if old else to_transforms(settings)
 
     def plan(df: DataFrame) -> DataFrame:
@@ -132,6 +142,8 @@ def compile_settings(config: str | dict | TransformSettings, dictionaries: dict
         else:
             rest = settings.pre_function
         df = prefilters.text_stage(df, rest, raw)
+        if version == "" and any(r.mode == "strip_ansi" for r in settings.pre_extract):
+            df = df.withColumn(raw, prefilters.strip_ansi(F.col(raw)))
         df = df.withColumn("rec", R.decode(F.col(raw))).withColumn("err", F.when(F.col("rec").isNull(), "not a JSON object"))
         for f in settings.pre_function:
             if f.mode in prefilters.KEY_VALUE_FILTERS:
@@ -140,20 +152,24 @@ def compile_settings(config: str | dict | TransformSettings, dictionaries: dict
         keys = [k for k in settings.prefix_match if k]
         if keys and not (old and version == ""):  # the oldest engine prunes by level
             df = df.withColumn("rec", F.map_filter("rec", lambda k, _: k.isin(keys)))
-        for group in _parser_groups(settings.pre_extract):
-            df = _locate(df, group[0], settings, ranges) if group[0].mode == "geoip" else _parse(df, group, settings)
+        for group in _parser_groups([r for r in settings.pre_extract if not (old and r.mode == "strip_ansi")]):
+            if group[0].mode == "geoip":
+                df = _locate(df, group[0], settings, ranges, strict=not old)
+            elif not old or version == "log_prune_v2":
+                df = _parse(df, group, settings, every=old and settings.multi_pre_extract)
         df = legacy.edit(df, settings, version) if old else _edit(df, settings, dictionaries or {}, uri_patterns)
         if settings.skip_extract_error:
             tagged = F.map_concat(R.without(F.col("rec"), [FAILURE]), F.create_map(F.lit(FAILURE), F.col("err").cast("variant")))
             df = df.withColumn("rec", F.when(F.col("rec").isNotNull() & F.col("err").isNotNull(), tagged).otherwise(F.col("rec")))
         lost = F.col("rec").isNull() if settings.skip_extract_error else F.col("err").isNotNull()
+        empty = F.size("rec") == 0  # a record without fields is no result
         # Catalyst would push this and later filters down through all steps, and write every step's expression into them;
         # it does not push through a projection that is not deterministic
         df = df.withColumn("__wall", F.rand(0))
         if statuses:
-            df = df.withColumn("status", F.coalesce("status", F.when(lost, "error"), F.lit("ok"))).where("__wall >= 0")
+            df = df.withColumn("status", F.coalesce("status", F.when(lost, "error").when(empty, "empty_result"), F.lit("ok"))).where("__wall >= 0")
         else:
-            df = df.where((F.col("__wall") >= 0) & ~lost)
+            df = df.where((F.col("__wall") >= 0) & ~lost & ~empty)
         return df.drop("__wall")
 
     return plan

@@ -4,6 +4,10 @@
 ``log_prune_v2`` edit the record in place.  All of them share one way to read a field: a default stands for null and empty
 values, a missing required field drops the record, text that is no number counts as 0.  Values are read from the record as it
 came in; then edits are made in the order of the rules, renames and deletes last.
+
+Parsers of the two oldest engines put what they find in the place of the text, with the text itself as ``__origin__`` where it is asked for
+(``extract``: always).  They form a trie of paths: outer ones run first, and inner ones look into what the outer ones have found.  A
+parser that fails drops the record, except below an object of ``extract``; one that finds nothing leaves the text.
 """
 
 from __future__ import annotations
@@ -13,12 +17,13 @@ from pyspark.sql import functions as F
 
 from ..functions import formats as M
 from ..functions import record as R
+from ..operators.parsers import PreExtract
 from .settings import TransformSettings
 
 VERSIONS = ("", "log_prune", "log_prune_v2")
 UTC8_SECONDS = 8 * 3600
-# The text that stands for the present time, and the regular expression that takes all.
-NOW, ALL = "NOW", "(.*)"
+# The text that stands for the present time, the regular expression that takes all, and the name of a parsed text.
+NOW, ALL, ORIGIN = "NOW", "(.*)", "__origin__"
 
 
 def _typed(matched: Column, kind: str, more: dict) -> tuple[Column, Column]:
@@ -100,22 +105,104 @@ def _levels(prefixes: list[str]) -> list[set[str]]:
     return out
 
 
-def _open(df: DataFrame, path: list[str], opened: dict[tuple, str]) -> DataFrame:
-    """Columns of the objects that a path goes through, texts that hold JSON objects among them; each object is opened once,
-    in steps that Catalyst keeps apart, so that no expression repeats another."""
-    for n in range(len(path)):
-        prefix = tuple(path[:n])
-        if prefix in opened:
-            continue
-        name = opened[prefix] = f"__legacy_object{len(opened)}"
+def parser_trie(settings: TransformSettings) -> dict[tuple[str, ...], PreExtract]:
+    """The parsers by their paths, outer ones first; of several for one path the last counts."""
+    found = {tuple(rule.field.split(".")): rule for rule in settings.pre_extract if rule.mode not in ("strip_ansi", "geoip")}
+    return dict(sorted(found.items(), key=lambda item: len(item[0])))
+
+
+def _pieces(settings: TransformSettings, rule: PreExtract) -> set[str] | None:
+    """Numbers of the pieces that field rules read; None where all stay."""
+    stem = f"{rule.field}."
+    used = {o.removeprefix(stem).split(".")[0] for f in settings.fields if (o := f.get("origin_field") or "").startswith(stem)}
+    return {u for u in used if u.isdigit()} or None
+
+
+def _parsed(text: Column, rule: PreExtract, settings: TransformSettings, origin: bool) -> Column:
+    """What a parser finds in a text that is not empty; null where it fails."""
+    made = rule.parser(_pieces(settings, rule) if rule.mode == "split" else None)(text)
+    if origin:
+        made = F.map_concat(R.without(made, [ORIGIN]), F.create_map(F.lit(ORIGIN), text.cast("variant")))
+    return F.when(text == "", R.empty()).otherwise(made)
+
+
+def _failed(rule: PreExtract) -> Column:
+    return F.lit(f"field[{rule.field}] parser[{rule.mode}] extract failed")
+
+
+def parse_within(df: DataFrame, settings: TransformSettings) -> DataFrame:
+    """The parsers of ``log_prune``: each path of the trie in its turn, nulls going on each level that the trie passes."""
+    trie = parser_trie(settings)
+    passed = {path[:n] for path in trie for n in range(1, len(path))}
+    asked = {(f.get("origin_field") or "").removesuffix(f".{ORIGIN}") for f in settings.fields if (f.get("origin_field") or "").endswith(f".{ORIGIN}") and f.get("rule_type") != "append"}
+    rec = F.col("rec")
+    for path in sorted({*trie, *passed}, key=lambda p: (len(p), p)):
+        df = df.withColumn("__at", R.get(rec, list(path)))
+        inner = R.as_map(F.col("__at"))
+        if path in trie:
+            rule = trie[path]
+            df = df.withColumn("__text", F.when(R.kind(F.col("__at")) == "string", R.text(F.col("__at"))))
+            df = df.withColumn("__found", _parsed(F.col("__text"), rule, settings, rule.field in asked))
+            df = df.withColumn("err", F.coalesce("err", F.when(F.col("__text").isNotNull() & F.col("__found").isNull(), _failed(rule))))
+            inner = F.when(F.col("__text").isNotNull(), F.when(F.size("__found") > 0, F.col("__found"))).otherwise(inner)
+        if path in passed:
+            inner = F.map_filter(inner, lambda _, v: R.is_value(v))
+        df = df.withColumn("__inner", inner)
+        df = df.withColumn("rec", F.when(F.col("__inner").isNull(), rec).otherwise(R.put(rec, list(path), F.to_variant_object("__inner").cast("variant"))))
+        df = df.drop("__at", "__text", "__found", "__inner")
+    return df
+
+
+class _Objects:
+    """Columns of the objects that paths of ``extract`` go through, texts that hold JSON objects or have a parser among them; each is
+    opened once, in steps that Catalyst keeps apart, so that no expression repeats another."""
+
+    def __init__(self, settings: TransformSettings, levels: list[set[str]]):
+        self.settings, self.levels, self.trie = settings, levels, parser_trie(settings)
+        self.names: dict[tuple, str] = {}
+        self.depth: dict[tuple, int] = {(): 0}  # how many parsers an object came through
+        self.errors: list[str] = []
+
+    def reached(self, path: tuple[str, ...]) -> bool:
+        """Whether the level filters keep a path; they do not look into what a parser found."""
+        for level, part in enumerate(path):
+            if level and path[:level] in self.trie:
+                return True
+            if level < len(self.levels) and self.levels[level] and part not in self.levels[level]:
+                return False
+        return True
+
+    def open(self, df: DataFrame, prefix: tuple[str, ...]) -> DataFrame:
+        if prefix in self.names:
+            return df
         if not prefix:
-            df = df.withColumn(name, _named(F.col("rec")))
-            continue
-        df = df.withColumn("__legacy_at", F.try_element_at(F.col(opened[prefix[:-1]]), F.lit(prefix[-1])))
+            self.names[()] = "__legacy_object0"
+            return df.withColumn("__legacy_object0", _named(F.col("rec")))
+        df = self.open(df, prefix[:-1])
+        n, parents = len(self.names), self.depth[prefix[:-1]]
+        name = self.names[prefix] = f"__legacy_object{n}"
+        rule = self.trie.get(prefix) if parents < 2 else None
+        df = df.withColumn("__legacy_at", F.try_element_at(F.col(self.names[prefix[:-1]]), F.lit(prefix[-1])))
         df = df.withColumn("__legacy_text", F.when(R.kind(F.col("__legacy_at")) == "string", R.text(F.col("__legacy_at"))))
-        df = df.withColumn("__legacy_parsed", F.when(F.col("__legacy_text").contains("{"), F.try_parse_json("__legacy_text")))
-        df = df.withColumn(name, _named(F.coalesce(R.as_map(F.col("__legacy_at")), R.as_map(F.col("__legacy_parsed"))))).drop("__legacy_at", "__legacy_text", "__legacy_parsed")
-    return df
+        self.depth[prefix] = parents + 1 if rule or parents else 0
+        inner = R.as_map(F.col("__legacy_at"))
+        if rule:
+            df = df.withColumn("__legacy_parsed", _parsed(F.col("__legacy_text"), rule, self.settings, True))
+            if len(prefix) == 1 or parents:
+                self.errors.append(f"__legacy_failed{n}")
+                df = df.withColumn(self.errors[-1], F.when(F.col("__legacy_text").isNotNull() & F.col("__legacy_parsed").isNull(), _failed(rule)))
+            inner = F.coalesce(F.when(F.size("__legacy_parsed") > 0, F.col("__legacy_parsed")), inner if parents else _named(inner))
+        elif parents:
+            df = df.withColumn("__legacy_parsed", F.lit(None))
+        else:
+            df = df.withColumn("__legacy_parsed", F.when(F.col("__legacy_text").contains("{"), F.try_parse_json("__legacy_text")))
+            inner = _named(F.coalesce(inner, R.as_map(F.col("__legacy_parsed"))))
+        return df.withColumn(name, inner).drop("__legacy_at", "__legacy_text", "__legacy_parsed")
+
+    def value(self, path: tuple[str, ...]) -> Column:
+        """The value at a path whose parent is open; a text that a parser or JSON has made an object is that object."""
+        value = F.try_element_at(F.col(self.names[path[:-1]]), F.lit(path[-1]))
+        return F.coalesce(F.to_variant_object(F.col(self.names[path])).cast("variant"), value) if path in self.names else value
 
 
 def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -124,18 +211,21 @@ def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def extract(df: DataFrame, settings: TransformSettings) -> DataFrame:
     """``rec`` with the declared keys, and ``err``."""
-    levels, values, errors, opened, inputs = _levels(settings.prefix_match), {}, {}, {}, {}
+    objects, values, errors, inputs = _Objects(settings, _levels(settings.prefix_match)), {}, {}, {}
+    for path in objects.trie:
+        if objects.reached(path):
+            df = objects.open(df, path)
     for k, rule in enumerate(settings.fields):
         if (rule.get("rule_type") or "") == "append":
             made, error = appended(rule)
         else:
-            path = (rule.get("origin_field") or "").split(".")
-            if path == [""] or any(level < len(levels) and levels[level] and part not in levels[level] for level, part in enumerate(path)):
+            path = tuple((rule.get("origin_field") or "").split("."))
+            if path == ("",) or not objects.reached(path):
                 made, error = F.lit(None).cast("variant"), F.lit(None).cast("string")
             else:
-                df = _open(df, path, opened)
-                parent = F.col(opened[tuple(path[:-1])])
-                inputs[f"__legacy_in{k}"] = F.try_element_at(parent, F.lit(path[-1]))
+                df = objects.open(df, path[:-1])
+                parent = F.col(objects.names[path[:-1]])
+                inputs[f"__legacy_in{k}"] = objects.value(path)
                 inputs[f"__legacy_there{k}"] = F.coalesce(F.map_contains_key(parent, F.lit(path[-1])), F.lit(False))
                 made, error = (F.when(F.col(f"__legacy_there{k}"), c) for c in read_field(rule, F.col(f"__legacy_in{k}")))
         values[f"__legacy_value{k}"], errors[f"__legacy_error{k}"] = made, error
@@ -145,8 +235,8 @@ def extract(df: DataFrame, settings: TransformSettings) -> DataFrame:
     needed = {rule.get("key") or "" for rule in settings.fields if rule.get("required") or rule.get("system_required")}
     got = sum((F.col(f"__legacy_value{k}").isNotNull().cast("int") for k, rule in enumerate(settings.fields) if (rule.get("key") or "") in needed), F.lit(0))
     short = F.when(got < len(needed), "one or more required fields missing")
-    bad = F.coalesce(F.col("err"), *errors, short)
-    return df.withColumns({"err": bad, "rec": F.when(bad.isNull(), made).otherwise(F.col("rec"))}).drop(*values, *errors, *inputs, *opened.values())
+    bad = F.coalesce(F.col("err"), *objects.errors, *errors, short)
+    return df.withColumns({"err": bad, "rec": F.when(bad.isNull(), made).otherwise(F.col("rec"))}).drop(*values, *errors, *inputs, *objects.names.values(), *objects.errors)
 
 
 def prune(df: DataFrame, settings: TransformSettings) -> DataFrame:
@@ -156,7 +246,8 @@ def prune(df: DataFrame, settings: TransformSettings) -> DataFrame:
     targets = [(rule.get("key") or "").removeprefix(f"{R.ROOT}.") for rule in rules]
     origins = [rule.get("origin_field") or "" for rule in rules]
     written = {rule.get("key") or "" for rule, kind in zip(rules, kinds, strict=True) if kind != "remove"}
-    df = df.withColumn("rec", F.map_filter("rec", lambda k, v: (k != "") & R.is_value(v)))
+    # keys without a name go where there are rules at all
+    df = df.withColumn("rec", F.map_filter("rec", lambda k, v: ((k != "") | F.lit(not rules)) & R.is_value(v)))
     rec, made = F.col("rec"), {}
     for k, (rule, kind) in enumerate(zip(rules, kinds, strict=True)):
         if kind == "append":
@@ -207,4 +298,7 @@ def _put(record: Column, target: str, value: Column) -> Column:
 
 
 def edit(df: DataFrame, settings: TransformSettings, version: str) -> DataFrame:
-    return extract(df, settings) if version == "" else prune(df, settings)
+    """``rec`` by the engine of a version, its parsers among its work but for those of ``log_prune_v2``, which ran before."""
+    if version == "":
+        return extract(df, settings)
+    return prune(parse_within(df, settings) if version == "log_prune" else df, settings)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .functions import formats as M
 from .functions import record as R
 from .operators import prefilters as P
-from .operators.parsers import geoip
+from .operators.parsers import geoip, regexp_parser
 from .operators.transforms import with_dictionary
 from .plans.catalog import SECTIONS, catalog
 from .plans.compile import compile_settings, compile_task, expand_json_strings, project, prune_levels, prune_nulls
@@ -78,16 +78,16 @@ def flagship_events(spark, sf_dir):
     return typed.groupBy("k").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-@query("SELECT p_partkey FROM part WHERE regexp_matches(p_name, '[a-m]+.*[0-9]$') AND NOT regexp_matches(p_brand, '1$')")
+@query("SELECT p_partkey FROM part WHERE regexp_matches(p_name, '^[a-z]+ .*(g|t)$') AND NOT regexp_matches(p_brand, '1$')")
 def filter_match(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").where(P.keeps(F.col("p_name"), P.PreFunction("match", "[a-m]+.*[0-9]$")))
+    rows = table(spark, sf_dir, "part").where(P.keeps(F.col("p_name"), P.PreFunction("match", "^[a-z]+ .*(g|t)$")))
     return rows.where(P.keeps(F.col("p_brand"), P.PreFunction("not_match", "1$"))).select("p_partkey")
 
 
-@query("SELECT role, count(*) AS n FROM conversations WHERE contains(text, 'th') AND NOT contains(text, '.') GROUP BY role")
+@query("SELECT role, count(*) AS n FROM conversations WHERE contains(text, 'th') AND NOT contains(text, 'tion') GROUP BY role")
 def filter_contains(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
-    rows = P.text_stage(rows, [P.PreFunction("contains", "th"), P.PreFunction("not_contains", ".")], "text")
+    rows = P.text_stage(rows, [P.PreFunction("contains", "th"), P.PreFunction("not_contains", "tion")], "text")
     return rows.groupBy("role").agg(F.count("*").alias("n"))
 
 
@@ -194,6 +194,20 @@ def parse_regexp(spark, sf_dir):
     return parsed(rows, "regexp", r"c=(?P<cust_no>\d+) \[(?P<status>\w)\] (?P<prio>.*)$", {"cust_no": "string", "status": "string", "prio": "string"}, ["o_orderkey"])
 
 
+#: Loops over alternatives: one that Java runs as a loop over a class, and one that only the automaton can run.
+_BODY, _LEAD = r"^(?P<first>\w+)(?P<body>(.|\n)*)$", r"^(?P<lead>(?:\pL+|\pL+[ ,]|[ ,])*)[^\pL]"
+
+
+@query(r"""SELECT doc_id, regexp_extract(text, '^(\w+)((?:.|\n)*)$', 1) AS first, md5(regexp_extract(text, '^(\w+)((?:.|\n)*)$', 2)) AS body_md5,
+CASE WHEN regexp_matches(text, '^((?:\pL+|\pL+[ ,]|[ ,])*)[^\pL]') THEN md5(regexp_extract(text, '^((?:\pL+|\pL+[ ,]|[ ,])*)[^\pL]', 1)) END AS lead_md5
+FROM documents WHERE regexp_matches(text, '^(\w+)((?:.|\n)*)$')""")
+def parse_regexp_long(spark, sf_dir):
+    """Whole texts of documents, however long, by patterns that would exhaust Java's stack as they stand."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", regexp_parser(_BODY)(F.col("text")).alias("all"), regexp_parser(_LEAD)(F.col("text")).alias("some"))
+    part = lambda m, k: R.text(F.try_element_at(F.col(m), F.lit(k)))
+    return rows.where(F.col("all").isNotNull()).select("doc_id", part("all", "first").alias("first"), F.md5(part("all", "body")).alias("body_md5"), F.md5(part("some", "lead")).alias("lead_md5"))
+
+
 @query("SELECT event_id, event_type AS verb, CAST(user_id AS VARCHAR) AS uid FROM events")
 def parse_gonx(spark, sf_dir):
     line = F.concat(F.lit("["), "event_type", F.lit("] user="), "user_id", F.lit(" end"))
@@ -438,6 +452,44 @@ def legacy_prune_v2_task(spark, sf_dir):
     return shown.withColumn("at", F.unix_micros("at"))
 
 
+def _old_lines(spark, sf_dir):
+    """Orders with a line to parse, broken in part, and a JSON text that holds another line, a null and an object."""
+    o = table(spark, sf_dir, "orders")
+    line = F.when(F.col("o_orderkey") % 7 == 0, F.lit("no line")).otherwise(F.concat_ws("-", "o_custkey", "o_orderstatus"))
+    inner = F.struct(F.concat(F.lit("prio="), "o_orderpriority", F.lit(";z=1")).alias("l"), F.lit(None).cast("string").alias("n"), F.struct(F.col("o_orderstatus").alias("s"), F.lit(None).cast("string").alias("n")).alias("deep"))
+    text = F.to_json(inner, {"ignoreNullFields": "false"})
+    return o.select("o_orderkey", F.to_json(F.struct(line.alias("m"), text.alias("o"), F.lit(None).cast("string").alias("n")), {"ignoreNullFields": "false"}).alias("raw"))
+
+
+_LINE_PARSER, _PAIR_PARSER = {"mode": "regexp", "field": "m", "format": r"(?P<x>\d+)-(?P<y>\w+)"}, {"mode": "key_value", "field": "o.l", "format": '{"field_delimiter": ";"}'}
+
+
+@query("""SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS number, o_custkey || '-' || o_orderstatus AS line, o_orderpriority AS prio, o_orderstatus AS status
+FROM orders WHERE o_orderkey % 7 <> 0""")
+def legacy_extract_parsers(spark, sf_dir):
+    """The oldest engine with parsers: one at the root, whose failure drops the record, and one inside an object in a text."""
+    text = {"rule_type": "submatch", "value_type": "text", "extention": {"regexp": "(.*)"}}
+    fields = [{**text, "origin_field": "m.x", "key": "number", "value_type": "long"}, *({**text, "origin_field": o, "key": k} for o, k in (("m.__origin__", "line"), ("o.l.prio", "prio"), ("o.deep.s", "status")))]
+    made = _old_task("", fields, pre_extract=[_LINE_PARSER, _PAIR_PARSER])(_old_lines(spark, sf_dir))
+    return project(made, {"number": ("number", "bigint"), "line": ("line", "string"), "prio": ("prio", "string"), "status": ("status", "string")}, ["o_orderkey"])
+
+
+@query("""SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS number, o_orderstatus AS y, o_orderpriority AS prio, '1' AS z, o_orderstatus AS moved, 'prio=' || o_orderpriority || ';z=1' AS line, 'm,moved,number,o,prio' AS keys
+FROM orders WHERE o_orderkey % 7 <> 0""")
+def legacy_prune_parsers(spark, sf_dir):
+    """The first pruning engine with parsers: results stand in the fields' places, the inner one looks into what the outer one found, nulls go on the way."""
+    fields = [
+        {"rule_type": "submatch", "origin_field": "m.x", "key": "number", "value_type": "long", "extention": {"regexp": "(.*)"}},
+        {"rule_type": "submatch", "origin_field": "o.l.prio", "key": "prio", "value_type": "text", "extention": {"regexp": "(.*)"}},
+        {"rule_type": "submatch", "origin_field": "o.l.__origin__", "key": "o.line", "value_type": "text", "extention": {"regexp": "(.*)"}},
+        {"rule_type": "graft", "origin_field": "o.deep.s", "key": "moved"},
+        {"rule_type": "remove", "origin_field": "o.deep"},
+    ]
+    made = _old_task("log_prune", fields, pre_extract=[_PAIR_PARSER, {"mode": "json", "field": "o"}, _LINE_PARSER])(_old_lines(spark, sf_dir))
+    made = made.where(~R.has(F.col("rec"), "o.n") & ~R.has(F.col("rec"), "o.deep")).withColumn("keys", F.array_join(F.sort_array(F.map_keys("rec")), ","))
+    return project(made, {"number": ("number", "bigint"), "y": ("m.y", "string"), "prio": ("prio", "string"), "z": ("o.l.z", "string"), "moved": ("moved", "string"), "line": ("o.line", "string")}, ["o_orderkey", "keys"])
+
+
 # ---- scalar formats ----------------------------------------------------------------------------
 
 _TEXTS = ["12", "-7", "+3", " 12 ", "1.5", "", "x9", "9223372036854775808", "1e3", "-0.25", ".5", "1.5d", "0x1f"]
@@ -580,12 +632,13 @@ def rule_catalog(spark, sf_dir):
     return catalog(spark)
 
 
-@query("""SELECT CASE WHEN event_type <> 'click' THEN 'filtered' WHEN event_id % 7 = 0 THEN 'not_a_JSON_object' ELSE 'ok' END AS code, count(*) AS n FROM events GROUP BY 1""")
+@query("""SELECT CASE WHEN event_type <> 'click' THEN 'filtered' WHEN event_id % 7 = 0 THEN 'not_a_JSON_object' WHEN event_id % 5 = 0 THEN 'empty_result' ELSE 'ok' END AS code, count(*) AS n FROM events GROUP BY 1""")
 def extract_metrics(spark, sf_dir):
     """What became of each event in a task, counted by code."""
     e = table(spark, sf_dir, "events")
-    raw = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('no JSON "'), "event_type", F.lit('"'))).otherwise(F.to_json(F.struct("event_type")))
-    made = compile_settings({"pre_function": [{"mode": "contains", "format": '"click"'}]}, statuses=True)(e.select(raw.alias("raw")))
+    raw = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('no JSON "'), "event_type", F.lit('"'))).otherwise(F.to_json(F.struct("event_type", F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("user"))))
+    config = {"pre_function": [{"mode": "contains", "format": '"click"'}], "prefix_match": ["user"]}
+    made = compile_settings(config, statuses=True)(e.select(raw.alias("raw")))
     return made.groupBy(metrics.code(F.col("status"), F.col("err")).alias("code")).agg(F.count("*").alias("n"))
 
 

@@ -1,6 +1,6 @@
 """Counts of what happens to log rows, as observed metrics of queries: no pass of their own over the data.
 
-Rows are those of a plan that was compiled with ``statuses=True``: ``ok``, ``filtered`` or ``error``.
+Rows are those of a plan that was compiled with ``statuses=True``: ``ok``, ``filtered``, ``error`` or ``empty_result``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-STATUSES = ("ok", "filtered", "error")
+STATUSES = ("ok", "filtered", "error", "empty_result")
 PREFIX = "log_rows:"
 
 
@@ -43,7 +43,7 @@ class Metrics(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         for name, row in event.progress.observedMetrics.items():
             if name.startswith(PREFIX):
-                for status in STATUSES:
+                for status in filter(row.__getitem__, STATUSES):
                     self.totals[name.removeprefix(PREFIX), status] += row[status]
 
     def onQueryIdle(self, event) -> None:

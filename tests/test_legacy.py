@@ -18,14 +18,14 @@ def rule(origin, key, kind="text", required=False, **more):
 
 def run(spark, version, docs, fields, **settings):
     task = load_task({"id": 1, "data_source_id": 2, "settings": {"version": version, "json_settings": {"fields": fields, **settings}}})
-    df = spark.createDataFrame([(k, json.dumps(d), "mine") for k, d in enumerate(docs)], "k int, raw string, __src string")
+    df = spark.createDataFrame([(k, d if isinstance(d, str) else json.dumps(d), "mine") for k, d in enumerate(docs)], "k int, raw string, __src string")
     rows = compile_task(task)(df)
     assert "__src" in rows.columns
     return {r.k: json.loads(r.j) for r in rows.select("k", R.encode(F.col("rec")).alias("j")).collect()}
 
 
 CASES = {
-    "default for null and empty, not for missing": ("", [{"a": None}, {"a": ""}, {"b": 1}], [rule("a", "x", default_value="d")], {0: {"x": "d"}, 1: {"x": "d"}, 2: {}}),
+    "default for null and empty, not for missing": ("", [{"a": None}, {"a": ""}, {"b": 1}], [rule("a", "x", default_value="d")], {0: {"x": "d"}, 1: {"x": "d"}}),
     "required": ("", [{"a": "1"}, {"a": None}, {"b": "1"}, {"a": ""}], [rule("a", "x", "long", True)], {0: {"x": 1}}),
     "kinds": ("", [{"a": "1.5x", "b": 2.9, "c": 7}], [rule("a", "x", "float"), rule("b", "y", "long"), rule("c", "z")], {0: {"x": 0.0, "y": 2, "z": "7"}}),
     "no number or text": ("", [{"a": True}, {"a": {"b": 1}}], [rule("a", "x")], {}),
@@ -41,6 +41,79 @@ CASES = {
 }
 
 
+def parser(mode, field, format=""):
+    return {"mode": mode, "field": field, "format": format}
+
+
+PAIR = parser("regexp", "m", r"(?P<x>\d+)-(?P<y>\w+)")
+# name: version, documents, fields, parsers and other settings, what comes out
+PARSERS = {
+    "a parser's result stands in the field's place": ("", [{"m": "12-ab"}, {"m": "none"}, {"m": ""}, {"k": 1}], [rule("m.x", "x", "long"), rule("m.__origin__", "o")], [PAIR], {0: {"x": 12, "o": "12-ab"}}),
+    "an object in a text with a parser inside": ("", [{"m": json.dumps({"l": "12-ab", "n": {"z": "q"}})}], [rule("m.l.x", "x"), rule("m.n.z", "z")], [parser("regexp", "m.l", PAIR["format"])], {0: {"x": "12", "z": "q"}}),
+    "a parser inside a parser's result": ("", [{"m": "a=12-ab;b=q"}], [rule("m.a.y", "y"), rule("m.b", "b"), rule("m.a.__origin__", "o")], [parser("key_value", "m", '{"field_delimiter":";"}'), parser("regexp", "m.a", PAIR["format"])], {0: {"y": "ab", "b": "q", "o": "12-ab"}}),
+    "texts inside a parser's result are no objects": ("", [{"m": 'a={"b":"c"};d=e'}], [rule("m.a.b", "x"), rule("m.d", "d")], [parser("key_value", "m", '{"field_delimiter":";"}')], {0: {"d": "e"}}),
+    "below an object a failure is none": ("", [{"o": {"m": "none", "k": "v"}}], [rule("o.k", "k"), rule("o.m.x", "x")], [parser("regexp", "o.m", PAIR["format"])], {0: {"k": "v"}}),
+    "levels stop at a parser": ("", [{"m": "12-ab", "k": "v"}], [rule("m.x", "x"), rule("k", "k")], [PAIR], {0: {"x": "12"}}),
+    "colours go before decoding": ("", ['{"a":"\\u001b[31mred\\u001b[0m"}'], [rule("a", "a")], [parser("strip_ansi", "")], {0: {"a": "red"}}),
+    "first pruning engine": ("log_prune", [{"m": "12-ab", "n": None}, {"m": "none"}, {"m": ""}], [rule("m.x", "x", "long")], [PAIR], {0: {"m": {"y": "ab"}, "x": 12}, 2: {"m": ""}}),
+    "with the text itself": ("log_prune", [{"m": "12-ab"}], [rule("m.__origin__", "o"), {"rule_type": "remove", "origin_field": "m.x"}], [PAIR], {0: {"m": {"y": "ab"}, "o": "12-ab"}}),
+    "outer and inner parsers": ("log_prune", [{"m": json.dumps({"l": "12-ab", "n": None, "k": 1})}], [rule("m.l.y", "y"), {"rule_type": "graft", "origin_field": "m.k", "key": "k"}], [parser("regexp", "m.l", PAIR["format"]), parser("json", "m")], {0: {"m": {"l": {"x": "12"}}, "y": "ab", "k": 1}}),
+    "nulls go where parsers pass": ("log_prune", [{"o": {"m": "12-ab", "n": None}, "p": {"n": None}}], [rule("z", "z")], [parser("regexp", "o.m", PAIR["format"])], {0: {"o": {"m": {"x": "12", "y": "ab"}}, "p": {"n": None}}}),
+    "only the pieces that rules read": ("log_prune", [{"m": "a/b/c"}], [rule("m.1", "one")], [parser("split", "m", "/")], {0: {"one": "b"}}),
+    "all pieces without such rules": ("log_prune", [{"m": "a/b"}], [], [parser("split", "m", "/")], {0: {"m": {"0": "a", "1": "b"}}}),
+    "nulls go without rules too": ("log_prune", [{"a": None, "b": 1}, {"a": None}], [], [], {0: {"b": 1}}),
+    "second pruning engine: beside the field": ("log_prune_v2", [{"m": "12-ab", "n": None}], [rule("x", "x", "long")], [PAIR], {0: {"m": "12-ab", "x": 12, "y": "ab"}}),
+    "the first that parses": ("log_prune_v2", [{"m": "12-ab"}, {"m": '{"j":1}'}, {"m": "none"}], [], [parser("json", "m"), PAIR], {0: {"m": "12-ab", "x": "12", "y": "ab"}, 1: {"m": {"j": 1}}}),
+    "all that parse": ("log_prune_v2", [{"m": "12-ab"}], [], [parser("split", "m", "-"), PAIR], {0: {"m": "12-ab", "m_split_0": "12", "m_split_1": "ab", "x": "12", "y": "ab"}}, {"multi_pre_extract": True}),
+    "all that parse, the last fails": ("log_prune_v2", [{"m": "none"}], [], [parser("split", "m", "-"), PAIR], {}, {"multi_pre_extract": True}),
+}
+
+
+@pytest.mark.parametrize("name", PARSERS)
+def test_legacy_parsers(spark, name):
+    version, docs, fields, parsers, want, *more = PARSERS[name]
+    settings = {"pre_extract": parsers} | (more[0] if more else {}) | ({"prefix_match": ["m.q"]} if name == "levels stop at a parser" else {})
+    assert run(spark, version, docs, fields, **settings) == want
+
+
+def test_empty_results(spark):
+    """A record without fields is no result in any engine, and is counted."""
+    gone = {"fields_transform": [{"rule_type": "delete", "origin_field": "a"}]}
+    df = spark.createDataFrame([('{"a":1}',), ('{"a":1,"b":2}',), ("{}",)], "raw string")
+    assert compile_settings(gone)(df).count() == 1
+    assert sorted(r.status for r in compile_settings(gone, statuses=True)(df).collect()) == ["empty_result", "empty_result", "ok"]
+    with pytest.raises(ValueError):
+        compile_settings({}, version="")
+
+
+SLOW = r"""#\s+Time:\s+(?P<Time>.+)\n#\s+User@Host:\s+(?P<user>\w+)\[\w+\]\s+@\s+(?P<proxyHost>(\w|\[|\]|\.|\s)+)\s+Id:\s+(?P<threadID>\d+)\n# Schema: (?P<Killed>\w+)  Killed: (?P<Killed>\d+)\n(use\s+(?P<use>.*);\n)?SET\s+timestamp=(?P<at>\d+);\n(?P<sqlText>(.|\n)*)"""
+STATEMENT = "SELECT\n a,b \n FROM orders\n\nAND (code = '' AND item IN (7));"
+APP = r"(?P<time>\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3})\s+\[(?P<pod>(.*?))\]\s+(?P<level>.*)\s+(?P<class>.*)\s+\-\s+\[(?P<id>.*)\]\-\[(?P<trace>.*)\]\s+\[(?P<fields>.*)\]\s+(?P<msg>[\s\S]*)"
+GOLDEN = {
+    "app log": ({"log": '2024-05-07 11:50:11.758 [pod-1] INFO  c.m.Handler - []-[a4d5] [{"k":"v"}] url=http://h/x, request=null\nmore', "env": "test"}, [parser("regexp", "log", APP)], {"time": "2024-05-07 11:50:11.758", "pod": "pod-1", "level": "INFO ", "class": "c.m.Handler", "id": "", "trace": "a4d5", "fields": '{"k":"v"}', "msg": "url=http://h/x, request=null\nmore"}),
+    "slow statement": ({"message": f"# Time: 2024-11-06T08:40:05.5Z\n# User@Host: app[app] @  [10.1.1.2]  Id: 95\n# Schema: shop  Killed: 0\nuse shop;\nSET timestamp=1730882405;\n{STATEMENT * 60_000}", "tags": '{"env":"x","n":{"z":1}}'}, [parser("regexp", "message", SLOW), parser("json", "tags")], {"Time": "2024-11-06T08:40:05.5Z", "user": "app", "proxyHost": "[10.1.1.2] ", "threadID": "95", "Killed": "0", "use": "shop", "at": "1730882405", "sqlText": STATEMENT * 60_000, "tags": {"env": "x", "n": {"z": 1}}}),
+    "ingress line": ({"log": json.dumps({"log": '10.0.0.1 - - [15/Apr/2025] "GET /o/1 HTTP/2.0" 200 [up-80] [] 10.2.3.4:8080 0.001 1023202\n', "stream": "out"}), "f": 1}, [parser("json", "log"), parser("gonx", "log.log", '$addr - $user [$time] "$request" $status [$up] [$other] $to $took $id')], None),
+}
+
+
+@pytest.mark.parametrize("overwrite", [False, True])
+@pytest.mark.parametrize("version", ["log_prune_v2", "log_transform"])
+@pytest.mark.parametrize("name", GOLDEN)
+def test_golden_documents(spark, name, version, overwrite):
+    """Whole documents through the second pruning engine and, converted, through the transformer: one result."""
+    doc, parsers, found = GOLDEN[name]
+    got = run(spark, version, [doc], [], pre_extract=parsers, overwrite_origin=overwrite)[0]
+    if name == "ingress line":
+        inner = {"addr": "10.0.0.1", "user": "-", "time": "15/Apr/2025", "request": "GET /o/1 HTTP/2.0", "status": "200", "up": "up-80", "other": "", "to": "10.2.3.4:8080", "took": "0.001", "id": "1023202\n"}
+        log = json.loads(doc["log"])
+        assert got == {"f": 1, "log": {"log": inner, "stream": "out"} if overwrite else log | inner}
+        return
+    field = parsers[0]["field"]
+    rest = {k: v for k, v in found.items() if k != "tags"}
+    tags = {"tags": found["tags"]} if "tags" in found else {}
+    assert got == (doc | {field: rest} | tags if overwrite else doc | rest | tags)
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_legacy_rules(spark, name):
     version, docs, fields, want = CASES[name]

@@ -128,7 +128,7 @@ def test_metrics(spark, tmp_path):
     plan = compile_settings({"pre_function": [{"mode": "contains", "format": "a"}]}, statuses=True)
     rows = spark.createDataFrame([('{"a":1}',), ("a",), ("b",), (None,)], "raw string")
     seen = Observation("rows")
-    assert metrics.kept(metrics.observe(plan(rows), "batch", seen)).count() == 1 and seen.get == {"ok": 1, "filtered": 2, "error": 1}
+    assert metrics.kept(metrics.observe(plan(rows), "batch", seen)).count() == 1 and seen.get == {"ok": 1, "filtered": 2, "error": 1, "empty_result": 0}
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     totals = metrics.Metrics()
     spark.streams.addListener(totals)
