@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import record as R
 from ..operators import prefilters
-from ..operators.parsers import PreExtract, address_error, geoip
+from ..operators.geoip import address_error, geoip, language, with_digits
+from ..operators.parsers import PreExtract
 from ..operators.transforms import change, fuse, fused
 from . import legacy
 from .convert import to_transforms
@@ -97,11 +98,12 @@ def _locate(df: DataFrame, rule: PreExtract, settings: TransformSettings, ranges
     if ranges is None:
         return df
     path = R.split_path(rule.field)
-    rows = geoip(df.withColumn("__address", R.text(R.get(F.col("rec"), path))), "__address", ranges)
+    rows = with_digits(df.withColumn("__address", R.text(R.get(F.col("rec"), path))), "__address", "__digits")
+    rows = geoip(rows, "__address", ranges, lang=language(rule.format), digits="__digits")
     placed = R.put_all(F.col("rec"), path[:-1], F.create_map(F.lit("geoip"), F.to_variant_object(F.col("geoip")).cast("variant")))
-    error = address_error(F.col("__address")) if strict else F.lit(None).cast("string")
+    error = address_error(F.col("__address"), F.col("__digits")) if strict else F.lit(None).cast("string")
     err = F.coalesce(error, F.col("err")) if settings.skip_extract_error else F.coalesce(F.col("err"), error)
-    return rows.withColumns({"rec": F.when(F.col("geoip").isNotNull(), placed).otherwise(F.col("rec")), "err": err}).drop("geoip", "__address")
+    return rows.withColumns({"rec": F.when(F.col("geoip").isNotNull(), placed).otherwise(F.col("rec")), "err": err}).drop("geoip", "__address", "__digits")
 
 
 def _edit(df: DataFrame, settings: TransformSettings, dictionaries: dict, prefixes: list[tuple[str, str]] | None) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from .functions import formats as M
 from .functions import record as R
 from .operators import prefilters as P
-from .operators.parsers import geoip, regexp_parser
+from .operators.geoip import geoip
+from .operators.parsers import regexp_parser
 from .operators.transforms import with_dictionary
 from .plans.catalog import SECTIONS, catalog
 from .plans.compile import compile_settings, compile_task, expand_json_strings, project, prune_levels, prune_nulls
@@ -287,6 +288,26 @@ def parse_geoip(spark, sf_dir):
     return geoip(rows, "address", ranges).select("s_suppkey", F.col("geoip.city_name").alias("city"), F.col("geoip.location.lat").alias("lat"))
 
 
+@query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'Net ' || c_nationkey WHEN 1 THEN 'Netz ' || c_nationkey || ' innen' WHEN 2 THEN 'Vier ' || c_nationkey WHEN 3 THEN '' END AS city,
+CASE c_custkey % 6 WHEN 4 THEN 'must be public ip address' WHEN 5 THEN 'not an ip address' END AS failure FROM customer""")
+def parse_geoip_v6(spark, sf_dir):
+    """IPv6 networks inside each other and IPv4 networks in one table, names by language; private addresses and other texts are errors."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.lower(F.hex("n_nationkey")).alias("x"))
+    both = lambda en, de: F.create_map(F.lit("en"), en, F.lit("de"), de)
+    name = lambda word, *more: F.concat(F.lit(word), "k", *map(F.lit, more))
+    wide = n.select(F.concat(F.lit("2001:db8:"), "x", F.lit("::/48")).alias("network"), both(name("Network "), name("Net ")).alias("city_name"))
+    narrow = n.select(F.concat(F.lit("2001:db8:"), "x", F.lit(":8000::/49")).alias("network"), both(name("Network ", " inner"), name("Netz ", " innen")).alias("city_name"))
+    four = n.select(F.concat(F.lit("20.1."), "k", F.lit(".0/24")).alias("network"), both(name("Four "), name("Vier ")).alias("city_name"))
+    nameless = n.select(F.concat(F.lit("2001:db9:"), "x", F.lit("::/48")).alias("network"), F.create_map(F.lit("en"), name("Network ")).alias("city_name"))
+    k, x = F.col("c_custkey"), F.lower(F.hex("c_nationkey"))
+    host = F.lower(F.hex(k % 32_768))
+    shapes = [F.concat(F.lit("2001:0DB8:"), x, F.lit("::"), host), F.concat(F.lit("2001:db8:"), x, F.lit(":8000::"), host), F.concat(F.lit("::ffff:20.1."), "c_nationkey", F.lit("."), k % 256), F.concat(F.lit("2001:db9:"), x, F.lit("::1")), F.lit("fd00::1"), F.lit("20.1.300.1:80")]
+    raw = F.to_json(F.struct(F.element_at(F.array(*shapes), (k % 6 + 1).cast("int")).alias("ip")))
+    config = {"pre_extract": [{"mode": "geoip", "field": "ip", "format": '{"lang": "de"}'}], "skip_extract_error": True}
+    made = compile_settings(config, ranges=wide.unionByName(narrow).unionByName(four).unionByName(nameless))(table(spark, sf_dir, "customer").select("c_custkey", raw.alias("raw")))
+    return project(made, {"city": ("geoip.city_name", "string"), "failure": ("log_transform_failure", "string")}, ["c_custkey"])
+
+
 @query("SELECT event_id, 'svc' || user_id AS service, event_type AS span, epoch_ns(ts) AS started FROM events")
 def parse_otel_spans(spark, sf_dir):
     nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000

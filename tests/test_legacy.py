@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from logloom.functions import formats as M
 from logloom.functions import record as R
 from logloom.plans.compile import compile_settings, compile_task
-from logloom.operators.parsers import geoip
+from logloom.operators.geoip import geoip
 from logloom.operators.transforms import with_dictionary
 from logloom.plans.settings import load_task
 from logloom.sources.messages import KafkaSource
