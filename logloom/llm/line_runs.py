@@ -38,7 +38,9 @@ def line_key(line: Column) -> Column:
 
 def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, a hash of the text, and pos of every line whose key is long enough, with the key's hash in h1 and h2."""
-    lines = id_text(docs).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    # the hash is made before lines are, else it would be made again for each line
+    texts = id_text(docs).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    lines = texts.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     keys = lines.select("doc_id", "text_hash", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
     return keys.select("doc_id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"))
 
@@ -137,9 +139,15 @@ def _with_drops(docs: DataFrame, drops: DataFrame, doc_id: Column, text: Column)
 
 
 def _kept(text: Column, drop: Column) -> Column:
-    lines = F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(drop, i))
-    return F.when(drop.isNull(), F.coalesce(text.cast("string"), F.lit(""))).otherwise(F.array_join(kept, "\n"))
+    """The text without the lines at the positions ``drop``, in time that grows with the lines alone."""
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+
+    def rest(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop)
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+
+    # as a lambda's variable the lines are split once, not for each that stays
+    return F.when(drop.isNull(), whole).otherwise(F.get(F.transform(F.array(F.split(whole, "\n", -1)), rest), 0))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3) -> DataFrame:

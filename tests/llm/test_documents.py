@@ -235,3 +235,24 @@ def test_broken_pages_take_linear_time():
         began = time.perf_counter()
         html_paths.main_text(unit * (1_000_000 // len(unit)))
         assert time.perf_counter() - began < 5, unit
+
+
+def test_documents_of_very_many_lines(spark):
+    """Work grows with the lines: documents of 100,000 equal lines, of which every second one is new in the last."""
+    n = 100_000
+    old, mixed = [f"line number {k}" for k in range(n)], [f"line number {k}" if k % 2 else f"other line {k}" for k in range(n)]
+    docs = spark.createDataFrame([(1, "\n".join(old)), (2, "\n".join(old) + "\nshort"), (3, "\n".join(mixed))], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in line_runs.dedup_lines(docs).collect()}
+    assert got == {1: (n, 0, "\n".join(old)), 2: (n + 1, n, "short"), 3: (n, n // 2, "\n".join(mixed[::2]))}
+    assert time.time() - began < 60
+
+
+def test_one_long_text_leaves_room_for_others(spark):
+    """A labelled text that does not fit into the training sample does not end it."""
+    words = ["calm", "river", "stone", "light"]
+    rows = [(k, " ".join([words[k % 4]] * 30 + ["vile"] * (k % 2) * 9)) for k in range(1, 200)] + [(0, "calm river " * 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity_cnn.toxicity(docs, labels, max_chars=60_000).collect()}
+    assert len(set(scores.values())) > 2 and len(scores) == 200
