@@ -106,17 +106,77 @@ def dictionary_key(parent: Column, srcs: list[str]) -> Column:
     return whole
 
 
-def _append_labels(df: DataFrame, rule: Transform, dictionaries: dict[int, dict[str, dict[str, str]]]) -> tuple[DataFrame, Column, Column]:
+@dataclass
+class Dictionary:
+    """A dictionary as a table: src_key, dst (a map of texts) and, for entries that change, valid_from and valid_to (null: open).
+
+    ``at`` names the column of the rows that holds an event's time: the entry that was valid then counts, of several the one that began last, else the
+    one whose text comes first.  Without it the entries that are valid without end count.
+    """
+
+    table: DataFrame
+    at: str = ""
+
+
+#: Entries of a dictionary that may stand in a plan as a literal map; larger ones are joined.
+LITERAL_ROWS = 1000
+#: Keys of a dictionary that may be broadcast.
+BROADCAST_KEYS = 100_000
+#: Keys that rows without one are spread over, so that they do not meet in one task.
+SPREAD = 4096
+
+
+def _versions(dictionary: Dictionary) -> DataFrame:
+    """One row a key, with all its versions: time and text order."""
+    table = dictionary.table
+    time = lambda name: (table[name] if name in table.columns else F.lit(None)).cast("timestamp")
+    version = F.struct(time("valid_from").alias("valid_from"), F.to_json("dst").alias("text"), time("valid_to").alias("valid_to"), F.col("dst"))
+    return table.where("src_key IS NOT NULL").groupBy(F.col("src_key").alias("__src")).agg(F.collect_list(version).alias("__versions"))
+
+
+def looked_up(df: DataFrame, key: Column, dictionary: Dictionary, name: str) -> DataFrame:
+    """``df`` with a column of what the dictionary holds for a key at the row's time; null where it holds nothing.
+
+    A key is a row on the dictionary's side, so rows are never multiplied; a key that many rows share is left to the skew join, and rows without one are spread.
+    """
+    versions = _versions(dictionary)
+    if versions.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        versions = F.broadcast(versions)
+    spread = F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string"))
+    rows = df.withColumn("__src", F.coalesce(key, spread)).join(versions, "__src", "left")
+    at = df[dictionary.at].cast("timestamp") if dictionary.at else F.lit(None).cast("timestamp")
+    begun = lambda v: v["valid_from"].isNull() | (v["valid_from"] <= at) if dictionary.at else F.lit(True)
+    open_ = lambda v: v["valid_to"].isNull() | (v["valid_to"] > at) if dictionary.at else v["valid_to"].isNull()
+    valid = F.filter("__versions", lambda v: begun(v) & open_(v))
+    first = lambda v: F.coalesce(v["valid_from"], F.lit("0001-01-01").cast("timestamp"))
+    better = lambda best, v: best.isNull() | (first(v) > first(best)) | ((first(v) == first(best)) & (v["text"] < best["text"]))
+    none = F.lit(None).cast("struct<valid_from:timestamp,text:string,valid_to:timestamp,dst:map<string,string>>")
+    rows = rows.withColumn("__valid", valid)
+    return rows.withColumn(name, F.aggregate("__valid", none, lambda best, v: F.when(better(best, v), v).otherwise(best))["dst"]).drop("__src", "__versions", "__valid")
+
+
+def _literal(schema: dict[str, dict[str, str]], key: Column, dsts: list[str]) -> Column:
+    pairs = [x for k, values in sorted(schema.items()) for x in (F.lit(k), F.create_map(*(y for d in dsts for y in (F.lit(d), F.lit(values.get(d, ""))))))]
+    return F.try_element_at(F.create_map(*pairs), key) if pairs else F.lit(None).cast("map<string,string>")
+
+
+def _append_labels(df: DataFrame, rule: Transform, dictionaries: dict[int, dict | Dictionary]) -> tuple[DataFrame, Column, Column]:
+    """A dictionary's texts: from a literal map if it has few entries, else from a join."""
     rec, s = F.col("rec"), rule.append_settings.label_mapping
     if s.schema_id not in dictionaries:
         return df, rec, F.lit("dict mapping schema not found")
     path = [] if s.parent_field == R.ROOT else R.split_path(s.parent_field)
     df = df.withColumn("__value", R.as_map(R.get(rec, path)) if path else rec)
     parent, schema = F.col("__value"), dictionaries[s.schema_id]
-    pairs = [x for key, values in sorted(schema.items()) for x in (F.lit(key), F.create_map(*(y for d in s.dsts for y in (F.lit(d), F.lit(values.get(d, ""))))))]
-    found = F.try_element_at(F.create_map(*pairs), dictionary_key(parent, s.srcs)) if pairs and s.srcs else F.lit(None).cast("map<string,string>")
-    empty = F.create_map(*(y for d in s.dsts for y in (F.lit(d), F.lit(""))))
-    values = F.transform_values(F.coalesce(found, empty), lambda _, v: v.cast("variant"))
+    if isinstance(schema, dict) and len(schema) > LITERAL_ROWS:
+        schema = Dictionary(df.sparkSession.createDataFrame(sorted(schema.items()), "src_key string, dst map<string,string>"))
+    if not s.srcs:
+        df = df.withColumn("__found", F.lit(None).cast("map<string,string>"))
+    elif isinstance(schema, dict):
+        df = df.withColumn("__found", _literal(schema, dictionary_key(parent, s.srcs), s.dsts))
+    else:
+        df = looked_up(df, dictionary_key(parent, s.srcs), schema, "__found")
+    values = F.create_map(*(x for d in s.dsts for x in (F.lit(d), F.coalesce(F.try_element_at(F.col("__found"), F.lit(d)), F.lit("")).cast("variant"))))
     if rule.ignore_if_conflict:
         values = F.map_filter(values, lambda k, _: ~F.map_contains_key(parent, k))
     df = df.withColumn("__members", values)
@@ -164,14 +224,8 @@ def fused(rec: Column, rules: list[Transform]) -> Column:
     return F.map_concat(R.without(rec, list(values)), F.create_map(*(x for k, v in values.items() for x in (F.lit(k), v))))
 
 
-def with_dictionary(df, dictionary, srcs: list[str], dsts: list[str], record: str = "rec", small_rows: int = 100_000):
-    """Large dictionaries: a left join on the key, broadcast if the dictionary has few rows; misses give empty texts.
-
-    ``dictionary`` has src_key and dst (a map of texts); of rows that repeat a key the one whose text comes first counts.
-    """
-    looked = dictionary.groupBy(F.col("src_key").alias("__src")).agg(F.min_by("dst", F.to_json("dst")).alias("__dst"))
-    if looked.limit(small_rows + 1).count() <= small_rows:
-        looked = F.broadcast(looked)
-    keyed = df.withColumn("__src", dictionary_key(F.col(record), srcs)).join(looked, "__src", "left")
-    values = F.create_map(*(x for d in dsts for x in (F.lit(d), F.coalesce(F.try_element_at(F.col("__dst"), F.lit(d)), F.lit("")).cast("variant"))))
-    return keyed.withColumn(record, R.merge(F.col(record), values)).drop("__src", "__dst")
+def with_dictionary(df: DataFrame, dictionary: DataFrame, srcs: list[str], dsts: list[str], record: str = "rec") -> DataFrame:
+    """The texts of a dictionary table in a record; misses give empty texts, of rows that repeat a key the one whose text comes first counts."""
+    found = looked_up(df, dictionary_key(F.col(record), srcs), Dictionary(dictionary.select("src_key", "dst")), "__found")
+    values = F.create_map(*(x for d in dsts for x in (F.lit(d), F.coalesce(F.try_element_at(F.col("__found"), F.lit(d)), F.lit("")).cast("variant"))))
+    return found.withColumn(record, R.merge(F.col(record), values)).drop("__found")

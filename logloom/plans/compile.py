@@ -123,6 +123,7 @@ def _edit(df: DataFrame, settings: TransformSettings, dictionaries: dict, prefix
 def compile_settings(config: str | dict | TransformSettings, dictionaries: dict | None = None, ranges: DataFrame | None = None, raw: str = "raw", statuses: bool = False, version: str = "log_transform", uri_patterns: list[tuple[str, str]] | None = None) -> Callable[[DataFrame], DataFrame]:
     """A function from a DataFrame with a text (or, for compressed messages, binary) column to one with ``rec`` and ``err``.
 
+    ``dictionaries`` by schema number are maps from keys to texts, or tables (``transforms.Dictionary``), whose entries may depend on the event's time.
     ``uri_patterns`` (``formats.uri_patterns`` reads them) name parts of paths for all uripath formats.  Field rules of the older versions run as those engines ran them; ``log_transform`` converts them to transforms.
     """
     settings = config if isinstance(config, TransformSettings) else load(config)

@@ -17,7 +17,7 @@ from .functions import record as R
 from .operators import prefilters as P
 from .operators.geoip import geoip
 from .operators.parsers import regexp_parser
-from .operators.transforms import with_dictionary
+from .operators.transforms import Dictionary, with_dictionary
 from .plans.catalog import SECTIONS, catalog
 from .plans.compile import compile_settings, compile_task, expand_json_strings, project, prune_levels, prune_nulls
 from .plans.settings import load_task
@@ -398,6 +398,22 @@ def transform_dictionary_join(spark, sf_dir):
     return project(with_dictionary(rows, dictionary, ["cust"], ["customer", "segment"]), {"customer": ("customer", "string"), "segment": ("segment", "string")}, ["o_orderkey"])
 
 
+@query("""SELECT o_orderkey, CASE WHEN c_custkey IS NULL OR c_custkey % 5 = 0 AND o_orderdate >= TIMESTAMP '1999-01-01' THEN ''
+WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN c_mktsegment || ' new' ELSE c_mktsegment END AS segment FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 7 <> 0""")
+def transform_dictionary_versions(spark, sf_dir):
+    """A task's dictionary as a table whose entries change and end, looked up as of each order's date; repeated entries count once."""
+    c = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0")
+    day = lambda d: F.lit(d).cast("timestamp")
+    key, none = F.concat(F.lit("cust="), "c_custkey").alias("src_key"), F.lit(None).cast("timestamp")
+    entry = lambda text, begins, ends: c.select(key, F.create_map(F.lit("segment"), text).alias("dst"), begins.alias("valid_from"), ends.alias("valid_to"))
+    last = F.when(F.col("c_custkey") % 5 == 0, day("1999-01-01"))
+    old, new = entry(F.col("c_mktsegment"), none, day("1998-01-01")), entry(F.concat("c_mktsegment", F.lit(" new")), day("1998-01-01"), last)
+    rows = order_json(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("at")), "o_orderkey")
+    rule = {"rule_type": "append", "append_settings": {"append_type": "label_mapping", "label_mapping": {"schema_id": 1, "parent_field": "__root__", "srcs": ["cust"], "dsts": ["segment"]}}}
+    made = compile_settings({"fields_transform": [rule]}, dictionaries={1: Dictionary(old.unionByName(new).unionByName(new), at="at")})(rows)
+    return project(made, {"segment": ("segment", "string")}, ["o_orderkey"])
+
+
 @query("SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS number, o_orderstatus AS state, 'v' AS added FROM orders")
 def legacy_rules(spark, sf_dir):
     """Legacy field rules through the converter."""
