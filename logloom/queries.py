@@ -223,9 +223,9 @@ def parse_grok(spark, sf_dir):
     return parsed(rows, "grok", "%{WORD:verb} by %{INT:uid:int}", {"verb": "string", "uid": "bigint"}, ["event_id"])
 
 
-@query("SELECT p_partkey, string_split(p_type, ' ')[1] AS first, string_split(p_type, ' ')[2] AS second FROM part")
+@query("SELECT p_partkey, string_split(p_name, ' ')[1] AS first, string_split(p_name, ' ')[2] AS second FROM part")
 def parse_split(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("raw"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("raw"))
     made = parsed(rows, "split", '{"delimiter": "/ +/"}', {"0": "string", "1": "string"}, ["p_partkey"])
     return made.select("p_partkey", F.col("0").alias("first"), F.col("1").alias("second"))
 
@@ -546,22 +546,23 @@ def format_number_text(spark, sf_dir):
     return rows.select("p_partkey", M.plain_number(F.col("p_size").cast("double")).alias("size"), M.plain_number(F.col("p_partkey") * 1e6).alias("large"), M.plain_number(F.lit(0.25)).alias("part"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_type LIKE '%BRASS%' THEN 'metal' WHEN p_type LIKE 'S%' THEN 's' ELSE p_type END AS mapped,
-coalesce(nullif(regexp_extract(p_type, '^([A-Z]+)', 1), ''), p_type) AS head FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_type LIKE '%ARD%' THEN 'usual' WHEN p_type LIKE 'S%' THEN 's' ELSE p_type END AS mapped,
+coalesce(nullif(regexp_extract(p_name, '^([a-m]+) ', 1), ''), p_name) AS head FROM part""")
 def format_regexp(spark, sf_dir):
     rows = table(spark, sf_dir, "part")
-    return rows.select("p_partkey", M.map_by_regexp(F.col("p_type"), [("BRASS", "metal"), ("^S", "s")]).alias("mapped"), M.extract(F.col("p_type"), "^([A-Z]+)").alias("head"))
+    return rows.select("p_partkey", M.map_by_regexp(F.col("p_type"), [("ARD", "usual"), ("^S", "s")]).alias("mapped"), M.extract(F.col("p_name"), "^([a-m]+) ").alias("head"))
 
 
 @query(r"""SELECT doc_id, md5(regexp_replace(text, '([\+86]*1[3-9]{1}\d{1})\d{4}(\d{4,11})', '\1****\2', 'g')) AS phone,
 md5(regexp_replace(text, '[A-Za-z\d]+([-_.][A-Za-z\d]+)*(@([A-Za-z\d]+[-.])+[A-Za-z\d]{2,4})', '****\2', 'g')) AS email,
 md5(regexp_replace(text, '(\d{1,3}).\d{1,3}.\d{1,3}.\d{1,3}', '\1.****', 'g')) AS ip,
 md5(regexp_replace(text, '([1-9]{1})(\d{11}|\d{13}|\d{14})(\d{4})', '****\3', 'g')) AS bank_card,
-md5(regexp_replace(text, '([\d]{4})[\d]{11}([\d]{2}[\d|Xx])', '\1****', 'g')) AS id_card,
+md5(regexp_replace(text || ' no. 11010119' || lpad(doc_id::VARCHAR, 9, '0') || 'X', '([\d]{4})[\d]{11}([\d]{2}[\d|Xx])', '\1****', 'g')) AS id_card,
 md5(regexp_replace(text, '([a-zA-Z0-9]{4})(([a-zA-Z0-9]{26})|([a-zA-Z0-9]{12}))', '\1****', 'g')) AS access_key FROM documents""")
 def mask_patterns(spark, sf_dir):
     rows = table(spark, sf_dir, "documents")
-    return rows.select("doc_id", *(F.md5(M.mask(F.col("text"), m)).alias(m) for m in M.MASKS))
+    card = F.concat("text", F.lit(" no. 11010119"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit("X"))
+    return rows.select("doc_id", *(F.md5(M.mask(card if m == "id_card" else F.col("text"), m)).alias(m) for m in M.MASKS))
 
 
 @query("""SELECT c_custkey, md5(c_name) AS digest, left(c_name, 1) || '****' || right(c_name, 1) AS ends, '****' || right(c_name, 4) AS tail,
@@ -571,11 +572,15 @@ def mask_others(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", M.mask(name, "md5").alias("digest"), M.mask(name, "keep_first_last").alias("ends"), M.mask(name, "keep_last_four").alias("tail"), M.mask(name, "custom", "(?P<w>[A-Za-z]+)#0*", "<${w}>").alias("own"))
 
 
-@query("""SELECT page_id, CASE WHEN p = '' THEN '-' ELSE regexp_replace(p, '/[0-9]+(/?)$', '/:id\\1') END AS path FROM (
-SELECT page_id, regexp_extract(regexp_replace(url, '^https?://[^/]*', 'GET '), '(?:/[A-Za-z0-9$.+!*''(){},~:;=#%_\\-]*)+') AS p FROM pages)""")
+@query("""SELECT page_id, CASE WHEN p = '' AND page_id % 4 = 0 THEN '-' ELSE regexp_replace(p, '/[0-9]+(/?)$', '/:id\\1') ||
+CASE page_id % 4 WHEN 1 THEN '/s/:static.js' WHEN 2 THEN '/:uuid/x' WHEN 3 THEN '/:uuid/:static.html' ELSE '' END END AS path FROM (
+SELECT page_id, regexp_extract(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^https?://[^/]*', 'GET '), '(?:/[A-Za-z0-9$.+!*''(){},~:;=#%_\\-]*)+') AS p FROM pages)""")
 def format_uri_path(spark, sf_dir):
+    """Paths with numbers, identifiers, pages and static files, queries behind them."""
     line = F.regexp_replace("url", "^https?://[^/]*", "GET ")
-    return table(spark, sf_dir, "pages").select("page_id", M.uri_path(line).alias("path"))
+    more = F.when(F.col("page_id") % 4 == 1, "/s/app.0ad6.js").when(F.col("page_id") % 4 == 2, "/0f8fad5b-d9cb-469f-a165-70867728950e/x").when(F.col("page_id") % 4 == 3, "/a1234567890/welcome.html").otherwise("")
+    whole = F.concat(F.regexp_extract(line, "^[^?#]*", 0), more, F.lit(" "), F.regexp_extract(line, "[?#].*$", 0))
+    return table(spark, sf_dir, "pages").select("page_id", M.uri_path(whole).alias("path"))
 
 
 @query("""SELECT event_id, epoch_us(date_trunc('second', ts)) AS plain, epoch_us(date_trunc('second', ts)) - 28800000000 AS shanghai, epoch_us(date_trunc('millisecond', ts)) AS millis,
