@@ -317,7 +317,11 @@ def main_text(source: str | None) -> str:
     smooth = [np.convolve(r, KERNEL, mode="valid") for r in padded]
     fused = smooth[0] * (1 + smooth[1]) * unlinked * weight
     fused *= _article_shares(page, kept, fused)
-    content = (fused >= min(THRESHOLD * fused.std(), fused.max())) & (fused >= FLOOR)
+    above = fused >= min(THRESHOLD * fused.std(), fused.max())
+    content = above & (fused >= FLOOR)
+    if not content.any():  # a short article: what stands above the threshold in it, however little
+        within = page.marked_down({e for e, tag in enumerate(page.tags) if tag in ARTICLE})
+        content = above & (weight == 1) & np.array([within[b[0]] for b in kept])
     if not content.any():
         return ""
 

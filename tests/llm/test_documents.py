@@ -256,3 +256,10 @@ def test_one_long_text_leaves_room_for_others(spark):
     labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
     scores = {r.doc_id: r.score for r in toxicity_cnn.toxicity(docs, labels, max_chars=60_000).collect()}
     assert len(set(scores.values())) > 2 and len(scores) == 200
+
+
+def test_short_articles_keep_their_text():
+    """No block of these stands out by its length: what the article holds stays, menus and footers still go."""
+    assert html_paths.main_text("<article><p>w</p><p>No</p></article>") == "w\nNo"
+    page = "<body><nav><a href=x>Home</a></nav><main><h1>Tea</h1><p>a</p><p>b c</p><ul><li>d</li></ul></main><footer>(c) x</footer></body>"
+    assert html_paths.main_text(page) == "Tea\na\nb c\nd"
