@@ -21,7 +21,7 @@ Documents with equal sets are one node from the start.  Nothing ever lists the p
 3. Exact cells.  In each family, members outside its largest class meet all members with their exact sets, again in cells of bounded
    size; a cell gives one link for each class that it joins.
 
-Only the work inside cells grows with outsiders times members; rows grow with the members.
+The work inside cells grows with outsiders times members, and so do the rows that fill the cells, one for each 512 such pairs.
 
 Defined cases: texts without words (null, empty, blanks) have the same, empty, set and are one class; texts below five
 words are one shingle; rows of one doc_id are one document; a row without doc_id has no class; an empty table gives no rows; other
