@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.prefilters import STRING_FILTERS, PreFunction, keeps
+from ..operators.prefilters import PreFunction, input_stage, text_stage
 
 MAX_MESSAGE_BYTES = 10_000_000
+#: Offsets by topic and partition.
+Offsets = dict[str, dict[str, int]]
 
 
 @dataclass
@@ -69,6 +72,12 @@ class KafkaSource:
         rows = spark.readStream.format("kafka").options(**self.options()).load()
         return without_blank(rows.select(F.col("topic").alias("source"), "partition", "offset", "timestamp", F.col("value").alias("raw")))
 
+    def window(self, spark: SparkSession, begins: Offsets, stops: Offsets) -> DataFrame:
+        """The same columns of the messages from some offsets up to others, as a table."""
+        own = {k: v for k, v in self.options().items() if k not in ("subscribe", "kafka.group.id", "maxOffsetsPerTrigger")}
+        rows = spark.read.format("kafka").options(**own | window_options(begins, stops)).load()
+        return without_blank(rows.select(F.col("topic").alias("source"), "partition", "offset", "timestamp", F.col("value").alias("raw")))
+
 
 def file_stream(spark: SparkSession, folder: str, schema: str, format: str = "parquet", files_per_trigger: int = 0) -> DataFrame:
     """A stream of the files of a folder."""
@@ -104,14 +113,45 @@ def drop_share_by_key(rows: DataFrame, rate: float, key: str) -> DataFrame:
     return rows.where(F.crc32(F.col(key).cast("string").cast("binary")) % 100 >= int(rate * 100))
 
 
-def sample_message(rows: DataFrame, functions: list[PreFunction], raw: str = "raw", latest: bool = True) -> DataFrame:
-    """The first message that passes the text filters, of the newest or oldest of each partition."""
-    pick = F.max_by if latest else F.min_by
-    ends = rows.groupBy("source", "partition").agg(pick(raw, "offset").alias(raw))
-    for f in functions:
-        if f.mode in STRING_FILTERS:
-            ends = ends.where(keeps(F.col(raw), f))
-    return ends.limit(1)
+def end_windows(first: Offsets, last: Offsets, most: int, skip: int = 0, latest: bool = True) -> tuple[Offsets, Offsets]:
+    """Where to begin and to stop reading at most ``most`` messages of each partition's end (or beginning), after ``skip`` ones; partitions without any are left out."""
+    begins: Offsets = {}
+    stops: Offsets = {}
+    for topic, partitions in last.items():
+        for partition, end in partitions.items():
+            low = first.get(topic, {}).get(partition, 0)
+            stop = max(low, end - skip) if latest else min(end, low + skip + most)
+            begin = max(low, stop - most) if latest else min(end, low + skip)
+            if begin < stop:
+                begins.setdefault(topic, {})[partition], stops.setdefault(topic, {})[partition] = begin, stop
+    return begins, stops
+
+
+def window_options(begins: Offsets, stops: Offsets) -> dict[str, str]:
+    """Options of a bounded Kafka read (``spark.read``) of these windows."""
+    return {"assign": json.dumps({t: sorted(map(int, p)) for t, p in begins.items()}), "startingOffsets": json.dumps(begins), "endingOffsets": json.dumps(stops)}
+
+
+def sample_message(read: Callable[[Offsets, Offsets], DataFrame], first: Offsets, last: Offsets, functions: list[PreFunction], raw: str = "raw", latest: bool = True, most: int = 16, tries: int = 4) -> str | None:
+    """One message that passes a task's text functions, as they leave it; None if there is none.
+
+    ``read`` gives the messages from some offsets up to others.  Each try reads ``most`` messages of each partition at the topic's newest (or oldest) end, the next one twice as many
+    beyond; so a topic's size does not matter.
+    """
+    skip = 0
+    for _ in range(tries):
+        begins, stops = end_windows(first, last, most, skip, latest)
+        if not begins:
+            return None
+        rows = read(begins, stops)
+        if not any(f.mode == "decompress" for f in functions):
+            rows = rows.withColumn(raw, F.col(raw).cast("string"))
+        rows = text_stage(input_stage(rows, functions, raw), functions, raw)
+        found = rows.where(F.length(raw) > 0).select(raw).limit(1).collect()
+        if found:
+            return found[0][0]
+        skip, most = skip + most, most * 2
+    return None
 
 
 def lag(ends: dict[str, dict[str, int]], committed: dict[str, dict[str, int]]) -> list[dict]:
@@ -124,6 +164,11 @@ def lag(ends: dict[str, dict[str, int]], committed: dict[str, dict[str, int]]) -
     return rows
 
 
+def lag_table(spark: SparkSession, ends: Offsets, committed: Offsets) -> DataFrame:
+    """The lag of each partition as a table, to be joined or watched."""
+    return spark.createDataFrame([tuple(r.values()) for r in lag(ends, committed)], "topic string, partition int, end long, committed long, lag long")
+
+
 def progress_lag(progress: dict) -> list[dict]:
     """The lag that a streaming query's progress tells."""
     out = []
