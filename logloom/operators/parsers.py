@@ -198,6 +198,7 @@ def key_value_parser(format: str = "", keep: set[str] | None = None) -> Parser:
     return _simple_pairs(options)
 
 
+_START, _END = "startTimeUnixNano", "endTimeUnixNano"
 _SPAN = "struct<resourceSpans:array<struct<resource:map<string,variant>,scopeSpans:array<struct<scope:variant,spans:array<map<string,variant>>>>>>>"
 
 
@@ -207,30 +208,33 @@ def otel_parser(format: str = "", keep: set[str] | None = None) -> Parser:
     def nanos(span: Column, name: str) -> Column:
         return R.text(F.try_element_at(span, F.lit(name))).try_cast("bigint")
 
-    def fixed(span: Column) -> Column:
-        times = F.create_map(F.lit("startTimeUnixNano"), nanos(span, "startTimeUnixNano").cast("variant"), F.lit("endTimeUnixNano"), nanos(span, "endTimeUnixNano").cast("variant"))
-        return F.to_variant_object(R.merge(span, F.map_filter(times, lambda _, v: v.isNotNull())))
-
     def service(resource: Column) -> Column:
         attributes = F.try_variant_get(F.try_element_at(resource, F.lit("attributes")), "$", "array<struct<key:string,value:struct<stringValue:string>>>")
         return F.get(F.filter(attributes, lambda a: a["key"] == "service.name"), 0)["value"]["stringValue"]
 
+    def read(resource: Column) -> Column:
+        """The parts of a resource's spans; its name and their times are looked up here, once."""
+        timed = lambda x: F.struct(x.alias("span"), nanos(x, _START).alias("start"), nanos(x, _END).alias("end"))
+        scopes = F.transform(resource["scopeSpans"], lambda c: F.struct(c["scope"], F.transform(c["spans"], timed).alias("spans")))
+        return F.struct(resource["resource"], service(resource["resource"]).alias("name"), scopes.alias("scopes"))
+
+    def written(x: Column) -> Column:
+        times = F.create_map(F.lit(_START), x["start"].cast("variant"), F.lit(_END), x["end"].cast("variant"))
+        return F.to_variant_object(R.merge(x["span"], F.map_filter(times, lambda _, v: v.isNotNull())))
+
+    def whole(r: Column) -> Column:
+        resource = F.when(r["name"].isNotNull(), R.merge(r["resource"], F.create_map(F.lit("serviceName"), r["name"].cast("variant")))).otherwise(r["resource"])
+        scopes = F.transform(r["scopes"], lambda c: F.to_variant_object(F.create_map(F.lit("scope"), c["scope"], F.lit("spans"), F.transform(c["spans"], written).cast("variant"))))
+        return F.to_variant_object(F.create_map(F.lit("resource"), F.to_variant_object(resource), F.lit("scopeSpans"), scopes.cast("variant")))
+
+    def result(parts: Column) -> Column:
+        has = lambda field: F.exists(parts, lambda r: F.exists(r["scopes"], lambda c: F.exists(c["spans"], lambda x: x[field].isNotNull())))
+        good = F.exists(parts, lambda r: r["name"].isNotNull()) & has("start") & has("end")
+        return F.when(F.coalesce(good, F.lit(False)), F.create_map(F.lit("resourceSpans"), F.transform(parts, whole).cast("variant")))
+
     def parse(s: Column) -> Column:
-        spans = F.from_json(s, _SPAN)["resourceSpans"]
-        flat = F.flatten(F.transform(spans, lambda r: F.flatten(F.transform(F.coalesce(r["scopeSpans"], F.expr("array()").cast("array<struct<scope:variant,spans:array<map<string,variant>>>>")), lambda c: c["spans"]))))
-        good = F.exists(spans, lambda r: service(r["resource"]).isNotNull()) & F.exists(flat, lambda x: nanos(x, "startTimeUnixNano").isNotNull()) & F.exists(flat, lambda x: nanos(x, "endTimeUnixNano").isNotNull())
-        made = F.transform(
-            spans,
-            lambda r: F.to_variant_object(
-                F.create_map(
-                    F.lit("resource"),
-                    F.to_variant_object(F.when(service(r["resource"]).isNotNull(), R.merge(r["resource"], F.create_map(F.lit("serviceName"), service(r["resource"]).cast("variant")))).otherwise(r["resource"])),
-                    F.lit("scopeSpans"),
-                    F.transform(r["scopeSpans"], lambda c: F.to_variant_object(F.create_map(F.lit("scope"), c["scope"], F.lit("spans"), F.transform(c["spans"], fixed).cast("variant")))).cast("variant"),
-                )
-            ),
-        )
-        return F.when(F.coalesce(good, F.lit(False)), F.create_map(F.lit("resourceSpans"), made.cast("variant")))
+        # as a lambda's variable the parts are read once, whatever is made of them
+        return F.get(F.transform(F.array(F.transform(F.from_json(s, _SPAN)["resourceSpans"], read)), result), 0)
 
     return parse
 
