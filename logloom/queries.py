@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import gzip
+import json
 import zlib
 from collections.abc import Callable
 
@@ -26,6 +27,7 @@ from .sources.messages import drop_share_by_key
 from .streaming import metrics
 from .streaming.correlate import correlate_batch
 from .streaming.enrich import enrich_batch
+from .streaming.tasks import Snapshot, rules_as_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -653,10 +655,22 @@ WHERE o.event_type = 'purchase' AND epoch_ms(o.ts) - epoch_ms(r.ts) <= 86400000)
 SELECT request_id, response_id FROM p WHERE nth = 1""")
 def correlate_requests(spark, sf_dir):
     """Clicks as requests and purchases as responses of a user, within a day."""
+    rows = _clicks_and_purchases(spark, sf_dir)
+    return correlate_batch(rows, 86400).select(F.col("request_data").cast("bigint").alias("request_id"), F.col("response_data").cast("bigint").alias("response_id"))
+
+
+def _clicks_and_purchases(spark, sf_dir):
     e = table(spark, sf_dir, "events").where("event_type IN ('click', 'purchase')")
     kind = F.when(F.col("event_type") == "click", "request").otherwise("response")
-    rows = e.select(kind.alias("type"), F.lit("h").alias("agent_hostname"), F.col("user_id").cast("string").alias("req_no"), F.lit("1").alias("func_no"), F.col("ts").cast("timestamp").alias("date"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("data"))
-    return correlate_batch(rows, 86400).select(F.col("request_data").cast("bigint").alias("request_id"), F.col("response_data").cast("bigint").alias("response_id"))
+    return e.select(kind.alias("type"), F.lit("h").alias("agent_hostname"), F.col("user_id").cast("string").alias("req_no"), F.lit("1").alias("func_no"), F.col("ts").cast("timestamp").alias("date"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("data"))
+
+
+@query(f"""SELECT e.event_id AS response_id, q.request_id FROM events e LEFT JOIN ({ORACLE_SQL["correlate_requests"]}) q ON q.response_id = e.event_id
+WHERE e.event_type = 'purchase' AND e.user_id IS NOT NULL AND e.ts IS NOT NULL""")
+def correlate_lone(spark, sf_dir):
+    """The same, with purchases that have no click."""
+    rows = _clicks_and_purchases(spark, sf_dir)
+    return correlate_batch(rows, 86400, lone=True).select(F.col("response_data").cast("bigint").alias("response_id"), F.col("request_data").cast("bigint").alias("request_id"))
 
 
 @query("""SELECT d.event_id, k.account_id FROM events d LEFT JOIN (SELECT user_id, arg_max(CAST(event_id AS VARCHAR), (ts, CAST(event_id AS VARCHAR))) AS account_id FROM events WHERE event_type = 'signup' GROUP BY user_id) k USING (user_id)
@@ -669,6 +683,26 @@ def enrich_accounts(spark, sf_dir):
     return enrich_batch(rows).select(F.col("data").cast("bigint").alias("event_id"), "account_id")
 
 
+_EVENT_TYPES = ("signup", "error", "view", "purchase", "click")
+_TURN, _END = dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21, 12)
+
+
+@query(f"""SELECT event_id, CAST(1 AS BIGINT) AS version, CAST(1 AS BIGINT) AS task_id, event_type AS kind, CAST(NULL AS VARCHAR) AS who FROM events WHERE ts < TIMESTAMP '{_TURN}'
+UNION ALL SELECT event_id, 2, 1, 'is ' || event_type, CAST(user_id AS VARCHAR) FROM events WHERE ts >= TIMESTAMP '{_TURN}' AND ts < TIMESTAMP '{_END}'
+UNION ALL SELECT event_id, 2, 2, NULL, CAST(user_id AS VARCHAR) FROM events WHERE ts >= TIMESTAMP '{_TURN}' AND ts < TIMESTAMP '{_END}' AND event_type = 'error'
+UNION ALL SELECT event_id, 3, 2, NULL, CAST(user_id AS VARCHAR) FROM events WHERE ts >= TIMESTAMP '{_END}' AND event_type = 'error'""")
+def tasks_as_of(spark, sf_dir):
+    """Events by the rules of their time: a task that changes and ends, and a second one that comes with the change."""
+    task = lambda i, **settings: json.dumps({"id": i, "data_source_id": 1, "settings": {"version": "log_transform", "json_settings": settings}})
+    errors = task(2, pre_function=[{"mode": "contains", "format": '"error"'}], prefix_match=["who"])
+    changed = task(1, fields_transform=[{"rule_type": "format", "origin_field": "kind", "target_field": "kind", "format_settings": {"format_type": "regexp_mapping", "regexp_mapping": {"rules": [{"regexp": t, "mapping": f"is {t}"} for t in _EVENT_TYPES]}}}])
+    snapshots = [Snapshot(1, dt.datetime(1970, 1, 1), [task(1, prefix_match=["kind"])]), Snapshot(2, _TURN, [changed, errors]), Snapshot(3, _END, [errors])]
+    e = table(spark, sf_dir, "events")
+    rows = e.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.to_json(F.struct(F.col("event_type").alias("kind"), F.col("user_id").cast("string").alias("who"))).alias("raw"))
+    made = rules_as_of(rows, "ts", snapshots)
+    return project(made, {"kind": ("kind", "string"), "who": ("who", "string")}, ["event_id", "version", "task_id"])
+
+
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{s}', {i}, '{m}')" for s, modes in SECTIONS.items() for i, m in enumerate(modes)) + ") t(section, position, mode)")
 def rule_catalog(spark, sf_dir):
     return catalog(spark)

@@ -210,11 +210,3 @@ def decode_sources(items: list[dict], cluster: str = "") -> dict[int, DataSource
             continue
         out.setdefault(item["id"], DataSource(item["id"], kind, settings, clusters))
     return out
-
-
-def merge_tasks(*lists: list[dict]) -> list[dict]:
-    """Task lists one after another; the first of equal ids wins."""
-    seen: dict[int, dict] = {}
-    for task in (t for tasks in lists for t in tasks):
-        seen.setdefault(task["id"], task)
-    return list(seen.values())

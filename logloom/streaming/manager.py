@@ -39,13 +39,23 @@ def fan_out(tasks: list[Task], write: Writer, **options) -> Callable[[DataFrame,
 
 @dataclass
 class Manager:
-    """One query per data source; ``start`` makes the query of a source's tasks on that source's checkpoint."""
+    """One query per data source; ``start`` makes the query of a source's tasks on that source's checkpoint.
+
+    ``hot``: the queries read their tasks from a table of versions (``tasks.TaskTable``) and are restarted only where what they read changes: the source's settings
+    or its topics.  Queries that have ended by themselves are started again.
+    """
 
     start: Callable[[int, list[Task]], StreamingQuery]
     running: dict[int, tuple[str, StreamingQuery]] = field(default_factory=dict)
+    hot: bool = False
+
+    def _mark(self, own: list[dict], source: dict | None) -> str:
+        own = sorted(own, key=lambda c: c["id"])
+        what = sorted(json.dumps(c.get("topics") or {}, sort_keys=True) for c in own) if self.hot else own
+        return hashlib.sha256(json.dumps([sorted(set(what)) if self.hot else what, source], sort_keys=True).encode()).hexdigest()
 
-    def reconcile(self, configs: list[dict]) -> dict[str, list[int]]:
-        """Start, restart and stop queries until they are what the tasks say."""
+    def reconcile(self, configs: list[dict], sources: dict[int, dict] | None = None) -> dict[str, list[int]]:
+        """Start, restart and stop queries until they are what the tasks, and the settings of their sources, say."""
         wanted: dict[int, list[dict]] = {}
         for c in configs:
             wanted.setdefault(c["data_source_id"], []).append(c)
@@ -54,9 +64,9 @@ class Manager:
             self.running.pop(source)[1].stop()
             did["stopped"].append(source)
         for source, own in wanted.items():
-            mark = hashlib.sha256(json.dumps(sorted(own, key=lambda c: c["id"]), sort_keys=True).encode()).hexdigest()
+            mark = self._mark(own, (sources or {}).get(source))
             old = self.running.get(source)
-            if old and old[0] == mark:
+            if old and old[0] == mark and getattr(old[1], "isActive", True):
                 continue
             if old:
                 old[1].stop()

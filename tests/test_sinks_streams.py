@@ -15,7 +15,7 @@ from logloom.plans.settings import Storage, load_task, seconds
 from logloom.sinks import bulk, partitions
 from logloom.sources import messages
 from logloom.streaming import metrics
-from logloom.streaming.correlate import Correlator, correlate_batch, correlate_stream, spread_table
+from logloom.streaming.correlate import BoundedCorrelator, Correlator, correlate_batch, correlate_bounded, correlate_stream, spread_table
 from logloom.streaming.enrich import TRIES, Enricher, enrich_batch, enrich_stream
 from logloom.streaming.manager import Manager, fan_out
 
@@ -293,7 +293,7 @@ class Clock:
     def getCurrentProcessingTimeInMs(self):
         return self.millis
 
-    getExpiryTimeInMs = getCurrentProcessingTimeInMs
+    getExpiryTimeInMs = getCurrentWatermarkInMs = getCurrentProcessingTimeInMs
 
 
 def test_enrichment_timers():
@@ -319,3 +319,106 @@ def test_correlation_timers():
     for now in sorted(handle.timers):
         list(c.handleExpiredTimer(key=("h", "1"), timerValues=Clock(now), expiredTimerInfo=Clock(now)))
     assert not c.request.exists() and not c.waiting.exists()
+
+
+class Pairs(Held):
+    """A map state in memory."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def getValue(self, key):
+        return self.rows[key]
+
+    def containsKey(self, key):
+        return key in self.rows
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def keys(self):
+        return iter(self.rows)
+
+    def iterator(self):
+        return iter(self.rows.items())
+
+
+class Maps(Handle):
+    def getMapState(self, *_):
+        return Pairs()
+
+
+def _bounded(most):
+    c, handle = BoundedCorrelator(most, window=600, patience=60), Maps()
+    c.init(handle)
+    texts = dict.fromkeys(["fund_account", "error_no", "error_info", "tag"])
+
+    def feed(*events):
+        rows = pd.DataFrame([{"type": k, "agent_hostname": "h", "req_no": r, "func_no": "5", "date": dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), "data": d, **texts} for k, r, s, d in events])
+        return shown(c.handleInputRows((0,), iter([rows]), Clock(0)))
+
+    def shown(frames):
+        return [(r.req_no, r.response_data, r.status) for f in frames for r in f.itertuples()]
+
+    def until(seconds):
+        """All timers up to a time, in their order."""
+        end, out = int(dt.datetime(2024, 1, 1, tzinfo=dt.UTC).timestamp() * 1000) + seconds * 1000, []
+        while handle.timers and min(handle.timers) <= end:
+            now = min(handle.timers)
+            handle.timers.remove(now)
+            out += shown(c.handleExpiredTimer((0,), Clock(now), Clock(now)))
+        return out
+
+    return c, feed, until
+
+
+def test_waiting_responses_are_bounded_across_keys():
+    c, feed, until = _bounded(2)
+    assert feed(("response", "3", 3, "late"), ("response", "1", 1, "a"), ("response", "2", 2, "b")) == [("3", "late", "refused")]
+    assert c.bucket.get()[0] == 2
+    assert feed(("response", "1", 4, "a2")) == [("1", "a2", "refused")]
+    assert feed(("request", "1", 0, "r"), ("response", "4", 5, "d"), ("response", "2", 6, "b2")) == [("1", "a", "paired"), ("2", "b2", "refused")]
+    assert c.bucket.get()[0] == 2 and until(30) == []
+    assert sorted(until(90)) == [("2", "b", "lone"), ("4", "d", "lone")] and c.bucket.get()[0] == 0
+    assert feed(("request", "5", 100, "r5")) == [] and c.requests.containsKey(("h", "5"))
+    assert until(2000) == [] and not c.requests.rows and not c.waiting.rows
+
+
+def test_no_response_is_lost_at_the_bound():
+    """Random events in small batches: each response goes out once or waits, never more than the bound; without a bound the pairs are those of the plain processor."""
+    random.seed(7)
+    events = [(random.choice(["request", "response", "response"]), str(random.randrange(6)), t, f"{t:05}") for t in sorted(random.sample(range(5000), 600))]
+    for most in (3, 10_000):
+        c, feed, until = _bounded(most)
+        out = []
+        for k in range(0, len(events), 40):
+            out += feed(*random.sample(events[k : k + 40], len(events[k : k + 40])))
+            assert c.bucket.get()[0] == sum(len(json.loads(v[0])) for v in c.waiting.rows.values()) <= most
+            out += until(events[k][2])
+        out += until(10_000)
+        assert sorted(d for _, d, _ in out) == [d for k, _, _, d in events if k == "response"] and not c.waiting.rows
+        assert {s for _, _, s in out} == ({"paired", "lone", "refused"} if most == 3 else {"paired", "lone"})
+
+
+def test_lone_responses(spark, tmp_path):
+    """Responses without a request go out at the end of their patience, in batches and streams alike."""
+    rows = spark.createDataFrame(EVENTS, COLUMNS)
+    want = [("1", "r1", "s1", 60000), ("1", None, "s2", None), ("2", "r2", "s3", 60000), ("2", "r2", "s4", 120000), ("3", None, "lost", None)]
+    got = [(r.req_no, r.request_data, r.response_data, r.elapsed_ms) for r in correlate_batch(rows, lone=True).collect()]
+    assert set(got) == set(want) and len(got) == len(want)
+    assert correlate_batch(rows.limit(0), lone=True).count() == 0
+    later = spark.createDataFrame([("request", "z", "9", "5", at(59), "z")], COLUMNS)
+    for part in (rows, later):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema(COLUMNS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError):
+        correlate_bounded(rows, 1, 2)
+    for name, made in (("plain", correlate_stream(stream(), "1 minute", lone=True)), ("bounded", correlate_bounded(stream(), 100, 2, "1 minute"))):
+        q = made.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        got = {(r.req_no, r.request_data, r.response_data, r.elapsed_ms) for r in spark.table(name).collect()}
+        assert got == set(want) and spark.table(name).count() == len(want)
+    assert {r.response_data for r in spark.table("bounded").where("status = 'lone'").collect()} == {"s2", "lost"}
