@@ -24,6 +24,7 @@ from .plans.compile import compile_settings, compile_task, expand_json_strings,
 from .plans.settings import load_task
 from .sinks.partitions import expired, name_at, partition_name
 from .sources.messages import drop_share_by_key
+from .sources.spread import dealt
 from .streaming import metrics
 from .streaming.correlate import correlate_batch
 from .streaming.enrich import enrich_batch
@@ -50,6 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that costs more than its scan."""
+    return dealt(table(spark, sf_dir, name))
+
+
 def parsed(df: DataFrame, mode: str, format: str, columns: dict[str, str], keep: list[str], **more) -> DataFrame:
     """``raw`` (a line of text) as the message of a record, parsed by one rule, as columns."""
     config = {"pre_extract": [{"mode": mode, "field": "m", "format": format}], "overwrite_origin": True, **more}
@@ -63,7 +69,7 @@ def edited(df: DataFrame, rules: list[dict], columns: dict[str, tuple[str, str]]
 
 
 def order_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = dealt_table(spark, sf_dir, "orders")
     inner = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"))
     return o.select("o_orderkey", F.to_json(F.struct(F.col("o_custkey").cast("string").alias("cust"), inner.alias("info"))).alias("raw"))
 
@@ -75,7 +81,7 @@ def order_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE event_type = 'purchase' AND contains(props, 'k') GROUP BY 1""")
 def flagship_events(spark, sf_dir):
     """Text filter, decode, prune, format and typed projection of event properties, then totals by key."""
-    rows = table(spark, sf_dir, "events").where("event_type = 'purchase'").select("value", F.col("props").alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").where("event_type = 'purchase'").select("value", F.col("props").alias("raw"))
     config = {"pre_function": [{"mode": "contains", "format": "k"}], "prefix_match": ["k"], "fields_transform": [{"rule_type": "format", "origin_field": "k", "target_type": "long", "format_settings": {"format_type": "allmatch"}}]}
     typed = project(compile_settings(config)(rows), {"k": ("k", "bigint")}, ["value"])
     return typed.groupBy("k").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
@@ -96,13 +102,13 @@ def filter_contains(spark, sf_dir):
 
 @query("SELECT event_id FROM events WHERE json_extract_string(props, '$.k') = '12'")
 def filter_key_value(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", F.col("props").alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.col("props").alias("raw"))
     return compile_settings({"pre_function": [{"mode": "match_key_value", "format": "k = 12"}]})(rows).select("event_id")
 
 
 @query("SELECT event_id FROM events WHERE json_extract_string(props, '$.k') <> '12'")
 def filter_not_key_value(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", F.col("props").alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.col("props").alias("raw"))
     return compile_settings({"pre_function": [{"mode": "not_match_key_value", "format": "k = 12"}]})(rows).select("event_id")
 
 
@@ -115,7 +121,7 @@ def rewrite_strip_ansi(spark, sf_dir):
 @query("SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL")
 def rewrite_format_to_json(spark, sf_dir):
     """Texts that are no JSON become a message and come back whole; null texts are no messages, and the plan drops them."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw"))
+    rows = dealt_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("raw"))
     made = compile_settings({"pre_function": [{"mode": "format_to_json"}]})(rows)
     return made.select("doc_id", F.md5(R.text(R.get(F.col("rec"), "message"))).alias("text_md5"))
 
@@ -127,7 +133,7 @@ def _deflate(texts: pd.Series) -> pd.Series:
 
 @query("SELECT doc_id, md5(coalesce(text, '')) AS text_md5 FROM documents")
 def input_decompress(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", _deflate("text").alias("raw"))
+    rows = dealt_table(spark, sf_dir, "documents").select("doc_id", _deflate("text").alias("raw"))
     return P.input_stage(rows, [P.PreFunction("decompress", "auto")]).select("doc_id", F.md5("raw").alias("text_md5"))
 
 
@@ -141,7 +147,7 @@ def input_split_json_array(spark, sf_dir):
 @query("SELECT event_id FROM events WHERE event_type = 'click'")
 def filter_statuses(spark, sf_dir):
     """Kept rows by status, with filtered ones still there until then."""
-    rows = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct("event_type")).alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct("event_type")).alias("raw"))
     made = compile_settings({"pre_function": [{"mode": "contains", "format": "\"click\""}]}, statuses=True)(rows)
     return made.where("status = 'ok'").select("event_id")
 
@@ -170,7 +176,7 @@ def prune_null_values(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def expand_nested_json(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", R.decode(F.to_json(F.struct("props"))).alias("rec"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", R.decode(F.to_json(F.struct("props"))).alias("rec"))
     return rows.select("event_id", F.try_variant_get(R.get(expand_json_strings(F.col("rec")), "props.k"), "$", "bigint").alias("k"))
 
 
@@ -186,14 +192,14 @@ def flatten_paths(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def parse_json(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("\x01"), F.col("props")).alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("\x01"), F.col("props")).alias("raw"))
     return parsed(rows, "json", '{"strip_control": true}', {"k": "bigint"}, ["event_id"])
 
 
 @query("SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust_no, o_orderstatus AS status, o_orderpriority AS prio FROM orders")
 def parse_regexp(spark, sf_dir):
     line = F.concat_ws(" ", F.lit("order"), F.concat(F.lit("c="), "o_custkey"), F.concat(F.lit("["), "o_orderstatus", F.lit("]")), "o_orderpriority")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", line.alias("raw"))
+    rows = dealt_table(spark, sf_dir, "orders").select("o_orderkey", line.alias("raw"))
     return parsed(rows, "regexp", r"c=(?P<cust_no>\d+) \[(?P<status>\w)\] (?P<prio>.*)$", {"cust_no": "string", "status": "string", "prio": "string"}, ["o_orderkey"])
 
 
@@ -214,14 +220,14 @@ def parse_regexp_long(spark, sf_dir):
 @query("SELECT event_id, event_type AS verb, CAST(user_id AS VARCHAR) AS uid FROM events")
 def parse_gonx(spark, sf_dir):
     line = F.concat(F.lit("["), "event_type", F.lit("] user="), "user_id", F.lit(" end"))
-    rows = table(spark, sf_dir, "events").select("event_id", line.alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", line.alias("raw"))
     return parsed(rows, "gonx", "[$verb] user=$uid end", {"verb": "string", "uid": "string"}, ["event_id"])
 
 
 @query("SELECT event_id, event_type AS verb, user_id AS uid FROM events")
 def parse_grok(spark, sf_dir):
     line = F.concat("event_type", F.lit(" by "), "user_id")
-    rows = table(spark, sf_dir, "events").select("event_id", line.alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", line.alias("raw"))
     return parsed(rows, "grok", "%{WORD:verb} by %{INT:uid:int}", {"verb": "string", "uid": "bigint"}, ["event_id"])
 
 
@@ -316,7 +322,7 @@ def parse_otel_spans(spark, sf_dir):
     span = F.struct(F.col("event_type").alias("name"), nanos.cast("string").alias("startTimeUnixNano"), (nanos + 5).cast("string").alias("endTimeUnixNano"))
     attribute = F.struct(F.lit("service.name").alias("key"), F.struct(F.concat(F.lit("svc"), "user_id").alias("stringValue")).alias("value"))
     body = F.struct(F.array(F.struct(F.struct(F.array(attribute).alias("attributes")).alias("resource"), F.array(F.struct(F.struct(F.lit("s").alias("name")).alias("scope"), F.array(span).alias("spans"))).alias("scopeSpans"))).alias("resourceSpans"))
-    rows = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.to_json(body).alias("m"))).alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.to_json(body).alias("m"))).alias("raw"))
     made = compile_settings({"pre_extract": [{"mode": "otel_trace_spans", "field": "m"}], "overwrite_origin": True})(rows)
     m = R.get(F.col("rec"), "m")
     return made.select(
@@ -329,7 +335,7 @@ def parse_otel_spans(spark, sf_dir):
 def parse_fallback(spark, sf_dir):
     """Rules of one field in turn: the first that finds something wins."""
     line = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("u="), "user_id")).otherwise(F.to_json(F.struct(F.col("event_type").alias("b"))))
-    rows = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(line.alias("m"))).alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(line.alias("m"))).alias("raw"))
     config = {"pre_extract": [{"mode": "grok", "field": "m", "format": "^u=%{INT:a:int}$"}, {"mode": "json", "field": "m"}], "overwrite_origin": True}
     return project(compile_settings(config)(rows), {"a": ("m.a", "bigint"), "b": ("m.b", "string")}, ["event_id"])
 
@@ -371,13 +377,13 @@ def transform_clone_and_format(spark, sf_dir):
 
 @query("SELECT event_id FROM events WHERE event_id % 3 <> 0")
 def transform_drop_if_missing(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("u"))).alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("u"))).alias("raw"))
     return edited(rows, [{"rule_type": "format", "origin_field": "u", "target_type": "text", "drop_if_not_found": True}], {}, ["event_id"])
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'origin field not found' END AS failure FROM events")
 def transform_skip_errors(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("u"))).alias("raw"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("u"))).alias("raw"))
     rules = [{"rule_type": "format", "origin_field": "u", "target_type": "text", "drop_if_not_found": True}]
     return edited(rows, rules, {"failure": ("log_transform_failure", "string")}, ["event_id"], skip_extract_error=True)
 
@@ -435,7 +441,7 @@ def _old_task(version, fields, **settings):
 
 def _old_orders(spark, sf_dir):
     """Orders with an object as text, a field that is null or blank in part, and a price that some lack."""
-    o = table(spark, sf_dir, "orders")
+    o = dealt_table(spark, sf_dir, "orders")
     note = F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).when(F.col("o_orderkey") % 3 == 1, F.lit("")).otherwise(F.concat(F.lit(" \t"), "o_orderpriority", F.lit(" ")))
     price = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice").cast("double"))
     inner = F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_custkey").alias("code.no")).alias("deep"))
@@ -493,7 +499,7 @@ def legacy_prune_v2_task(spark, sf_dir):
 
 def _old_lines(spark, sf_dir):
     """Orders with a line to parse, broken in part, and a JSON text that holds another line, a null and an object."""
-    o = table(spark, sf_dir, "orders")
+    o = dealt_table(spark, sf_dir, "orders")
     line = F.when(F.col("o_orderkey") % 7 == 0, F.lit("no line")).otherwise(F.concat_ws("-", "o_custkey", "o_orderstatus"))
     inner = F.struct(F.concat(F.lit("prio="), "o_orderpriority", F.lit(";z=1")).alias("l"), F.lit(None).cast("string").alias("n"), F.struct(F.col("o_orderstatus").alias("s"), F.lit(None).cast("string").alias("n")).alias("deep"))
     text = F.to_json(inner, {"ignoreNullFields": "false"})
@@ -538,7 +544,7 @@ _TEXTS = ["12", "-7", "+3", " 12 ", "1.5", "", "x9", "9223372036854775808", "1e3
 CASE WHEN regexp_full_match(s, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN try_cast(s AS DOUBLE) ELSE 0 END AS as_float
 FROM (SELECT event_id, (""" + "[" + ",".join(f"'{t}'" for t in _TEXTS) + f"]" + f""")[1 + event_id % {len(_TEXTS)}] AS s FROM events)""")
 def format_numbers(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", F.element_at(F.array(*map(F.lit, _TEXTS)), (1 + F.col("event_id") % len(_TEXTS)).cast("int")).alias("s"))
+    rows = dealt_table(spark, sf_dir, "events").select("event_id", F.element_at(F.array(*map(F.lit, _TEXTS)), (1 + F.col("event_id") % len(_TEXTS)).cast("int")).alias("s"))
     return rows.select("event_id", "s", M.to_long(F.col("s")).alias("as_long"), M.to_float(F.col("s")).alias("as_float"))
 
 
@@ -562,7 +568,7 @@ md5(regexp_replace(text, '([1-9]{1})(\d{11}|\d{13}|\d{14})(\d{4})', '****\3', 'g
 md5(regexp_replace(text || ' no. 11010119' || lpad(doc_id::VARCHAR, 9, '0') || 'X', '([\d]{4})[\d]{11}([\d]{2}[\d|Xx])', '\1****', 'g')) AS id_card,
 md5(regexp_replace(text, '([a-zA-Z0-9]{4})(([a-zA-Z0-9]{26})|([a-zA-Z0-9]{12}))', '\1****', 'g')) AS access_key FROM documents""")
 def mask_patterns(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents")
+    rows = dealt_table(spark, sf_dir, "documents")
     card = F.concat("text", F.lit(" no. 11010119"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit("X"))
     return rows.select("doc_id", *(F.md5(M.mask(card if m == "id_card" else F.col("text"), m)).alias(m) for m in M.MASKS))
 
@@ -588,7 +594,7 @@ def format_uri_path(spark, sf_dir):
 @query("""SELECT event_id, epoch_us(date_trunc('second', ts)) AS plain, epoch_us(date_trunc('second', ts)) - 28800000000 AS shanghai, epoch_us(date_trunc('millisecond', ts)) AS millis,
 epoch_us(ts) AS micros, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') || '+08:00' AS shown FROM events""")
 def format_dates(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("s", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    rows = dealt_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("s", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     at = lambda c, *a: F.unix_micros(M.to_date(c, M.TimeFormat(*a)))
     return rows.select(
         "event_id", at(F.col("s"), "%Y-%m-%d %H:%M:%S").alias("plain"), at(F.col("s"), "%Y-%m-%d %H:%M:%S", "Asia/Shanghai").alias("shanghai"), at(F.unix_millis("ts").cast("string"), "%s%3N").alias("millis"),
@@ -600,7 +606,7 @@ def format_dates(spark, sf_dir):
 ELSE CAST(epoch(date_trunc('second', o_orderdate)) AS BIGINT) END AS found FROM orders""")
 def detect_timestamps(spark, sf_dir):
     """Dates of all orders in three forms; numbers of seconds with fewer than ten digits, and of milliseconds likewise, are no times."""
-    rows = table(spark, sf_dir, "orders")
+    rows = dealt_table(spark, sf_dir, "orders")
     at = F.col("o_orderdate").cast("timestamp")
     text = F.when(F.col("o_orderkey") % 4 == 0, F.unix_seconds(at).cast("string")).when(F.col("o_orderkey") % 4 == 1, F.concat(F.unix_seconds(at), F.lit("000"))).when(F.col("o_orderkey") % 4 == 2, F.date_format(at, "yyyy-MM-dd HH:mm:ss")).otherwise("no time")
     return rows.select("o_orderkey", M.detect_timestamp(text).alias("found"))
@@ -612,7 +618,7 @@ def detect_event_times(spark, sf_dir):
     at = F.col("ts").cast("timestamp")
     shapes = [F.unix_seconds(at).cast("string"), F.unix_millis(at).cast("string"), F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.date_format(at, "dd/MMM/yyyy:HH:mm:ss"), F.date_format(at, "yyyy-MM-dd")]
     text = F.element_at(F.array(*shapes), (1 + F.col("event_id") % 5).cast("int"))
-    return table(spark, sf_dir, "events").select("event_id", M.detect_timestamp(text).alias("found"))
+    return dealt_table(spark, sf_dir, "events").select("event_id", M.detect_timestamp(text).alias("found"))
 
 
 @query("SELECT c_custkey, trim(c_name) AS filled, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE '' END AS digits FROM customer")
@@ -711,7 +717,7 @@ def rule_catalog(spark, sf_dir):
 @query("""SELECT CASE WHEN event_type <> 'click' THEN 'filtered' WHEN event_id % 7 = 0 THEN 'not_a_JSON_object' WHEN event_id % 5 = 0 THEN 'empty_result' ELSE 'ok' END AS code, count(*) AS n FROM events GROUP BY 1""")
 def extract_metrics(spark, sf_dir):
     """What became of each event in a task, counted by code."""
-    e = table(spark, sf_dir, "events")
+    e = dealt_table(spark, sf_dir, "events")
     raw = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('no JSON "'), "event_type", F.lit('"'))).otherwise(F.to_json(F.struct("event_type", F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("user"))))
     config = {"pre_function": [{"mode": "contains", "format": '"click"'}], "prefix_match": ["user"]}
     made = compile_settings(config, statuses=True)(e.select(raw.alias("raw")))
