@@ -134,10 +134,10 @@ def _cell(rows: pa.Table, k: int) -> pa.Table:
     return pa.table([ids[left][best], ids[right][best], score[best]], schema=schema)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = 12, blocks: int = 24, seed: int = 11, exact: bool = False, **columns) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = 12, blocks: int = 24, seed: int = 11, exact: bool = False, least_rows: int = LEAST_ROWS, **columns) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest rows that the curves find for each query row.
 
-    ``is_query`` is a condition on vec_id.
+    ``is_query`` is a condition on vec_id.  Each curve is cut into ``blocks`` ranges, or as many as leave each of them ``least_rows`` rows.
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -156,7 +156,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, curves: int = 12,
     index = materialize(usable(vectors, **columns).mapInArrow(keys, "vec_id long, v array<double>, keys array<long>"), "curves")
     placed = index.select("vec_id", F.posexplode("keys").alias("curve", "key")).select("curve", (F.shiftleft("key", TIE_BITS) + tie).alias("key"))
     n, n_queries = index.agg(F.count("*"), F.count_if(is_query)).first()
-    blocks = max(1, min(blocks, n // max(LEAST_ROWS, LEAST_TIMES_K * k)))
+    blocks = max(1, min(blocks, n // max(least_rows, LEAST_TIMES_K * k)))
     shares = [b / blocks for b in range(1, blocks)] or [1.0]
     cuts = placed.groupBy("curve").agg(F.percentile_approx("key", shares, 10_000).alias("cuts"))  # curves x blocks numbers
     chunks_of_rows = max(1, -(-n // (blocks * CHUNK_ROWS)))

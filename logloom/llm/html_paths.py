@@ -60,9 +60,7 @@ _HEADER_HINT = re.compile(r"(?:^|[\s\"'])header(?:$|[\s\"'])")
 NO_ARTICLE, FORM, WORDED, WORDED_INSIDE = 0.0005, 0.3, 0.02, 0.2
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
-#: Tags of a page whose quotes don't close, after which quotes no longer hide a ">" there: keeps reading linear.
-BROKEN_QUOTES = 20
+_MARK = re.compile(r"[>\"']")
 _NAMED = re.compile(r"\b(?:class|id)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _ROLE = re.compile(r"\brole\s*=\s*[\"']?([a-zA-Z]+)", re.I)
 _SPACE = re.compile(r"\s+")
@@ -88,7 +86,26 @@ class _Scanner:
 
     def __init__(self, source: str):
         self.source, self.at = source, 0
-        self.last, self.broken, self.cdata = source.rfind(">"), 0, True
+        self.last, self.cdata = source.rfind(">"), True
+        self.open: set[int] = set()  # quotes from which no tag is closed up to the end of the page
+
+    def _end(self, at: int) -> int:
+        """The place after a tag's ">"; where its quotes leave it none, after the next ">" of any kind.
+
+        Each quote is passed once without an end at most: a walk that meets one of those can stop, so that many broken tags are read in linear time.
+        """
+        source, passed, start = self.source, [], at
+        while mark := _MARK.search(source, at):
+            if mark[0] == ">":
+                return mark.end()
+            if mark.start() in self.open:
+                break
+            passed.append(mark.start())
+            at = source.find(mark[0], mark.end()) + 1
+            if not at:
+                break
+        self.open.update(passed)
+        return source.index(">", start) + 1
 
     def step(self) -> tuple[str, str | None, tuple[bool, str, str] | None]:
         """The text up to the next tag, plain characters that it holds (CDATA), and the tag as (closing, name, attributes)."""
@@ -111,9 +128,7 @@ class _Scanner:
                 closing = source[at + 1] == "/"
                 name = _NAME.match(source, at + 1 + closing)
                 if name and name.end() <= self.last:
-                    found = _QUOTED.match(source, name.end()) if self.broken < BROKEN_QUOTES else None
-                    self.broken += found is None
-                    self.at = found.end() if found else source.index(">", name.end()) + 1
+                    self.at = self._end(name.end())
                     return source[start:at], None, (closing, name[0].lower(), source[name.end() : self.at - 1])
             at += 1
         self.at = len(source)

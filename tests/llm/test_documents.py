@@ -1,3 +1,5 @@
+import random
+import re
 import time
 import zlib
 
@@ -174,6 +176,25 @@ def _exact(ids, v, queries_, k):
     return out
 
 
+def test_ends_of_tags_with_quotes():
+    """Against a pattern that starts anew at each tag; and many tags whose quotes don't close take time in line with their number."""
+    plain = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+    random.seed(3)
+    for _ in range(3000):
+        source = "".join(random.choices("<a>\"' ", [3, 3, 2, 2, 2, 1], k=random.randrange(1, 60)))
+        scan = html_paths._Scanner(source)
+        for at in range(len(source)):
+            if source.find(">", at) >= 0:
+                found = plain.match(source, at)
+                assert scan._end(at) == (found.end() if found else source.index(">", at) + 1), (source, at)
+    began = time.perf_counter()
+    scan, n = html_paths._Scanner("<p>x</p>" + "<a b='\">" * 100_000 + "<a b=\"'>" * 100_001), 0
+    while scan.at < len(scan.source):
+        scan.step()
+        n += 1
+    assert n > 1 and time.perf_counter() - began < 20
+
+
 def test_neighbours_recall(spark):
     for sf in (SF, "/root/testdata/sf0.1"):
         rows = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").collect()
