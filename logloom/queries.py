@@ -535,6 +535,23 @@ def legacy_prune_parsers(spark, sf_dir):
     return project(made, {"number": ("number", "bigint"), "y": ("m.y", "string"), "prio": ("prio", "string"), "z": ("o.l.z", "string"), "moved": ("moved", "string"), "line": ("o.line", "string")}, ["o_orderkey", "keys"])
 
 
+@query("""SELECT o_orderkey, '{"a":{"b":{"c":{"d":{"gone":"x","line":' || found || '}}},"e":{}' || keep || '}}' AS pruned, '{"a":{"e":{}' || keep || '},' || found[2:] AS emptied
+FROM (SELECT o_orderkey, '{"prio":"' || o_orderpriority || '","s":"' || o_orderstatus || '"}' AS found, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE ',"keep":"k"' END AS keep FROM orders)""")
+def legacy_prune_deep(spark, sf_dir):
+    """A parser on the sixth level: nulls go on each level above it, with field rules and without; objects that rules empty go, up to the first that holds more."""
+    parser = {"mode": "key_value", "field": "a.b.c.d.line", "format": '{"field_delimiter": ";"}'}
+    fields = [{"rule_type": "graft", "origin_field": f"a.b.c.d.line.{k}", "key": k} for k in ("prio", "s")] + [{"rule_type": "remove", "origin_field": "a.b.c.d.gone"}]
+    none = F.lit(None).cast("string").alias("n")
+    line = F.concat(F.lit("prio="), "o_orderpriority", F.lit(";s="), "o_orderstatus")
+    deep = F.struct(none, F.struct(none, F.struct(none, line.alias("line"), F.lit("x").alias("gone")).alias("d")).alias("c"))
+    kept = F.when(F.col("o_orderkey") % 3 != 0, F.lit("k"))
+    record = F.struct(none, F.struct(none, deep.alias("b"), F.struct().alias("e"), kept.alias("keep")).alias("a"))
+    rows = dealt_table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(record, {"ignoreNullFields": "false"}).alias("raw"))
+    pruned = _old_task("log_prune", [], pre_extract=[parser])(rows)
+    changed = _old_task("log_prune", fields, pre_extract=[parser])(pruned.select("o_orderkey", "raw", R.encode(F.col("rec")).alias("pruned")))
+    return changed.select("o_orderkey", "pruned", R.encode(F.col("rec")).alias("emptied"))
+
+
 # ---- scalar formats ----------------------------------------------------------------------------
 
 _TEXTS = ["12", "-7", "+3", " 12 ", "1.5", "", "x9", "9223372036854775808", "1e3", "-0.25", ".5", "1.5d", "0x1f"]
