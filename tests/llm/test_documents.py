@@ -284,3 +284,14 @@ def test_short_articles_keep_their_text():
     assert html_paths.main_text("<article><p>w</p><p>No</p></article>") == "w\nNo"
     page = "<body><nav><a href=x>Home</a></nav><main><h1>Tea</h1><p>a</p><p>b c</p><ul><li>d</li></ul></main><footer>(c) x</footer></body>"
     assert html_paths.main_text(page) == "Tea\na\nb c\nd"
+
+
+def test_training_holds_no_text_in_the_driver(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("the driver trains")
+
+    monkeypatch.setattr(toxicity_cnn, "_embed", refused)  # in this process only; tasks import the module anew
+    docs = spark.createDataFrame([(i, "bad words here" if i % 2 else "fine words there") for i in range(60)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    model = toxicity_cnn.fit_on_labels(docs, labels)
+    assert model.fitted and model.table.shape == (model.buckets, model.part)
