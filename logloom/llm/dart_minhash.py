@@ -13,8 +13,9 @@ agrees but for a chance of about 5e-8 (9e-4 in the worst case).
 
 Documents with equal sets are one node from the start.  Nothing ever lists the pairs of a bucket:
 
-1. Leader rounds.  In each bucket of more than one class, one member of its largest class, drawn by hash for each bucket, is compared with
-   the members of other classes: as many pairs as members.  Pairs that the signatures do not rule out are verified by their exact sets.
+1. Leader rounds.  In each bucket of more than one class, one member of its largest class is compared with the members of other classes: as
+   many pairs as members.  It is drawn by hash, in the first round by one hash for all buckets, so that the many buckets of one group of near copies ask for
+   the same pairs, then by one for each bucket.  Pairs that the signatures do not rule out are verified by their exact sets.
 2. Families.  In what buckets are left, members outside the largest class are compared by signature with all members of
    other classes, in cells of bounded size; a cell gives for each member that has such a partner a representative of what hangs
    together.  What representatives connect is a family.
@@ -271,8 +272,9 @@ def _joined(labels: DataFrame | None, links: DataFrame, tables: Tables) -> DataF
 
 
 def _shape(members: DataFrame, group: str, salt: int) -> DataFrame:
-    """Of each group with more than one class: its size, the largest class and a member of that, drawn by hash."""
-    drawn = F.struct(F.xxhash64("node", group, F.lit(salt)).alias("draw"), F.col("node").alias("leader"))
+    """Of each group with more than one class: its size, the largest class and a member of that, drawn by hash: for salt 0 the same hash
+    for all groups, so that groups of the same members have one leader and ask for the same pairs; else one for each group."""
+    drawn = F.struct(F.xxhash64("node", *([group] if salt else []), F.lit(salt)).alias("draw"), F.col("node").alias("leader"))
     each = members.groupBy(group, "class").agg(F.count("*").alias("size"), F.max(drawn).alias("lead"))
     whole = each.groupBy(group).agg(F.sum("size").alias("size"), F.count("*").alias("classes"), F.max(F.struct("size", "lead.draw", "lead.leader", "class")).alias("top"))
     return whole.where("classes > 1").select(group, "size", F.col("top.size").alias("main_size"), F.col("top.class").alias("main"), F.col("top.leader").alias("leader"))

@@ -295,3 +295,10 @@ def test_training_holds_no_text_in_the_driver(spark, monkeypatch):
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
     model = toxicity_cnn.fit_on_labels(docs, labels)
     assert model.fitted and model.table.shape == (model.buckets, model.part)
+
+
+def test_buckets_of_the_same_members_share_a_leader(spark):
+    members = spark.range(40).selectExpr("id AS node", "id AS class", "explode(sequence(1, 30)) AS key")
+    shape = dart_minhash._shape(members, "key", 0).collect()
+    assert len(shape) == 30 and len({r.leader for r in shape}) == 1
+    assert len({r.leader for r in dart_minhash._shape(members, "key", 1).collect()}) > 1
