@@ -61,13 +61,15 @@ def is_value(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
+#: What VARIANT types are called here; others are numbers.
+_KINDS = {"VOID": "null", "STRING": "string", "BOOLEAN": "bool", "OBJECT": "object", "ARRAY": "array", "TIMESTAMP": "date", "TIMESTAMP_NTZ": "date", "DATE": "date"}
+
+
 def kind(value: Column) -> Column:
-    """string, number, bool, object, array or null."""
-    name = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | (name == "VOID"), "null").when(name == "STRING", "string").when(name == "BOOLEAN", "bool")
-        .when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array").when(name.startswith("TIMESTAMP") | name.startswith("DATE"), "date").otherwise("number")
-    )
+    """string, number, bool, object, array or null; the value stands in the expression once, so it is computed once."""
+    name = F.substring_index(F.schema_of_variant(value), "<", 1)
+    known = F.create_map(*(F.lit(x) for pair in _KINDS.items() for x in pair))
+    return F.coalesce(F.try_element_at(known, F.coalesce(name, F.lit("VOID"))), F.lit("number"))
 
 
 def text(value: Column) -> Column:

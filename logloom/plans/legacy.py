@@ -45,18 +45,24 @@ def _typed(matched: Column, kind: str, more: dict) -> tuple[Column, Column]:
     return R.variant(at), F.when(matched == "", "value was empty").when(at.isNull(), "invalid date string")
 
 
-def read_field(rule: dict, value: Column) -> tuple[Column, Column]:
-    """What a rule makes of a value (null: there is none), as VARIANT, and the error."""
-    more, kind, required = rule.get("extention") or {}, rule.get("value_type") or "", bool(rule.get("required"))
+def matched_text(rule: dict, what: Column, text: Column) -> Column:
+    """The part of a value's text (of kind ``what``) that a rule asks for, or its default."""
+    more = rule.get("extention") or {}
     default, regexp, preset = more.get("default_value") or "", (more.get("regexp") or "").strip(), more.get("preset_filter") or ""
-    what, text = R.kind(value), R.text(value)
     if preset:
         matched = {"allmatch": M.trim_space, "uripath": M.uri_path}[preset](text)
     else:
         matched = text if regexp in ("", ALL) else M.extract(text, regexp, legacy=True)
     matched = F.when(what == "null", F.lit(default)).otherwise(matched)
-    if default:
-        matched = F.when(matched == "", F.lit(default)).otherwise(matched)
+    return F.coalesce(F.nullif(matched, F.lit("")), F.when(matched.isNotNull(), F.lit(default))) if default else matched
+
+
+def read_field(rule: dict, value: Column, what: Column | None = None, matched: Column | None = None) -> tuple[Column, Column]:
+    """What a rule makes of a value (null: there is none), as VARIANT, and the error; its kind and its matched text may be columns that are there already."""
+    more, kind, required = rule.get("extention") or {}, rule.get("value_type") or "", bool(rule.get("required"))
+    default = more.get("default_value") or ""
+    what = R.kind(value) if what is None else what
+    matched = matched_text(rule, what, R.text(value)) if matched is None else matched
     from_text, bad = _typed(matched, kind, more)
     if required:
         bad = F.when(matched == "", "required, but not there").otherwise(bad)
@@ -135,9 +141,9 @@ def parse_within(df: DataFrame, settings: TransformSettings) -> DataFrame:
     trie = parser_trie(settings)
     passed = {path[:n] for path in trie for n in range(1, len(path))}
     asked = {(f.get("origin_field") or "").removesuffix(f".{ORIGIN}") for f in settings.fields if (f.get("origin_field") or "").endswith(f".{ORIGIN}") and f.get("rule_type") != "append"}
-    rec = F.col("rec")
+    objects = _Opened("__parsed")
     for path in sorted({*trie, *passed}, key=lambda p: (len(p), p)):
-        df = df.withColumn("__at", R.get(rec, list(path)))
+        df = df.withColumn("__at", objects.at(path))
         inner = R.as_map(F.col("__at"))
         if path in trie:
             rule = trie[path]
@@ -147,10 +153,8 @@ def parse_within(df: DataFrame, settings: TransformSettings) -> DataFrame:
             inner = F.when(F.col("__text").isNotNull(), F.when(F.size("__found") > 0, F.col("__found"))).otherwise(inner)
         if path in passed:
             inner = F.map_filter(inner, lambda _, v: R.is_value(v))
-        df = df.withColumn("__inner", inner)
-        df = df.withColumn("rec", F.when(F.col("__inner").isNull(), rec).otherwise(R.put(rec, list(path), F.to_variant_object("__inner").cast("variant"))))
-        df = df.drop("__at", "__text", "__found", "__inner")
-    return df
+        df = objects.add(df, path, inner).drop("__at", "__text", "__found")
+    return objects.close(df)
 
 
 class _Objects:
@@ -209,9 +213,85 @@ def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.withColumns(columns) if columns else df
 
 
+def _read(df: DataFrame, rules: dict[int, dict], inputs: dict[str, Column]) -> tuple[DataFrame, dict[int, tuple[Column, Column]], list[str]]:
+    """``df`` with the inputs (``__legacy_in`` and the rule's number) and with what reading them needs, each once; what each rule makes of its own; the columns added."""
+    df = _computed(df, inputs)
+    what = {f"__legacy_kind{k}": R.kind(F.col(f"__legacy_in{k}")) for k in rules}
+    df = _computed(df, what)
+    matched = {f"__legacy_matched{k}": matched_text(rule, F.col(f"__legacy_kind{k}"), R.text(F.col(f"__legacy_in{k}"))) for k, rule in rules.items()}
+    df = _computed(df, matched)
+    read = {k: read_field(rule, F.col(f"__legacy_in{k}"), F.col(f"__legacy_kind{k}"), F.col(f"__legacy_matched{k}")) for k, rule in rules.items()}
+    return df, read, [*inputs, *what, *matched]
+
+
+class _Opened:
+    """Objects of ``rec`` as columns of their own, each a map that is null where there is no object.
+
+    An edit changes one small map, not all objects around it, and steps that Catalyst keeps apart repeat no work of each other; ``close`` puts the
+    objects back, inner ones first.  A parent keeps an entry for each open object in it, whose value does not count.
+    """
+
+    def __init__(self, stem: str):
+        self.stem, self.names = stem, {(): "rec"}
+
+    def __getitem__(self, path: tuple[str, ...]) -> Column:
+        return F.col(self.names[path])
+
+    def at(self, path: tuple[str, ...]) -> Column:
+        """The value at a path whose parent is open, where it is not open itself."""
+        return F.try_element_at(self[path[:-1]], F.lit(path[-1]))
+
+    def add(self, df: DataFrame, path: tuple[str, ...], value: Column) -> DataFrame:
+        self.names[path] = f"{self.stem}{len(self.names)}"
+        return df.withColumn(self.names[path], value)
+
+    def open(self, df: DataFrame, paths: set[tuple[str, ...]]) -> DataFrame:
+        """Opens the objects at the paths; all their parents are among these."""
+        for path in sorted(paths, key=lambda p: (len(p), p)):
+            df = self.add(df, path, R.as_map(self.at(path)))
+        return df
+
+    def _set(self, df: DataFrame, where: Column, changes: dict[tuple[str, ...], Column]) -> DataFrame:
+        return df.withColumns({self.names[p]: F.when(where, c).otherwise(self[p]) for p, c in changes.items()})
+
+    def _below(self, path: tuple[str, ...]) -> list[tuple[str, ...]]:
+        return sorted((p for p in self.names if p[: len(path)] == path and p), key=len)
+
+    def remove(self, df: DataFrame, where: Column, path: tuple[str, ...]) -> DataFrame:
+        gone = {p: F.lit(None).cast(R.MAP) for p in self._below(path)}
+        return self._set(df, where, {path[:-1]: R.without(self[path[:-1]], [path[-1]])} | gone)
+
+    def put(self, df: DataFrame, where: Column, path: tuple[str, ...], value: Column) -> DataFrame:
+        changes = {}
+        for n in range(len(path)):
+            here = F.coalesce(self[path[:n]], R.empty()) if n else self[()]
+            changes[path[:n]] = R.put(here, [path[n]], value if n == len(path) - 1 else R.variant(F.lit("")))
+        return self._reopen(self._set(df, where, changes), where, path)
+
+    def _reopen(self, df: DataFrame, where: Column, path: tuple[str, ...]) -> DataFrame:
+        for p in self._below(path):
+            df = self._set(df, where, {p: R.as_map(self.at(p))})
+        return df
+
+    def merge(self, df: DataFrame, where: Column, value: Column) -> DataFrame:
+        """An object's entries beside those of the root; other values change nothing."""
+        df = df.withColumn(f"{self.stem}more", R.as_map(value))
+        more = F.col(f"{self.stem}more")
+        df = self._set(df, where & more.isNotNull(), {(): R.merge(self[()], more)})
+        for top in sorted({p[0] for p in self.names if p}):
+            df = self._reopen(df, where & F.coalesce(F.map_contains_key(more, F.lit(top)), F.lit(False)), (top,))
+        return df.drop(f"{self.stem}more")
+
+    def close(self, df: DataFrame) -> DataFrame:
+        for path in sorted((p for p in self.names if p), key=len, reverse=True):
+            df = self._set(df, self[path].isNotNull(), {path[:-1]: R.put(self[path[:-1]], [path[-1]], F.to_variant_object(self[path]).cast("variant"))})
+            df = df.drop(self.names[path])
+        return df
+
+
 def extract(df: DataFrame, settings: TransformSettings) -> DataFrame:
     """``rec`` with the declared keys, and ``err``."""
-    objects, values, errors, inputs = _Objects(settings, _levels(settings.prefix_match)), {}, {}, {}
+    objects, values, errors, inputs, there, read = _Objects(settings, _levels(settings.prefix_match)), {}, {}, {}, {}, {}
     for path in objects.trie:
         if objects.reached(path):
             df = objects.open(df, path)
@@ -226,17 +306,22 @@ def extract(df: DataFrame, settings: TransformSettings) -> DataFrame:
                 df = objects.open(df, path[:-1])
                 parent = F.col(objects.names[path[:-1]])
                 inputs[f"__legacy_in{k}"] = objects.value(path)
-                inputs[f"__legacy_there{k}"] = F.coalesce(F.map_contains_key(parent, F.lit(path[-1])), F.lit(False))
-                made, error = (F.when(F.col(f"__legacy_there{k}"), c) for c in read_field(rule, F.col(f"__legacy_in{k}")))
+                there[f"__legacy_there{k}"] = F.coalesce(F.map_contains_key(parent, F.lit(path[-1])), F.lit(False))
+                read[k] = rule
+                continue
         values[f"__legacy_value{k}"], errors[f"__legacy_error{k}"] = made, error
-    df = _computed(_computed(df, inputs), values | errors)
+    df, found, helpers = _read(df, read, inputs | there)
+    for k, pair in found.items():
+        values[f"__legacy_value{k}"], errors[f"__legacy_error{k}"] = (F.when(F.col(f"__legacy_there{k}"), c) for c in pair)
+    errors = {f"__legacy_error{k}": errors[f"__legacy_error{k}"] for k in range(len(settings.fields))}  # the first rule's counts
+    df = _computed(df, values | errors)
     pairs = [F.create_map(F.lit(rule.get("key") or ""), F.col(f"__legacy_value{k}")) for k, rule in enumerate(settings.fields)]
     made = F.map_filter(F.map_concat(R.empty(), *pairs), lambda _, v: v.isNotNull())
     needed = {rule.get("key") or "" for rule in settings.fields if rule.get("required") or rule.get("system_required")}
     got = sum((F.col(f"__legacy_value{k}").isNotNull().cast("int") for k, rule in enumerate(settings.fields) if (rule.get("key") or "") in needed), F.lit(0))
     short = F.when(got < len(needed), "one or more required fields missing")
     bad = F.coalesce(F.col("err"), *objects.errors, *errors, short)
-    return df.withColumns({"err": bad, "rec": F.when(bad.isNull(), made).otherwise(F.col("rec"))}).drop(*values, *errors, *inputs, *objects.names.values(), *objects.errors)
+    return df.withColumns({"err": bad, "rec": F.when(bad.isNull(), made).otherwise(F.col("rec"))}).drop(*values, *errors, *helpers, *objects.names.values(), *objects.errors)
 
 
 def prune(df: DataFrame, settings: TransformSettings) -> DataFrame:
@@ -248,7 +333,7 @@ def prune(df: DataFrame, settings: TransformSettings) -> DataFrame:
     written = {rule.get("key") or "" for rule, kind in zip(rules, kinds, strict=True) if kind != "remove"}
     # keys without a name go where there are rules at all
     df = df.withColumn("rec", F.map_filter("rec", lambda k, v: ((k != "") | F.lit(not rules)) & R.is_value(v)))
-    rec, made = F.col("rec"), {}
+    rec, made, inputs, read = F.col("rec"), {}, {}, {}
     for k, (rule, kind) in enumerate(zip(rules, kinds, strict=True)):
         if kind == "append":
             made[f"__legacy_value{k}"], made[f"__legacy_error{k}"] = appended(rule)
@@ -257,44 +342,40 @@ def prune(df: DataFrame, settings: TransformSettings) -> DataFrame:
             if kind == "graft":
                 made[f"__legacy_value{k}"], made[f"__legacy_error{k}"] = F.when(R.is_value(value), value), F.lit(None).cast("string")
             else:
-                fits = R.kind(value).isin("string", "number")
-                made[f"__legacy_value{k}"], made[f"__legacy_error{k}"] = (F.when(fits, c) for c in read_field(rule, value))
-    df = _computed(df, made)
+                inputs[f"__legacy_in{k}"], read[k] = value, rule
+                made[f"__legacy_value{k}"] = made[f"__legacy_error{k}"] = None  # its place: the first rule's error counts
+    df, found, helpers = _read(df, read, inputs)
+    for k, pair in found.items():
+        fits = F.col(f"__legacy_kind{k}").isin("string", "number")
+        made[f"__legacy_value{k}"], made[f"__legacy_error{k}"] = (F.when(fits, c) for c in pair)
+    df = _computed(df, made).drop(*helpers)
     stays = {origins[k] for k, kind in enumerate(kinds) if kind == "submatch" and targets[k] == origins[k]}
-    edits: list[Column] = []
-    for k, kind in enumerate(kinds):
-        value = F.col(f"__legacy_value{k}") if f"__legacy_value{k}" in made else None
-        if kind == "append":
-            parent = R.split_path(targets[k])[:-1]
-            there = R.as_map(R.get(rec, parent)).isNotNull() if parent else F.lit(True)
-            edits.append(F.when(there, R.put(rec, targets[k], value)).otherwise(rec))
-        elif kind == "submatch" and value is not None:
-            changed = rec if origins[k] in stays or targets[k] == origins[k] else R.remove(rec, origins[k])
-            edits.append(F.when(value.isNotNull(), _put(changed, targets[k], value)).otherwise(rec))
-    for k, kind in enumerate(kinds):
-        value = F.col(f"__legacy_value{k}") if f"__legacy_value{k}" in made else None
-        if kind == "graft" and value is not None and targets[k] != origins[k]:
-            edits.append(F.when(value.isNotNull(), _put(R.remove(rec, origins[k]), targets[k], value)).otherwise(rec))
-    for k, kind in enumerate(kinds):
-        if kind == "remove" and origins[k] and origins[k] not in written:
-            edits.append(R.remove(rec, origins[k]))
-    parents = {".".join(path[:n]) for o in origins for path in [R.split_path(o)] for n in range(1, len(path))}
-    for parent in sorted(parents, key=lambda p: (-p.count("."), p)):
-        edits.append(F.when(F.size(R.as_map(R.get(rec, parent))) == 0, R.remove(rec, parent)).otherwise(rec))
     needed = [k for k, rule in enumerate(rules) if rule.get("required")]
     got = sum((F.col(f"__legacy_value{k}").isNotNull().cast("int") for k in needed if f"__legacy_value{k}" in made), F.lit(0))
     short = F.when(got < len(needed), "one or more required fields missing")
     df = df.withColumn("err", F.coalesce(F.col("err"), *(c for c in made if "error" in c), short))
-    for changed in edits:
-        df = df.withColumn("rec", F.when(F.col("err").isNull(), changed).otherwise(rec))
-    return df.drop(*made)
 
-
-def _put(record: Column, target: str, value: Column) -> Column:
-    """A value at its target; objects moved to the root join it, other values can't."""
-    if target == R.ROOT:
-        return F.coalesce(R.merge(record, R.as_map(value)), record)
-    return R.put(record, target, value)
+    split = lambda text: tuple(R.split_path(text))
+    moved = {k for k, kind in enumerate(kinds) if f"__legacy_value{k}" in made and (kind in ("append", "submatch") or targets[k] != origins[k])}
+    dropped = [k for k, kind in enumerate(kinds) if kind == "remove" and origins[k] and origins[k] not in written]
+    used = [split(o) for o in origins] + [split(targets[k]) for k in moved if targets[k] != R.ROOT]
+    objects, good = _Opened("__pruned"), F.col("err").isNull()
+    df = objects.open(df, {path[:n] for path in used for n in range(1, len(path))})
+    for k in sorted(moved, key=lambda k: (kinds[k] == "graft", k)):
+        value, origin, target = F.col(f"__legacy_value{k}"), split(origins[k]), split(targets[k])
+        if kinds[k] == "append":
+            df = objects.put(df, good & objects[target[:-1]].isNotNull(), target, value)
+            continue
+        there = good & value.isNotNull()
+        if kinds[k] == "graft" or not (origins[k] in stays or targets[k] == origins[k]):
+            df = objects.remove(df, there, origin)
+        df = objects.merge(df, there, value) if targets[k] == R.ROOT else objects.put(df, there, target, value)
+    for k in dropped:
+        df = objects.remove(df, good, split(origins[k]))
+    parents = {".".join(path[:n]) for o in origins for path in [R.split_path(o)] for n in range(1, len(path))}
+    for parent in sorted(parents, key=lambda p: (-p.count("."), p)):
+        df = objects.remove(df, good & (F.size(objects[split(parent)]) == 0), split(parent))
+    return objects.close(df).drop(*made)
 
 
 def edit(df: DataFrame, settings: TransformSettings, version: str) -> DataFrame:

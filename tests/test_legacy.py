@@ -164,3 +164,21 @@ def test_repeated_dictionary_keys_do_not_multiply_rows(spark):
 def test_logins_are_escaped_and_encrypted():
     out = KafkaSource(["b:9092"], ["t"], security="sasl_plain", user='a"b', secret="c\\d").options()
     assert out["kafka.security.protocol"] == "SASL_SSL" and 'username="a\\"b" password="c\\\\d";' in out["kafka.sasl.jaas.config"]
+
+
+def test_edits_on_deep_paths_grow_with_depth_only(spark):
+    """Twice the levels take about twice the steps of the plan, not their square."""
+
+    def steps(depth):
+        path = [f"k{n}" for n in range(depth)]
+        fields = [{"rule_type": "remove", "origin_field": ".".join([*path, "gone"])}]
+        text = json.dumps({"gone": 1, "stays": 2})
+        for name in reversed(path):
+            text = f'{{"{name}": {text}}}'
+        rows = spark.createDataFrame([(text,)], "raw string")
+        made = compile_task(load_task({"id": 1, "data_source_id": 1, "settings": {"version": "log_prune", "json_settings": {"fields": fields}}}))(rows)
+        shown = made.select(R.encode(F.col("rec")).alias("out"))
+        assert json.loads(shown.first().out) == json.loads(text.replace('"gone": 1, ', ""))
+        return shown._jdf.queryExecution().optimizedPlan().toString().count("variant_get(")
+
+    assert steps(8) <= 2.5 * steps(4)
